@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from sitefold.llm import mixing, quality_rules
+from sitefold.llm import html_extraction, mixing, quality_rules, secret_scans, token_counts
 
 QUERIES = {
+    "op1_token_counts": token_counts.op1,
     "op5_quality_rules": quality_rules.op5,
+    "op7_secret_scans": secret_scans.op7,
     "op8_source_mixing": mixing.op8,
+    "op10_html_extraction": html_extraction.op10,
 }
 
+#: Those that SQL can express; the others are tested against brute force in tests/llm.
 SQL = {
     "op5_quality_rules": quality_rules.SQL,
     "op8_source_mixing": mixing.SQL,
