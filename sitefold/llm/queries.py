@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from sitefold.llm import html_extraction, mixing, quality_rules, secret_scans, token_counts
+from sitefold.llm import decontamination, html_extraction, line_dedup, mixing, quality_rules, secret_scans, token_counts, warc
 
 QUERIES = {
     "op1_token_counts": token_counts.op1,
+    "op3_line_dedup": line_dedup.op3,
+    "op4_decontamination": decontamination.op4,
     "op5_quality_rules": quality_rules.op5,
     "op7_secret_scans": secret_scans.op7,
     "op8_source_mixing": mixing.op8,
+    "op9_warc": warc.op9,
     "op10_html_extraction": html_extraction.op10,
 }
 
@@ -16,4 +19,5 @@ QUERIES = {
 SQL = {
     "op5_quality_rules": quality_rules.SQL,
     "op8_source_mixing": mixing.SQL,
+    "op9_warc": warc.SQL,
 }
