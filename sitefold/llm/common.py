@@ -1,12 +1,11 @@
-"""Shared column expressions and the shared-folder helper of the training-data operators."""
+"""Column expressions that the training-data operators share."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from sitefold.plans.shared import materialise, new_dir  # noqa: F401
+
 #: The six ASCII white-space characters that separate words.
 SPACE = " \t\n\x0b\f\r"
 SPACE_RE = "[ \\t-\\r]+"
@@ -26,27 +25,5 @@ def row_key(key: Column, text: Column) -> Column:
     return F.concat_ws(":", F.coalesce(key.cast("string"), F.lit("null")), F.hex(F.xxhash64(text)), F.hex(F.hash(text)))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset."""
-    known = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not known:
-        known = tempfile.mkdtemp(prefix="sitefold-")
-        spark.sparkContext.setCheckpointDir(known)
-        known = spark.sparkContext.getCheckpointDir() or known
-    return known
-
-
-def new_dir(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/sitefold/{name}-{uuid.uuid4().hex}"
-
-
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Writes df to the shared folder and reads it back, so that a lost executor costs no recomputation."""
-    spark = df.sparkSession
-    path = new_dir(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
