@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from sitefold.llm import decontamination, html_extraction, line_dedup, mixing, quality_rules, secret_scans, token_counts, warc
+from sitefold.llm import decontamination, html_extraction, line_dedup, mixing, near_dedup, quality_rules, secret_scans, token_counts, warc
 
 QUERIES = {
     "op1_token_counts": token_counts.op1,
     "op3_line_dedup": line_dedup.op3,
     "op4_decontamination": decontamination.op4,
     "op5_quality_rules": quality_rules.op5,
+    "op6_near_dedup": near_dedup.op6,
     "op7_secret_scans": secret_scans.op7,
     "op8_source_mixing": mixing.op8,
     "op9_warc": warc.op9,
@@ -18,6 +19,7 @@ QUERIES = {
 #: Those that SQL can express; the others are tested against brute force in tests/llm.
 SQL = {
     "op5_quality_rules": quality_rules.SQL,
+    "op6_near_dedup": near_dedup.SQL,
     "op8_source_mixing": mixing.SQL,
     "op9_warc": warc.SQL,
 }
