@@ -34,7 +34,7 @@ MOST_COMMON = 1 << 17
 #: Distinct words that a task holds while counting.
 MOST_HELD = 400_000
 #: Rounds of fitting, expected count added to each piece, and the rank from which first weights fall.
-ROUNDS, ADDED, FLAT = 1, 0.01, 10.0
+ROUNDS, ADDED, FLAT = 2, 0.01, 10.0
 #: The end token in tables of words; no word is empty.
 END = b""
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from sitefold.llm import decontamination, html_extraction, line_dedup, mixing, near_dedup, quality_rules, secret_scans, token_counts, warc
+from sitefold.llm import decontamination, html_extraction, line_dedup, lm_scoring, mixing, near_dedup, quality_rules, secret_scans, token_counts, warc
 
 QUERIES = {
     "op1_token_counts": token_counts.op1,
+    "op2_lm_scoring": lm_scoring.op2,
     "op3_line_dedup": line_dedup.op3,
     "op4_decontamination": decontamination.op4,
     "op5_quality_rules": quality_rules.op5,
