@@ -14,7 +14,7 @@ from sitefold.llm.common import documents, materialise
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
-    return quality_rules.judge(docs).where("kept").select(*docs.columns)
+    return quality_rules.keep_good(docs)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

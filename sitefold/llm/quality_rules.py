@@ -105,6 +105,16 @@ def judge(df: DataFrame, text: str = "text", rules=RULES) -> DataFrame:
     return measures(df, text).withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & verdict(rules))
 
 
+def keep_good(df: DataFrame, text: str = "text", rules=RULES) -> DataFrame:
+    """The input's rows that the rules keep.
+
+    The verdict passes through a generator of one row, below which no filter is pushed: pushed down, the
+    verdict would take the arrays' expressions with it into lambdas that run once for each element.
+    """
+    judged = judge(df, text, rules).select(*df.columns, F.inline(F.array(F.struct(F.col("kept").alias("_kept")))))
+    return judged.where("_kept").drop("_kept")
+
+
 def op5(spark, sf_dir: str) -> DataFrame:
     from sitefold.llm.common import documents
 
