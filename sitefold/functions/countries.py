@@ -19,7 +19,7 @@ ALIASES = {
     "congo": "COD", "democratic republic of the congo": "COD", "republic of the congo": "COG", "faroe islands": "FRO", "falkland islands": "FLK",
     "saint helena": "SHN", "vatican city": "VAT", "holy see": "VAT", "palestine": "PSE", "east timor": "TLS", "timor leste": "TLS", "brunei": "BRN",
     "brunei darussalam": "BRN", "lao people s democratic republic": "LAO", "laos": "LAO", "syrian arab republic": "SYR", "syria": "SYR", "bosnia": "BIH",
-    "bosnia and herzegovina": "BIH", "the netherlands": "NLD", "holland": "NLD", "svalbard": "SJM", "saint pierre and miquelon": "SPM",
+    "bosnia and herzegovina": "BIH", "the netherlands": "NLD", "holland": "NLD", "svalbard": "SJM", "saint pierre and miquelon": "SPM", "faroes": "FRO", "the gambia": "GMB",
 }
 
 
@@ -37,8 +37,8 @@ def country_names(spark: SparkSession) -> DataFrame:
     """(norm, iso3): every folded name and code, once. Bounded by the number of countries."""
     rows = []
     for iso3, iso2, en, zh in country_table(spark):
-        rows += [(n, iso3, r) for r, n in enumerate((zh, iso3, iso2, en))]
-    rows += [(n, iso3, 4) for n, iso3 in ALIASES.items()]
+        rows += [(n, iso3, r) for r, n in enumerate((zh, iso3, iso2, en.replace("&", "and").replace("St.", "Saint"), en))]
+    rows += [(n, iso3, 5) for n, iso3 in ALIASES.items()]
     named = spark.createDataFrame(rows, "name string, iso3 string, rank int").withColumn("norm", norm_country("name"))
     return named.groupBy("norm").agg(F.max_by("iso3", "rank").alias("iso3"))
 
