@@ -35,10 +35,11 @@ def source_targets(sizes: DataFrame, source: str = "source", most: int = MOST) -
         F.sum("weight").over(every) - F.coalesce(F.sum("weight").over(before), F.lit(0))
     )
     t = t.withColumn("_level", level)
-    free = F.when(F.col("_cap") / F.col("weight") >= F.col("_level"), F.col("_level"))
-    t = t.withColumn("_level", F.coalesce(F.min(free).over(every), F.lit(0.0)))
+    # The level counts where the first source that stays below its stop is reached; later ones take less away.
+    free = F.when(F.col("_cap") / F.col("weight") >= F.col("_level"), F.struct(F.row_number().over(ordered).alias("n"), F.col("_level").alias("level")))
+    t = t.withColumn("_free", free).withColumn("_level", F.coalesce(F.min("_free").over(every)["level"], F.lit(0.0)))
     target = F.least(F.col("_cap").cast("double"), F.col("weight") * F.col("_level"))
-    return t.withColumn("target", target).drop("_cap", "_level")
+    return t.withColumn("target", target).drop("_cap", "_level", "_free")
 
 
 def draw(key: Column, seed: str = SEED) -> Column:
@@ -75,9 +76,9 @@ def op8(spark, sf_dir: str) -> DataFrame:
 MIX_SQL = rf"""
 z AS (SELECT *, len(list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0b\f\r]+'), lambda x: x <> ''))::BIGINT size FROM {{docs}}),
 s AS (SELECT source, sum(size)::BIGINT source_size, (row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 + 1 weight FROM z GROUP BY source),
-l AS (SELECT *, (sum(source_size) OVER () - coalesce(sum({MOST} * source_size) OVER o, 0))::DOUBLE / (sum(weight) OVER () - coalesce(sum(weight) OVER o, 0)) lv FROM s
+l AS (SELECT *, (sum(source_size) OVER () - coalesce(sum({MOST} * source_size) OVER o, 0))::DOUBLE / (sum(weight) OVER () - coalesce(sum(weight) OVER o, 0)) lv, row_number() OVER (ORDER BY ({MOST} * source_size)::DOUBLE / weight, source IS NULL, source) n FROM s
       WINDOW o AS (ORDER BY ({MOST} * source_size)::DOUBLE / weight, source IS NULL, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-v AS (SELECT coalesce(min(lv) FILTER (WHERE ({MOST} * source_size)::DOUBLE / weight >= lv), 0) lv FROM l),
+v AS (SELECT coalesce(arg_min(lv, n) FILTER (WHERE ({MOST} * source_size)::DOUBLE / weight >= lv), 0) lv FROM l),
 t AS (SELECT source, source_size, least(({MOST} * source_size)::DOUBLE, weight * v.lv) target FROM s, v),
 r AS (SELECT z.*, t.source_size, t.target, CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0 END rate,
         ('0x' || substr(md5('{SEED}:' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT::DOUBLE / {float(16**13)} u
