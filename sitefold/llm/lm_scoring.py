@@ -135,8 +135,12 @@ class Lattice:
         for i, j, w, _ in arcs:
             if i != at:
                 v = lists[i]
-                top = max(v)
-                a = alpha[i] = top + ln(sum([exp(x - top) for x in v]))
+                if len(v) == 1:
+                    a = v[0]
+                else:
+                    top = max(v)
+                    a = top + ln(sum([exp(x - top) for x in v]))
+                alpha[i] = a
                 at = i
             lists[j].append(a + w)
         v = lists[n]
@@ -146,7 +150,9 @@ class Lattice:
         s = None
         for i, j, w, k in reversed(arcs):
             if i != at:
-                if v:
+                if len(v) == 1:
+                    beta[at] = v[0]
+                elif v:
                     top = max(v)
                     beta[at] = top + ln(sum([exp(x - top) for x in v]))
                 at, v = i, []
@@ -249,6 +255,22 @@ def score_words(table: DataFrame, names: list[str], weights: list[float], n: int
     return table.select("word", "c").mapInArrow(run, "word binary, c bigint, base double, score double")
 
 
+def most_common_words(table: DataFrame, most: int) -> DataFrame:
+    """Words of a count or more, the least count that leaves at most `most`.
+
+    Counts are summed by eighths of powers of two, so that neither the driver nor a task sees more than the
+    words that are taken, however many there are.
+    """
+    step = F.floor(8 * F.log2("c")).alias("step")
+    least, held = None, 0
+    for r in table.where("c > 0").groupBy(step).agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("c")).orderBy(F.desc("step")).collect():
+        held += r.n
+        if held > most:
+            break
+        least = r.c
+    return table.where(F.lit(False) if least is None else F.col("c") >= least)
+
+
 def _key(key: str, text: str) -> Column:
     return F.unhex(F.md5(F.concat_ws(":", F.coalesce(F.col(key).cast("string"), F.lit("null")), F.col(text))))
 
@@ -261,9 +283,9 @@ def score(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", r
     pieces = load_pieces(path)
     weights = fit(counts, pieces, rounds)
     table = materialise(score_words(counts, [p for p, _ in pieces], weights, n, v), "word-scores")
-    common = {r.word: (r.c > 0, r.base, r.score) for r in table.orderBy(F.desc("c"), "word").limit(most_common).collect()}
-    common = {bytes(w): x for w, x in common.items()}
-    end = common[END] if END in common else (False, *token_score(0, None, n, v))
+    common = {bytes(r.word): (True, r.base, r.score) for r in most_common_words(table, most_common).collect()}
+    ends = table.where(F.octet_length("word") == len(END)).first()
+    end = (ends.c > 0, ends.base, ends.score) if ends else (False, *token_score(0, None, n, v))
     shipped = spark.sparkContext.broadcast((common, end))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
