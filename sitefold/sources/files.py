@@ -10,20 +10,29 @@ from sitefold.functions.text import HeaderError
 def read_csv(spark: SparkSession, path, sep: str = ",") -> DataFrame:
     """Header, quoted line breaks, doubled quotes; a byte order mark is dropped. Adds file, the path of each row's file."""
     options = {"header": True, "multiLine": True, "escape": '"', "sep": sep, "encoding": "UTF-8"}
-    df = spark.read.options(**options).csv(path)
-    return df.select("*", F.col("_metadata.file_path").alias("file"))
+    return _placed(spark.read.options(**options).csv(path))
+
+
+#: The place of a row in its file, in columns that with_seq takes away again.
+_BLOCK, _ROW = "_file_block", "_file_row"
+
+
+def _placed(df: DataFrame) -> DataFrame:
+    """Adds file and the row's place: a file's split is read by one task in order, so ids that grow within a task
+    order the rows of a split, whichever task reads it."""
+    return df.select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias(_BLOCK), F.monotonically_increasing_id().alias(_ROW))
 
 
 def with_seq(df: DataFrame, *order: str) -> DataFrame:
-    """Adds seq, the input ordinal by file and the order columns. Ordinals count up within a file's group,
-    so that no task holds all rows; they order rows as a whole and need not be dense."""
+    """Adds seq, the input ordinal by file and place in it, or by the order columns. Ordinals count up within a
+    file's group, so that no task holds all rows; they order rows as a whole and need not be dense."""
     from pyspark.sql import Window
 
-    keys = [F.col(c) for c in order] or [F.struct("*")]
+    keys = [F.col(c) for c in order] or [F.col(_BLOCK), F.col(_ROW)]
     place = F.row_number().over(Window.partitionBy("file").orderBy(*keys))
     files = df.select("file").distinct()
     files = files.withColumn("_f", F.row_number().over(Window.orderBy("file")))
-    return df.withColumn("_n", place).join(F.broadcast(files), "file").withColumn("seq", F.col("_f").cast("long") * F.lit(1 << 32) + F.col("_n")).drop("_f", "_n")
+    return df.withColumn("_n", place).join(F.broadcast(files), "file").withColumn("seq", F.col("_f").cast("long") * F.lit(1 << 32) + F.col("_n")).drop("_f", "_n", _BLOCK, _ROW)
 
 
 def read_json_document(spark: SparkSession, path, schema: str | None = None) -> DataFrame:
@@ -46,12 +55,12 @@ def read_feature_lines(spark: SparkSession, path, schema: str) -> DataFrame:
 
 
 def read_json_lines(spark: SparkSession, path, schema: str | None = None) -> DataFrame:
-    return (spark.read.schema(schema) if schema else spark.read).json(path)
+    return _placed((spark.read.schema(schema) if schema else spark.read).json(path))
 
 
 def read_documents(spark: SparkSession, path) -> DataFrame:
     """(file, text): whole files."""
-    return spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("text"))
+    return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("text"))
 
 
 def file_stem(c="file"):

@@ -189,7 +189,7 @@ def nz_mpi(spark: SparkSession, path, snapshot: str = "") -> DataFrame:
     d = d.withColumn("_first", F.row_number().over(Window.partitionBy(own).orderBy("seq"))).where("_first = 1")
     low = lambda *c: F.lower(F.concat_ws(" ", *[_cell(d, h(x)) for x in c]))
     process, programme, material = low("Primary", "Secondary Process"), low("Programme Type"), low("Product/Material")
-    eggs = F.when((material + programme).isNotNull() & F.concat(material, programme, process).rlike("layer|rearer"), F.array(F.lit("farm_eggs"))).otherwise(_no_list())
+    eggs = F.when(F.concat(material, programme, process).rlike("layer|rearer"), F.array(F.lit("farm_eggs"))).otherwise(_no_list())
     acts = F.array_distinct(F.concat(contained(process, V.NZ_PROCESS), contained(programme, V.NZ_PROGRAMME), eggs))
     return canonical(
         d, source_id=F.lit("nz_mpi"), source_snapshot=F.lit(snapshot), source_row_id=_row_id(F.col("_num")), name=F.col("_name"), country_iso3=F.lit("NZL"), national_id=F.col("_num"),
@@ -263,7 +263,7 @@ def br_trase(spark: SparkSession, path, snapshot: str = "", mask: bool = True) -
 
 def cifer(spark: SparkSession, path, snapshot: str = "") -> DataFrame:
     """Customs registrations as JSON lines."""
-    d = with_seq(read_json_lines(spark, path).withColumn("file", F.lit("")), "file")
+    d = with_seq(read_json_lines(spark, path))
     has = lambda c: F.col(c) if c in d.columns else _null()
     kinds = F.lower(F.coalesce(F.to_json(F.col("productCategory")) if "productCategory" in d.columns else _null(), F.lit("")))
     given = F.coalesce(F.col("_species"), _no_list()) if "_species" in d.columns else _no_list()
