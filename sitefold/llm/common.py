@@ -17,12 +17,12 @@ def words(text: Column) -> Column:
     return F.when(bare.isNull() | (bare == ""), F.array().cast("array<string>")).otherwise(F.split(bare, SPACE_RE))
 
 
-def row_key(key: Column, text: Column) -> Column:
-    """A key that equal rows share and different rows do not, even under a null or repeated id.
+def row_key(key: str, text: str) -> Column:
+    """A key of 16 bytes that rows equal in id and text share and others do not, under null or repeated ids as well.
 
-    Operators that must find a row again join on it instead of on the id alone.
+    Operators that must find a row again join on it.
     """
-    return F.concat_ws(":", F.coalesce(key.cast("string"), F.lit("null")), F.hex(F.xxhash64(text)), F.hex(F.hash(text)))
+    return F.unhex(F.md5(F.concat_ws(":", F.coalesce(F.col(key).cast("string"), F.lit("null")), F.col(text))))
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,16 +19,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from sitefold.llm.common import documents, materialise, words
+from sitefold.llm.common import documents, materialise, row_key, words
 
 #: Words that a stretch of repeated chunks has at least to be removed, and lines of a chunk on average.
 MIN_WORDS, CHUNK_LINES = 50, 8
 
 
-def _key(key: str, text: str) -> Column:
-    return F.unhex(F.md5(F.concat_ws(":", F.coalesce(F.col(key).cast("string"), F.lit("null")), F.col(text))))
-
-
 def _numbered(text: Column) -> Column:
     """Lines with a word, each with its place among all lines."""
     every = F.transform(F.split(text, "\n"), lambda x, i: F.struct(i.alias("i"), x.alias("line")))
@@ -37,7 +33,7 @@ def _numbered(text: Column) -> Column:
 
 def chunks(docs: DataFrame, key: str = "doc_id", text: str = "text", chunk_lines: int = CHUNK_LINES) -> DataFrame:
     """(k, ch, j0, j1): chunks of repeated lines whose hash occurs more than once. j counts lines with a word."""
-    lines = docs.where(F.col(text).isNotNull()).select(_key(key, text).alias("k"), F.posexplode(_numbered(F.col(text))).alias("j", "x"))
+    lines = docs.where(F.col(text).isNotNull()).select(row_key(key, text).alias("k"), F.posexplode(_numbered(F.col(text))).alias("j", "x"))
     lines = lines.select("k", "j", F.xxhash64("x.line").alias("h"))
     counts = lines.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     here = Window.partitionBy("k").orderBy("j")
@@ -57,7 +53,7 @@ def chunks(docs: DataFrame, key: str = "doc_id", text: str = "text", chunk_lines
 def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, chunk_lines: int = CHUNK_LINES) -> DataFrame:
     """(k, cut, n_words): for each document with removed lines, their places among all lines."""
     per_doc = chunks(docs, key, text, chunk_lines).groupBy("k").agg(F.collect_list(F.struct("j0", "j1", "ch")).alias("_cs"))
-    held = docs.where(F.col(text).isNotNull()).select(_key(key, text).alias("k"), F.col(key).alias("_id"), F.col(text).alias("_text"))
+    held = docs.where(F.col(text).isNotNull()).select(row_key(key, text).alias("k"), F.col(key).alias("_id"), F.col(text).alias("_text"))
     held = held.join(per_doc, "k").dropDuplicates(["k"]).withColumn("_lines", _numbered(F.col("_text")))
     held = held.select("k", "_id", "_lines", F.explode("_cs").alias("c"))
     part = F.slice(F.col("_lines"), F.col("c.j0") + 1, F.col("c.j1") - F.col("c.j0") + 1)
@@ -82,7 +78,7 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_wo
     """The input with text cut, and n_lines_removed, n_words_removed and emptied (nothing but blank is left)."""
     gone = repeats(docs, key, text, min_words, chunk_lines)
     own = [c for c in docs.columns if c not in ("n_lines_removed", "n_words_removed", "emptied")]
-    rows = docs.select(*own).withColumn("_k", _key(key, text)).join(gone, F.col("_k") == F.col("k"), "left")
+    rows = docs.select(*own).withColumn("_k", row_key(key, text)).join(gone, F.col("_k") == F.col("k"), "left")
     left = F.filter(F.split(F.col(text), "\n"), lambda x, i: ~F.array_contains("cut", i))
     rows = rows.withColumn(text, F.when(F.col("cut").isNull(), F.col(text)).otherwise(F.array_join(left, "\n")))
     return rows.select(

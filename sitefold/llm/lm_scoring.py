@@ -28,7 +28,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sitefold.llm.common import documents, materialise
+from sitefold.llm.common import documents, materialise, row_key
 
 MOST_COMMON = 1 << 17
 #: Distinct words that a task holds while counting.
@@ -271,10 +271,6 @@ def most_common_words(table: DataFrame, most: int) -> DataFrame:
     return table.where(F.lit(False) if least is None else F.col("c") >= least)
 
 
-def _key(key: str, text: str) -> Column:
-    return F.unhex(F.md5(F.concat_ws(":", F.coalesce(F.col(key).cast("string"), F.lit("null")), F.col(text))))
-
-
 def score(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", rounds: int = ROUNDS, most_common: int = MOST_COMMON) -> DataFrame:
     """(key, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row."""
     spark = docs.sparkSession
@@ -313,7 +309,7 @@ def score(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", r
                     cols = [[] for _ in kinds]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=names)
 
-    rows = docs.select(_key(key, text).alias("k"), F.col(text)).mapInArrow(run, "k binary, n_tokens bigint, n_known bigint, base double, score double, word binary, times bigint")
+    rows = docs.select(row_key(key, text).alias("k"), F.col(text)).mapInArrow(run, "k binary, n_tokens bigint, n_known bigint, base double, score double, word binary, times bigint")
     rows = rows.select("k", "n_tokens", F.col("n_known").alias("_n"), F.col("base").alias("_b"), F.col("score").alias("_s"), "word", "times")
     joined = rows.join(table, "word", "left")  # a document's own row has no word and joins nothing
     times = F.col("times")
@@ -324,7 +320,7 @@ def score(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", r
     # Rows equal in id and text come as often here as in the input; their sums are divided again.
     sums = part.groupBy("k").agg(F.sum("n_tokens").alias("n_tokens"), F.sum("n_known").alias("n_known"), F.sum("base").alias("base_score"), F.sum("score").alias("score"), F.sum((F.col("n_tokens") > 0).cast("long")).alias("_rows"))
     sums = sums.select("k", (F.col("n_tokens") / F.col("_rows")).cast("long").alias("n_tokens"), (F.col("n_known") / F.col("_rows")).cast("long").alias("n_known"), (F.col("base_score") / F.col("_rows")).alias("base_score"), (F.col("score") / F.col("_rows")).alias("score"))
-    out = docs.select(F.col(key), _key(key, text).alias("k"), held_out(key).alias("held_out")).join(sums, "k")
+    out = docs.select(F.col(key), row_key(key, text).alias("k"), held_out(key).alias("held_out")).join(sums, "k")
     return out.select(key, "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
 
 

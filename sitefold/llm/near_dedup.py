@@ -31,13 +31,13 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sitefold.llm.common import documents, materialise
+from sitefold.llm.common import documents, materialise, row_key
 from sitefold.operators.components import components
 
 #: Values in a signature, chunks, values left out of a chunk's key, bits of a value.
 SIGNATURE, CHUNKS, ERRORS, BITS = 32, 8, 1, 16
 #: Classes in a block, and words whose hashes a worker keeps.
-BLOCK, MOST_WORDS = 256, 500_000
+BLOCK, MOST_WORDS = 1024, 500_000
 
 _U = np.uint64
 
@@ -90,11 +90,6 @@ def linked(a: np.ndarray | frozenset, b: np.ndarray | frozenset, percent: int) -
     return 100 * both >= percent * (x + y - both)
 
 
-def _key(key: str, text: str) -> Column:
-    """Finds a row again."""
-    return F.unhex(F.md5(F.concat_ws(":", F.coalesce(F.col(key).cast("string"), F.lit("null")), F.col(text))))
-
-
 def signatures(docs: DataFrame, key: str, text: str, n: int) -> DataFrame:
     """(doc, k, n_shingles, class, sig): class is a digest of the set, null for the empty one."""
 
@@ -109,15 +104,27 @@ def signatures(docs: DataFrame, key: str, text: str, n: int) -> DataFrame:
             cols = [b.column(0), b.column(1), pa.array(size, pa.int64()), pa.array(digest, pa.binary()), pa.array(sig, pa.list_(pa.int32()))]
             yield pa.RecordBatch.from_arrays(cols, names=["doc", "k", "n_shingles", "class", "sig"])
 
-    rows = docs.select(F.col(key).alias("doc"), _key(key, text).alias("k"), F.col(text).alias("text"))
+    rows = docs.select(F.col(key).alias("doc"), row_key(key, text).alias("k"), F.col(text).alias("text"))
     return rows.mapInArrow(run, f"doc {dict(docs.dtypes)[key]}, k binary, n_shingles bigint, class binary, sig array<int>")
 
 
+#: Places of a signature that a key holds: each chunk, in each way to leave out ERRORS of its values.
+KEYS = [tuple(c * (SIGNATURE // CHUNKS) + p for p in way) for c in range(CHUNKS) for way in combinations(range(SIGNATURE // CHUNKS), SIGNATURE // CHUNKS - ERRORS)]
+
+
 def index_keys(sig: Column) -> Column:
-    """The keys of all chunks and all ways to leave out ERRORS of their values."""
-    size = SIGNATURE // CHUNKS
-    ways = list(combinations(range(size), size - ERRORS))
-    return F.array(*[F.xxhash64(F.lit(c * len(ways) + w), *[F.get(sig, F.lit(c * size + p)) for p in way]) for c in range(CHUNKS) for w, way in enumerate(ways)])
+    return F.array(*[F.xxhash64(F.lit(q), *[F.get(sig, F.lit(p)) for p in key]) for q, key in enumerate(KEYS)])
+
+
+def shared_before(sigs: np.ndarray, q: int) -> np.ndarray:
+    """For all pairs of signatures (rows), whether they share a key before key q, whose bucket then compares them."""
+    out = np.zeros((len(sigs), len(sigs)), bool)
+    for key in KEYS[:q]:
+        same = np.ones_like(out)
+        for p in key:
+            same &= sigs[:, p, None] == sigs[None, :, p]
+        out |= same
+    return out
 
 
 def _confirm(pairs: DataFrame, n: int, percent: int) -> DataFrame:
@@ -139,14 +146,21 @@ def _confirm(pairs: DataFrame, n: int, percent: int) -> DataFrame:
 
 
 #: Shingles of one pair of blocks up to which they are held as sets.
-MOST_IN_SETS = 4_000_000
+MOST_IN_SETS = 2_000_000
+
+
+#: Classes of a pair of blocks from which pairs are first held against the keys before; fewer are just compared.
+MANY = 16
 
 
 def _compare_blocks(rows: DataFrame, n: int, percent: int) -> DataFrame:
-    """rows (bucket, bi, bj, block, class, component, text), each pair of blocks together, to new links."""
+    """rows (bucket, bi, bj, q, block, class, component, text, sig), each pair of blocks together, to new links.
+
+    q is the bucket's key. In a large group a pair is compared at the first key that its ends share only.
+    """
 
     def links(group: list[tuple]) -> list[tuple[bytes, bytes]]:
-        sets = [shingles(g[3], n) for g in group]
+        sets = [shingles(g[4], n) for g in group]
         if sum(map(len, sets)) <= MOST_IN_SETS:
             sets = [frozenset(x.tolist()) for x in sets]
         up: dict[bytes, bytes] = {}
@@ -157,14 +171,18 @@ def _compare_blocks(rows: DataFrame, n: int, percent: int) -> DataFrame:
             return x
 
         out = []
-        apart = len({g[0] for g in group}) > 1
-        for i, j in combinations(range(len(group)), 2):
-            if apart and group[i][0] == group[j][0]:
+        apart = len({g[1] for g in group}) > 1
+        pairs = combinations(range(len(group)), 2)
+        if len(group) > MANY:
+            todo = ~shared_before(np.array([g[5] for g in group], np.int32), group[0][0])
+            pairs = np.argwhere(np.triu(todo, 1)).tolist()
+        for i, j in pairs:
+            if apart and group[i][1] == group[j][1]:
                 continue
-            a, b = find(group[i][2]), find(group[j][2])
+            a, b = find(group[i][3]), find(group[j][3])
             if a != b and linked(sets[i], sets[j], percent):
                 up[max(a, b)] = min(a, b)
-                out.append((group[i][1], group[j][1]))
+                out.append((group[i][2], group[j][2]))
         return out
 
     def batch(found: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
@@ -180,21 +198,22 @@ def _compare_blocks(rows: DataFrame, n: int, percent: int) -> DataFrame:
                 group.append(tuple(rest))
         yield batch(links(group))
 
-    rows = rows.select("bucket", "bi", "bj", "block", "class", "component", "text").repartition("bucket", "bi", "bj").sortWithinPartitions("bucket", "bi", "bj")
+    rows = rows.select("bucket", "bi", "bj", "q", "block", "class", "component", "text", "sig").repartition("bucket", "bi", "bj").sortWithinPartitions("bucket", "bi", "bj")
     return rows.mapInArrow(run, "src binary, dst binary")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle_words: int = 5, percent: int = 80, block: int = BLOCK) -> DataFrame:
-    """(doc, k, n_shingles, component): every row with the smallest id of its component."""
+    """(doc, k, n_shingles, component, group): every row with the smallest id of its component. group is the
+    component's own key, null for an empty set; only repeated ids make it differ from component."""
     rows = materialise(signatures(docs, key, text, shingle_words), "signatures")
     classes = rows.where(F.col("class").isNotNull()).groupBy("class").agg(F.min("doc").alias("least"), F.min("k").alias("k"), F.first("sig").alias("sig"))
-    keys = classes.select("class", F.explode(index_keys(F.col("sig"))).alias("bucket"))
+    keys = classes.select("class", F.posexplode(index_keys(F.col("sig"))).alias("q", "bucket"))
     buckets = keys.groupBy("bucket").agg(F.min("class").alias("first"), F.count(F.lit(1)).alias("size")).where("size > 1")
     members = materialise(keys.join(buckets, "bucket"), "buckets")
 
-    wanted = classes.select("class", "k").join(members.select("class").distinct(), "class", "left_semi")
-    found = docs.select(_key(key, text).alias("k"), F.col(text).alias("text")).join(wanted, "k")
-    texts = materialise(found.dropDuplicates(["k"]).select("class", "text"), "texts")
+    wanted = classes.select("class", "k", "sig").join(members.select("class").distinct(), "class", "left_semi")
+    found = docs.select(row_key(key, text).alias("k"), F.col(text).alias("text")).join(wanted, "k")
+    texts = materialise(found.dropDuplicates(["k"]).select("class", "text", "sig"), "texts")
 
     pairs = members.where(F.col("class") != F.col("first")).select(F.col("class").alias("src"), F.col("first").alias("dst")).distinct()
     pairs = pairs.join(texts.select(F.col("class").alias("src"), F.col("text").alias("a")), "src")
@@ -202,28 +221,28 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     star = materialise(_confirm(pairs, shingle_words, percent), "star-links")
     joined = materialise(components(star).select(F.col("node").alias("class"), "component"), "star-components")
 
-    now = members.where("size > 2").join(joined, "class", "left").select("bucket", "class", "size", F.coalesce("component", "class").alias("component"))
-    open_ = now.groupBy("bucket", "size").agg(F.min("component").alias("_a"), F.max("component").alias("_b"), F.sum(F.xxhash64("class").cast("decimal(38,0)")).alias("_all"))
-    open_ = open_.where("_a <> _b").groupBy("size", "_all").agg(F.min("bucket").alias("bucket")).select("bucket")  # buckets of the same classes count once
+    now = members.where("size > 2").join(joined, "class", "left").select("bucket", "q", "class", "size", F.coalesce("component", "class").alias("component"))
+    open_ = now.groupBy("bucket", "q", "size").agg(F.min("component").alias("_a"), F.max("component").alias("_b"), F.sum(F.xxhash64("class").cast("decimal(38,0)")).alias("_all"))
+    open_ = open_.where("_a <> _b").groupBy("size", "_all").agg(F.min(F.struct("q", "bucket")).alias("_b"))
+    open_ = open_.select("_b.bucket")  # buckets of the same classes count once, at their first key
     dealt = now.join(open_, "bucket", "left_semi").withColumn("_n", F.ceil(F.col("size") / block).cast("int"))
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64("class"), F.col("_n")).cast("int")).withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
-    dealt = dealt.select("bucket", F.least("block", "_o").alias("bi"), F.greatest("block", "_o").alias("bj"), "block", "class", "component")
+    dealt = dealt.select("bucket", "q", F.least("block", "_o").alias("bi"), F.greatest("block", "_o").alias("bj"), "block", "class", "component")
     more = materialise(_compare_blocks(dealt.join(texts, "class"), shingle_words, percent), "block-links")
 
     final = materialise(components(star.unionAll(more)).select(F.col("node").alias("class"), F.col("component").alias("_c")), "components")
     named = classes.select("class", "least").join(final, "class", "left").withColumn("_c", F.coalesce("_c", "class"))
     least = named.groupBy("_c").agg(F.min("least").alias("component"))
-    named = named.join(least, "_c").select("class", "component")
-    return rows.drop("sig").join(named, "class", "left").select("doc", "k", "n_shingles", F.coalesce("component", "doc").alias("component"))
+    named = named.join(least, "_c").select("class", "component", F.col("_c").alias("group"))
+    return rows.drop("sig").join(named, "class", "left").select("doc", "k", "n_shingles", F.coalesce("component", "doc").alias("component"), "group")
 
 
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", **how) -> DataFrame:
     """One row of each component: the one with its smallest id. Documents with an empty set all stay."""
     found = near_duplicates(docs, key, text, **how)
     kept = found.where((F.col("doc") == F.col("component")) | F.col("component").isNull() | (F.col("n_shingles") == 0))
-    # Rows of different texts may share the smallest id of a component.
-    kept = kept.groupBy(F.when(F.col("n_shingles") == 0, F.col("k")).otherwise(F.lit(None)).alias("_alone"), "component").agg(F.min("k").alias("_k"))
-    return docs.withColumn("_k", _key(key, text)).join(kept.select("_k").distinct(), "_k").dropDuplicates(["_k"]).select(*docs.columns)
+    kept = kept.groupBy(F.coalesce("group", "k")).agg(F.min("k").alias("_k"))
+    return docs.withColumn("_k", row_key(key, text)).join(kept.select("_k").distinct(), "_k").dropDuplicates(["_k"]).select(*docs.columns)
 
 
 def op6(spark, sf_dir: str) -> DataFrame:
