@@ -12,8 +12,7 @@ shuffle. Hits are verified where they are found, from token hashes that are at h
 and a passage that very many documents share gathers nowhere.
 
 Tokens are runs of letters and digits, lower-cased. Null and empty texts have no tokens and are clean;
-items shorter than the shortest window are found whole, by the hash of all their tokens at a window of
-their own length. Repeated rows are judged alike. Extra columns are kept; clashing ones are replaced.
+items shorter than a window are found where all their tokens stand in a row. Repeated rows are judged alike. Extra columns are kept; clashing ones are replaced.
 """
 
 from __future__ import annotations
@@ -30,53 +29,55 @@ AROUND, MIN_SHARE, MIN_OVERLAP = 6, 0.6, 10
 MOST_BROADCAST = 8 << 20
 
 
-def tokens(text: Column) -> Column:
-    """Hashes of the tokens."""
-    bare = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), "[^\\p{L}\\p{N}]+", " ")
-    bare = F.btrim(bare)
-    return F.when(bare == "", F.array().cast("array<bigint>")).otherwise(F.transform(F.split(bare, " "), lambda w: F.xxhash64(w)))
-
-
-def _window(i: Column, mask: str, k: int) -> Column:
-    return F.xxhash64(F.lit(k), *[F.get("t", i + F.lit(p)) for p, c in enumerate(mask) if c == "1"])
+def with_tokens(df: DataFrame, text: str) -> DataFrame:
+    """Adds t, the hashes of the tokens; named in two steps so that the text is folded once."""
+    df = df.withColumn("_bare", F.btrim(F.regexp_replace(F.lower(F.coalesce(F.col(text), F.lit(""))), "[^\\p{L}\\p{N}]+", " ")))
+    none = F.array().cast("array<bigint>")
+    return df.withColumn("t", F.when(F.col("_bare") == "", none).otherwise(F.transform(F.split("_bare", " "), lambda w: F.xxhash64(w)))).drop("_bare")
 
 
 def _seeds(rows: DataFrame, masks: tuple[str, ...], keep: list[str]) -> DataFrame:
-    """rows with tokens t, to one row for each window and mask: keep, t, at, seed. Computed after the
-    positions are dealt out, so that it stays inside generated code."""
+    """rows with tokens t, to one row for each window and mask: keep, t, at, seed.
+
+    Seeds are computed after the positions are dealt out, inside generated code. The outer form of
+    explode keeps the optimiser from testing the tokens' number below the place where they are made.
+    """
     span = max(map(len, masks))
-    rows = rows.where(F.size("t") >= span).select(*keep, "t", F.explode(F.sequence(F.lit(0), F.size("t") - span)).alias("at"))
-    return rows.select(*keep, "t", "at", F.explode(F.array(*[_window(F.col("at"), m, k) for k, m in enumerate(masks)])).alias("seed"))
+    places = F.when(F.size("t") >= span, F.sequence(F.lit(0), F.size("t") - span))
+    seed = lambda k, m: F.xxhash64(F.lit(k), *[F.get("t", F.col("at") + F.lit(p)) for p, c in enumerate(m) if c == "1"])
+    rows = rows.select(*keep, "t", F.explode_outer(places).alias("at"))
+    return rows.select(*keep, "t", "at", F.explode(F.array(*[seed(k, m) for k, m in enumerate(masks)])).alias("seed"))
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", masks=MASKS, min_share: float = MIN_SHARE, min_overlap: int = MIN_OVERLAP) -> DataFrame:
-    """(key, k, item, n_equal, n_overlap): verified overlaps, the best of each document and item."""
+    """(key, k, item, n_equal): verified overlaps, the fullest of each document and item."""
     span = max(map(len, masks))
-    items = benchmark.select(F.col(item).alias("item"), tokens(F.col(item_text)).alias("t")).where("size(t) > 0")
+    items = with_tokens(benchmark.select(F.col(item).alias("item"), F.col(item_text).alias("_text")), "_text").where("size(t) > 0").select("item", "t")
     bound = benchmark.agg(F.sum(F.octet_length(item_text))).first()[0] or 0
-    dealt = F.broadcast if bound <= MOST_BROADCAST else (lambda df: df)
-    theirs = _seeds(items, masks, ["item"]).select("item", F.col("t").alias("u"), F.col("at").alias("item_at"), "seed").dropDuplicates(["item", "item_at", "seed"])
-    rows = docs.select(F.col(key), F.xxhash64(F.col(text)).alias("k"), tokens(F.col(text)).alias("t"))
-    hits = _seeds(rows, masks, [key, "k"]).join(dealt(theirs), "seed")
-    hits = hits.withColumn("off", F.col("at") - F.col("item_at"))  # the item's first token in the document
-    found = _verified(hits, key, span, min_share, min_overlap)
-    small = items.where(F.size("t") < span)
-    lengths = [r[0] for r in small.select(F.size("t")).distinct().collect()]
-    for n in lengths:  # fewer than the span
-        mine = rows.where(F.size("t") >= n).select(key, "k", "t", F.explode(F.sequence(F.lit(0), F.size("t") - n)).alias("off"))
-        mine = mine.withColumn("seed", F.xxhash64(*[F.get("t", F.col("off") + F.lit(p)) for p in range(n)]))
-        theirs = small.where(F.size("t") == n).select("item", F.col("t").alias("u"), F.xxhash64(*[F.get("t", F.lit(p)) for p in range(n)]).alias("seed"))
-        found = found.unionByName(_verified(mine.join(dealt(theirs), "seed").withColumn("at", F.col("off")), key, n, 1.0, n))
-    return found.groupBy(key, "k", "item").agg(F.max(F.struct("n_equal", "n_overlap")).alias("b")).select(key, "k", "item", "b.*")
-
-
-def _verified(hits: DataFrame, key: str, span: int, min_share: float, min_overlap: int) -> DataFrame:
-    """The hits around which enough tokens are equal."""
-    low = F.greatest(-F.col("off"), F.lit(0), F.col("at") - F.col("off") - AROUND)
-    high = F.least(F.size("t") - F.col("off"), F.size("u"), F.col("at") - F.col("off") + span + AROUND)
-    same = F.filter(F.sequence(low, high - 1), lambda p: F.get("t", F.col("off") + p) == F.get("u", p))
-    hits = hits.withColumns({"n_equal": F.size(same), "n_overlap": high - low})
-    return hits.where((F.col("n_overlap") >= min_overlap) & (F.col("n_equal") >= min_share * F.col("n_overlap"))).select(key, "k", "item", "n_equal", "n_overlap")
+    small = bound <= MOST_BROADCAST
+    dealt = F.broadcast if small else (lambda df: df)
+    rows = with_tokens(docs.select(F.col(key), F.col(text).alias("_text")), "_text").select(key, F.xxhash64("_text").alias("k"), "t")
+
+    def found(mine: DataFrame, theirs: DataFrame, size: int, share: float, least: int) -> DataFrame:
+        if not small:  # what is shuffled carries the tokens around the window alone
+            near = F.least("at", F.lit(AROUND))
+            mine = mine.select(key, "k", "seed", F.slice("t", F.col("at") - near + 1, near + size + AROUND).alias("t"), near.alias("at"))
+        hits = mine.join(dealt(theirs.withColumnsRenamed({"t": "u", "at": "u_at"})), "seed")
+        # A hit leaves the generated join with its surroundings only; the generator of one row keeps the
+        # comparison, which needs a lambda, from being pushed into the join and out of generated code.
+        near = F.least("at", "u_at", F.lit(AROUND))
+        around = lambda tokens, at: F.slice(F.col(tokens), F.col(at) - near + 1, near + size + AROUND)
+        hits = hits.select(key, "k", "item", F.inline(F.array(F.struct(around("t", "at").alias("mine"), around("u", "u_at").alias("theirs")))))
+        n_equal = F.size(F.filter(F.zip_with("mine", "theirs", lambda x, y: x == y), lambda x: x))
+        hits = hits.select(key, "k", "item", n_equal.alias("n_equal"), F.least(F.size("mine"), F.size("theirs")).alias("n_overlap"))
+        return hits.where((F.col("n_overlap") >= least) & (F.col("n_equal") >= share * F.col("n_overlap"))).drop("n_overlap")
+
+    out = found(_seeds(rows, masks, [key, "k"]), _seeds(items.where(F.size("t") >= span), masks, ["item"]).where("at IS NOT NULL"), span, min_share, min_overlap)
+    for n in range(1, span):  # shorter items, whole
+        theirs = items.where(F.size("t") == n)
+        if not theirs.isEmpty():
+            out = out.unionByName(found(_seeds(rows, ("1" * n,), [key, "k"]), _seeds(theirs, ("1" * n,), ["item"]), n, n / (n + 2 * AROUND), n))
+    return out.groupBy(key, "k", "item").agg(F.max("n_equal").alias("n_equal"))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", **how) -> DataFrame:
