@@ -85,6 +85,17 @@ def c5(spark, d):
     return a.join(b, "brand").where("a < b AND b - a < 200").withColumn("s", text.token_set_ratio(F.col("aw"), F.col("bw"))).where("s >= 0.4").select("a", "b", F.round("s", 6).alias("score"))
 
 
+@query("c5_jaccard_all_pairs", f"WITH t AS (SELECT p_partkey, p_brand, {TOKENS.format('p_name')} w FROM part) SELECT a.p_partkey a, b.p_partkey b, round({JACCARD.format('a.w', 'b.w')}, 6) score FROM t a JOIN t b ON a.p_brand = b.p_brand AND a.p_partkey < b.p_partkey WHERE {JACCARD.format('a.w', 'b.w')} >= 0.4")
+def c5_all(spark, d):
+    """All pairs of a brand: each two word sets that share a word are compared once, then dealt to their parts."""
+    t = table(spark, d, "part").select(F.col("p_partkey").alias("k"), F.col("p_brand").alias("brand"), F.array_sort(text.name_tokens(F.col("p_name"))).alias("w"))
+    sets = t.select("brand", "w").distinct().withColumn("token", F.explode("w"))
+    both = sets.toDF("brand", "aw", "token").join(sets.toDF("brand", "bw", "token"), ["brand", "token"]).where("aw <= bw").select("brand", "aw", "bw").distinct()
+    alike = both.withColumn("s", text.token_set_ratio(F.col("aw"), F.col("bw"))).where("s >= 0.4")
+    pairs = alike.join(t.toDF("x", "brand", "aw"), ["brand", "aw"]).join(t.toDF("y", "brand", "bw"), ["brand", "bw"]).where("x < y OR x > y AND aw <> bw")
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.round("s", 6).alias("score"))
+
+
 @query("c6_norm_id", f"SELECT s_suppkey, 'X:' || {ID.format('v')} AS id FROM (SELECT s_suppkey, CASE s_suppkey % 4 WHEN 0 THEN 'Est. No ' || s_name WHEN 1 THEN s_suppkey::VARCHAR || ' / 31' WHEN 2 THEN 'M-' || s_suppkey::VARCHAR ELSE '#/ ' END v FROM supplier)")
 def c6(spark, d):
     k = F.col("s_suppkey")
