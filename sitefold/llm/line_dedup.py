@@ -1,9 +1,10 @@
 """Line deduplication by content-defined chunks of lines.
 
 Lines with a word are hashed; those whose hash occurs more than once in the corpus form runs, and runs
-are cut into chunks where a rolling hash over the last line hashes says so or where the lines' counts
-in the corpus change. Both depend on content alone, so a passage is cut alike wherever it stands. Of
-chunks with equal hash the first occurrence, by smallest doc_id (null last), text key and line, is the
+are cut wherever two neighbouring lines are not neighbours in every place where either of them stands.
+What is left between two such cuts stands whole wherever any of its lines does; it is cut further where
+a rolling hash over its own last line hashes says so. So a passage is cut alike wherever it stands,
+whatever surrounds it. Of chunks with equal hash the first occurrence, by smallest doc_id (null last), text key and line, is the
 keeper; an occurrence whose bytes equal the keeper's is a repeat. Adjacent repeated chunks of MIN_WORDS
 words or more together are removed, but for the keepers.
 
@@ -33,16 +34,19 @@ def _numbered(text: Column) -> Column:
 
 def chunks(docs: DataFrame, key: str = "doc_id", text: str = "text", chunk_lines: int = CHUNK_LINES) -> DataFrame:
     """(k, ch, j0, j1): chunks of repeated lines whose hash occurs more than once. j counts lines with a word."""
-    lines = docs.where(F.col(text).isNotNull()).select(row_key(key, text).alias("k"), F.posexplode(_numbered(F.col(text))).alias("j", "x"))
-    lines = lines.select("k", "j", F.xxhash64("x.line").alias("h"))
-    counts = lines.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    hashes = F.transform(_numbered(F.col(text)), lambda x: F.xxhash64(x["line"]))
+    lines = docs.where(F.col(text).isNotNull()).select(row_key(key, text).alias("k"), hashes.alias("_hs"))
+    beside = F.transform("_hs", lambda h, j: F.struct(h.alias("h"), F.coalesce(F.get("_hs", j - 1), F.lit(0)).alias("p"), F.coalesce(F.get("_hs", j + 1), F.lit(0)).alias("q")))
+    lines = lines.select("k", F.posexplode(beside).alias("j", "x")).select("k", "j", "x.*")
+    counts = lines.groupBy("h").agg(F.count(F.lit(1)).alias("c"), *[f(x).alias(f"{f.__name__}_{x}") for x in "pq" for f in (F.min, F.max)]).where("c > 1")
+    counts = counts.select("h", F.expr("min_p = max_p").alias("one_p"), F.expr("min_q = max_q").alias("one_q"))
     here = Window.partitionBy("k").orderBy("j")
     once = F.row_number().over(Window.partitionBy("k", "j").orderBy("h"))  # rows equal in id and text are one document
-    rows = lines.join(counts, "h").repartition("k").withColumn("_once", once).where("_once = 1").select(
-        "k", "j", "h", "c", F.lag("j").over(here).alias("_j"), F.lag("c").over(here).alias("_c"), F.lag("h").over(here).alias("_h"), F.lag("h", 2).over(here).alias("_g")
-    )
-    rolled = F.pmod(F.xxhash64("_g", "_h"), F.lit(chunk_lines)) == 0
-    starts = F.col("_j").isNull() | (F.col("_j") + 1 != F.col("j")) | (F.col("_c") != F.col("c")) | rolled
+    rows = lines.select("k", "j", "h").join(counts, "h").repartition("k").withColumn("_once", once).where("_once = 1")
+    follows = (F.lag("j").over(here) + 1 == F.col("j")) & F.lag("one_q").over(here) & F.col("one_p")
+    rows = rows.withColumn("_edge", ~F.coalesce(follows, F.lit(False)))
+    rows = rows.select("k", "j", "h", "_edge", F.lag("h").over(here).alias("_h"), F.when(~F.lag("_edge").over(here), F.lag("h", 2).over(here)).alias("_g"))
+    starts = F.col("_edge") | (F.pmod(F.xxhash64("_g", "_h"), F.lit(chunk_lines)) == 0)
     rows = rows.withColumn("n", F.sum(starts.cast("int")).over(here))
     found = rows.groupBy("k", "n").agg(F.min("j").alias("j0"), F.max("j").alias("j1"), F.array_sort(F.collect_list(F.struct("j", "h"))).alias("_hs"))
     found = found.select("k", "j0", "j1", F.xxhash64(F.transform("_hs", lambda x: x["h"])).alias("ch"))
