@@ -182,6 +182,14 @@ def j5(spark, d):
     return resolve.name_pairs(r.withColumn("nn", text.norm_name(F.concat_ws(" ", "c_mktsegment", (F.floor(F.col("seq") / 36) % 4).cast("string"), F.lit("Ltd"))))).select("a_key", "b_key")
 
 
+@query("j5_name_review_all", f"WITH r AS (SELECT c_custkey k, {NN.format('mkt')} nn FROM (SELECT c_custkey, c_mktsegment || ' ' || (c_custkey // 30)::VARCHAR || ' Ltd' mkt FROM customer)), g AS (SELECT nn FROM r GROUP BY ALL HAVING count(*) BETWEEN 2 AND 12) SELECT a.k::VARCHAR a_key, b.k::VARCHAR b_key FROM r a JOIN r b ON a.nn = b.nn AND a.k < b.k JOIN g ON g.nn = a.nn")
+def j5_all(spark, d):
+    """No customer has a postcode or a position, and the names' number grows with the table."""
+    r = records(spark, d).withColumns({"country": F.lit("A"), "ak": F.lit(""), "lat": F.lit(None).cast("double"), "lon": F.lit(None).cast("double")})
+    r = r.join(table(spark, d, "customer").select(F.col("c_custkey").alias("seq"), "c_mktsegment"), "seq")
+    return resolve.name_pairs(r.withColumn("nn", text.norm_name(F.concat_ws(" ", "c_mktsegment", F.floor(F.col("seq") / 30).cast("string"), F.lit("Ltd"))))).select("a_key", "b_key")
+
+
 @query("j6_components", "WITH RECURSIVE e AS (SELECT c_custkey a, c_custkey - c_custkey % 10 b FROM customer WHERE c_custkey % 10 < 4 UNION SELECT c_custkey, c_custkey + 100 FROM customer WHERE c_custkey % 200 = 0), h AS (SELECT a, b FROM e UNION SELECT b, a FROM e), t(n, c) AS (SELECT a, a FROM h UNION SELECT h.b, t.c FROM t JOIN h ON h.a = t.n) SELECT n node, min(c) component FROM t GROUP BY 1")
 def j6(spark, d):
     k = table(spark, d, "customer").select("c_custkey")

@@ -1,5 +1,6 @@
 """Queries whose input must not be narrowed, against brute force over small tables."""
 
+from collections import defaultdict
 from itertools import combinations
 
 from sitefold.queries import QUERIES
@@ -18,3 +19,13 @@ def test_jaccard_pairs_do_not_depend_on_how_far_apart_the_ids_are(spark, tmp_pat
     got = [tuple(r) for r in QUERIES["c5_jaccard_all_pairs"](spark, str(tmp_path)).collect()]
     assert len(got) == len(want) and {(a, b): s for a, b, s in got} == want
     assert max(b - a for a, b in want) > 200 and len(set(want.values())) > 2
+
+
+def test_names_of_all_customers_are_reviewed(spark):
+    d = "/root/testdata/sf0.001"
+    groups = defaultdict(list)
+    for r in spark.read.parquet(f"{d}/customer.parquet").select("c_custkey", "c_mktsegment").collect():
+        groups[r.c_mktsegment, r.c_custkey // 30].append(r.c_custkey)
+    want = sorted((str(a), str(b)) for g in groups.values() if 2 <= len(g) <= 12 for a, b in combinations(sorted(g), 2))
+    assert sorted(map(tuple, QUERIES["j5_name_review_all"](spark, d).collect())) == want
+    assert len({k for pair in want for k in pair}) > sum(map(len, groups.values())) / 2
