@@ -197,6 +197,13 @@ def j6(spark, d):
     return components(e)
 
 
+@query("j6_components_all", "WITH RECURSIVE e AS (SELECT c_custkey a, c_custkey - c_custkey % 10 b FROM customer UNION SELECT c_custkey, c_custkey + 100 FROM customer WHERE c_custkey % 200 = 0), h AS (SELECT a, b FROM e UNION SELECT b, a FROM e), t(n, c) AS (SELECT a, a FROM h UNION SELECT h.b, t.c FROM t JOIN h ON h.a = t.n) SELECT n node, min(c) component FROM t GROUP BY 1")
+def j6_all(spark, d):
+    """Every customer has an edge."""
+    k = table(spark, d, "customer").select("c_custkey")
+    return components(k.selectExpr("c_custkey src", "c_custkey - c_custkey % 10 dst").unionAll(k.where("c_custkey % 200 = 0").selectExpr("c_custkey", "c_custkey + 100")))
+
+
 @query("j7_semi", "SELECT c_custkey FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'F')")
 def j7(spark, d):
     return table(spark, d, "customer").join(table(spark, d, "orders").where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_semi").select("c_custkey")
@@ -237,6 +244,16 @@ def j10(spark, d):
     return merged(o.where("o_orderkey % 2 = 0"), o.where("o_orderkey % 3 = 0"), ("o_orderkey", "o_custkey"))
 
 
+@query("j10_anti_merge_all", "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderstatus <> 'P' UNION ALL SELECT o_orderkey, o_custkey FROM orders n WHERE o_orderstatus <> 'F' AND NOT EXISTS (SELECT 1 FROM orders e WHERE e.o_orderstatus <> 'P' AND e.o_orderkey = n.o_orderkey AND e.o_custkey = n.o_custkey)")
+def j10_all(spark, d):
+    """Every order enters: finished ones on one side, pending ones on the other, open ones on both."""
+    from sitefold.sources.pastes import merged
+
+    o = table(spark, d, "orders")
+    side = lambda x: o.where(F.col("o_orderstatus") != x).select("o_orderkey", "o_custkey")
+    return merged(side("P"), side("F"), ("o_orderkey", "o_custkey"))
+
+
 @query("j11_point_in_polygon", f"WITH {SITES} SELECT k, CASE WHEN lon > 0 AND lon < 60 AND lat > 0 AND lat < 40 AND NOT (lon > 20 AND lon < 30 AND lat > 10 AND lat < 20) THEN 'AAA' WHEN lon > -90 AND lon < -30 AND lat < -10 AND lat > -50 AND lat < lon * 2 / 3 + 10 THEN 'BBB' END AS iso FROM (SELECT k, lat + 0.31 lat, lon + 0.27 lon FROM sites)")
 def j11(spark, d):
     box = lambda x0, y0, x1, y1: [[x0, y0], [x1, y0], [x1, y1], [x0, y1]]

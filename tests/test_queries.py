@@ -29,3 +29,13 @@ def test_names_of_all_customers_are_reviewed(spark):
     want = sorted((str(a), str(b)) for g in groups.values() if 2 <= len(g) <= 12 for a, b in combinations(sorted(g), 2))
     assert sorted(map(tuple, QUERIES["j5_name_review_all"](spark, d).collect())) == want
     assert len({k for pair in want for k in pair}) > sum(map(len, groups.values())) / 2
+
+
+def test_every_customer_is_in_a_component_and_every_order_is_merged_once(spark):
+    d = "/root/testdata/sf0.001"
+    customers = {r.c_custkey for r in spark.read.parquet(f"{d}/customer.parquet").select("c_custkey").collect()}
+    got = {r.node: r.component for r in QUERIES["j6_components_all"](spark, d).collect()}
+    assert customers <= set(got) and all(got[k] == got[k - k % 10] for k in customers)
+    orders = spark.read.parquet(f"{d}/orders.parquet")
+    assert sorted(map(tuple, QUERIES["j10_anti_merge_all"](spark, d).collect())) == sorted(map(tuple, orders.select("o_orderkey", "o_custkey").collect()))
+    assert orders.where("o_orderstatus = 'O'").count() > 0
