@@ -10,7 +10,8 @@ step is a function of the state. States are built when first reached and kept in
 White space after another character always starts a new pre-token, whatever stands to the left. A text
 is cut into chunks there and elsewhere; a chunk's state map says what it makes of the pre-token that is
 open on entry: emitted tokens in terms of that fragment, and the fragment left open. Maps compose
-associatively, and a parallel prefix scan over them gives each chunk's entry state and the total.
+associatively, so a tree reduction over them gives the total, which is all that count() needs. A parallel
+prefix scan, which gives each chunk's entry state as well, is in scan(); count() doesn't run it.
 
 Null text counts as empty; an empty text has 0 tokens. Rows are counted one by one, so ties and repeats
 do not matter. The result has the key column and the counts only.
