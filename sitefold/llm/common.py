@@ -17,6 +17,23 @@ def words(text: Column) -> Column:
     return F.when(bare.isNull() | (bare == ""), F.array().cast("array<string>")).otherwise(F.split(bare, SPACE_RE))
 
 
+def fresh(taken: list[str], *names: str) -> list[str]:
+    """Each name, with as many underscores behind it as keep it apart from the names taken, whatever their case."""
+    used = {t.casefold() for t in taken}
+    out = []
+    for n in names:
+        while n.casefold() in used:
+            n += "_"
+        out.append(n)
+    return out
+
+
+def without(columns: list[str], *added: str) -> list[str]:
+    """The columns but for those that added ones replace."""
+    gone = {a.casefold() for a in added}
+    return [c for c in columns if c.casefold() not in gone]
+
+
 def row_key(key: str, text: str) -> Column:
     """A key of 16 bytes that rows equal in id and text share and others do not, under null or repeated ids as well.
 
