@@ -3,12 +3,16 @@
 Every version of a text is addressed by the SHA-256 of its bytes. The ledger holds one row for each
 blob and rule version that has been scanned, with the spans found; a scan reads only the blobs that
 have no row yet under the version at hand, and the ledger's rows are joined back to every path (row)
-that has the blob. Copies are collapsed before the shuffle, so a text that a third of all rows share
-is moved and scanned once for each input partition at most, and once in all.
-
-Null text counts as empty; an empty text has no findings. A null id or source is an ordinary path, and
-repeated rows each get their findings. Columns of the input other than key and text are not read.
-Spans are code points, the end exclusive. Failed matches still use up the text they match.
+that has the blob. Texts are scanned where they are read and never shuffled: a task scans a blob once
+and sends on its digest and spans, which are then brought to one row for each blob. With a ledger, the
+digests of all paths are first held against it, and only texts whose digest is new are handed to the scan.
+
+Null text counts as empty; an empty text has no findings. An empty table has none either. A null id or
+source is an ordinary path, and repeated rows each get their findings. A very long text is scanned whole,
+as one row of a batch of its own at most. Two scans that append to one ledger at once may both add a
+blob's row; rows are equal then, and count once when read. Columns of the input other than key and text
+are not read, so none clashes. Spans are code points, the end exclusive. Failed matches still use up the
+text they match.
 """
 
 from __future__ import annotations
@@ -21,7 +25,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from sitefold.llm.common import documents, materialise, new_dir
+from sitefold.llm.common import documents, materialise
 
 
 @dataclass(frozen=True)
@@ -67,17 +71,36 @@ def find(text: str, rules=RULES) -> list[tuple[int, int, int]]:
 SPANS = "array<struct<start:int,kind:int,end:int>>"
 
 
+#: Digests that a task remembers to scan a text once; beyond them it starts anew and may scan a text again.
+MOST_SEEN = 200_000
+
+
 def scan_blobs(blobs: DataFrame, rules=RULES) -> DataFrame:
-    """blobs (blob, text) to ledger rows (blob, rule_version, spans)."""
+    """blobs (blob, text), with repeats, to ledger rows (blob, rule_version, spans)."""
     version = rule_version(rules)
     kind = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
         for b in batches:
-            spans = [[{"start": s, "kind": k, "end": e} for s, k, e in find(t, rules)] for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([version] * len(spans)), pa.array(spans, kind)], names=["blob", "rule_version", "spans"])
+            new, spans = [], []
+            for k, blob in enumerate(b.column(0).to_pylist()):
+                if blob not in seen:
+                    if len(seen) >= MOST_SEEN:
+                        seen.clear()
+                    seen.add(blob)
+                    new.append(blob)
+                    spans.append([{"start": s, "kind": r, "end": e} for s, r, e in find(b.column(1)[k].as_py(), rules)])
+            yield pa.RecordBatch.from_arrays([pa.array(new, pa.binary()), pa.array([version] * len(new), pa.string()), pa.array(spans, kind)], names=["blob", "rule_version", "spans"])
 
-    return blobs.select("blob", "text").mapInArrow(run, f"blob binary, rule_version string, spans {SPANS}")
+    rows = blobs.select("blob", "text").mapInArrow(run, f"blob binary, rule_version string, spans {SPANS}")
+    return rows.groupBy("blob", "rule_version").agg(F.first("spans").alias("spans"))
+
+
+def read_ledger(spark, ledger: str, rules=RULES) -> DataFrame:
+    """(blob, rule_version, spans) of the version at hand, each blob once."""
+    rows = spark.read.parquet(ledger).where(F.col("rule_version") == rule_version(rules))
+    return rows.groupBy("blob", "rule_version").agg(F.first("spans").alias("spans"))
 
 
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", ledger: str | None = None, rules=RULES) -> DataFrame:
@@ -88,24 +111,17 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", ledger: str |
     """
     spark = docs.sparkSession
     body = F.coalesce(F.col(text), F.lit(""))
-    paths = docs.select(F.col(key), F.unhex(F.sha2(body, 256)).alias("blob"))
-    blobs = docs.select(F.unhex(F.sha2(body, 256)).alias("blob"), body.alias("text"))
-    known = None
+    blob = F.unhex(F.sha2(body, 256)).alias("blob")
+    paths, texts = docs.select(F.col(key), blob), docs.select(blob, body.alias("text"))
     if ledger and _exists(spark, ledger):
-        known = spark.read.parquet(ledger).where(F.col("rule_version") == rule_version(rules))
-        blobs = blobs.join(known.select("blob"), "blob", "left_anti")
-    new = scan_blobs(blobs.groupBy("blob").agg(F.first("text").alias("text")), rules)
+        unseen = paths.select("blob").distinct().join(read_ledger(spark, ledger, rules), "blob", "left_anti")
+        texts = texts.join(materialise(unseen, "unseen-blobs"), "blob", "left_semi")
+    rows = materialise(scan_blobs(texts, rules), "ledger")  # first aside, so that a job that fails half way adds nothing
     if ledger:
-        path = new_dir(spark, "ledger")
-        new.write.parquet(path)  # first aside, so that a job that fails half way adds nothing
-        new = spark.read.parquet(path)
-        new.write.mode("append").parquet(ledger)
-    else:
-        new = materialise(new, "ledger")
-    rows = new if known is None else known.select(new.columns).unionByName(new)
-    return paths.join(rows.where(F.size("spans") > 0).select("blob", "spans"), "blob", "left").select(
-        F.col(key), "blob", F.coalesce("spans", F.array().cast(SPANS)).alias("spans")
-    )
+        rows.write.mode("append").parquet(ledger)
+        rows = read_ledger(spark, ledger, rules)
+    found = rows.where(F.size("spans") > 0).select("blob", "spans")
+    return paths.join(found, "blob", "left").select(F.col(key), "blob", F.coalesce("spans", F.array().cast(SPANS)).alias("spans"))
 
 
 def _exists(spark, path: str) -> bool:

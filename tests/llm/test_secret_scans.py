@@ -51,6 +51,17 @@ def test_only_unseen_blobs_and_versions_are_scanned(spark, tmp_path):
     assert spark.read.parquet(ledger).count() == 4
 
 
+def test_a_blob_that_two_scans_appended_counts_once(spark, tmp_path):
+    ledger = str(tmp_path / "ledger")
+    docs = spark.createDataFrame([(1, "token=abcdefgh"), (2, "token=abcdefgh"), (3, None)], "doc_id long, text string")
+    scan(docs, ledger=ledger)
+    rows = spark.createDataFrame(spark.read.parquet(ledger).collect(), spark.read.parquet(ledger).schema)
+    rows.write.mode("append").parquet(ledger)
+    assert spark.read.parquet(ledger).count() == 4
+    assert sorted((r.doc_id, len(r.spans)) for r in scan(docs, ledger=ledger).collect()) == [(1, 1), (2, 1), (3, 0)]
+    assert spark.read.parquet(ledger).count() == 4
+
+
 def test_empty_table(spark):
     assert digest(scan(spark.createDataFrame([], "doc_id long, text string"))).count() == 0
     assert find("") == []
