@@ -8,13 +8,18 @@ encoding if and only if each neighbouring pair is one; so exactly one token can
 step is a function of the state. States are built when first reached and kept in a bounded table.
 
 White space after another character always starts a new pre-token, whatever stands to the left. A text
-is cut into chunks there and elsewhere; a chunk's state map says what it makes of the pre-token that is
-open on entry: emitted tokens in terms of that fragment, and the fragment left open. Maps compose
-associatively, so a tree reduction over them gives the total, which is all that count() needs. A parallel
-prefix scan, which gives each chunk's entry state as well, is in scan(); count() doesn't run it.
-
-Null text counts as empty; an empty text has 0 tokens. Rows are counted one by one, so ties and repeats
-do not matter. The result has the key column and the counts only.
+longer than CHUNK is cut anywhere into chunks. A chunk's state map says what it makes of the pre-token that
+is open on entry, which is the transducer's only state between two chunks: the tokens emitted as a function
+of that fragment, and the fragment left open. Maps compose associatively; count() composes them by a
+parallel prefix scan, whose entries are the maps of all prefixes and whose last one is the whole text's.
+
+Words between spaces are macro transitions: a space before another character that is not white space
+always starts a pre-token, so what stands between two such spaces leads from the start state to itself
+with a fixed count, which is computed once and kept in a table of bounded size in two generations.
+
+Null text counts as empty; an empty text has 0 tokens, an empty table no rows. Rows are counted one by one,
+so ties and repeats do not matter. The result has the key column and the counts only; no other column of
+the input is read, so none clashes.
 """
 
 from __future__ import annotations
@@ -31,9 +36,9 @@ import tokenizers
 from pyspark.sql import DataFrame, functions as F
 
 #: Characters in a chunk.
-CHUNK = 1 << 16
-#: Words and states kept in a worker before the tables start anew.
-MOST_WORDS, MOST_STATES = 400_000, 100_000
+CHUNK = 1 << 14
+#: Words of one generation and states kept in a worker; characters of a word that is kept.
+MOST_WORDS, MOST_STATES, LONGEST = 400_000, 250_000, 64
 
 #: Up to here Unicode's letters, numbers and spaces have not changed since long, so that they can be listed.
 OLD = "\u0557"
@@ -80,8 +85,10 @@ class Transducer:
         special = set(self.special)
         tokens = [raw(t) for t in model["vocab"] if t not in special]
         self.prefixes = {t[:k] for t in tokens for k in range(1, len(t) + 1)}
-        self._valid: dict[bytes, bool] = {}
-        self._pairs: dict[tuple[bytes, bytes], bool] = {}
+        self._known: dict[bytes, bool] = {}
+        #: Strings that the merges turn into one token, and of two of them whether they stay apart.
+        self.valid = {t for t in self.made if self._token(t)}
+        self.pairs: dict[tuple[bytes, bytes], bool] = {}
         self.reset()
 
     def reset(self) -> None:
@@ -110,19 +117,12 @@ class Transducer:
 
     def _token(self, t: bytes) -> bool:
         """Whether the merges turn t's bytes into t."""
-        if (known := self._valid.get(t)) is None:
+        if (known := self._known.get(t)) is None:
             known = t in self.made
             if known and len(t) > 1:
                 _, a, b = self.made[t]
                 known = self._token(a) and self._token(b) and self._apart(a, b, top=False)
-            self._valid[t] = known
-        return known
-
-    def _pair(self, a: bytes, b: bytes) -> bool:
-        if (known := self._pairs.get((a, b))) is None:
-            if len(self._pairs) > MOST_WORDS:
-                self._pairs.clear()
-            known = self._pairs[a, b] = self._apart(a, b)
+            self._known[t] = known
         return known
 
     def _state(self, suffix: bytes, last: tuple, rel: tuple) -> State:
@@ -134,23 +134,30 @@ class Transducer:
 
     def step(self, state: State, byte: int) -> tuple[State, int]:
         """The transition: the token that ends here follows from the last tokens of the earlier prefixes."""
-        suffix, last, rel = state.suffix, state.last, state.rel
-        read = suffix + bytes((byte,))
-        valid, pair = self._token, self._pair
-        for size in range(len(read), 0, -1):
-            token = read[-size:]
-            before = last[len(last) - size]
-            if valid(token) and (before is None or pair(before, token)):
-                break
+        last, rel = state.last, state.rel
+        read = state.suffix + bytes((byte,))
+        valid, pairs, prefixes = self.valid, self.pairs, self.prefixes
+        n = len(read)
+        for at in range(n):  # the longest token first
+            token = read[at:]
+            if token in valid:
+                before = last[at]
+                if before is None:
+                    break
+                apart = pairs.get((before, token))
+                if apart is None:
+                    if len(pairs) > MOST_STATES:
+                        pairs.clear()
+                    apart = pairs[before, token] = self._apart(before, token)
+                if apart:
+                    break
         else:
             raise ValueError("no token ends at this byte")
-        delta = rel[len(rel) - size] + 1
-        keep = read
-        while keep and keep not in self.prefixes:
-            keep = keep[1:]
-        n = len(keep) + 1
-        last, rel = (last + (token,))[-n:], (rel + (delta,))[-n:]
-        return self._state(keep, last, tuple(r - delta for r in rel)), delta
+        delta = rel[at] + 1
+        first = 0
+        while first < n and read[first:] not in prefixes:
+            first += 1
+        return self._state(read[first:], (*last[first:], token), (*[r - delta for r in rel[first:]], 0)), delta
 
     def count(self, word: str | bytes) -> int:
         if len(self.states) > MOST_STATES:
@@ -176,15 +183,19 @@ class State(dict):
 
 
 class Words(dict):
-    """The transducer's macro transitions: a whole pre-token leads from the start state to itself."""
+    """Counts of strings that lead from the start state to itself. A full table becomes the older generation, whose
+    entries come back when they are met again."""
 
-    def __init__(self, machine: Transducer):
-        self.machine = machine
+    def __init__(self, count):
+        self.of, self.older = count, {}
 
     def __missing__(self, word: str) -> int:
-        n = self.machine.count(word)
-        if len(word) <= 64:
+        n = self.older.get(word)
+        if n is None:
+            n = self.of(word)
+        if len(word) <= LONGEST:
             if len(self) >= MOST_WORDS:
+                self.older = dict(self)
                 self.clear()
             self[word] = n
         return n
@@ -199,13 +210,17 @@ class Counter:
     def __init__(self, path: str):
         self.path, self.library, self.classes = path, None, {}
         self.machine = Transducer(path)
-        self.words = Words(self.machine)
+        self.words = Words(self.machine.count)
+        #: By what follows the space that starts it.
+        self.spaced = Words(self._after_space)
         self.split = regex.compile(SPLIT).findall
         self.old_split = re.compile(_listed(SPLIT)).findall
         self.beyond = re.compile(f"[^\0-{OLD}]").search
         self.special = regex.compile("|".join(map(regex.escape, self.machine.special)) or r"(?!)")
         self.cut = regex.compile(r"(?<=\S)(?=\s)")
         self.last_cut = regex.compile(r"(?r)(?<=\S)(?=\s)")
+        #: Spaces at which a text can be cut, and whether it has others.
+        self.space, self.other_space = re.compile(r" (?=\S)").split, re.compile(r" (?!\S)").search
 
     def newer(self, c: str) -> str:
         """The character, or a plain one of the class that the tokenizer's own tables give it.
@@ -227,8 +242,16 @@ class Counter:
         at = [0, *accumulate(map(len, self.split("".join(map(self.newer, text)))))]
         return [text[i:j] for i, j in zip(at, at[1:])]
 
+    def _after_space(self, word: str) -> int:
+        first, *rest = self.pieces(" " + word)
+        if not rest:
+            return self.machine.count(first)
+        return self.spaced[first[1:]] + sum(map(self.words.__getitem__, rest))
+
     def plain(self, text: str) -> int:
-        return sum(map(self.words.__getitem__, self.pieces(text)))
+        """Tokens of a text that starts at a pre-token's start and holds no special string."""
+        first, *rest = text.split(" ") if self.other_space(text) is None else self.space(text)
+        return sum(map(self.words.__getitem__, self.pieces(first))) + sum(map(self.spaced.__getitem__, rest))
 
     def chunk_map(self, chunk: str) -> Map:
         first = self.cut.search(chunk)
@@ -255,18 +278,16 @@ class Counter:
         return (a[0], 0, b[0]) if b[2] is None else (a[0], self.plain(b[0]) + b[1], b[2])
 
     def scan(self, maps: list[Map]) -> list[Map]:
-        """All prefixes' compositions in log2(n) rounds, each of independent compositions."""
+        """The maps of all prefixes, in log2(n) rounds, each of independent compositions."""
         step = 1
         while step < len(maps):
             maps = [m if i < step else self.compose(maps[i - step], m) for i, m in enumerate(maps)]
             step *= 2
         return maps
 
-    def total(self, maps: list[Map]) -> int:
-        """The composition of all maps, applied to the empty fragment. Neighbours meet first."""
-        while len(maps) > 1:
-            maps = [self.compose(*maps[i : i + 2]) if i + 1 < len(maps) else maps[i] for i in range(0, len(maps), 2)]
-        head, n, tail = maps[0]
+    def applied(self, m: Map) -> int:
+        """The tokens of a map's text, entered with no fragment open and with the end of text behind it."""
+        head, n, tail = m
         return self.plain(head) + n + (self.plain(tail) if tail else 0)
 
     def count(self, text: str, chunk: int = CHUNK) -> int:
@@ -276,7 +297,7 @@ class Counter:
             if len(part) <= chunk:
                 n += self.plain(part)
             else:
-                n += self.total([self.chunk_map(part[i : i + chunk]) for i in range(0, len(part), chunk)])
+                n += self.applied(self.scan([self.chunk_map(part[i : i + chunk]) for i in range(0, len(part), chunk)])[-1])
             if m:
                 n, at = n + 1, m.end()
         return n
