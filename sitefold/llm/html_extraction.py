@@ -1,20 +1,34 @@
 """Main text of web pages by two-pass block rules.
 
 The page is cut into blocks at block-level tags. The first pass decides a block by its length, its
-density of stop words and the share of its characters inside links, with the containers it stands in
-as prior: an article's blocks need less to be good, and blocks of navigation, advertising, notices,
-forms or comments are bad. Short blocks that no rule decides inherit, in the second pass, the label of
-the nearest decided neighbour of the same container; ties and containers without one go to the prior.
+density of stop words and the share of its characters inside links: long blocks with many stop words
+and few links are good. In scripts and languages without a list of stop words, sentence ends take their
+place. Short blocks that no rule decides inherit, in the second pass, the label of the nearest decided
+neighbour of the same container; ties and containers without one go to the prior.
 
-Null html counts as empty; an empty page, or one without a good block, has text "". A null url stays
-null. Rows are treated one by one, so repeats do not matter; other input columns are not read.
+Containers give priors. Blocks of navigation, footers, asides and hidden parts are bad. So are those of
+forms and of containers whose class or id says advertising, notice, comments and the like, unless no
+prose is left then: the container that holds most prose of its own is then no boilerplate, nor are those
+around it (a page wrapped in one form, or in a box named legal-news). Where an article or main element
+stands, its blocks need less to be good and what stands outside is bad, unless the prose outside is more
+than OUTSIDE times as long as all that is inside, as beside a teaser; then all are judged alike.
+
+Tags are read as browsers do: a quote opens a value only behind an equals sign and runs to its next
+occurrence; one that never closes is an ordinary character. A slash at a tag's end closes nothing outside
+drawings and formulas. Comments, scripts and tags that don't end swallow the rest of the page.
+
+Null html counts as empty; an empty page, or one without a good block, has text "", an empty table no
+rows. A null url stays null. Rows are treated one by one, so repeats do not matter; other input columns
+are not read, so none clashes. Time grows in proportion to a page's length, however deep it nests.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -29,8 +43,8 @@ BLOCKS = frozenset(
 DROPPED = frozenset("script style noscript template svg math iframe object canvas audio video head title select textarea button noembed noframes".split())
 RAW = frozenset("script style title textarea noembed noframes iframe xmp".split())
 EMPTY = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-# Containers that hold no main text, and words of class, id and role that say so.
-BOILERPLATE = frozenset("nav footer header aside form menu dialog".split())
+# Containers that hold no main text; words of class, id and role that say so, as a form does.
+BOILERPLATE = frozenset("nav footer header aside menu dialog".split())
 MARKED = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|sponsor(?:ed|s)?|promo(?:s|tion|tions)?|banners?|nav|navbar|navigation|menus?|breadcrumbs?|"
     r"sidebars?|side-bar|footers?|site-header|page-header|masthead|cookies?|consent|gdpr|notices?|newsletter|subscribe|subscription|signup|login|"
@@ -47,110 +61,182 @@ STOP_WORDS = frozenset(
     "el los las y del por con para se no su al lo como más o".split()
 )
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|[^<]+|<", re.S
-)
+TOKEN = re.compile(r"<!--|<!\[CDATA\[|<[!?]|<(/?)([a-zA-Z][^\s/>]*)|[^<]+|<")
+STOP = re.compile("[>\"']")
 ATTRIBUTE = re.compile(r"""(?:^|[\s/"'])(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
+#: Ends of sentences; those of scripts without spaces need none behind them.
+SENTENCE = re.compile(r"""[.!?…؟।][\s"'»”)\]]|[.!?…؟।]\Z|[。！？｡]""")
 
 #: Characters from which a block of prose is long, and up to which it is short.
 LONG, SHORT = 200, 70
 MOST_LINKS, MANY_STOPS, SOME_STOPS = 0.33, 0.30, 0.10
+#: Characters of a sentence at most, on average, where sentence ends stand for stop words.
+SENTENCE_CHARS = 300
+#: Prose outside an article, in lengths of what is inside, from which the article is a part of the page only; with
+#: 1 / OUTSIDE of its prose in other text outside, a marked container stays boilerplate.
+OUTSIDE = 2
 
 GOOD, BAD, SHORT_BLOCK = 1, -1, 0
+#: How a container is marked: by its class or id or as a form, or for certain.
+SOFT, HARD = 1, 2
 
 
-def _marked(attributes: str) -> bool:
+def _marked(attributes: str) -> int:
+    mark = 0
     for name, *values in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), next((v for v in values if v), "")
-        if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True
-        if name == "role" and value.lower() in ROLES or name in ("class", "id") and MARKED.search(value):
-            return True
-    return False
+        if name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "role" and value.lower() in ROLES:
+            return HARD
+        if name in ("class", "id") and MARKED.search(value):
+            mark = SOFT
+    return mark
+
+
+@dataclass(frozen=True, slots=True)
+class Block:
+    text: str
+    #: Characters inside links.
+    linked: int
+    #: Number of the outermost article or main around it, or 0.
+    area: int
+    #: Whether it stands in boilerplate, and the number of the innermost softly marked container, or 0.
+    hard: bool
+    soft: int
 
 
-def blocks(page: str) -> list[tuple[str, int, int, int]]:
-    """(text, characters inside links, container's number, container's prior) of every block with text."""
-    out: list[tuple[str, int, int, int]] = []
+def _tags_end(page: str) -> Callable[[int], int]:
+    """A function from a place inside a tag to the place of its ">" (or the page's end)."""
+    last = {q: page.rfind(q) for q in "\"'"}
+
+    def end(at: int) -> int:
+        i = at
+        while m := STOP.search(page, i):
+            quote, i = m[0], m.end()
+            if quote == ">":
+                return m.start()
+            k = m.start() - 1
+            while k >= at and page[k] in " \t\n\f\r":
+                k -= 1
+            if k >= at and page[k] == "=" and last[quote] >= i:
+                i = page.index(quote, i) + 1
+        return len(page)
+
+    return end
+
+
+def blocks(page: str) -> tuple[list[Block], list[int]]:
+    """All blocks with text, and for each softly marked container the one around it."""
+    out: list[Block] = []
+    around = [0]
     parts: list[str] = []
     linked = 0
-    #: Open elements: name, whether its content is dropped, whether boilerplate, article's number or 0.
-    stack: list[tuple[str, bool, bool, int]] = []
-    dropped, boiler, article, articles, links = False, False, 0, 0, 0
+    #: Open elements: name, whether its content is dropped, hard, soft, area; and how many of each name are open.
+    bottom = ("", False, False, 0, 0)
+    stack = [bottom]
+    count: Counter[str] = Counter()
+    articles = 0
+    lower = None
+    tag_end = _tags_end(page)
 
     def close() -> None:
         nonlocal linked
         if parts:
             text = " ".join(entities.unescape("".join(parts)).split())
             if text:
-                out.append((text, linked, article, BAD if boiler else article and GOOD))
+                _, _, hard, soft, area = stack[-1]
+                out.append(Block(text, linked, area, hard, soft))
             parts.clear()
         linked = 0
 
-    def settle() -> None:
-        nonlocal dropped, boiler, article, links
-        top = stack[-1] if stack else ("", False, False, 0)
-        dropped, boiler, article = top[1:]
-        links = sum(x[0] == "a" for x in stack)
+    def pop() -> str:
+        name = stack.pop()[0]
+        count[name] -= 1
+        return name
 
-    at, size, lower = 0, len(page), None
+    at, size = 0, len(page)
     while at < size:
         m = TOKEN.match(page, at)
-        at = m.end()
-        name = m[2]
+        piece, name, at = m[0], m[2], m.end()
         if name is None:
-            piece = m[0]
-            if piece[0] == "<" and len(piece) > 1:
-                if piece.startswith("<![CDATA["):
-                    continue
-                continue
-            if not dropped:
+            if piece == "<!--":
+                end = page.find("-->", m.start() + 2)
+                at = end + 3 if end >= 0 else size
+            elif piece == "<![CDATA[":
+                end = page.find("]]>", at)
+                at = end + 3 if end >= 0 else size
+            elif piece in ("<!", "<?"):
+                end = page.find(">", at)
+                at = end + 1 if end >= 0 else size
+            elif not stack[-1][1]:
                 parts.append(piece)
-                if links:
+                if count["a"]:
                     linked += len(piece.strip())
             continue
         name = name.lower()
+        end = tag_end(at)
+        attributes, at = page[at:end], min(end + 1, size)
         if m[1]:
             if name in BLOCKS:
                 close()
-            if any(x[0] == name for x in stack) and (name in BLOCKS or stack[-1][0] == name or name in ("a", *DROPPED)):
+            if count[name]:
                 if name in BLOCKS or name in DROPPED:
-                    while stack.pop()[0] != name:
+                    while pop() != name:
                         pass
-                else:
-                    k = max(i for i, x in enumerate(stack) if x[0] == name)
+                elif stack[-1][0] == name or name == "a":
+                    k = len(stack) - 1
+                    while stack[k][0] != name:
+                        k -= 1
                     del stack[k]
-                settle()
+                    count[name] -= 1
             continue
         if name in BLOCKS:
             close()
-            if name == "p" and stack and stack[-1][0] == "p":
-                stack.pop()
-        if name in EMPTY or m[3].endswith("/"):
+            if stack[-1][0] == "p" and name not in EMPTY:
+                pop()
+        if name in EMPTY:
             continue
-        if name not in BLOCKS and name not in DROPPED and name != "a" and not (m[3] and _marked(m[3])):
+        if attributes.endswith("/") and (name in ("svg", "math") or count["svg"] or count["math"]):
             continue
-        if name == "article" or name == "main":
-            articles += 1
-        top = stack[-1] if stack else ("", False, False, 0)
-        new = articles if name in ("article", "main") and not top[3] else top[3]
-        marked = name in BOILERPLATE and not (name == "header" and top[3]) or bool(m[3]) and name not in ("body", "html", "article", "main") and _marked(m[3])
-        nested = name == "article" and bool(top[3]) and any(x[0] == "article" for x in stack)
-        if (marked or nested) and not top[2]:
+        mark = _marked(attributes) if attributes and name not in ("body", "html", "article", "main") else 0
+        if not mark and name not in BLOCKS and name not in DROPPED and name != "a":
+            continue
+        _, dropped, hard, soft, area = stack[-1]
+        if name in BOILERPLATE and not (name == "header" and area) or name == "article" and area and count["article"]:
+            mark = HARD
+        elif name == "form":
+            mark = mark or SOFT
+        if mark:
             close()
-        stack.append((name, top[1] or name in DROPPED, top[2] or marked or nested, new))
-        settle()
+        if mark == SOFT:
+            around.append(soft)
+            soft = len(around) - 1
+        if name in ("article", "main") and not area:
+            articles += 1
+            area = articles
+        stack.append((name, dropped or name in DROPPED, hard or mark == HARD, soft, area))
+        count[name] += 1
         if name in RAW:
             if lower is None:
                 lower = page.lower()
                 if len(lower) != size:
                     lower = re.sub("[A-Z]+", lambda x: x[0].lower(), page)
             end = lower.find(f"</{name}", at)
-            if not dropped:
-                parts.append(page[at : end if end >= 0 else size])
-            at = end if end >= 0 else size
+            end = end if end >= 0 else size
+            if not stack[-1][1]:
+                parts.append(page[at:end])
+            at = end
     close()
-    return out
+    return out, around
+
+
+def _reads(text: str) -> bool:
+    """Whether a text has the sentence ends of prose: for languages without stop words here."""
+    ends = len(SENTENCE.findall(text))
+    if not ends or len(text) > SENTENCE_CHARS * ends:
+        return False
+    letters = [c for c in text if c.isalpha()]
+    other = sum(c > "\u024f" for c in letters)  # beyond the Latin letters
+    return 2 * other > len(letters) or len(text) >= LONG and ends > 1 and " " in text
 
 
 def first_pass(text: str, linked: int, prior: int) -> int:
@@ -166,14 +252,14 @@ def first_pass(text: str, linked: int, prior: int) -> int:
     words = text.lower().split()
     stops = sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in words) / len(words)
     if prior == GOOD:
-        return GOOD if stops >= SOME_STOPS or size >= LONG else SHORT_BLOCK
+        return GOOD if stops >= SOME_STOPS or size >= LONG or _reads(text) else SHORT_BLOCK
     if "©" in text or "(c)" in text.lower():
         return BAD
     if stops >= MANY_STOPS:
         return GOOD
     if stops >= SOME_STOPS:
         return GOOD if size >= LONG else SHORT_BLOCK
-    return BAD
+    return GOOD if _reads(text) else BAD
 
 
 def second_pass(labels: list[int], groups: list[int], priors: list[int]) -> list[bool]:
@@ -200,13 +286,51 @@ def second_pass(labels: list[int], groups: list[int], priors: list[int]) -> list
     return out
 
 
+def _lifted(found: list[Block], around: list[int]) -> set[int]:
+    """Softly marked containers that are no boilerplate: none if there is an article, prose or as much other text outside
+    of all of them; else the one with most prose of its own among the outermost that have any, and those around it."""
+    prose: Counter[int] = Counter()
+    other = 0
+    for b in found:
+        if not b.hard:
+            if b.area and not b.soft:
+                return set()
+            label = first_pass(b.text, b.linked, 0)
+            if label == GOOD:
+                prose[b.soft] += len(b.text)
+            elif label != BAD and not b.soft:
+                other += len(b.text)
+    if not prose or 0 in prose:
+        return set()
+    depth = [0] * len(around)
+    for k in range(1, len(around)):
+        depth[k] = depth[around[k]] + 1
+    k = min(prose, key=lambda x: (depth[x], -prose[x], x))
+    out = set()
+    if OUTSIDE * other >= prose[k]:
+        return out
+    while k:
+        out.add(k)
+        k = around[k]
+    return out
+
+
 def main_text(page: str | None) -> str:
-    found = blocks(page or "")
-    if any(p == GOOD for *_, p in found):  # an article's page: what stands outside is not its text
-        found = [(t, k, g, p if g else BAD) for t, k, g, p in found]
-    labels = [first_pass(t, k, p) for t, k, _, p in found]
-    keep = second_pass(labels, [g for _, _, g, _ in found], [p for *_, p in found])
-    return " ".join(t for (t, *_), good in zip(found, keep) if good)
+    found, around = blocks(page or "")
+    lifted = _lifted(found, around)
+    soft = [False] * len(around)
+    for k in range(1, len(around)):
+        soft[k] = soft[around[k]] or k not in lifted
+    bad = [b.hard or soft[b.soft] for b in found]
+    inside = sum(len(b.text) for b, x in zip(found, bad) if b.area and not x)
+    outside = sum(len(b.text) for b, x in zip(found, bad) if not b.area and not x and first_pass(b.text, b.linked, 0) == GOOD) if inside else 0
+    if inside and outside <= OUTSIDE * inside:  # an article's page: what stands outside is not its text
+        priors = [GOOD if b.area and not x else BAD for b, x in zip(found, bad)]
+    else:
+        priors = [BAD if x else 0 for x in bad]
+    labels = [first_pass(b.text, b.linked, p) for b, p in zip(found, priors)]
+    keep = second_pass(labels, [b.area for b in found], priors)
+    return " ".join(b.text for b, good in zip(found, keep) if good)
 
 
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:

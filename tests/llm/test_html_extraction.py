@@ -41,3 +41,81 @@ def test_defined_results(spark):
     got = extract(spark.createDataFrame(rows, "page_id long, url string, html string, text int")).collect()
     assert sorted([(r.page_id, r.text, r.n_chars) for r in got if r.page_id != 3], key=str) == sorted([(1, "", 0), (1, "", 0), (None, "", 0), (2, PROSE, len(PROSE))], key=str)
     assert main_text(f"<div>{PROSE * 20000}</div>") == " ".join((PROSE * 20000).split())
+
+
+def test_tags_that_do_not_close_themselves():
+    assert main_text(f"<p>{PROSE}</p><script src=x/>var a = 1;</script><p>{PROSE}<script src='y'/>b()</script></p>") == f"{PROSE} {PROSE}"
+    links = "".join(f"<a href=/x{k}/>{PROSE}</a> " for k in range(3))
+    assert main_text(f"<p>{PROSE}</p><div>{links}</div>") == PROSE
+    assert main_text(f"<svg><title/><path d='M0'/></svg><p>{PROSE}") == PROSE
+
+
+def test_open_quotes_leave_no_markup():
+    assert main_text(f'<p>{PROSE} <a href="x>link</a> end.</p>') == f"{PROSE} link end."
+    assert main_text(f"<p title='a>b'>{PROSE}</p><p don't>{PROSE}</p><p class=\"x>y\">{PROSE}</p>") == f"{PROSE} {PROSE} {PROSE}"
+
+
+def test_wrappers_that_look_like_boilerplate():
+    for wrap in ('<div class="legal-news">{}</div>', "<form id=aspnetForm action=x>{}</form>", '<form><div class="page search">{}</div></form>'):
+        assert main_text("<nav>Home</nav>" + wrap.format(f"<h1>Title</h1><p>{PROSE}</p><div class=ad>{PROSE}</div><p>{PROSE}</p>") + f"<footer>{PROSE}</footer>") == f"Title {PROSE} {PROSE}"
+    assert main_text(f"<div class=cookie-notice>{PROSE}</div><div class='sponsor'>{PROSE} {PROSE} {PROSE}</div><p>{PROSE}</p>") == PROSE
+
+
+def test_content_beside_a_teaser_article():
+    body = "".join(f"<p>{PROSE}</p>" for _ in range(4))
+    assert main_text(f"<article><a href=/x>Next: a teaser</a></article><div>{body}</div>").endswith(" ".join([PROSE] * 4))
+    assert main_text(f"<article>{body}</article><div><p>{PROSE}</p></div>") == " ".join([PROSE] * 4)
+
+
+def test_other_scripts():
+    japanese = "吾輩は猫である。名前はまだ無い。どこで生れたかとんと見当がつかぬ。何でも薄暗いじめじめした所でニャーニャー泣いていた事だけは記憶している。吾輩はここで始めて人間というものを見た。"
+    russian = "Все счастливые семьи похожи друг на друга, каждая несчастливая семья несчастлива по-своему. Все смешалось в доме Облонских."
+    italian = "Quel ramo del lago di Como volge a mezzogiorno tra due catene non interrotte di monti. Tutto seni e golfi a seconda dello sporgere e del rientrare di quelli. Vien quasi a un tratto a ristringersi e a prender corso e figura di fiume."
+    for text in (japanese, russian, italian):
+        assert main_text(f"<nav><a href=/>Home</a></nav><div><h1>短い</h1><p>{text}</p></div><footer>{text}</footer>") == f"短い {text}"
+
+
+def test_time_grows_in_proportion_to_depth():
+    import time
+
+    def spent(page):
+        began = time.process_time()
+        main_text(page)
+        return time.process_time() - began
+
+    for make in (lambda n: "<div>" * n + PROSE + "</div>" * n, lambda n: "<div class=ad>" * n + f"<p>{PROSE}</p>" + "</div>" * n, lambda n: "<p title=\"" * n + PROSE, lambda n: "<a href=x><b>" * n, lambda n: "<p '" * n + ">" + PROSE):
+        spent(make(2000))
+        assert spent(make(40000)) < 60 * max(spent(make(2000)), 0.005)
+
+
+# A second implementation over a tree, for pages whose tags are all closed and quoted.
+
+
+def random_page(r):
+    """A page as a tree, and the texts of its main part."""
+    sentence = lambda: " ".join(r.choice(["the", "of", "and", "to", "in", "is", "a", f"w{r.randrange(10**6)}"]) for _ in range(r.randrange(40, 80))) + "."
+    junk = lambda: r.choice([
+        f"<nav><ul><li><a href='/{r.randrange(99)}'>{sentence()}</a></li></ul></nav>", f"<aside><p>{sentence()}</p></aside>", f"<div class=\"{r.choice(['ad', 'cookie-notice', 'x sidebar', 'newsletter signup'])}\"><p>{sentence()}</p></div>",
+        f"<script>var x = '<p>{sentence()}</p>';</script>", f"<style>p {{ color: red }}</style><!-- <p>{sentence()}</p> -->", f"<form action='/s'><label>{sentence()}</label><input value='a>b'></form>",
+        f"<section id=\"comments\"><article><p>{sentence()} {sentence()}</p></article></section>", "<svg><text>no text</text></svg>",
+    ])
+    main, texts = [], []
+    for _ in range(r.randrange(1, 8)):
+        text = sentence()
+        texts.append(text)
+        marked = text.replace(" of ", f" <{'b' if r.random() < 0.5 else 'i'}>of</i></b> ", 1).replace(" and ", " &#97;n&#x64;\n\t ", 1)
+        main.append(f"<p>{marked}</p>" if r.random() < 0.7 else f"<div>{marked}</div>")
+        if r.random() < 0.4:
+            main.append(junk())
+    head = "<!DOCTYPE html><html><head><title>no</title></head><body>" + f"<header><p>{sentence()}</p></header>"
+    tail = f"<footer><p>{sentence()}</p></footer></body></html>"
+    inner = "".join(main)
+    return head + junk() + (f"<article>{inner}</article>" if r.random() < 0.5 else f"<div>{inner}</div>") + junk() + tail, texts
+
+
+def test_made_pages_give_their_main_texts():
+    import random
+
+    for seed in range(400):
+        page, texts = random_page(random.Random(seed))
+        assert main_text(page) == " ".join(texts), page
