@@ -10,8 +10,10 @@ response and the others are revisits of it; smaller payloads and copies that sha
 all responses. A null page_id is never the largest, so it revisits where there is another. Null html
 is an empty payload and a null url is written as an empty target. Equal payloads are those of equal
 SHA-1 and length. An archive's name holds a number of its attempt, so a task that is run again after a
-loss writes anew and the index names only archives of tasks that ended. Columns of the input other
-than key, url and html are not read.
+loss writes anew and the index names only archives of tasks that ended. An empty table gives an empty
+index. A long payload is one record, and a read of its own where it is larger than MOST_READ. Columns of
+the input other than key, url and html are not read, so none clashes. Archives may lie in any folder that
+both Spark and Arrow can open (s3a:// is read as s3://).
 """
 
 from __future__ import annotations
@@ -31,11 +33,21 @@ from sitefold.llm.common import materialise, new_dir
 LEAST = 1000
 #: Bytes of one archive, of one read, and of a gap that a read passes over.
 MOST_FILE, MOST_READ, MOST_GAP = 1 << 30, 8 << 20, 64 << 10
+#: Bytes of archives that one task reads.
+TASK_BYTES = 32 << 20
 
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 INDEX = "page_id bigint, url string, file string, offset bigint, length bigint, payload_digest string, record_type string, refers_to bigint"
 
 
+def opened(folder: str) -> tuple[pa.fs.FileSystem, str]:
+    """The file system of a folder, and the folder's path there."""
+    scheme, sep, rest = folder.partition("://")
+    if sep and scheme.lower() in ("s3a", "s3n"):
+        folder = f"s3://{rest}"
+    return pa.fs.FileSystem.from_uri(folder if sep or folder.startswith("file:") else f"file://{folder}")
+
+
 def record_uri(page_id: int | None) -> str:
     return f"urn:page:{'' if page_id is None else page_id}"
 
@@ -91,7 +103,7 @@ def write(planned: DataFrame, folder: str, date: str = "1970-01-01T00:00:00Z", m
     """Writes the archives under folder and returns the index, itself a written table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, root = pa.fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
+        fs, root = opened(folder)
         fs.create_dir(root, recursive=True)
         out = name = None
         offset = 0
@@ -144,7 +156,7 @@ def read(index: DataFrame, folder: str, payloads: bool = True) -> DataFrame:
         return page(fields["warc-record-id"]), fields["warc-target-uri"], body if payloads else None, size, digest, fields["warc-type"], refers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, root = pa.fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
+        fs, root = opened(folder)
         name = source = None
 
         def fetched(run_of: list[tuple[str, int, int]]) -> pa.RecordBatch:
@@ -175,7 +187,8 @@ def read(index: DataFrame, folder: str, payloads: bool = True) -> DataFrame:
             if source is not None:
                 source.close()
 
-    dealt = index.select("file", "offset", "length").repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
+    total = index.agg(F.sum("length")).first()[0] or 0  # the index is small; what it stands for decides the number of tasks
+    dealt = index.select("file", "offset", "length").repartitionByRange(total // TASK_BYTES + 1, "file", "offset").sortWithinPartitions("file", "offset")
     return dealt.mapInArrow(run, READ)
 
 
