@@ -81,3 +81,38 @@ def test_base_equals_brute_force_and_sources_of_scores_agree(spark):
     assert out[0] == out[1]
     none = lm.score(df.where("doc_id IS NULL").selectExpr("CAST(1 AS long) AS doc_id", "CAST(NULL AS string) AS text").limit(0), public_tokenizers.path("piece_bpe_32k.model"))
     assert none.count() == 0
+
+
+def test_scores_equal_brute_force(spark):
+    """The whole model over listed segmentations: weights by rank, one round of expected counts, then all arcs of a text."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    rows = [(k, t) for k, t in enumerate(["the cat sat", "The dog", "a cat and a dog", "dogs sit", None, "", "cats zat", "the the the"] * 3)]
+    pieces = dict(lm.load_pieces(path))
+
+    def segmentations(word):
+        s = " " + word
+        for cuts in product((0, 1), repeat=len(s) - 1):
+            parts = "".join(c + "|" * cut for c, cut in zip(s, (*cuts, 0))).split("|")
+            if all(p in pieces for p in parts):
+                yield parts
+
+    held = lambda k: zlib.crc32(str(k).encode()) % 10 == 0
+    c = Counter()
+    for k, t in rows:
+        if not held(k):
+            c.update([*(t or "").lower().split(), ""])
+    n, v = sum(c.values()), len(c)
+    expected = Counter()
+    for w in filter(None, c):
+        found = [(parts, math.prod(pieces[p] for p in parts)) for parts in segmentations(w)]
+        for parts, x in found:
+            for p in parts:
+                expected[p] += c[w] * x / sum(y for _, y in found)
+    total = sum(expected.values()) + lm.ADDED * len(pieces)
+    weight = {p: (expected[p] + lm.ADDED) / total for p in pieces}
+    marginal = lambda w: sum(math.prod(weight[p] for p in parts) for parts in segmentations(w))
+    arc = lambda w: c[w] / (n + v) + (v / (n + v) * marginal(w) if w else 0)
+    got = lm.score(spark.createDataFrame(rows, "doc_id long, text string"), path).collect()
+    for x in got:
+        words = [*(dict(rows)[x.doc_id] or "").lower().split(), ""]
+        assert math.isclose(x.score, sum(math.log10(arc(w)) for w in words), rel_tol=1e-9)
