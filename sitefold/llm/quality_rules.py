@@ -2,7 +2,9 @@
 
 Every measure is a column expression over the text, so the verdict needs no shuffle and no user
 function. Null text counts as empty. An empty text fails the length rule. Repeated rows and ties are
-judged one by one, alike. Columns of the input that clash with a measure's name are replaced.
+judged one by one, alike. An empty table gives an empty table. A text is judged whole, however long, from
+arrays of its words that live in one row only. Columns of the input that are named like a measure or a
+verdict are replaced by judge(); keep_good() returns the input's columns as they were. No other name clashes.
 """
 
 from __future__ import annotations
@@ -11,7 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sitefold.llm.common import words
+from sitefold.llm.common import fresh, without, words
 
 # Function words of the four languages of the corpus.
 STOP_WORDS = tuple(
@@ -49,43 +51,43 @@ RULES = (
 def measures(df: DataFrame, text: str = "text") -> DataFrame:
     """Adds the measures. Each stage names arrays that the next one reads more than once."""
     body = F.coalesce(F.col(text), F.lit(""))
-    lines = F.filter(F.split(body, "\n"), lambda x: x.rlike("[^ \\t-\\r]"))
-    df = df.withColumns({"_w": words(F.col(text)), "_l": lines})
-    n = F.size("_w")
-    window = lambda i: F.struct(F.xxhash64(F.get("_w", i), F.get("_w", i + 1), F.get("_w", i + 2)).alias("h"), i.alias("i"))
+    w, ls, g, p, lines = fresh(df.columns, "_w", "_l", "_g", "_p", "_n_lines")
+    df = df.withColumns({w: words(F.col(text)), ls: F.filter(F.split(body, "\n"), lambda x: x.rlike("[^ \\t-\\r]"))})
+    n = F.size(w)
+    window = lambda i: F.struct(F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)).alias("h"), i.alias("i"))
     none = F.array().cast("array<struct<h:bigint,i:int>>")
-    df = df.withColumn("_g", F.when(n >= 3, F.array_sort(F.transform(F.sequence(F.lit(0), n - 3), window))).otherwise(none))
-    same = lambda x, j, k: F.coalesce(F.get("_g", j + k)["h"] == x["h"], F.lit(False))
-    seen = F.filter("_g", lambda x, j: same(x, j, 1) | same(x, j, -1))
-    df = df.withColumn("_p", F.array_sort(F.transform(seen, lambda x: x["i"])))
+    df = df.withColumn(g, F.when(n >= 3, F.array_sort(F.transform(F.sequence(F.lit(0), n - 3), window))).otherwise(none))
+    same = lambda x, j, k: F.coalesce(F.get(g, j + k)["h"] == x["h"], F.lit(False))
+    seen = F.filter(g, lambda x, j: same(x, j, 1) | same(x, j, -1))
+    df = df.withColumn(p, F.array_sort(F.transform(seen, lambda x: x["i"])))
     covered = F.aggregate(
-        F.transform("_p", lambda p, k: F.least(F.lit(3), F.coalesce(F.get("_p", k + 1) - p, F.lit(3)))),
+        F.transform(p, lambda at, k: F.least(F.lit(3), F.coalesce(F.get(p, k + 1) - at, F.lit(3)))),
         F.lit(0).cast("long"),
         lambda a, x: a + x,
     )
-    n_lines = F.greatest(F.size("_l"), F.lit(1))
+    n_lines = F.greatest(F.size(ls), F.lit(1))
     per_word = F.greatest(n, F.lit(1))
-    stops = F.size(F.filter("_w", lambda w: F.lower(w).isin(*STOP_WORDS)))
+    stops = F.size(F.filter(w, lambda x: F.lower(x).isin(*STOP_WORDS)))
     df = df.withColumns(
         {
             "n_words": n.cast("long"),
-            "word_chars": F.length(F.array_join("_w", "")).cast("long"),
+            "word_chars": F.length(F.array_join(w, "")).cast("long"),
             "n_symbols": F.regexp_count(body, F.lit(SYMBOLS)).cast("long"),
-            "n_dup_lines": (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long"),
+            "n_dup_lines": (F.size(ls) - F.size(F.array_distinct(ls))).cast("long"),
             "n_repeat_words": covered,
             "stop_word_ratio": stops / per_word,
-            "ellipsis_line_ratio": F.size(F.filter("_l", lambda x: F.rtrim(x).endswith("...") | F.rtrim(x).endswith(ELLIPSIS))) / n_lines,
-            "bullet_line_ratio": F.size(F.filter("_l", lambda x: F.ltrim(x).rlike("^[-*•‣▪]"))) / n_lines,
-            "_n_lines": n_lines,
+            "ellipsis_line_ratio": F.size(F.filter(ls, lambda x: F.rtrim(x).endswith("...") | F.rtrim(x).endswith(ELLIPSIS))) / n_lines,
+            "bullet_line_ratio": F.size(F.filter(ls, lambda x: F.ltrim(x).rlike("^[-*•‣▪]"))) / n_lines,
+            lines: n_lines,
         }
     )
     return df.withColumns(
         {
             "mean_word_chars": F.col("word_chars") / F.greatest("n_words", F.lit(1)),
             "symbol_ratio": F.col("n_symbols") / (4 * F.greatest("n_words", F.lit(1))),
-            "dup_line_ratio": F.col("n_dup_lines") / F.col("_n_lines"),
+            "dup_line_ratio": F.col("n_dup_lines") / F.col(lines),
         }
-    ).drop("_w", "_l", "_g", "_p", "_n_lines")
+    ).drop(w, ls, g, p, lines)
 
 
 def verdict(rules=RULES) -> Column:
@@ -99,20 +101,26 @@ def verdict(rules=RULES) -> Column:
     return passed
 
 
-def judge(df: DataFrame, text: str = "text", rules=RULES) -> DataFrame:
-    """The input's columns, the measures, base_failed and kept."""
-    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return measures(df, text).withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & verdict(rules))
+#: What judge() adds.
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "stop_word_ratio", "ellipsis_line_ratio", "bullet_line_ratio", "mean_word_chars", "symbol_ratio", "dup_line_ratio")
 
 
-def keep_good(df: DataFrame, text: str = "text", rules=RULES) -> DataFrame:
-    """The input's rows that the rules keep.
+def judge(df: DataFrame, text: str = "text", rules=RULES) -> DataFrame:
+    """The input's columns, the measures, base_failed and kept.
 
-    The verdict passes through a generator of one row, below which no filter is pushed: pushed down, the
+    What is added passes through a generator of one row, below which no filter is pushed: pushed down, a
     verdict would take the arrays' expressions with it into lambdas that run once for each element.
     """
-    judged = judge(df, text, rules).select(*df.columns, F.inline(F.array(F.struct(F.col("kept").alias("_kept")))))
-    return judged.where("_kept").drop("_kept")
+    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    added = F.struct(*MEASURES, failed.alias("base_failed"), (~failed & verdict(rules)).alias("kept"))
+    own = without(df.columns, *MEASURES, "base_failed", "kept")
+    return measures(df, text).select(*own, F.inline(F.array(added)))
+
+
+def keep_good(df: DataFrame, text: str = "text", rules=RULES) -> DataFrame:
+    """The input's rows that the rules keep."""
+    judged = judge(df.select(F.col(text).alias("_text"), F.struct(*df.columns).alias("_row")), "_text", rules)
+    return judged.where("kept").select("_row.*")
 
 
 def op5(spark, sf_dir: str) -> DataFrame:
