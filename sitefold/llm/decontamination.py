@@ -18,7 +18,11 @@ and a passage that very many documents share gathers nowhere.
 
 Tokens are runs of letters and digits, lower-cased. Null and empty texts have no tokens and are clean;
 items shorter than a window are laid over the document whole: MIN_SHARE of their tokens must be equal, and as
-many as the fewest in a longer item (6); of up to 6 tokens all. Repeated rows are judged alike. Extra columns are kept; clashing ones are replaced.
+many as the fewest in a longer item (6); of up to 6 tokens all. Items of fewer than `least` tokens, a parameter
+that is 1 by default, are passed over: a benchmark of single words would else find them everywhere. Repeated rows
+are judged alike. An empty table gives an empty table, an empty benchmark leaks nothing. A long text is one row
+whose windows are made and tested in place. Extra columns are kept; those named items, n_equal or leaked are
+replaced, no other name clashes.
 """
 
 from __future__ import annotations
@@ -27,7 +31,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sitefold.llm.common import documents
+from sitefold.llm.common import documents, fresh, without
 
 #: All of weight 3 within 4 tokens, and one more for items of 10 tokens.
 MASKS, TEN = ("111", "1101", "1011"), "11001"
@@ -75,54 +79,55 @@ def _fullest(min_share: float, min_overlap: int) -> Column:
     return F.when(n < WINDOW, whole).otherwise(F.greatest(*at))
 
 
-def overlaps(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", masks=MASKS, min_share: float = MIN_SHARE, min_overlap: int = MIN_OVERLAP) -> DataFrame:
-    """(key, k, item, n_equal): verified overlaps, the fullest of each document and item."""
-    items = with_tokens(benchmark.select(F.col(item).alias("item"), F.col(item_text).alias("_text")), "_text").where("size(t) > 0").select("item", "t")
+def overlaps(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", masks=MASKS, min_share: float = MIN_SHARE, min_overlap: int = MIN_OVERLAP, least: int = 1) -> DataFrame:
+    """(doc, k, item, n_equal): verified overlaps, the fullest of each document (id and text hash) and item."""
+    items = with_tokens(benchmark.select(F.col(item).alias("item"), F.col(item_text).alias("_text")), "_text").where(F.size("t") >= max(least, 1)).select("item", "t")
     bound = benchmark.agg(F.sum(F.octet_length(item_text))).first()[0] or 0
     small = bound <= MOST_BROADCAST
     dealt = F.broadcast if small else (lambda df: df)
-    rows = with_tokens(docs.select(F.col(key), F.col(text).alias("_text")), "_text").select(key, F.xxhash64("_text").alias("k"), "t")
+    rows = with_tokens(docs.select(F.col(key).alias("doc"), F.col(text).alias("_text")), "_text").select("doc", F.xxhash64("_text").alias("k"), "t")
     # Bit REACH + i is set if the tokens i places from the hit are equal.
     bits = F.expr(f"aggregate(sequence(0, least(size(mine), size(theirs)) - 1), 0L, (b, i) -> b | if(mine[i] = theirs[i], shiftleft(1L, i + {REACH} - near), 0L))")
 
     def found(mine: DataFrame, theirs: DataFrame) -> DataFrame:
         if not small:  # what is shuffled carries the tokens around the hit alone
             near = F.least("at", F.lit(REACH))
-            mine = mine.select(key, "k", "seed", F.slice("t", F.col("at") - near + 1, near + REACH + 1).alias("t"), near.alias("at"))
+            mine = mine.select("doc", "k", "seed", F.slice("t", F.col("at") - near + 1, near + REACH + 1).alias("t"), near.alias("at"))
         hits = mine.join(dealt(theirs.withColumnsRenamed({"t": "u", "at": "u_at"})), "seed")
         # A hit leaves the generated join with its surroundings only; the generators of one row keep the
         # comparison, which needs a lambda, from being pushed into the join and out of generated code, and
         # from being made anew for each place.
         near = F.least("at", "u_at", F.lit(REACH))
         around = lambda tokens, at: F.slice(F.col(tokens), F.col(at) - near + 1, near + REACH + 1)
-        hits = hits.select(key, "k", "item", F.inline(F.array(F.struct(around("t", "at").alias("mine"), around("u", "u_at").alias("theirs"), near.alias("near"), F.size("u").alias("n")))))
+        hits = hits.select("doc", "k", "item", F.inline(F.array(F.struct(around("t", "at").alias("mine"), around("u", "u_at").alias("theirs"), near.alias("near"), F.size("u").alias("n")))))
         lo = REACH - F.col("near")
-        hits = hits.select(key, "k", "item", F.inline(F.array(F.struct(bits.alias("bits"), lo.alias("lo"), (lo + F.least(F.size("mine"), F.size("theirs")) - 1).alias("hi"), "n"))))
-        return hits.select(key, "k", "item", _fullest(min_share, min_overlap).alias("n_equal")).where("n_equal IS NOT NULL")
+        hits = hits.select("doc", "k", "item", F.inline(F.array(F.struct(bits.alias("bits"), lo.alias("lo"), (lo + F.least(F.size("mine"), F.size("theirs")) - 1).alias("hi"), "n"))))
+        return hits.select("doc", "k", "item", _fullest(min_share, min_overlap).alias("n_equal")).where("n_equal IS NOT NULL")
+
+    span = min(map(len, masks))
+    out = found(_seeds(rows, masks, ["doc", "k"]), _seeds(items.where(F.size("t") >= span), masks, ["item"]).where("seed IS NOT NULL"))
+    more = {10: TEN} | {n: "1" * n for n in range(1, span)}  # items too short for the masks, and those of 10 tokens
+    for (n,) in items.select(F.size("t").alias("n")).where(F.col("n").isin(*more)).distinct().collect():
+        theirs = _seeds(items.where(F.size("t") == n), (more[n],), ["item"]).where("seed IS NOT NULL")
+        out = out.unionByName(found(_seeds(rows, (more[n],), ["doc", "k"]), theirs))
+    return out.groupBy("doc", "k", "item").agg(F.max("n_equal").alias("n_equal"))
 
-    least = min(map(len, masks))
-    out = found(_seeds(rows, masks, [key, "k"]), _seeds(items.where(F.size("t") >= least), masks, ["item"]).where("seed IS NOT NULL"))
-    for n, more in [*((n, "1" * n) for n in range(1, least)), (10, TEN)]:  # items too short for the masks, and those of 10 tokens
-        theirs = items.where(F.size("t") == n)
-        if not theirs.isEmpty():
-            out = out.unionByName(found(_seeds(rows, (more,), [key, "k"]), _seeds(theirs, (more,), ["item"]).where("seed IS NOT NULL")))
-    return out.groupBy(key, "k", "item").agg(F.max("n_equal").alias("n_equal"))
 
+def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", keep: list[str] | None = None, **how) -> DataFrame:
+    """The input's rows with leaked, items (sorted ids of the leaked items) and n_equal (of the fullest overlap).
 
-def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", **how) -> DataFrame:
-    """The input's rows with items (sorted ids of the leaked items), n_equal (of the fullest overlap) and leaked."""
-    found = overlaps(docs, benchmark, key, text, **how).groupBy(F.col(key).alias("_id"), F.col("k").alias("_k"))
-    found = found.agg(F.array_sort(F.collect_set("item")).alias("items"), F.max("n_equal").alias("n_equal"))
-    rows = docs.drop("items", "n_equal", "leaked").withColumn("_t", F.xxhash64(text))
-    rows = rows.join(found, F.col(key).eqNullSafe(F.col("_id")) & (F.col("_t") == F.col("_k")), "left").drop("_id", "_k", "_t")
-    none = F.array().cast(dict(found.dtypes)["items"])
-    return rows.withColumns({"leaked": F.col("items").isNotNull(), "items": F.coalesce("items", none), "n_equal": F.coalesce("n_equal", F.lit(0)).cast("long")})
+    keep: the input's columns that are wanted; without the text, ids and text hashes are joined alone.
+    """
+    doc, k, mine = fresh(docs.columns, "_doc", "_k", "_t")
+    found = overlaps(docs, benchmark, key, text, **how).groupBy(F.col("doc").alias(doc), F.col("k").alias(k))
+    found = found.agg(F.array_sort(F.collect_set("item")).alias("_items"), F.max("n_equal").alias("_n"))
+    items, n = fresh(docs.columns, "_items", "_n")
+    kind = dict(found.dtypes)["_items"]
+    found = found.withColumnsRenamed({"_items": items, "_n": n})
+    rows = docs.withColumn(mine, F.xxhash64(text)).join(found, F.col(key).eqNullSafe(F.col(doc)) & (F.col(mine) == F.col(k)), "left")
+    added = [F.col(items).isNotNull().alias("leaked"), F.coalesce(items, F.array().cast(kind)).alias("items"), F.coalesce(n, F.lit(0)).cast("long").alias("n_equal")]
+    return rows.select(*(keep or without(docs.columns, "items", "n_equal", "leaked")), *added)
 
 
 def op4(spark, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
-    # The result carries no text, so ids and text hashes are joined, not texts.
-    found = overlaps(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    found = found.groupBy(F.col("doc_id").alias("_id"), F.col("k").alias("_k")).agg(F.array_sort(F.collect_set("item")).alias("items"), F.max("n_equal").alias("n_equal"))
-    rows = docs.select("doc_id", F.xxhash64("text").alias("_t")).join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_t") == F.col("_k")), "left")
-    return rows.select("doc_id", F.col("items").isNotNull().alias("leaked"), F.coalesce("items", F.array().cast("array<bigint>")).alias("items"), F.coalesce("n_equal", F.lit(0)).cast("long").alias("n_equal"))
+    return leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), keep=["doc_id"])

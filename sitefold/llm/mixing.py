@@ -4,18 +4,25 @@ Token counts are summed per source, a target is set for each source by its weigh
 is emitted floor(rate) times plus one more copy with probability equal to the fraction of the rate.
 The draw is a hash of the seed and the document's id, so reruns agree. Null text has size 0; null
 sources form one source, ordered last; a source without words has rate 0; repeated rows draw alike.
-Input columns that clash with the added ones are replaced.
+An empty table gives an empty table; a long text is one row with a large size. Input columns named size,
+source_size, target, copies or copy are replaced; no other name clashes.
+
+The targets are a written table with one row for each source. Up to MOST_SOURCES rows, counted first, it
+is broadcast, so that documents aren't shuffled; beyond that Spark joins by source, and adaptive execution
+splits a hot one. The level is found in one task, over one row for each source.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from sitefold.llm.common import documents, words
+from sitefold.llm.common import documents, fresh, materialise, without, words
 
 SEED = "mix-1"
 #: No source is asked for more than this many times its own words.
 MOST = 3
+#: Rows of targets up to which they are broadcast.
+MOST_SOURCES = 50_000
 
 
 def source_targets(sizes: DataFrame, source: str = "source", most: int = MOST) -> DataFrame:
@@ -49,17 +56,19 @@ def draw(key: Column, seed: str = SEED) -> Column:
 
 
 def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", seed: str = SEED) -> DataFrame:
-    """The input's rows with size, source_size, target and copies.
-
-    Sizes are summed before the shuffle. The joined side has one row for each source; Spark
-    broadcasts it only if its measured size is below the session's threshold.
-    """
-    sized = docs.withColumn("size", F.size(words(F.col(text))).cast("long"))
-    targets = source_targets(sized.groupBy(F.col(source).alias("_source")).agg(F.sum("size").alias("source_size")), "_source").drop("weight")
-    rows = sized.drop("source_size", "target", "copies").join(targets, F.col(source).eqNullSafe(F.col("_source")), "left").drop("_source")
-    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+    """The input's rows with size, source_size, target and copies."""
+    name, size, total, target = fresh(docs.columns, "_source", "_size", "_total", "_target")
+    sized = docs.withColumn(size, F.size(words(F.col(text))).cast("long"))
+    sizes = sized.groupBy(F.col(source).alias("source")).agg(F.sum(size).alias("source_size"))
+    targets = materialise(source_targets(sizes).select(F.col("source").alias(name), F.col("source_size").alias(total), F.col("target").alias(target)), "targets")
+    if targets.count() <= MOST_SOURCES:
+        targets = F.broadcast(targets)
+    rate = F.when(F.col(total) > 0, F.col(target) / F.col(total)).otherwise(F.lit(0.0))
     extra = F.when(draw(F.col(key), seed) < rate - F.floor(rate), F.lit(1)).otherwise(F.lit(0))
-    return rows.withColumn("copies", F.least(F.floor(rate) + extra, F.lit(MOST)).cast("long"))
+    copies = F.least(F.floor(rate) + extra, F.lit(MOST)).cast("long")
+    rows = sized.join(targets, F.col(source).eqNullSafe(F.col(name)), "left")
+    added = [F.col(size).alias("size"), F.col(total).alias("source_size"), F.col(target).alias("target"), copies.alias("copies")]
+    return rows.select(*without(docs.columns, "size", "source_size", "target", "copies"), *added)
 
 
 def emit(mixed: DataFrame) -> DataFrame:

@@ -31,7 +31,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sitefold.llm.common import documents, materialise, row_key
+from sitefold.llm.common import documents, fresh, materialise, row_key
 from sitefold.operators.components import components
 
 #: Values in a signature, chunks, values left out of a chunk's key, bits of a value.
@@ -242,7 +242,9 @@ def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", **how)
     found = near_duplicates(docs, key, text, **how)
     kept = found.where((F.col("doc") == F.col("component")) | F.col("component").isNull() | (F.col("n_shingles") == 0))
     kept = kept.groupBy(F.coalesce("group", "k")).agg(F.min("k").alias("_k"))
-    return docs.withColumn("_k", row_key(key, text)).join(kept.select("_k").distinct(), "_k").dropDuplicates(["_k"]).select(*docs.columns)
+    (k,) = fresh(docs.columns, "_k")
+    kept = kept.select(F.col("_k").alias(k)).distinct()
+    return docs.withColumn(k, row_key(key, text)).join(kept, k).dropDuplicates([k]).select(*docs.columns)
 
 
 def op6(spark, sf_dir: str) -> DataFrame:
