@@ -1,7 +1,7 @@
 """Connected components of an edge table, by alternating large-star and small-star rounds.
 
 Each round rewrites edges with two aggregations and joins, and ends in a written table, so that lineage
-stays short and a lost executor repeats one round at most. Rounds needed grow with the logarithm of the
+stays short and a lost executor repeats one round at most; the table before it is deleted. Rounds needed grow with the logarithm of the
 components' diameters. Nothing is collected but two numbers for each round.
 """
 
@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, functions as F
 
-from sitefold.plans.shared import materialise
+from sitefold.plans.shared import materialise, release
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -39,7 +39,8 @@ def components(edges: DataFrame, src: str = "src", dst: str = "dst", most_rounds
     links = keep(links, "links")
     before = None
     for _ in range(most_rounds):
-        links = keep(_small_star(_large_star(links)), "links")
+        last, links = links, keep(_small_star(_large_star(links)), "links")
+        release(last)
         state = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == before:
             break

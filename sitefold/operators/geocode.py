@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 from sitefold.functions.address import query_key
 from sitefold.functions.countries import with_iso2
 from sitefold.schema import GEO_CACHE
+from sitefold.vocabulary import MAPPABLE
 
 MOST_TRIES = 3
 VERSION = "v2"
@@ -63,31 +64,57 @@ def probe(index: DataFrame, n: int = 10) -> DataFrame:
     return index.select("qkey").distinct().orderBy(F.xxhash64("qkey"), "qkey").limit(n)
 
 
-def lookup(todo: DataFrame, provider: Callable[[dict], dict | None], lanes: int = 1, pause: float = 0.0, fallback: Callable[[dict], dict | None] | None = None) -> DataFrame:
-    """(qkey, lat, lon, precision, provider, error): provider(parts) gives lat, lon, precision and provider, None for
-    no answer, or raises. Empty and coarse answers are asked of the fallback. Each lane is one paced task."""
+def ladder(parts: dict) -> list[dict]:
+    """What is asked for one address, from the most to the least precise, each kind once: all parts, then without the
+    street, then the city alone (or the postcode where there is no city)."""
+    street, city, postcode = (parts.get(k) or None for k in ("street", "city", "postcode"))
+    tries = [(street, city, postcode), (None, city, postcode), (None, city, None if city else postcode)]
+    out = []
+    for s, c, p in tries:
+        step = {**parts, "street": s, "city": c, "postcode": p}
+        if (s or c or p) and step not in out:
+            out.append(step)
+    return out
+
+
+def acceptable(parts: dict, answer: dict | None) -> bool:
+    """An answer with a position that isn't in another country than the one asked for."""
+    if not answer or answer.get("lat") is None or answer.get("lon") is None:
+        return False
+    asked, got = (parts.get("iso2") or "").upper(), (answer.get("country") or "").upper()
+    return not asked or not got or asked == got
+
+
+def lookup(todo: DataFrame, provider: Callable[[dict], dict | None], lanes: int = 1, pause: float = 0.0, fallback: Callable[[dict], dict | None] | None = None, seconds: float | None = None) -> DataFrame:
+    """(qkey, lat, lon, precision, provider, error): provider(parts) gives lat, lon, precision, provider and, if it
+    knows it, the two-letter country; None for no answer, or raises. Each address goes down the ladder until an
+    answer is acceptable. Empty and coarse answers are asked of the fallback. Each lane is one paced task; with
+    `seconds`, a lane leaves what is left after that time unasked, and gives no row for it."""
     columns = ["qkey", "lat", "lon", "precision", "provider", "error"]
 
     def ask(parts: dict) -> list:
         best, error = None, None
         for who in (provider, fallback):
-            if who is None or best and best.get("precision") in ("rooftop", "street"):
+            if who is None or best and best.get("precision") in MAPPABLE:
                 continue
             try:
-                got = who(parts)
+                got = next((x for x in map(who, ladder(parts)) if acceptable(parts, x)), None)
             except Exception as e:  # transport errors aren't answers and aren't cached
                 error = str(e)
                 continue
-            if got and (best is None or got.get("precision") in ("rooftop", "street")):
+            if got and (best is None or got.get("precision") in MAPPABLE):
                 best = got
             error = None
         best = best or {}
         return [parts["qkey"], best.get("lat"), best.get("lon"), best.get("precision", "none"), best.get("provider"), error]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ends = None if seconds is None else time.monotonic() + seconds
         for b in batches:
             out = []
             for parts in b.to_dict("records"):
+                if ends is not None and time.monotonic() >= ends:
+                    break
                 out.append(ask(parts))
                 time.sleep(pause)
             yield pd.DataFrame(out, columns=columns)
@@ -105,3 +132,17 @@ def updated(cache: DataFrame, answers: DataFrame) -> DataFrame:
 
 def empty_cache(spark) -> DataFrame:
     return spark.createDataFrame([], GEO_CACHE)
+
+
+def save(cache: DataFrame, path: str) -> None:
+    """Replaces the cache at path. It is written beside it first and then renamed, so that a failure half way leaves
+    one whole cache, the old or the new one (at path with .old or .new behind it)."""
+    spark = cache.sparkSession
+    at = lambda suffix: spark._jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + suffix)
+    fs = at("").getFileSystem(spark._jsc.hadoopConfiguration())
+    cache.write.mode("overwrite").parquet(path.rstrip("/") + ".new")
+    fs.delete(at(".old"), True)
+    if fs.exists(at("")):
+        fs.rename(at(""), at(".old"))
+    fs.rename(at(".new"), at(""))
+    fs.delete(at(".old"), True)

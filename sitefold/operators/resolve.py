@@ -80,9 +80,9 @@ def id_edges(rows: DataFrame) -> DataFrame:
     return listed.join(first, ["country", "id"]).where("key <> src OR n > 1").select("src", F.col("key").alias("dst")).distinct()
 
 
-def _sides(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    some = ["key", "seq", "source_id", "text", "words"]
-    return tuple(rows.select("country", "block", *[F.col(c).alias(f"{s}_{c}") for c in some], *[F.col(c).alias(f"{s}_{c}") for c in ("lat", "lon")]) for s in "ab")
+def _sides(rows: DataFrame, *more: str) -> tuple[DataFrame, DataFrame]:
+    some = ["key", "seq", "source_id", "text", "words", "lat", "lon", *more]
+    return tuple(rows.select("country", "block", *[F.col(c).alias(f"{s}_{c}") for c in some]) for s in "ab")
 
 
 def _scored(pairs: DataFrame) -> DataFrame:
@@ -100,14 +100,20 @@ def addr_pairs(rows: DataFrame) -> DataFrame:
 
 
 def grid_pairs(rows: DataFrame, reach: float = GEO_LOOSE_M) -> DataFrame:
-    """Pairs that share the neighbourhood of an occupied cell, with their distance, once each, a_key < b_key."""
-    at = rows.where("lat IS NOT NULL AND lon IS NOT NULL").withColumns({"_y": F.round(F.col("lat") / GRID).cast("long"), "_x": F.round(F.col("lon") / GRID).cast("long")})
-    near = F.array(*[F.struct((F.col("_y") + dy).alias("y"), (F.col("_x") + dx).alias("x")) for dy in (-1, 0, 1) for dx in (-1, 0, 1)])
-    cells = at.select("country", F.struct(F.col("_y").alias("y"), F.col("_x").alias("x")).alias("block")).distinct()
-    dealt = at.withColumn("block", F.explode(near)).join(cells, ["country", "block"], "left_semi")
-    a, b = _sides(dealt)
-    pairs = a.join(b, ["country", "block"]).where("a_key < b_key").withColumn("metres", haversine_m(F.col("a_lat"), F.col("a_lon"), F.col("b_lat"), F.col("b_lon")))
-    return pairs.where(F.col("metres") <= reach).dropDuplicates(["a_key", "b_key"])
+    """Pairs that share the neighbourhood of an occupied cell, with their distance, once each, a_key < b_key.
+
+    The occupied cells around a cell, at most nine, are found once for each cell. A pair comes out of the
+    smallest of those that its ends share, so no pair is made twice and none has to be dealt out again.
+    """
+    cell = F.struct(F.round(F.col("lat") / GRID).cast("long").alias("y"), F.round(F.col("lon") / GRID).cast("long").alias("x"))
+    at = rows.where("lat IS NOT NULL AND lon IS NOT NULL").withColumn("cell", cell)
+    cells = at.select("country", "cell").distinct()
+    beside = F.array(*[F.struct((F.col("cell.y") + dy).alias("y"), (F.col("cell.x") + dx).alias("x")) for dy in (-1, 0, 1) for dx in (-1, 0, 1)])
+    around = cells.select("country", "cell", F.explode(beside).alias("block")).join(cells.withColumnRenamed("cell", "block"), ["country", "block"], "left_semi")
+    around = around.groupBy("country", "cell").agg(F.collect_list("block").alias("near"))
+    a, b = _sides(at.join(around, ["country", "cell"]).withColumn("block", F.explode("near")), "near")
+    pairs = a.join(b, ["country", "block"]).where("a_key < b_key AND block = array_min(array_intersect(a_near, b_near))").drop("a_near", "b_near")
+    return pairs.withColumn("metres", haversine_m(F.col("a_lat"), F.col("a_lon"), F.col("b_lat"), F.col("b_lon"))).where(F.col("metres") <= reach)
 
 
 def geo_pairs(rows: DataFrame) -> DataFrame:

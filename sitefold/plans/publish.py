@@ -9,7 +9,8 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sitefold.functions.geo import fixed_point, mercator
-from sitefold.vocabulary import EXCLUDED_ACTIVITIES, EXCLUDED_SPECIES, SPECIES
+from sitefold.functions.text import lookup
+from sitefold.vocabulary import ACTIVITY_FATES, EXCLUDED_ACTIVITIES, EXCLUDED_SPECIES, SPECIES
 
 #: Facilities up to which build() writes one page; beyond it the coded tables are the payload.
 MOST_IN_PAGE = 2_000_000
@@ -35,6 +36,17 @@ def dot_key(species: Column) -> Column:
     return F.when(F.size(known) == 0, "_unstated").when(F.size(known) > 2, "_mixed").otherwise(F.get(known, F.lit(0)))
 
 
+def fate(activity: Column) -> Column:
+    """Whether and where animals at a place of this activity are killed; null if the activity says nothing."""
+    return lookup(activity, {a: f for f, acts in ACTIVITY_FATES.items() for a in acts})
+
+
+def activity_label(activity: Column) -> Column:
+    """An activity in words."""
+    words = F.regexp_replace(activity, "_", " ")
+    return F.when(F.coalesce(activity, F.lit("unknown")).isin("unknown", "_none"), "Activity not stated").otherwise(F.concat(F.upper(F.substring(words, 1, 1)), F.substring(words, 2, 100)))
+
+
 def slaughter_code(c: Column) -> Column:
     return F.when(c, 1).when(~c, 0).otherwise(2)
 

@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, or a folder of our own where it is unset, as in tests on one machine."""
+    """spark.checkpoint.dir; where it is unset, as in tests on one machine, a folder of our own. On a cluster such a
+    folder would be on one machine only, so an unset one is an error there."""
     known = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not known:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="sitefold-"))
         known = spark.sparkContext.getCheckpointDir()
     return known
@@ -26,4 +29,20 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = new_dir(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.materialised_at = path
+    return out
+
+
+def release(df: DataFrame) -> None:
+    """Deletes a table that materialise() wrote and that nothing reads any more. Other frames are left alone."""
+    path = getattr(df, "materialised_at", None)
+    if path:
+        p = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def clean(spark: SparkSession) -> None:
+    """Deletes all tables of this library under the shared folder: for the end of a job whose results are written elsewhere."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark).rstrip('/')}/sitefold")
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

@@ -7,12 +7,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sitefold.functions import geo, text
 from sitefold.operators import assemble, geocode, resolve
 from sitefold.operators.components import components
 from sitefold.plans import publish
+from sitefold.plans.shared import materialise, new_dir
+from sitefold.schema import FIELDS, TYPES
 from sitefold.vocabulary import EXCLUDED_ACTIVITIES, LEGAL_SUFFIXES, STOPWORDS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,13 +80,6 @@ def c3(spark, d):
     return table(spark, d, "customer").select("c_custkey", text.norm_name(n).alias("norm"), F.array_join(F.array_sort(text.name_tokens(n)), " ").alias("tokens"))
 
 
-@query("c5_jaccard_pairs", f"WITH t AS (SELECT p_partkey, p_brand, {TOKENS.format('p_name')} w FROM part) SELECT a.p_partkey a, b.p_partkey b, round({JACCARD.format('a.w', 'b.w')}, 6) score FROM t a JOIN t b ON a.p_brand = b.p_brand AND a.p_partkey < b.p_partkey AND b.p_partkey - a.p_partkey < 200 WHERE {JACCARD.format('a.w', 'b.w')} >= 0.4")
-def c5(spark, d):
-    t = table(spark, d, "part").select("p_partkey", "p_brand", text.name_tokens(F.col("p_name")).alias("w"))
-    a, b = t.toDF("a", "brand", "aw"), t.toDF("b", "brand", "bw")
-    return a.join(b, "brand").where("a < b AND b - a < 200").withColumn("s", text.token_set_ratio(F.col("aw"), F.col("bw"))).where("s >= 0.4").select("a", "b", F.round("s", 6).alias("score"))
-
-
 @query("c5_jaccard_all_pairs", f"WITH t AS (SELECT p_partkey, p_brand, {TOKENS.format('p_name')} w FROM part) SELECT a.p_partkey a, b.p_partkey b, round({JACCARD.format('a.w', 'b.w')}, 6) score FROM t a JOIN t b ON a.p_brand = b.p_brand AND a.p_partkey < b.p_partkey WHERE {JACCARD.format('a.w', 'b.w')} >= 0.4")
 def c5_all(spark, d):
     """All pairs of a brand: each two word sets that share a word are compared once, then dealt to their parts."""
@@ -115,7 +110,7 @@ def c11(spark, d):
     return a.join(b, F.col("b") == F.col("a") + 1).select("a", "b", F.round(geo.haversine_m(F.col("alat"), F.col("alon"), F.col("blat"), F.col("blon")), 2).alias("m"))
 
 
-@query("c27_f9_truthy", "SELECT o_orderkey, CASE v WHEN '' THEN NULL WHEN 'n' THEN false WHEN 'no' THEN false WHEN '0' THEN false WHEN 'f' THEN false WHEN 'false' THEN false ELSE true END AS flag FROM (SELECT o_orderkey, lower(trim(CASE o_orderkey % 5 WHEN 0 THEN ' N ' WHEN 1 THEN 'Yes' WHEN 2 THEN '' WHEN 3 THEN '0' ELSE o_orderstatus END)) v FROM orders)")
+@query("f9_truthy", "SELECT o_orderkey, CASE v WHEN '' THEN NULL WHEN 'n' THEN false WHEN 'no' THEN false WHEN '0' THEN false WHEN 'f' THEN false WHEN 'false' THEN false ELSE true END AS flag FROM (SELECT o_orderkey, lower(trim(CASE o_orderkey % 5 WHEN 0 THEN ' N ' WHEN 1 THEN 'Yes' WHEN 2 THEN '' WHEN 3 THEN '0' ELSE o_orderstatus END)) v FROM orders)")
 def f9(spark, d):
     k = F.col("o_orderkey")
     v = F.when(k % 5 == 0, " N ").when(k % 5 == 1, "Yes").when(k % 5 == 2, "").when(k % 5 == 3, "0").otherwise(F.col("o_orderstatus"))
@@ -141,18 +136,12 @@ def c33(spark, d):
     return sites(spark, d).select("k", F.round(x, 9).alias("x"), F.round(y, 9).alias("y"))
 
 
-@query("j1_left_last_wins", "SELECT o_orderkey, arg_max(l_partkey, struct_pack(n := l_linenumber, p := l_partkey)) AS part FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1")
-def j1(spark, d):
-    last = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.max_by("l_partkey", F.struct("l_linenumber", "l_partkey")).alias("part"))
-    return table(spark, d, "orders").select("o_orderkey").join(last, F.col("o_orderkey") == F.col("l_orderkey"), "left").select("o_orderkey", "part")
-
-
-RECORDS = f"""{SITES}, rec AS (SELECT *, nation::VARCHAR country, CASE WHEN k % 6 = 0 THEN (k // 12)::VARCHAR END id FROM sites)"""
+RECORDS = f"""{SITES}, rec AS (SELECT *, 'N' || (k // 60 % 3) country, CASE WHEN k % 6 = 0 THEN (k // 12)::VARCHAR END id FROM sites)"""
 
 
 def records(spark, d):
     """Sites in the columns that the stages join on."""
-    s = sites(spark, d).withColumn("country", F.col("nation").cast("string"))
+    s = sites(spark, d).withColumn("country", F.concat(F.lit("N"), (F.floor(F.col("k") / 60) % 3).cast("string")))  # neighbours share a country
     nn = text.norm_name(F.col("name"))
     return s.select(
         F.col("k").cast("string").alias("key"), F.col("k").alias("seq"), F.lit("x").alias("source_id"), "country", "name", "address", text.norm_text(F.col("name")).alias("text"), nn.alias("nn"),
@@ -161,42 +150,34 @@ def records(spark, d):
     )
 
 
-@query("j2_id_edges", f"WITH {RECORDS}, f AS (SELECT k // 12 id, min(k) k0, count(*) n FROM rec WHERE k % 6 = 0 GROUP BY 1 HAVING count(*) > 1) SELECT k0::VARCHAR src, k::VARCHAR dst FROM rec JOIN f ON rec.k % 6 = 0 AND rec.k // 12 = f.id WHERE true")
+@query("j2_id_edges", f"WITH {RECORDS}, f AS (SELECT id, country, min(k) k0, count(*) n FROM rec WHERE id IS NOT NULL GROUP BY ALL HAVING count(*) > 1) SELECT k0::VARCHAR src, k::VARCHAR dst FROM rec JOIN f USING (id, country)")
 def j2(spark, d):
-    return resolve.id_edges(records(spark, d).withColumn("country", F.lit("A")))
+    return resolve.id_edges(records(spark, d))
 
 
-@query("j3_addr_tier", f"WITH {SITES}, r AS (SELECT *, {AK.format('address', 'postcode')} ak, {TOKENS.format('name')} w FROM sites) SELECT a.k::VARCHAR a_key, b.k::VARCHAR b_key, round({JACCARD.format('a.w', 'b.w')}, 6) score, {JACCARD.format('a.w', 'b.w')} >= 0.6 merges FROM r a JOIN r b ON a.ak = b.ak AND a.k < b.k AND a.ak <> '' AND a.ak NOT LIKE '%#' WHERE {JACCARD.format('a.w', 'b.w')} >= 0.4")
+@query("j3_addr_tier", f"WITH {RECORDS}, r AS (SELECT *, {AK.format('address', 'postcode')} ak, {TOKENS.format('name')} w FROM rec) SELECT a.k::VARCHAR a_key, b.k::VARCHAR b_key, round({JACCARD.format('a.w', 'b.w')}, 6) score, {JACCARD.format('a.w', 'b.w')} >= 0.6 merges FROM r a JOIN r b ON a.country = b.country AND a.ak = b.ak AND a.k < b.k AND a.ak <> '' AND a.ak NOT LIKE '%#' WHERE {JACCARD.format('a.w', 'b.w')} >= 0.4")
 def j3(spark, d):
-    return resolve.addr_pairs(records(spark, d).withColumn("country", F.lit("A"))).select("a_key", "b_key", F.round("score", 6).alias("score"), "merges")
+    return resolve.addr_pairs(records(spark, d)).select("a_key", "b_key", F.round("score", 6).alias("score"), "merges")
 
 
-@query("j4_grid_join", f"WITH {SITES}, r AS (SELECT * FROM sites WHERE k % 9 > 0), p AS (SELECT a.k a, b.k b, {HAVERSINE.format('a.lat', 'a.lon', 'b.lat', 'b.lon')} m FROM r a JOIN r b ON abs(a.lat - b.lat) < 0.004 AND abs(a.lon - b.lon) < 0.02 AND a.k::VARCHAR < b.k::VARCHAR) SELECT a::VARCHAR a_key, b::VARCHAR b_key, round(m, 2) m FROM p WHERE m <= 250")
-def j4(spark, d):
-    return resolve.grid_pairs(records(spark, d).withColumn("country", F.lit("A")), 250).select("a_key", "b_key", F.round("metres", 2).alias("m"))
+#: Sites a street apart rather than next door, so that some pairs are beyond the distance of merges.
+SPREAD = 0.0016
 
 
-@query("j5_name_review", f"WITH r AS (SELECT c_custkey k, {NN.format('mkt')} nn FROM (SELECT c_custkey, c_mktsegment || ' ' || (c_custkey // 36 % 4)::VARCHAR || ' Ltd' mkt FROM customer) WHERE k % 36 = 0), g AS (SELECT nn FROM r GROUP BY ALL HAVING count(*) BETWEEN 2 AND 12) SELECT a.k::VARCHAR a_key, b.k::VARCHAR b_key FROM r a JOIN r b ON a.nn = b.nn AND a.k < b.k JOIN g ON g.nn = a.nn")
-def j5(spark, d):
-    r = records(spark, d).withColumn("country", F.lit("A")).join(table(spark, d, "customer").select(F.col("c_custkey").alias("seq"), "c_mktsegment"), "seq")
-    return resolve.name_pairs(r.withColumn("nn", text.norm_name(F.concat_ws(" ", "c_mktsegment", (F.floor(F.col("seq") / 36) % 4).cast("string"), F.lit("Ltd"))))).select("a_key", "b_key")
+@query("j4_grid_join", f"WITH {RECORDS}, r AS (SELECT k, country, lat + (k % 7) * ({SPREAD} - 0.0004) lat, lon FROM rec WHERE k % 9 > 0), p AS (SELECT a.k a, b.k b, {HAVERSINE.format('a.lat', 'a.lon', 'b.lat', 'b.lon')} m FROM r a JOIN r b ON a.country = b.country AND abs(a.lat - b.lat) < 0.02 AND a.k::VARCHAR < b.k::VARCHAR) SELECT a::VARCHAR a_key, b::VARCHAR b_key, round(m, 2) m FROM p WHERE m <= 1500")
+def j4(spark, d):
+    rows = records(spark, d).withColumn("lat", F.col("lat") + (F.col("seq") % 7) * (SPREAD - 0.0004))
+    return resolve.grid_pairs(rows).select("a_key", "b_key", F.round("metres", 2).alias("m"))
 
 
-@query("j5_name_review_all", f"WITH r AS (SELECT c_custkey k, {NN.format('mkt')} nn FROM (SELECT c_custkey, c_mktsegment || ' ' || (c_custkey // 30)::VARCHAR || ' Ltd' mkt FROM customer)), g AS (SELECT nn FROM r GROUP BY ALL HAVING count(*) BETWEEN 2 AND 12) SELECT a.k::VARCHAR a_key, b.k::VARCHAR b_key FROM r a JOIN r b ON a.nn = b.nn AND a.k < b.k JOIN g ON g.nn = a.nn")
+@query("j5_name_review_all", f"WITH r AS (SELECT c_custkey k, {NN.format('mkt')} nn FROM (SELECT c_custkey, c_mktsegment || ' ' || (c_custkey // 30)::VARCHAR || ' Ltd' mkt FROM customer)), t AS (SELECT *, k // 20 % 3 country FROM r), g AS (SELECT nn, country FROM t GROUP BY ALL HAVING count(*) BETWEEN 2 AND 12) SELECT a.k::VARCHAR a_key, b.k::VARCHAR b_key FROM t a JOIN t b ON a.nn = b.nn AND a.country = b.country AND a.k < b.k JOIN g ON g.nn = a.nn AND g.country = a.country")
 def j5_all(spark, d):
     """No customer has a postcode or a position, and the names' number grows with the table."""
-    r = records(spark, d).withColumns({"country": F.lit("A"), "ak": F.lit(""), "lat": F.lit(None).cast("double"), "lon": F.lit(None).cast("double")})
+    r = records(spark, d).withColumns({"country": (F.floor(F.col("seq") / 20) % 3).cast("string"), "ak": F.lit(""), "lat": F.lit(None).cast("double"), "lon": F.lit(None).cast("double")})
     r = r.join(table(spark, d, "customer").select(F.col("c_custkey").alias("seq"), "c_mktsegment"), "seq")
     return resolve.name_pairs(r.withColumn("nn", text.norm_name(F.concat_ws(" ", "c_mktsegment", F.floor(F.col("seq") / 30).cast("string"), F.lit("Ltd"))))).select("a_key", "b_key")
 
 
-@query("j6_components", "WITH RECURSIVE e AS (SELECT c_custkey a, c_custkey - c_custkey % 10 b FROM customer WHERE c_custkey % 10 < 4 UNION SELECT c_custkey, c_custkey + 100 FROM customer WHERE c_custkey % 200 = 0), h AS (SELECT a, b FROM e UNION SELECT b, a FROM e), t(n, c) AS (SELECT a, a FROM h UNION SELECT h.b, t.c FROM t JOIN h ON h.a = t.n) SELECT n node, min(c) component FROM t GROUP BY 1")
-def j6(spark, d):
-    k = table(spark, d, "customer").select("c_custkey")
-    e = k.where("c_custkey % 10 < 4").selectExpr("c_custkey src", "c_custkey - c_custkey % 10 dst").unionAll(k.where("c_custkey % 200 = 0").selectExpr("c_custkey", "c_custkey + 100"))
-    return components(e)
-
-
 @query("j6_components_all", "WITH RECURSIVE e AS (SELECT c_custkey a, c_custkey - c_custkey % 10 b FROM customer UNION SELECT c_custkey, c_custkey + 100 FROM customer WHERE c_custkey % 200 = 0), h AS (SELECT a, b FROM e UNION SELECT b, a FROM e), t(n, c) AS (SELECT a, a FROM h UNION SELECT h.b, t.c FROM t JOIN h ON h.a = t.n) SELECT n node, min(c) component FROM t GROUP BY 1")
 def j6_all(spark, d):
     """Every customer has an edge."""
@@ -204,11 +185,6 @@ def j6_all(spark, d):
     return components(k.selectExpr("c_custkey src", "c_custkey - c_custkey % 10 dst").unionAll(k.where("c_custkey % 200 = 0").selectExpr("c_custkey", "c_custkey + 100")))
 
 
-@query("j7_semi", "SELECT c_custkey FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'F')")
-def j7(spark, d):
-    return table(spark, d, "customer").join(table(spark, d, "orders").where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_semi").select("c_custkey")
-
-
 CACHE = "cache AS (SELECT o_orderpriority || '|' || (o_orderkey % 37)::VARCHAR qkey, CASE WHEN o_orderkey % 37 % 3 > 0 THEN o_orderkey % 37 + 0.5 END lat, CASE WHEN o_orderkey % 37 % 3 = 1 THEN 'rooftop' WHEN o_orderkey % 37 % 3 = 2 THEN 'locality' ELSE 'none' END AS precision, (o_orderkey % 37 % 5)::INT tries FROM orders WHERE o_orderkey % 37 < 30 GROUP BY ALL), idx AS (SELECT o_orderpriority || '|' || (o_orderkey % 37)::VARCHAR qkey, o_orderkey::VARCHAR AS key, o_orderkey seq FROM orders)"
 
 
@@ -236,14 +212,6 @@ def a17(spark, d):
     return geocode.breakdown(*_cache(spark, d))
 
 
-@query("j10_anti_merge", "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey % 2 = 0 UNION ALL SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey % 3 = 0 AND o_orderkey % 2 <> 0")
-def j10(spark, d):
-    from sitefold.sources.pastes import merged
-
-    o = table(spark, d, "orders").select("o_orderkey", "o_custkey")
-    return merged(o.where("o_orderkey % 2 = 0"), o.where("o_orderkey % 3 = 0"), ("o_orderkey", "o_custkey"))
-
-
 @query("j10_anti_merge_all", "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderstatus <> 'P' UNION ALL SELECT o_orderkey, o_custkey FROM orders n WHERE o_orderstatus <> 'F' AND NOT EXISTS (SELECT 1 FROM orders e WHERE e.o_orderstatus <> 'P' AND e.o_orderkey = n.o_orderkey AND e.o_custkey = n.o_custkey)")
 def j10_all(spark, d):
     """Every order enters: finished ones on one side, pending ones on the other, open ones on both."""
@@ -273,33 +241,70 @@ def j14(spark, d):
     return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", text.lookup(F.col("l_returnflag"), {"A": "slaughter", "N": "cutting"}).alias("act"))
 
 
-@query("a1_a2_names", "SELECT source, coalesce(list_sort(list(DISTINCT struct_pack(l := -length(w), w := w)))[1].w, '(unnamed)') AS name, count(DISTINCT w)::INT variants FROM (SELECT source, split_part(text, ' ', 1) w FROM documents) GROUP BY 1")
+# Orders as records, each customer one facility: what assemble() makes of them, part by part.
+
+
+def _orders(spark, d) -> DataFrame:
+    """Orders in the columns of keyed records, in components by customer."""
+    k = F.col("o_orderkey")
+    pick = lambda *v: F.get(F.array(*[x if not isinstance(x, str) else F.lit(x) for x in v]), (k % len(v)).cast("int"))
+    some = F.struct(F.lit(None).cast("double").alias("x")).getField("x")
+    rows = table(spark, d, "orders").select(
+        F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("component"), F.concat(F.lit("o:"), k.cast("string")).alias("key"), k.alias("seq"), F.lit("o").alias("source_id"), F.lit("s").alias("source_snapshot"),
+        F.when(k % 7 > 0, F.concat_ws(" ", "o_orderpriority", "o_orderstatus")).alias("name"), F.lit("FRA").alias("country_iso3"), k.cast("string").alias("national_id"), F.lit("S").alias("id_scheme"), F.lit(None).cast("string").alias("foreign_id"),
+        F.when(k % 3 > 0, F.concat(F.lit("Road "), k.cast("string"))).alias("address"), F.concat(F.lit("T"), k.cast("string")).alias("locality"), F.lit(None).cast("string").alias("admin1"), F.when(k % 2 > 0, "P").alias("postcode"),
+        F.split(pick("bovine", "porcine", "ovine bovine"), " ").alias("species"), F.split(pick("slaughter", "cutting"), " ").alias("activities"), F.when(k % 4 == 0, True).when(k % 4 == 1, False).alias("slaughter"),
+        F.when(k % 5 == 0, F.concat(F.lit("size "), k.cast("string"))).alias("size_class"), F.when(k % 2 == 0, F.concat(F.lit("Op"), k.cast("string"))).alias("operator"), F.lit("{}").alias("raw"),
+        F.when(k % 6 == 0, k.cast("double")).otherwise(some).alias("src_lat"), F.when(k % 6 == 0, F.lit(1.0)).alias("src_lon"), F.when(k % 12 == 0, "street").alias("src_precision"),
+    )
+    return resolve.with_hits(rows, None)
+
+
+def _assembled(spark, d) -> DataFrame:
+    none = spark.createDataFrame([], "a_key string, b_key string"), spark.createDataFrame([], "component string, tier string")
+    return assemble.assemble(_orders(spark, d), none[1], none[0])
+
+
+UID = "'f' || substr(sha1(string_agg('o:' || o_orderkey, '|' ORDER BY 'o:' || o_orderkey)), 1, 16) AS uid"
+NAMED = "CASE WHEN o_orderkey % 7 > 0 THEN o_orderpriority || ' ' || o_orderstatus END"
+
+
+@query("a1_a2_names", f"SELECT {UID}, coalesce(list_sort(list(DISTINCT struct_pack(l := -length({NAMED}), w := {NAMED})) FILTER (WHERE o_orderkey % 7 > 0))[1].w, '(unnamed)') AS name, (count(DISTINCT {NAMED}))::INT variants FROM orders GROUP BY o_custkey")
 def a1(spark, d):
-    g = table(spark, d, "documents").select("source", F.get(F.split("text", " "), F.lit(0)).alias("w")).groupBy("source").agg(F.array_sort(F.collect_set("w")).alias("ws"))
-    return g.select("source", assemble.best_name(F.col("ws")).alias("name"), F.size("ws").alias("variants"))
+    return _assembled(spark, d).select("uid", "name", F.size("name_variants").alias("variants"))
 
 
-@query("a3_representative", "SELECT o_custkey, arg_min(o_orderkey, struct_pack(r := CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 2 END, k := o_orderkey)) AS pick FROM orders GROUP BY 1")
+@query("a3_representative", f"SELECT {UID}, arg_min(CASE WHEN o_orderkey % 3 > 0 THEN 'Road ' || o_orderkey ELSE '-' END || '/T' || o_orderkey, struct_pack(r := CASE WHEN o_orderkey % 3 > 0 THEN CASE WHEN o_orderkey % 2 > 0 THEN 0 ELSE 1 END ELSE 2 END, k := o_orderkey)) AS pick FROM orders GROUP BY o_custkey")
 def a3(spark, d):
-    r = F.when(F.col("o_orderstatus") == "F", 0).when(F.col("o_orderstatus") == "O", 1).otherwise(2)
-    return table(spark, d, "orders").groupBy("o_custkey").agg(F.min_by("o_orderkey", F.struct(r, "o_orderkey")).alias("pick"))
+    """The address and locality of one record: the first with address and postcode, else the first with an address, else the first."""
+    return _assembled(spark, d).select("uid", F.concat_ws("/", F.coalesce("address", F.lit("-")), "locality").alias("pick"))
 
 
-@query("a4_best_coordinate", "SELECT o_custkey, arg_min(o_totalprice, struct_pack(r := o_orderkey % 4, k := o_orderkey)) FILTER (WHERE o_orderkey % 4 < 3) AS at FROM orders GROUP BY 1")
+@query("a4_best_coordinate", f"SELECT {UID}, arg_min(o_orderkey::DOUBLE, struct_pack(r := CASE WHEN o_orderkey % 12 = 0 THEN 1 ELSE 0 END, k := o_orderkey)) FILTER (WHERE o_orderkey % 6 = 0) AS lat, coalesce(arg_min(CASE WHEN o_orderkey % 12 = 0 THEN 'street' ELSE 'rooftop' END, struct_pack(r := CASE WHEN o_orderkey % 12 = 0 THEN 1 ELSE 0 END, k := o_orderkey)) FILTER (WHERE o_orderkey % 6 = 0), 'none') AS precision FROM orders GROUP BY o_custkey")
 def a4(spark, d):
-    r = F.when(F.col("o_orderkey") % 4 < 3, F.col("o_orderkey") % 4)
-    return table(spark, d, "orders").groupBy("o_custkey").agg(F.min_by("o_totalprice", F.when(r.isNotNull(), F.struct(r, "o_orderkey"))).alias("at"))
+    return _assembled(spark, d).select("uid", "lat", F.col("geo_precision").alias("precision"))
 
 
-@query("a5_tristate", "SELECT source, bool_or(toxic = 1) AS toxic FROM documents LEFT JOIN labels USING (doc_id) GROUP BY 1")
+@query("a5_tristate", f"SELECT {UID}, bool_or(CASE WHEN o_orderkey % 4 = 0 THEN true WHEN o_orderkey % 4 = 1 THEN false END) AS slaughter FROM orders GROUP BY o_custkey")
 def a5(spark, d):
-    return table(spark, d, "documents").select("doc_id", "source").join(table(spark, d, "labels").select("doc_id", "toxic"), "doc_id", "left").groupBy("source").agg(F.bool_or(F.col("toxic") == 1).alias("toxic"))
+    return _assembled(spark, d).select("uid", "slaughter")
 
 
-@query("a6_a7_union_first", "SELECT user_id, array_to_string(list_sort(list(DISTINCT event_type)), ',') AS kinds, arg_min(event_type, event_id) FILTER (WHERE event_id % 2 = 0) AS first FROM events GROUP BY 1")
+@query("a6_a7_union_first", f"SELECT {UID}, array_to_string(list_sort(list_distinct(flatten(list(CASE o_orderkey % 3 WHEN 0 THEN ['bovine'] WHEN 1 THEN ['porcine'] ELSE ['ovine', 'bovine'] END)))), ',') AS species, array_to_string(list_sort(list(DISTINCT CASE o_orderkey % 2 WHEN 0 THEN 'slaughter' ELSE 'cutting' END)), ',') AS activities, arg_min('Op' || o_orderkey, o_orderkey) FILTER (WHERE o_orderkey % 2 = 0) AS operator, arg_min('size ' || o_orderkey, o_orderkey) FILTER (WHERE o_orderkey % 5 = 0) AS size_class FROM orders GROUP BY o_custkey")
 def a6(spark, d):
-    even = F.col("event_id") % 2 == 0
-    return table(spark, d, "events").groupBy("user_id").agg(F.array_join(F.array_sort(F.collect_set("event_type")), ",").alias("kinds"), F.min_by("event_type", F.when(even, F.col("event_id"))).alias("first"))
+    return _assembled(spark, d).select("uid", F.array_join("species", ",").alias("species"), F.array_join("activities", ",").alias("activities"), "operator", "size_class")
+
+
+@query("a9_members", f"SELECT {UID}, string_agg(o_orderkey || ':' || coalesce({NAMED}, ''), ',' ORDER BY o_orderkey) AS members FROM orders GROUP BY o_custkey")
+def a9(spark, d):
+    """Every record, in input order, with its own cells."""
+    shown = F.transform("members", lambda m: F.concat_ws(":", m["national_id"], F.coalesce(m["name"], F.lit(""))))
+    return _assembled(spark, d).select("uid", F.array_join(shown, ",").alias("members"))
+
+
+@query("f2_mappable", f"SELECT {UID} FROM orders GROUP BY o_custkey HAVING bool_or(o_orderkey % 6 = 0)")
+def f2(spark, d):
+    return _assembled(spark, d).where(assemble.mappable()).select("uid")
 
 
 @query("a8_uid", "SELECT user_id, 'f' || substr(sha1(string_agg('e:' || event_id, '|' ORDER BY 'e:' || event_id)), 1, 16) AS uid FROM events GROUP BY 1")
@@ -307,12 +312,6 @@ def a8(spark, d):
     return table(spark, d, "events").groupBy("user_id").agg(assemble.uid(F.collect_list(F.concat(F.lit("e:"), F.col("event_id").cast("string")))).alias("uid"))
 
 
-@query("a9_members", "SELECT o_custkey, string_agg(o_orderstatus || ':' || o_orderkey, ',' ORDER BY o_orderstatus, o_orderkey) AS members FROM orders GROUP BY 1")
-def a9(spark, d):
-    m = F.array_sort(F.collect_list(F.struct("o_orderstatus", "o_orderkey")))
-    return table(spark, d, "orders").groupBy("o_custkey").agg(F.array_join(F.transform(m, lambda x: F.concat_ws(":", x["o_orderstatus"], x["o_orderkey"].cast("string"))), ",").alias("members"))
-
-
 FACILITIES = "fac AS (SELECT p_partkey, 'u' || p_partkey AS uid, list_filter(['slaughter', 'cutting', 'zoo'], lambda a: (a = 'slaughter' AND p_size % 5 = 0) OR (a = 'cutting' AND p_size % 2 = 0) OR (a = 'zoo' AND p_size % 7 = 0)) acts, list_filter(['bovine', 'fish'], lambda s: (s = 'bovine' AND p_size % 3 = 0) OR (s = 'fish' AND p_size % 4 = 0)) sp, CASE p_partkey % 3 WHEN 0 THEN true WHEN 1 THEN false END kills, p_brand src FROM part)"
 
 
@@ -356,17 +355,6 @@ def a12(spark, d):
     return publish.tallies(_facilities(spark, d), F.col("slaughter"))
 
 
-@query("a14_latest_fold", "SELECT user_id, event_type, arg_max(event_id, struct_pack(p := substr(ts::VARCHAR, 1, 10), s := -event_id)) AS event_id FROM events GROUP BY ALL")
-def a14(spark, d):
-    return table(spark, d, "events").groupBy("user_id", "event_type").agg(F.max_by("event_id", F.struct(F.substring(F.col("ts").cast("string"), 1, 10), -F.col("event_id"))).alias("event_id"))
-
-
-@query("a15_first_wins", "SELECT user_id, min(event_id) AS event_id FROM events GROUP BY 1")
-def a15(spark, d):
-    rn = F.row_number().over(Window.partitionBy("user_id").orderBy("event_id"))
-    return table(spark, d, "events").select("user_id", "event_id").withColumn("rn", rn).where("rn = 1").drop("rn")
-
-
 @query("a18_t1_most_common", "SELECT event_type, count(*) n FROM events GROUP BY 1 ORDER BY n DESC, min(event_id) LIMIT 25")
 def a18(spark, d):
     return publish.top(table(spark, d, "events"), "event_type", 25, "event_id")
@@ -380,10 +368,10 @@ def p8(spark, d):
     return crowded(s, "lat", "lon", "postcode").select("k", F.col("_shared").alias("shared"), F.col("_towns").alias("towns"))
 
 
-@query("t2_radius_topk", f"WITH {SITES}, m AS (SELECT k::VARCHAR AS uid, (lon + 180) / 360 - 0.5 dx, 0.5 - ln((1 + sin(radians(lat))) / (1 - sin(radians(lat)))) / (4 * pi()) - 0.5 dy FROM sites) SELECT uid, round(dx * dx + dy * dy, 12) d2 FROM m WHERE dx * dx + dy * dy <= 0.04 ORDER BY round(dx * dx + dy * dy, 12), uid LIMIT 40")
+@query("t2_radius_topk", f"WITH {SITES}, m AS (SELECT k::VARCHAR AS uid, (lon + 180) / 360 - 0.5 dx, 0.5 - ln((1 + sin(radians(lat))) / (1 - sin(radians(lat)))) / (4 * pi()) - 0.5 dy FROM sites) SELECT uid, round(dx * dx + dy * dy, 12) d2 FROM m WHERE dx * dx + dy * dy <= 0.04 ORDER BY dx * dx + dy * dy, uid LIMIT 40")
 def t2(spark, d):
     s = sites(spark, d).withColumn("uid", F.col("k").cast("string"))
-    return publish.nearest(s, 0.5, 0.5, 0.2, 1_000_000).select("uid", F.round("d2", 12).alias("d2")).orderBy("d2", "uid").limit(40)
+    return publish.nearest(s, 0.5, 0.5, 0.2, 40).select("uid", F.round("d2", 12).alias("d2"))
 
 
 @query("f6_viewport", f"WITH {SITES} SELECT k FROM sites WHERE (lon + 180) / 360 BETWEEN 0.25 AND 0.6 AND 0.5 - ln((1 + sin(radians(lat))) / (1 - sin(radians(lat)))) / (4 * pi()) BETWEEN 0.2 AND 0.5")
@@ -403,27 +391,178 @@ def e2(spark, d):
     return coded.select("uid", "slaughter", "y", F.get("ids", F.lit(0)).alias("id"))
 
 
-@query("s12_sessionise", "SELECT conv_id, rec, count(*) n, string_agg(role, '>' ORDER BY turn) AS roles FROM (SELECT *, sum((role = 'user')::INT) OVER (PARTITION BY conv_id ORDER BY turn) rec FROM conversations) GROUP BY ALL")
-def s12(spark, d):
-    c = table(spark, d, "conversations").withColumn("rec", F.sum((F.col("role") == "user").cast("int")).over(Window.partitionBy("conv_id").orderBy("turn")))
-    roles = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "role"))), lambda x: x["role"]), ">")
-    return c.groupBy("conv_id", "rec").agg(F.count(F.lit(1)).alias("n"), roles.alias("roles"))
+# The whole resolution of customers as sites, over all stages, and the same by recursion in SQL.
+
+RESOLVED = f"""r AS (SELECT c_custkey k, 'x:' || c_custkey AS key, 'N' || (c_custkey // 60 % 3) country, 'Mill ' || c_mktsegment || ' ' || (100 + c_custkey // 2 % 10)::VARCHAR || CASE WHEN c_custkey % 3 = 0 THEN ' Ltd' ELSE '' END AS name,
+  CASE WHEN c_custkey % 9 > 0 THEN (c_custkey // 7 % 160 - 80)::DOUBLE + (c_custkey % 7) * {SPREAD} END lat, CASE WHEN c_custkey % 9 > 0 THEN (c_custkey // 3 % 340 - 170)::DOUBLE + (c_custkey % 3) * 0.0003 END lon,
+  CASE WHEN c_custkey % 4 > 0 THEN 'P-' || (c_custkey // 5)::VARCHAR END postcode, (c_custkey // 5 % 90)::VARCHAR || ' Mill Lane' address, CASE WHEN c_custkey % 6 = 0 THEN c_custkey // 12 END id FROM customer),
+w AS (SELECT *, {TOKENS.format('name')} w, {NN.format('name')} nn, {AK.format('address', 'postcode')} ak FROM r),
+cut AS (@cut),
+ie AS (SELECT f.k0 a, w.k b FROM w JOIN (SELECT country, id, min(k) k0 FROM w WHERE id IS NOT NULL GROUP BY ALL HAVING count(*) > 1) f USING (country, id)),
+i AS (SELECT a, b, 'id' tier FROM ie ANTI JOIN cut USING (a, b) UNION ALL SELECT a, b, 'review' FROM (@merge)),
+pa AS (SELECT * FROM (SELECT a.k a, b.k b, NULL::DOUBLE m, {JACCARD.format('a.w', 'b.w')} score, a.country FROM w a JOIN w b ON a.country = b.country AND a.ak = b.ak AND a.k < b.k AND a.ak <> '' AND a.ak NOT LIKE '%#') WHERE score >= 0.4),
+pg AS (SELECT * FROM (SELECT a.k a, b.k b, {HAVERSINE.format('a.lat', 'a.lon', 'b.lat', 'b.lon')} m, {JACCARD.format('a.w', 'b.w')} score, a.country FROM w a JOIN w b ON a.country = b.country AND abs(a.lat - b.lat) < 0.02 AND a.key < b.key) WHERE m <= 1500 AND score >= 0.4),
+pn AS (SELECT a.k a, b.k b, NULL::DOUBLE m, 1.0::DOUBLE score, a.country FROM (SELECT * FROM w WHERE nn <> '' AND ak = '' AND lat IS NULL) a JOIN (SELECT * FROM w WHERE nn <> '' AND ak = '' AND lat IS NULL) b ON a.country = b.country AND a.nn = b.nn AND a.k < b.k
+  JOIN (SELECT country, nn FROM w WHERE nn <> '' AND ak = '' AND lat IS NULL GROUP BY ALL HAVING count(*) BETWEEN 2 AND 12) g ON g.country = a.country AND g.nn = a.nn),
+ma AS (SELECT a, b FROM pa WHERE score >= 0.6 AND (least(a, b), greatest(a, b)) NOT IN (SELECT (a, b) FROM cut)), mg AS (SELECT a, b FROM pg WHERE score >= 0.6 AND m <= 250 AND (least(a, b), greatest(a, b)) NOT IN (SELECT (a, b) FROM cut)),
+h1 AS (SELECT a, b FROM i UNION SELECT b, a FROM i), h2 AS (SELECT * FROM h1 UNION SELECT a, b FROM ma UNION SELECT b, a FROM ma), h3 AS (SELECT * FROM h2 UNION SELECT a, b FROM mg UNION SELECT b, a FROM mg),
+t1(n, c) AS (SELECT k, k FROM w UNION SELECT h1.b, t1.c FROM t1 JOIN h1 ON h1.a = t1.n), t2(n, c) AS (SELECT k, k FROM w UNION SELECT h2.b, t2.c FROM t2 JOIN h2 ON h2.a = t2.n), t3(n, c) AS (SELECT k, k FROM w UNION SELECT h3.b, t3.c FROM t3 JOIN h3 ON h3.a = t3.n),
+c1 AS (SELECT n, min(c) c FROM t1 GROUP BY 1), c2 AS (SELECT n, min(c) c FROM t2 GROUP BY 1), c3 AS (SELECT n, min(c) c FROM t3 GROUP BY 1),
+tiers AS (SELECT DISTINCT c3.c, tier FROM (SELECT a, tier FROM i UNION ALL SELECT a, 'addr' FROM ma JOIN c1 x ON x.n = a JOIN c1 y ON y.n = b WHERE x.c <> y.c UNION ALL SELECT a, 'geo' FROM mg JOIN c2 x ON x.n = a JOIN c2 y ON y.n = b WHERE x.c <> y.c) JOIN c3 ON c3.n = a),
+queue AS (SELECT q.* FROM (SELECT pa.*, 'same postcode and street number' reason FROM pa JOIN c2 x ON x.n = a JOIN c2 y ON y.n = b WHERE x.c <> y.c
+  UNION ALL SELECT pg.*, floor(m)::BIGINT || ' m apart' FROM pg JOIN c3 x ON x.n = a JOIN c3 y ON y.n = b WHERE x.c <> y.c
+  UNION ALL SELECT pn.*, 'identical name, no usable location on either record' FROM pn JOIN c3 x ON x.n = a JOIN c3 y ON y.n = b WHERE x.c <> y.c) q WHERE (least(a, b), greatest(a, b)) NOT IN (SELECT (a, b) FROM cut)),
+fac AS (SELECT c3.c, 'f' || substr(sha1(string_agg(key, '|' ORDER BY key)), 1, 16) AS uid, list_sort(list(DISTINCT struct_pack(l := -length(name), w := name)))[1].w AS name, min(country) country, count(*) members,
+  arg_min(address, struct_pack(r := CASE WHEN postcode IS NULL THEN 1 ELSE 0 END, k := k)) AS address, arg_min(lat, k) FILTER (WHERE lat IS NOT NULL) AS lat, c3.c IN (SELECT unnest([x.c, y.c]) FROM queue JOIN c3 x ON x.n = a JOIN c3 y ON y.n = b) AS review FROM w JOIN c3 ON c3.n = k GROUP BY c3.c),
+tiered AS (SELECT fac.*, coalesce((SELECT string_agg(tier, ',' ORDER BY tier) FROM tiers WHERE tiers.c = fac.c), '') AS tiers FROM fac)"""
+NO_DECISIONS = {"cut": "SELECT 0::BIGINT a, 0::BIGINT b WHERE false", "merge": "SELECT 0::BIGINT a, 0::BIGINT b WHERE false"}
+#: Every tenth pair of an identifier is split, and every other of these is held together by two merges all the same; each
+#: fiftieth customer is merged with the seventh after it.
+DECISIONS = {"cut": "SELECT c_custkey a, c_custkey + 6 b FROM customer WHERE c_custkey % 120 = 0", "merge": "SELECT c_custkey a, c_custkey + 7 b FROM customer WHERE c_custkey % 50 = 0 AND c_custkey + 7 <= (SELECT max(c_custkey) FROM customer) UNION ALL SELECT c_custkey + x, c_custkey + x + 3 FROM customer, (VALUES (0), (3)) v(x) WHERE c_custkey % 240 = 0 AND c_custkey + 6 <= (SELECT max(c_custkey) FROM customer)"}
+
+
+def resolved_sql(decisions: dict[str, str]) -> str:
+    return RESOLVED.replace("@cut", decisions["cut"]).replace("@merge", decisions["merge"])
+
+
+def canonical_sites(spark, d) -> DataFrame:
+    """Customers in the canonical columns."""
+    k = F.col("c_custkey")
+    s = sites(spark, d).join(table(spark, d, "customer").select(k.alias("k")), "k")
+    k = F.col("k")
+    at = F.when(k % 9 > 0, F.col("lat") + (k % 7) * (SPREAD - 0.0004))
+    given = {
+        "source_id": F.lit("x"), "source_row_id": k.cast("string"), "name": F.col("name"), "country_iso3": F.concat(F.lit("N"), (F.floor(k / 60) % 3).cast("string")), "national_id": F.when(k % 6 == 0, F.floor(k / 12).cast("string")), "id_scheme": F.lit("S"),
+        "address": F.col("address"), "postcode": F.col("postcode"), "src_lat": at, "src_lon": F.when(k % 9 > 0, F.col("lon")), "src_precision": F.when(k % 9 > 0, "rooftop"),
+    }
+    return s.select(*[given.get(f, F.lit(None)).cast(TYPES[f]).alias(f) for f in FIELDS], k.alias("seq"))
+
+
+def decided(spark, d) -> DataFrame:
+    k = table(spark, d, "customer").select(F.col("c_custkey").alias("k"))
+    key = lambda c: F.concat(F.lit("x:"), c.cast("string"))
+    split = k.where("k % 120 = 0").select(key(F.col("k")).alias("a_key"), key(F.col("k") + 6).alias("b_key"), F.lit("split").alias("decision"))
+    pairs = k.where("k % 50 = 0").join(k.select((F.col("k") - 7).alias("k")), "k", "left_semi")
+    held = k.where("k % 240 = 0").join(k.select((F.col("k") - 6).alias("k")), "k", "left_semi").select(F.explode(F.array(F.col("k"), F.col("k") + 3)).alias("k"))
+    merge = pairs.select(F.col("k"), (F.col("k") + 7).alias("to")).unionByName(held.select("k", (F.col("k") + 3).alias("to")))
+    return split.unionByName(merge.select(key(F.col("k")).alias("a_key"), key(F.col("to")).alias("b_key"), F.lit(" Merge").alias("decision")))
+
 
+def _resolved(spark, d, decisions: bool = False):
+    keyed, tiers, queue = resolve.resolve(canonical_sites(spark, d), decisions=decided(spark, d) if decisions else None)
+    return keyed, assemble.assemble(keyed, tiers, queue), queue
 
-@query("s7_regex_extract", r"SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title, len(regexp_extract_all(html, '<p>'))::INT AS n FROM pages")
-def s7(spark, d):
-    return table(spark, d, "pages").select("page_id", F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"), F.regexp_count("html", F.lit("<p>")).alias("n"))
 
+def _facilities_of(found: DataFrame) -> DataFrame:
+    return found.select("uid", "name", F.col("country_iso3").alias("country"), F.size("members").alias("members"), "address", F.round("lat", 9).alias("lat"), "review", F.array_join("match_tiers", ",").alias("tiers"))
 
+
+FOUND = "SELECT uid, name, country, members::INT members, address, round(lat, 9) lat, review, tiers FROM tiered"
+
+
+@query("resolve_all_tiers", f"WITH RECURSIVE {resolved_sql(NO_DECISIONS)} {FOUND}")
 def flagship(spark: SparkSession, d: str) -> DataFrame:
-    """Identifier components of the sites, folded to facilities."""
-    rows = records(spark, d).withColumn("country", F.lit("A"))
-    joined = components(resolve.id_edges(rows))
-    keyed = rows.join(joined.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
-    return keyed.groupBy("component").agg(assemble.uid(F.collect_list("key")).alias("uid"), assemble.best_name(F.collect_set("name")).alias("name"), F.count(F.lit(1)).alias("members"))
+    """Facilities of all sites, through the identifier, address, proximity and name stages."""
+    return _facilities_of(_resolved(spark, d)[1])
+
+
+@query("resolve_with_decisions", f"WITH RECURSIVE {resolved_sql(DECISIONS)} {FOUND}")
+def resolve_decided(spark, d):
+    """Reviewed merges are edges, splits take edges away."""
+    return _facilities_of(_resolved(spark, d, True)[1])
+
+
+@query("resolve_conflicts", f"WITH RECURSIVE {resolved_sql(DECISIONS)} SELECT 'x:' || a AS a_key, 'x:' || b AS b_key FROM cut JOIN c3 x ON x.n = a JOIN c3 y ON y.n = b WHERE x.c = y.c")
+def resolve_conflicts(spark, d):
+    return resolve.conflicts(_resolved(spark, d, True)[0], decided(spark, d))
+
+
+QUEUE = "SELECT 'x:' || a AS a_key, 'x:' || b AS b_key, country, round(score, 3) AS name_score, floor(m)::INT AS metres_apart, reason FROM queue"
+
+
+@query("resolve_review_queue", f"WITH RECURSIVE {resolved_sql(NO_DECISIONS)} {QUEUE}")
+def review_queue(spark, d):
+    return _resolved(spark, d)[2].select("a_key", "b_key", "country", "name_score", "metres_apart", "reason")
+
+
+@query("e6_review_file", f"WITH RECURSIVE {resolved_sql(NO_DECISIONS)} SELECT a_key, b_key, reason FROM ({QUEUE})")
+def e6(spark, d):
+    """The queue as the file that reviewers fill in, read again."""
+    path = new_dir(spark, "review")
+    publish.write_review(_resolved(spark, d)[2], path)
+    return spark.read.option("header", True).csv(path).where("decision IS NULL").select("a_key", "b_key", "reason")
+
+
+@query("e5_facility_file", f"WITH RECURSIVE {resolved_sql(NO_DECISIONS)} SELECT uid, name, members::INT members FROM tiered")
+def e5(spark, d):
+    path = new_dir(spark, "facilities")
+    publish.write_json(_resolved(spark, d)[1], path)
+    return spark.read.json(path).select("uid", "name", F.size("members").alias("members"))
+
+
+@query("a10_a20_report", f"""WITH RECURSIVE {resolved_sql(NO_DECISIONS)} SELECT 'total' AS section, item, n FROM (SELECT 'rows' item, count(*) n FROM w UNION ALL SELECT 'facilities', count(*) FROM fac UNION ALL SELECT 'review pairs', count(*) FROM queue
+UNION ALL SELECT 'mappable', count(*) FROM fac WHERE lat IS NOT NULL UNION ALL SELECT 'unlocated', count(*) FROM fac WHERE lat IS NULL) UNION ALL SELECT 'source', 'x', count(*) FROM w UNION ALL SELECT 'tier', tier, count(*) FROM tiers GROUP BY tier UNION ALL SELECT 'size', members::VARCHAR, count(*) FROM fac GROUP BY members""")
+def a10(spark, d):
+    keyed, facilities, queue = _resolved(spark, d)
+    return assemble.report(keyed, facilities, queue)
+
+
+@query("t3_unlocated", f"WITH RECURSIVE {resolved_sql(NO_DECISIONS)} SELECT country AS country_iso3, count(*) AS n FROM fac WHERE lat IS NULL GROUP BY 1 ORDER BY n DESC, 1 LIMIT 2")
+def t3(spark, d):
+    return publish.unlocated(_resolved(spark, d)[1], 2)
+
+
+@query("f3_key_collisions", "SELECT CASE WHEN o_linenumber = 1 THEN 'o:' || l_orderkey ELSE 'o:' || l_orderkey || '#' || o_linenumber END AS key, seq FROM (SELECT l_orderkey, l_orderkey * 10 + l_linenumber seq, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) o_linenumber FROM lineitem)")
+def f3(spark, d):
+    """Rows that share a key are numbered from the second on; none is lost."""
+    rows = table(spark, d, "lineitem").select(F.lit("o").alias("source_id"), F.col("l_orderkey").cast("string").alias("source_row_id"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("seq"), F.lit("n").alias("name"))
+    return resolve.with_keys(rows).select("key", "seq")
+
+
+@query("t4_outstanding_first", f"WITH {CACHE} SELECT idx.qkey, min(seq) seq FROM idx LEFT JOIN cache USING (qkey) WHERE tries IS NULL OR (lat IS NULL AND tries < 3) GROUP BY 1 ORDER BY seq, qkey LIMIT 20")
+def t4(spark, d):
+    return geocode.outstanding(*_cache(spark, d), 20).select("qkey", "seq")
+
+
+@query("t5_probe", f"WITH {CACHE} SELECT least(count(DISTINCT qkey), 10) AS n, true AS known, true AS again FROM idx")
+def t5(spark, d):
+    """A sample of addresses: of the size asked for, known ones, the same again."""
+    index, _ = _cache(spark, d)
+    one, two = geocode.probe(index), geocode.probe(index.repartition(3))
+    known = one.join(index.select("qkey").distinct(), "qkey").agg(F.count(F.lit(1)).alias("k"))
+    same = one.join(two, "qkey").agg(F.count(F.lit(1)).alias("s"))
+    return one.agg(F.count(F.lit(1)).alias("n")).join(F.broadcast(known)).join(F.broadcast(same)).select("n", (F.col("k") == F.col("n")).alias("known"), (F.col("s") == F.col("n")).alias("again"))
+
+
+def gazetteer(parts: dict) -> dict | None:
+    """A provider that knows every fourth address by its street, puts the next into another country unless asked for the city, knows nothing of the third and fails at the last."""
+    n = int(parts["qkey"].split("|")[1])
+    if parts["street"]:
+        return {"lat": float(n), "lon": 1.0, "precision": "rooftop", "provider": "dict", "country": "XX" if n % 4 == 0 else "YY"} if n % 4 < 2 else None
+    if n % 4 == 3:
+        raise TimeoutError("no answer")
+    return {"lat": n + 0.5, "lon": 1.0, "precision": "locality", "provider": "dict"} if n % 4 == 1 else None
+
+
+@query("e9_geocoding_round", f"""WITH {CACHE}, old AS (SELECT DISTINCT qkey, lat::DOUBLE lat, precision, tries FROM cache), todo AS (SELECT DISTINCT idx.qkey, split_part(idx.qkey, '|', 2)::INT n, tries FROM idx LEFT JOIN old USING (qkey) WHERE tries IS NULL OR (lat IS NULL AND tries < 3)),
+new AS (SELECT qkey, CASE n % 4 WHEN 0 THEN n::DOUBLE WHEN 1 THEN n + 0.5 END lat, CASE n % 4 WHEN 0 THEN 'rooftop' WHEN 1 THEN 'locality' ELSE 'none' END AS precision, (coalesce(tries, 0) + 1)::INT tries FROM todo WHERE n % 4 < 3)
+SELECT * FROM old WHERE qkey NOT IN (SELECT qkey FROM new) UNION ALL SELECT * FROM new""")
+def e9(spark, d):
+    """What is outstanding is asked, from the whole address down; answers from another country are turned down, failures aren't kept; the cache is saved over the old one."""
+    index, cache = _cache(spark, d)
+    index = index.withColumns({"street": F.col("qkey"), "city": F.lit("C")})
+    path = new_dir(spark, "geocache")
+    geocode.save(cache, path)
+    cache = spark.read.parquet(path)
+    answers = materialise(geocode.lookup(geocode.outstanding(index, cache), gazetteer, lanes=2), "answers")
+    geocode.save(geocode.updated(cache, answers), path)
+    return spark.read.parquet(path).select("qkey", "lat", "precision", "tries")
+
 
+@query("e9_stale_and_misses", f"WITH {CACHE} SELECT DISTINCT qkey, tries FROM cache WHERE qkey LIKE '1%' AND lat IS NOT NULL")
+def e9_stale(spark, d):
+    """Entries of another version and empty answers go."""
+    _, cache = _cache(spark, d)
+    marked = cache.withColumn("qkey", F.when(F.col("qkey").startswith("1"), F.concat(F.lit("v2|"), "qkey")).otherwise(F.col("qkey")))
+    return geocode.purge_misses(geocode.drop_stale(marked)).select(F.substring("qkey", 4, 100).alias("qkey"), "tries")
 
-QUERIES["flagship_id_tier"] = flagship
-SQL["flagship_id_tier"] = f"""WITH {SITES}, c AS (SELECT k, name, CASE WHEN k % 6 = 0 THEN min(k) OVER (PARTITION BY k % 6 = 0, k // 12) ELSE k END g FROM sites)
-SELECT CASE WHEN count(*) > 1 THEN min(k::VARCHAR) ELSE min(k::VARCHAR) END AS component, 'f' || substr(sha1(string_agg(k::VARCHAR, '|' ORDER BY k::VARCHAR)), 1, 16) AS uid,
-list_sort(list(DISTINCT struct_pack(l := -length(name), w := name)))[1].w AS name, count(*) AS members FROM c GROUP BY g"""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -11,11 +12,11 @@ from sitefold.functions.address import clean_region, group_for, recover_species
 from sitefold.functions.countries import with_iso3
 from sitefold.functions.geo import degrees
 from sitefold.functions.text import blank_to_null, bracket_split, contained, lookup, mapped, matches, resolve, resolve_exact, strip_accents, truthy
+from sitefold.plans.shared import materialise, release
 from sitefold.schema import FIELDS, TYPES
 from sitefold.sources.files import file_stem, read_csv, read_documents, read_features, read_json_document, read_json_lines, with_seq
 
 
-
 def _null() -> Column:
     return F.lit(None).cast("string")
 
@@ -69,7 +70,7 @@ def fsis(spark: SparkSession, directory, demographic=None, snapshot: str = "") -
         last = g.groupBy("_num").agg(F.max_by(F.struct(*[f"d_{i}" for i in range(len(flags))]), "_s").alias("_d"))
         d = d.join(last, "_num", "left")
     flag = lambda name: truthy(F.col(f"_d.d_{flags.index(x)}")) if (x := resolve_exact(flags, name)) else _null().cast("boolean")
-    species = [F.when(truthy(F.col(f"_d.d_{i}")), F.lit(s)) for i, c in enumerate(flags) for s, words in V.FLAG_SPECIES.items() if __import__("re").search(words, c.lower().replace("_", " "))]
+    species = [F.when(truthy(F.col(f"_d.d_{i}")), F.lit(s)) for i, c in enumerate(flags) for s, words in V.FLAG_SPECIES.items() if re.search(words, c.lower().replace("_", " "))]
     kills = vote(*[flag(c) for c in ("slaughter", "meat_slaughter", "poultry_slaughter")])
     acts = [F.when(kills, F.lit("slaughter"))] + [F.when(flag(c), F.lit(a)) for c, a in V.FLAG_ACTIVITIES.items()]
     lat, lon = degrees(_cell(d, h("latitude", "lat")), -90, 90), degrees(_cell(d, h("longitude", "lon", "lng")), -180, 180)
@@ -359,12 +360,18 @@ TOGETHER = {"eu_traces_third_country": ["eu_traces_member_state"], "eu_traces_me
 
 
 def load(spark: SparkSession, source: str, path, store: str, **how) -> None:
-    """Parses a source and replaces its rows in the store, with those of the sources cleared with it."""
-    rows = PARSERS[source](spark, path, **how)
-    for other in TOGETHER.get(source, []):
+    """Parses a source and replaces its rows in the store, with those of the sources cleared with it.
+
+    The rows are written aside first, so an input that can't be parsed leaves the store as it was; sources that go
+    with it are cleared last, once the new rows are in place.
+    """
+    rows = materialise(PARSERS[source](spark, path, **how), "parsed")
+    held = {r.source_id for r in rows.select("source_id").distinct().collect()}
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source_id").parquet(store)
+    for other in {source, *TOGETHER.get(source, [])} - held:
         p = spark._jvm.org.apache.hadoop.fs.Path(f"{store}/source_id={other}")
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source_id").parquet(store)
+    release(rows)
 
 
 def load_all(spark: SparkSession, inputs: dict[str, str], store: str, **how) -> list[str]:

@@ -27,6 +27,15 @@ EXCLUDED_ACTIVITIES = (
 EXCLUDED_SPECIES = ["fish", "crustacean"]
 
 # Precisions, best first, those that may be matched on and those that may be drawn.
+# What becomes of animals at places of each activity: killed here, elsewhere, in part, not, handled dead, or not kept there.
+ACTIVITY_FATES = {
+    "here": ["slaughter", "live_market"],
+    "elsewhere": ["farm_meat", "farm_dairy", "farm_eggs", "farm_wool", "farm_skins", "farm_poultry", "aquaculture", "quarantine", "saleyard", "holding_yard"],
+    "some": ["hatchery", "experimentation", "zoo", "wildlife", "racing", "rodeo", "entertainment", "pet_breeder", "pet_shop"],
+    "no": ["insect_rearing", "germinal_products", "farm_honey", "agricultural_show"],
+    "after": ["cutting", "processing", "minced_meat", "meat_preparations", "game_handling", "cold_store", "rendering", "casings", "egg_products"],
+    "transit": ["transporter"],
+}
 PRECISION_RANK = {"rooftop": 0, "street": 1, "locality": 2}
 MAPPABLE = ["rooftop", "street"]
 
