@@ -1,7 +1,11 @@
 """The corpus pipeline: five stages over documents, each one operator of sitefold.llm.
 
 A stage is a function of (spark, docs, sf_dir); its result is written as Parquet and read again as the
-next one's docs. All but the last return the columns of documents.
+next one's docs. All but the last return the columns of documents, whatever they are called.
+
+Null and empty texts fail the length rule of the first stage; later stages meet none from it, but take them
+as their operators say (nothing to cut, near to nothing, clean, size 0). Repeated rows are judged alike; the
+near-duplicate stage keeps one of them. An empty table stays empty through all stages.
 """
 
 from __future__ import annotations
