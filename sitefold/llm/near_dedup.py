@@ -12,12 +12,15 @@ forming all pairs of a large bucket: (1) equal sets are one class from the start
 are compared with its smallest class, and components are formed; (3) in buckets that still hold
 several components, classes are dealt into blocks, and pairs of blocks compare their classes of
 different components in place, so that rows grow with the bucket's size times its number of blocks and
-only new links come out. Components of both kinds of links are final.
+only new links come out. Blocks are bounded by classes and by shingles, so that long texts make them smaller.
+Block links tie the first components together; that is the final result. A group of n near copies that lie on
+both sides of the threshold still costs up to n * n / 2 comparisons of sets, dealt out by pairs of blocks.
 
 Null and empty texts have an empty set: n_shingles 0, linked with nothing. Equal rows get equal results;
 rows that share an id but not a text are classes of their own, and the smallest id of all rows in a
 component is its id. A null id is in a component as any other and never its smallest. Other input
-columns are not read.
+columns are not read by near_duplicates() and kept as they are by keep_first(); none clashes. An empty table
+gives an empty table. A text is read whole: its set is as large as it has different shingles.
 """
 
 from __future__ import annotations
@@ -36,8 +39,8 @@ from sitefold.operators.components import components
 
 #: Values in a signature, chunks, values left out of a chunk's key, bits of a value.
 SIGNATURE, CHUNKS, ERRORS, BITS = 32, 8, 1, 16
-#: Classes in a block, and words whose hashes a worker keeps.
-BLOCK, MOST_WORDS = 1024, 500_000
+#: Classes in a block, shingles of all of them on average, and words whose hashes a worker keeps.
+BLOCK, MOST_IN_BLOCK, MOST_WORDS = 1024, 1 << 20, 500_000
 
 _U = np.uint64
 
@@ -206,10 +209,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     """(doc, k, n_shingles, component, group): every row with the smallest id of its component. group is the
     component's own key, null for an empty set; only repeated ids make it differ from component."""
     rows = materialise(signatures(docs, key, text, shingle_words), "signatures")
-    classes = rows.where(F.col("class").isNotNull()).groupBy("class").agg(F.min("doc").alias("least"), F.min("k").alias("k"), F.first("sig").alias("sig"))
-    keys = classes.select("class", F.posexplode(index_keys(F.col("sig"))).alias("q", "bucket"))
-    buckets = keys.groupBy("bucket").agg(F.min("class").alias("first"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    members = materialise(keys.join(buckets, "bucket"), "buckets")
+    classes = rows.where(F.col("class").isNotNull()).groupBy("class").agg(F.min("doc").alias("least"), F.min("k").alias("k"), F.first("sig").alias("sig"), F.max("n_shingles").alias("n"))
+    keys = classes.select("class", "n", F.posexplode(index_keys(F.col("sig"))).alias("q", "bucket"))
+    buckets = keys.groupBy("bucket").agg(F.min("class").alias("first"), F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingles")).where("size > 1")
+    members = materialise(keys.drop("n").join(buckets, "bucket"), "buckets")
 
     wanted = classes.select("class", "k", "sig").join(members.select("class").distinct(), "class", "left_semi")
     found = docs.select(row_key(key, text).alias("k"), F.col(text).alias("text")).join(wanted, "k")
@@ -221,17 +224,21 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     star = materialise(_confirm(pairs, shingle_words, percent), "star-links")
     joined = materialise(components(star).select(F.col("node").alias("class"), "component"), "star-components")
 
-    now = members.where("size > 2").join(joined, "class", "left").select("bucket", "q", "class", "size", F.coalesce("component", "class").alias("component"))
+    now = members.where("size > 2").join(joined, "class", "left").select("bucket", "q", "class", "size", "shingles", F.coalesce("component", "class").alias("component"))
     open_ = now.groupBy("bucket", "q", "size").agg(F.min("component").alias("_a"), F.max("component").alias("_b"), F.sum(F.xxhash64("class").cast("decimal(38,0)")).alias("_all"))
     open_ = open_.where("_a <> _b").groupBy("size", "_all").agg(F.min(F.struct("q", "bucket")).alias("_b"))
     open_ = open_.select("_b.bucket")  # buckets of the same classes count once, at their first key
-    dealt = now.join(open_, "bucket", "left_semi").withColumn("_n", F.ceil(F.col("size") / block).cast("int"))
+    dealt = now.join(open_, "bucket", "left_semi").withColumn("_n", F.ceil(F.greatest(F.col("size") / block, F.col("shingles") / MOST_IN_BLOCK)).cast("int"))
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64("class"), F.col("_n")).cast("int")).withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
     dealt = dealt.select("bucket", "q", F.least("block", "_o").alias("bi"), F.greatest("block", "_o").alias("bj"), "block", "class", "component")
     more = materialise(_compare_blocks(dealt.join(texts, "class"), shingle_words, percent), "block-links")
 
-    final = materialise(components(star.unionAll(more)).select(F.col("node").alias("class"), F.col("component").alias("_c")), "components")
-    named = classes.select("class", "least").join(final, "class", "left").withColumn("_c", F.coalesce("_c", "class"))
+    # The second round of components runs over the first ones' names, as far as block links touch them.
+    of = lambda c, into: joined.select(F.col("class").alias(c), F.col("component").alias(into))
+    over = more.join(of("src", "_a"), "src", "left").join(of("dst", "_b"), "dst", "left").select(F.coalesce("_a", "src").alias("src"), F.coalesce("_b", "dst").alias("dst"))
+    final = materialise(components(materialise(over, "component-links")).select(F.col("node").alias("_first"), F.col("component").alias("_c")), "components")
+    named = classes.select("class", "least").join(joined, "class", "left").withColumn("_first", F.coalesce("component", "class")).drop("component")
+    named = named.join(final, "_first", "left").withColumn("_c", F.coalesce("_c", "_first"))
     least = named.groupBy("_c").agg(F.min("least").alias("component"))
     named = named.join(least, "_c").select("class", "component", F.col("_c").alias("group"))
     return rows.drop("sig").join(named, "class", "left").select("doc", "k", "n_shingles", F.coalesce("component", "doc").alias("component"), "group")
