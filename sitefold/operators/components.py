@@ -3,12 +3,16 @@
 Each round rewrites edges with two aggregations and joins, and ends in a written table, so that lineage
 stays short and a lost executor repeats one round at most; the table before it is deleted. Rounds needed grow with the logarithm of the
 components' diameters. Nothing is collected but two numbers for each round.
+
+Rounds have a fixed cost, which a small table needn't pay: callers may name a number of links up to which one task
+joins them in memory. The links, a written table, are counted first; the result is the same.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from sitefold.plans.shared import materialise, release
@@ -28,12 +32,36 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return tied.unionAll(least.select("a", F.col("m").alias("b"))).distinct()
 
 
-def components(edges: DataFrame, src: str = "src", dst: str = "dst", most_rounds: int = 60, keep: Callable[[DataFrame, str], DataFrame] = materialise) -> DataFrame:
+def _in_one_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Links (a, b) to every node with the smallest of its component."""
+    up: dict = {}
+
+    def find(x):
+        root = x
+        while (y := up.setdefault(root, root)) != root:
+            root = y
+        while up[x] != root:  # shorten the way for those that come later
+            up[x], x = root, up[x]
+        return root
+
+    for batch in batches:
+        for a, b in zip(batch["a"], batch["b"]):
+            a, b = find(a), find(b)
+            up[max(a, b)] = min(a, b)
+    if nodes := list(up):
+        yield pd.DataFrame({"node": nodes, "component": [find(x) for x in nodes]})
+
+
+def components(edges: DataFrame, src: str = "src", dst: str = "dst", most_rounds: int = 60, keep: Callable[[DataFrame, str], DataFrame] = materialise, small: int = 0) -> DataFrame:
     """(node, component): component is the smallest node reachable. Only nodes with an edge are listed.
 
-    Self-loops list their node. Null ends are dropped. Nodes may be of any type with an order.
+    Self-loops list their node. Null ends are dropped. Nodes may be of any type with an order. small: the number of
+    links up to which one task joins them, 0 for none.
     """
     ends = edges.where(F.col(src).isNotNull() & F.col(dst).isNotNull())
+    if small and ends.count() <= small:
+        kind = ends.schema[src].dataType.simpleString()
+        return ends.select(src, dst).toDF("a", "b").coalesce(1).mapInPandas(_in_one_task, f"node {kind}, component {kind}")
     nodes = ends.select(F.explode(F.array(src, dst)).alias("node")).distinct()
     links = ends.where(F.col(src) != F.col(dst)).select(F.greatest(src, dst).alias("a"), F.least(src, dst).alias("b")).distinct()
     links = keep(links, "links")

@@ -29,6 +29,8 @@ GEO_M, GEO_LOOSE_M = 250, 1500
 GRID = 0.01
 NAME_GROUP = (2, 12)
 EXACT = ["br_trase"]
+#: Links between records up to which one task closes them; registers of a country have fewer, those of the world more.
+FEW_LINKS = 1 << 19
 
 
 def with_keys(records: DataFrame) -> DataFrame:
@@ -163,13 +165,13 @@ def resolve(records: DataFrame, hits: DataFrame | None = None, decisions: DataFr
         e = e.withColumn("tier", F.lit(tier))
         every = e if every is None else every.unionByName(e)
     every = materialise(every, "edges")
-    joined = materialise(components(every), "components")
+    joined = materialise(components(every, small=FEW_LINKS), "components")
     review = []
     for pairs, tier in ((addr_pairs(rows), "addr"), (geo_pairs(rows), "geo")):
         left = materialise(apart(pairs.select(*PAIR), joined).select(*PAIR, "_ca", "_cb"), f"{tier}-pairs")
         new = allowed(left.where("merges").select(F.col("a_key").alias("src"), F.col("b_key").alias("dst"))).withColumn("tier", F.lit(tier))
         every = materialise(every.unionByName(new), "edges")
-        joined = materialise(components(every), "components")
+        joined = materialise(components(every, small=FEW_LINKS), "components")
         review.append(apart(left.where("NOT merges" if split is None else "true").select(*PAIR), joined).select(*PAIR))
     review.append(apart(name_pairs(rows).select(*PAIR), joined).select(*PAIR))
     queue = review[0].unionByName(review[1]).unionByName(review[2])

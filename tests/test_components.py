@@ -20,15 +20,16 @@ def union_find(edges):
     return {x: find(x) for x in up}
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_random_graphs(spark, seed):
+@pytest.mark.parametrize("seed,small", [(1, 0), (2, 0), (3, 10**6), (4, 10)])
+def test_random_graphs(spark, seed, small):
     r = random.Random(seed)
     edges = [(r.randrange(80), r.randrange(80)) for _ in range(60)] + [(k, k + 1) for k in range(200, 230)] + [(300, k) for k in range(301, 330)]
-    got = components(spark.createDataFrame(edges, "src long, dst long"))
+    got = components(spark.createDataFrame(edges, "src long, dst long"), small=small)
     assert {r.node: r.component for r in got.collect()} == union_find(edges)
 
 
 def test_empty_and_null_ends(spark):
-    assert components(spark.createDataFrame([], "src string, dst string")).count() == 0
-    got = components(spark.createDataFrame([("b", "a"), (None, "a"), ("c", "c")], "src string, dst string"))
-    assert {tuple(x) for x in got.collect()} == {("a", "a"), ("b", "a"), ("c", "c")}
+    for small in (0, 10):
+        assert components(spark.createDataFrame([], "src string, dst string"), small=small).count() == 0
+        got = components(spark.createDataFrame([("b", "a"), (None, "a"), ("c", "c")], "src string, dst string"), small=small)
+        assert {tuple(x) for x in got.collect()} == {("a", "a"), ("b", "a"), ("c", "c")}
