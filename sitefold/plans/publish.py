@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import gzip
+import html
 import json
+from collections.abc import Iterator
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sitefold.functions.geo import fixed_point, mercator
 from sitefold.functions.text import lookup
+from sitefold.plans.page import HEAD, SCRIPT, TAIL
 from sitefold.vocabulary import ACTIVITY_FATES, EXCLUDED_ACTIVITIES, EXCLUDED_SPECIES, SPECIES
 
 #: Facilities up to which build() writes one page; beyond it the coded tables are the payload.
@@ -201,26 +204,39 @@ def write_report(report: DataFrame, path: str) -> str:
     return text
 
 
-PAGE = """<!DOCTYPE html><html><head><meta charset="utf-8"><title>{title}</title></head><body><h1>{title}</h1><p>{subtitle}</p>
-<div id="list"></div><script>const load = async () => {{ const data = {data};
-document.getElementById("list").textContent = data.rows.length + " facilities"; }}; load();</script></body></html>"""
+def payload(facilities: DataFrame) -> Iterator[str]:
+    """The page's data as pieces of JSON text, a facility at a time: rows in coded form, dictionaries and shares."""
+    coded, dims = encode(facilities)
+    text = lambda x: json.dumps(x, ensure_ascii=False, separators=(",", ":")).replace("</", "<\\/")
+    yield '{"rows":['
+    for n, r in enumerate(coded.orderBy("uid").toLocalIterator(prefetchPartitions=True)):
+        yield ("," if n else "") + text(r.asDict(True))
+    named = {k: [r.value for r in d.orderBy("id").collect()] for k, d in dims.items()}
+    yield f'],"dictionaries":{text(named)},"shares":{text([r.asDict() for r in shares(facilities).collect()])}}}'
 
 
 def build(facilities: DataFrame, out: str, title: str = "Facilities", subtitle: str = "", keep_excluded: bool = False, inline: bool = False) -> dict:
     """The page, its payload (plain and gzip) beside it or inside it, and a report. The payload is one client's
-    download, so it is made on the driver, up to MOST_IN_PAGE facilities."""
+    download, so it is streamed through the driver, a facility at a time, up to MOST_IN_PAGE facilities."""
     kept = facilities if keep_excluded else drop_excluded(facilities)
-    coded, dims = encode(kept)
     n = kept.count()
     if n > MOST_IN_PAGE:
         raise ValueError(f"{n} facilities are more than one page holds; publish encode()'s tables instead")
-    payload = {"rows": [r.asDict(True) for r in coded.orderBy("uid").toLocalIterator()], "dictionaries": {k: [r.value for r in d.orderBy("id").collect()] for k, d in dims.items()}, "shares": [r.asDict() for r in shares(kept).collect()]}
-    data = json.dumps(payload, ensure_ascii=False, separators=(",", ":")).replace("</", "<\\/")
-    page = Path(out)
-    if inline:
-        page.write_text(PAGE.format(title=title, subtitle=subtitle, data=data), encoding="utf-8")
-    else:
-        page.with_suffix(".data.json").write_text(data, encoding="utf-8")
-        page.with_suffix(".data.json.gz").write_bytes(gzip.compress(data.encode(), mtime=0))
-        page.write_text(PAGE.format(title=title, subtitle=subtitle, data=f'await (await fetch("{page.with_suffix(".data.json").name}")).json()'), encoding="utf-8")
-    return {"facilities": n, "bytes": len(data.encode()), "large": inline and len(data.encode()) > 12_000_000, "countries": [tuple(r) for r in top(kept, "country_iso3", 25, "uid").collect()]}
+    page, size = Path(out), 0
+    head = HEAD.replace("@title", html.escape(title)).replace("@subtitle", html.escape(subtitle))
+    with page.open("w", encoding="utf-8") as f:
+        f.write(head + SCRIPT)
+        if inline:
+            f.write("show(")
+            for x in payload(kept):
+                size += f.write(x)
+            f.write(");")
+        else:
+            data = page.with_suffix(".data.json")
+            with data.open("wb") as plain, gzip.GzipFile(f"{data}.gz", "wb", mtime=0) as packed:
+                for x in payload(kept):
+                    size += plain.write(x.encode())
+                    packed.write(x.encode())
+            f.write(f"fetch({json.dumps(data.name)}).then(r => r.json()).then(show);")
+        f.write(TAIL)
+    return {"facilities": n, "bytes": size, "large": inline and size > 12_000_000, "countries": [tuple(r) for r in top(kept, "country_iso3", 25, "uid").collect()]}

@@ -1,3 +1,6 @@
+import gzip
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -28,7 +31,17 @@ def test_report_and_build(selftest, tmp_path):
     text = publish.write_report(assemble.report(keyed, facilities, queue), str(tmp_path / "r.md"))
     assert "| rows | 8 |" in text and "| facilities | 5 |" in text and "| mappable | 3 |" in text
     made = publish.build(facilities, str(tmp_path / "page.html"))
-    assert made["facilities"] == 5 and (tmp_path / "page.data.json.gz").exists()
+    assert made["facilities"] == 5
+    data = json.loads(gzip.decompress((tmp_path / "page.data.json.gz").read_bytes()))
+    assert data == json.loads((tmp_path / "page.data.json").read_text()) and made["bytes"] == (tmp_path / "page.data.json").stat().st_size
+    found = {r.uid: r for r in facilities.collect()}
+    assert [r["uid"] for r in data["rows"]] == sorted(found)
+    for r in data["rows"]:
+        f = found[r["uid"]]
+        assert data["dictionaries"]["country"][r["country_id"]] == f.country_iso3 and r["name"] == f.name and r["y"] == (None if f.lat is None else round(f.lat * 1e5))
+    inside = publish.build(facilities.withColumn("name", F.lit("</script>")), str(tmp_path / "one.html"), title="A & B", inline=True)
+    text = (tmp_path / "one.html").read_text()
+    assert not inside["large"] and text.count("</script>") == 1 and "A &amp; B" in text and "show({" in text
 
 
 def test_order_of_rows_does_not_matter_and_no_row_is_lost(spark):
