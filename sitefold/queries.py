@@ -60,9 +60,9 @@ SITES = """sites AS (SELECT c_custkey k, 'Mill ' || c_mktsegment || ' ' || (100
   CASE WHEN c_custkey % 4 > 0 THEN 'P-' || (c_custkey // 5)::VARCHAR END postcode, (c_custkey // 5 % 90)::VARCHAR || ' Mill Lane' address FROM customer)"""
 
 
-def sites(spark, d):
+def sites(spark, d, customers: DataFrame | None = None):
     k = F.col("c_custkey")
-    return table(spark, d, "customer").select(
+    return (table(spark, d, "customer") if customers is None else customers).select(
         k.alias("k"), F.concat(F.lit("Mill "), "c_mktsegment", F.lit(" "), (100 + F.floor(k / 2) % 10).cast("string"), F.when(k % 3 == 0, " Ltd").otherwise("")).alias("name"), F.col("c_nationkey").alias("nation"),
         (F.floor(k / 7) % 160 - 80).cast("double").__add__((k % 7) * 0.0004).alias("lat"), (F.floor(k / 3) % 340 - 170).cast("double").__add__((k % 3) * 0.0003).alias("lon"),
         F.when(k % 4 > 0, F.concat(F.lit("P-"), F.floor(k / 5).cast("string"))).alias("postcode"), F.concat((F.floor(k / 5) % 90).cast("string"), F.lit(" Mill Lane")).alias("address"),
@@ -425,11 +425,9 @@ def resolved_sql(decisions: dict[str, str]) -> str:
     return RESOLVED.replace("@cut", decisions["cut"]).replace("@merge", decisions["merge"])
 
 
-def canonical_sites(spark, d) -> DataFrame:
+def canonical_sites(spark, d, customers: DataFrame | None = None) -> DataFrame:
     """Customers in the canonical columns."""
-    k = F.col("c_custkey")
-    s = sites(spark, d).join(table(spark, d, "customer").select(k.alias("k")), "k")
-    k = F.col("k")
+    s, k = sites(spark, d, customers), F.col("k")
     at = F.when(k % 9 > 0, F.col("lat") + (k % 7) * (SPREAD - 0.0004))
     given = {
         "source_id": F.lit("x"), "source_row_id": k.cast("string"), "name": F.col("name"), "country_iso3": F.concat(F.lit("N"), (F.floor(k / 60) % 3).cast("string")), "national_id": F.when(k % 6 == 0, F.floor(k / 12).cast("string")), "id_scheme": F.lit("S"),
