@@ -40,7 +40,7 @@ from sitefold.operators.components import components
 #: Values in a signature, chunks, values left out of a chunk's key, bits of a value.
 SIGNATURE, CHUNKS, ERRORS, BITS = 32, 8, 1, 16
 #: Classes in a block, shingles of all of them on average, and words whose hashes a worker keeps.
-BLOCK, MOST_IN_BLOCK, MOST_WORDS = 1024, 1 << 20, 500_000
+BLOCK, MOST_IN_BLOCK, MOST_WORDS = 1024, 1 << 19, 300_000
 
 _U = np.uint64
 
@@ -149,7 +149,7 @@ def _confirm(pairs: DataFrame, n: int, percent: int) -> DataFrame:
 
 
 #: Shingles of one pair of blocks up to which they are held as sets.
-MOST_IN_SETS = 2_000_000
+MOST_IN_SETS = 1 << 20
 
 
 #: Classes of a pair of blocks from which pairs are first held against the keys before; fewer are just compared.
