@@ -36,7 +36,8 @@ class Rule:
     high: float | None = None
 
 
-# The verdict beside the base rule: ratios are per word or per line.
+# The verdict beside the base rule: ratios are per word or per line. Symbols count by fours, as words of four characters,
+# so that 0.2 stands for four symbols in five words.
 RULES = (
     Rule("n_words", low=50),
     Rule("mean_word_chars", low=2.0, high=14.0),
