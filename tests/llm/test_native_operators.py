@@ -47,8 +47,11 @@ def test_quality_keeps_prose_and_rejects_junk(spark):
     r = random.Random(8)
     rows = [(k, " ".join(f"{r.choice(t.split())} {prose(r, 2, 10**6)}" for _ in range(30)), "s") for k, t in enumerate(stops.values())]
     rows.append((10, " ".join(f"w{i}&&& #x{i} %%%{i}$$$" for i in range(60)), "s"))
+    words = rows[0][1].split()
+    rows.append((11, " ".join(w + " |" * (i % 3 == 0) for i, w in enumerate(words)), "s"))  # cells of a menu
+    rows.append((12, " ".join(w + " &" * (i % 20 == 0) for i, w in enumerate(words)), "s"))
     kept = {r.doc_id for r in quality_rules.keep_good(table(spark, rows)).collect()}
-    assert kept == {0, 1, 2, 3}
+    assert kept == {0, 1, 2, 3, 12}
 
 
 def test_mixing_reaches_targets_and_reruns_agree(spark):
