@@ -9,8 +9,12 @@ Alike is a Jaccard of name words of STRICT or more; from LOOSE on a pair is revi
 need equal names to merge. A pair is reviewed if its ends are apart after the stage's own merges.
 
 Row identity: a key that several rows share gets '#2', '#3', ... for all but its first row, so none is lost.
-Identifier edges are stars, so a popular number makes no pairs; address and grid candidates are plain
-equi-joins on country and block, which adaptive execution splits where a block is large.
+Identifier edges are stars, so a popular number makes no pairs. Address and grid candidates meet on country, block and
+a word: with a record's words in one order, the rarest first, two records can be alike only if their prefixes, all
+words but the last ceil(LOOSE * n) - 1, share one (prefix filter); where many share a word, shorter prefixes by the sizes
+of both sets hold. So a crowded block makes few pairs of unlike names.
+Records of one block that nothing tells apart (class_of) are compared once, through the first of them; stars tie the
+others to it, and pairs for review are dealt to all of them at the end.
 """
 
 from __future__ import annotations
@@ -82,9 +86,57 @@ def id_edges(rows: DataFrame) -> DataFrame:
     return listed.join(first, ["country", "id"]).where("key <> src OR n > 1").select("src", F.col("key").alias("dst")).distinct()
 
 
+#: Words that more than 1 / COMMON of all words are, at most COMMON of them, are counted for the order of rarity; others come first.
+COMMON = 1 << 16
+
+
+def with_prefix(rows: DataFrame) -> DataFrame:
+    """Adds prefix: the words, rarest first, of which alike records (LOOSE or more) share at least one. Words that are
+    not common come first, by themselves, then the common ones by their number."""
+    words = rows.select("key", F.explode("words").alias("w"))
+    n = words.count()
+    common = words.groupBy("w").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") * COMMON > n)
+    ordered = words.join(F.broadcast(common), "w", "left").groupBy("key").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "w"))).alias("_o"))
+    size = F.size("_o")
+    some = F.slice("_o", F.lit(1), size - F.ceil(size * LOOSE - 1e-9).cast("int") + 1)
+    return rows.join(ordered.select("key", F.transform(some, lambda x: x["w"]).alias("prefix")), "key", "left")
+
+
 def _sides(rows: DataFrame, *more: str) -> tuple[DataFrame, DataFrame]:
     some = ["key", "seq", "source_id", "text", "words", "lat", "lon", *more]
-    return tuple(rows.select("country", "block", *[F.col(c).alias(f"{s}_{c}") for c in some]) for s in "ab")
+    on = [c for c in ("country", "block", "token") if c in rows.columns]
+    return tuple(rows.select(*on, *[F.col(c).alias(f"{s}_{c}") for c in some]) for s in "ab")
+
+
+#: Rows of one block and word from which they meet by their numbers of words as well.
+CROWD = 256
+
+
+def _by_size(rows: DataFrame) -> DataFrame:
+    """rows (country, block, token, at, words, ...) with own and other: 0, or in a crowd the own number of words and, once
+    for each, a number of words that a partner can have.
+
+    Sets of m and n words are alike only if they share at least LOOSE / (1 + LOOSE) * (m + n); so the first word that
+    they share stands before the last ones that many less one, in either.
+    """
+    crowds = rows.groupBy("country", "block", "token").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= CROWD)
+    m = F.size("words")
+    shared = lambda n: F.ceil((m + n) * (LOOSE / (1 + LOOSE)) - 1e-9).cast("int")
+    possible = F.sequence(F.ceil(m * LOOSE - 1e-9).cast("int"), F.floor(m / LOOSE + 1e-9).cast("int"))
+    partners = F.filter(possible, lambda n: F.col("at") <= m - shared(n))
+    rows = rows.join(crowds, ["country", "block", "token"], "left").withColumn("own", F.when(F.col("_n").isNull(), 0).otherwise(m))
+    return rows.withColumn("other", F.explode(F.when(F.col("_n").isNull(), F.array(F.lit(0))).otherwise(partners))).drop("_n", "at")
+
+
+def _met(rows: DataFrame, order: str, *more: str) -> DataFrame:
+    """Pairs of rows (with prefix) of one country and block that share a word of their prefixes, at the first such word only."""
+    listed = rows.select("*", F.posexplode("prefix").alias("at", "token"))
+    a, b = _sides(_by_size(listed), "prefix", "own", "other", *more)
+    least = LOOSE * F.greatest(F.size("a_words"), F.size("b_words")) - 1e-9
+    same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("country", "block", "token")] + [F.col("a_own") == F.col("b_other"), F.col("a_other") == F.col("b_own")]
+    pairs = a.alias("a").join(b.alias("b"), same).where(order).select("a.*", *[c for c in b.columns if c.startswith("b_")])
+    pairs = pairs.where(F.least(F.size("a_words"), F.size("b_words")) >= least).where("token = array_intersect(a_prefix, b_prefix)[0]")
+    return pairs.drop("a_prefix", "b_prefix", "a_own", "b_own", "a_other", "b_other", "token")
 
 
 def _scored(pairs: DataFrame) -> DataFrame:
@@ -94,18 +146,26 @@ def _scored(pairs: DataFrame) -> DataFrame:
     return pairs.where(F.col("score") >= LOOSE).withColumn("merges", (F.col("score") >= STRICT) & (~exact | same_name(F.col("a_text"), F.col("b_text"))))
 
 
+BY_SEQ, BY_KEY = "(a_seq, a_key) < (b_seq, b_key)", "a_key < b_key"
+ADDR_REASON = "same postcode and street number"
+
+
+def at_address(rows: DataFrame) -> DataFrame:
+    """Rows with a block: postcode and house number, both stated."""
+    return rows.where("ak <> '' AND NOT endswith(ak, '#')").withColumn("block", F.col("ak"))
+
+
 def addr_pairs(rows: DataFrame) -> DataFrame:
-    """Pairs of one country, postcode and house number; both must be stated."""
-    a, b = _sides(rows.where("ak <> '' AND NOT endswith(ak, '#')").withColumn("block", F.col("ak")))
-    pairs = a.join(b, ["country", "block"]).where("(a_seq, a_key) < (b_seq, b_key)")
-    return _scored(pairs).withColumns({"metres": F.lit(None).cast("double"), "reason": F.lit("same postcode and street number")})
+    """Alike pairs of one country, postcode and house number; both must be stated."""
+    rows = rows if "prefix" in rows.columns else with_prefix(rows)
+    return _scored(_met(at_address(rows), BY_SEQ)).withColumns({"metres": F.lit(None).cast("double"), "reason": F.lit(ADDR_REASON)})
 
 
-def grid_pairs(rows: DataFrame, reach: float = GEO_LOOSE_M) -> DataFrame:
-    """Pairs that share the neighbourhood of an occupied cell, with their distance, once each, a_key < b_key.
+def with_cells(rows: DataFrame) -> DataFrame:
+    """Rows with a position, once for each occupied cell around them, at most nine (block), with all of these (near).
 
-    The occupied cells around a cell, at most nine, are found once for each cell. A pair comes out of the
-    smallest of those that its ends share, so no pair is made twice and none has to be dealt out again.
+    The occupied cells around a cell are found once for each cell. A pair comes out of the smallest of those that
+    its ends share, so no pair is made twice and none has to be dealt out again.
     """
     cell = F.struct(F.round(F.col("lat") / GRID).cast("long").alias("y"), F.round(F.col("lon") / GRID).cast("long").alias("x"))
     at = rows.where("lat IS NOT NULL AND lon IS NOT NULL").withColumn("cell", cell)
@@ -113,15 +173,63 @@ def grid_pairs(rows: DataFrame, reach: float = GEO_LOOSE_M) -> DataFrame:
     beside = F.array(*[F.struct((F.col("cell.y") + dy).alias("y"), (F.col("cell.x") + dx).alias("x")) for dy in (-1, 0, 1) for dx in (-1, 0, 1)])
     around = cells.select("country", "cell", F.explode(beside).alias("block")).join(cells.withColumnRenamed("cell", "block"), ["country", "block"], "left_semi")
     around = around.groupBy("country", "cell").agg(F.collect_list("block").alias("near"))
-    a, b = _sides(at.join(around, ["country", "cell"]).withColumn("block", F.explode("near")), "near")
-    pairs = a.join(b, ["country", "block"]).where("a_key < b_key AND block = array_min(array_intersect(a_near, b_near))").drop("a_near", "b_near")
+    return at.join(around, ["country", "cell"]).withColumn("block", F.explode("near"))
+
+
+def _near(pairs: DataFrame, reach: float) -> DataFrame:
+    pairs = pairs.where("block = array_min(array_intersect(a_near, b_near))").drop("a_near", "b_near")
     return pairs.withColumn("metres", haversine_m(F.col("a_lat"), F.col("a_lon"), F.col("b_lat"), F.col("b_lon"))).where(F.col("metres") <= reach)
 
 
+def grid_pairs(rows: DataFrame, reach: float = GEO_LOOSE_M) -> DataFrame:
+    """All pairs that share the neighbourhood of an occupied cell, whatever their names, once each, a_key < b_key."""
+    a, b = _sides(with_cells(rows), "near")
+    return _near(a.join(b, ["country", "block"]).where(BY_KEY), reach)
+
+
+def _metres_apart(metres) -> Column:
+    return F.concat(metres.cast("long").cast("string"), F.lit(" m apart"))
+
+
 def geo_pairs(rows: DataFrame) -> DataFrame:
-    pairs = _scored(grid_pairs(rows))
+    """Alike pairs of neighbouring cells within GEO_LOOSE_M; they merge within GEO_M."""
+    rows = rows if "prefix" in rows.columns else with_prefix(rows)
+    pairs = _scored(_near(_met(with_cells(rows), BY_KEY, "near"), GEO_LOOSE_M))
     pairs = pairs.withColumn("merges", F.col("merges") & (F.col("metres") <= GEO_M))
-    return pairs.withColumn("reason", F.concat(F.col("metres").cast("long").cast("string"), F.lit(" m apart")))
+    return pairs.withColumn("reason", _metres_apart(F.col("metres")))
+
+
+def class_of(rows: DataFrame, place: list[str], alone: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """(the first row of each class, members (rep, key, seq) of classes of several rows).
+
+    A class holds the rows of one country with equal place, name, words and need of an exact name: they merge with each
+    other, and each is to other rows what the first is. Rows whose key is in alone are classes of their own.
+    """
+    rows = rows.where(F.size("words") > 0)
+    rows = rows.withColumn("_own", F.lit(None).cast("string")) if alone is None else rows.join(alone.select("key", F.col("key").alias("_own")).distinct(), "key", "left")
+    same = F.struct("country", *place, F.array_sort("words").alias("_w"), "text", F.col("source_id").isin(*EXACT).alias("_e"), "_own")
+    rows = rows.withColumn("_class", F.unhex(F.sha2(F.to_json(same), 256)))
+    own = [c for c in rows.columns if c not in ("_class", "_own")]
+    first = rows.groupBy("_class").agg(F.min_by(F.struct(*own), F.struct("seq", "key")).alias("_r"), F.count(F.lit(1)).alias("_n"))
+    several = first.where("_n > 1").select("_class", F.col("_r.key").alias("rep"))
+    return first.select("_r.*"), rows.select("_class", "key", "seq").join(several, "_class").select("rep", "key", "seq")
+
+
+def stars(members: DataFrame, metres: float | None, reason: Column) -> DataFrame:
+    """Pairs of a class's first row with the others; a_seq and b_seq are not needed."""
+    pairs = members.where("key <> rep").select(F.col("rep").alias("a_key"), F.col("key").alias("b_key"))
+    none = F.lit(None).cast("bigint")
+    return pairs.withColumns({"a_seq": none, "b_seq": none, "score": F.lit(1.0), "metres": F.lit(metres).cast("double"), "reason": reason, "merges": F.lit(True)})
+
+
+def dealt(pairs: DataFrame, members: DataFrame, order: str) -> DataFrame:
+    """Pairs of first rows, for all members of either class, each pair in the stage's order."""
+    for s in "ab":
+        m = members.toDF(f"{s}_key", "_key", "_seq")
+        pairs = pairs.join(m, f"{s}_key", "left").withColumns({f"{s}_key": F.coalesce("_key", f"{s}_key"), f"{s}_seq": F.coalesce("_seq", f"{s}_seq")}).drop("_key", "_seq")
+    turn = ~F.expr(order)
+    other = {f"{s}_{c}": F.when(turn, F.col(f"{t}_{c}")).otherwise(F.col(f"{s}_{c}")) for s, t in ("ab", "ba") for c in ("key", "seq")}
+    return pairs.withColumns(other)
 
 
 def name_pairs(rows: DataFrame) -> DataFrame:
@@ -133,7 +241,7 @@ def name_pairs(rows: DataFrame) -> DataFrame:
     return pairs.withColumns({"score": F.lit(1.0), "metres": F.lit(None).cast("double"), "reason": F.lit("identical name, no usable location on either record"), "merges": F.lit(False)})
 
 
-PAIR = ["a_key", "b_key", "score", "metres", "reason", "merges"]
+PAIR = ["a_key", "b_key", "a_seq", "b_seq", "score", "metres", "reason", "merges"]
 
 
 def apart(pairs: DataFrame, joined: DataFrame) -> DataFrame:
@@ -151,7 +259,7 @@ def resolve(records: DataFrame, hits: DataFrame | None = None, decisions: DataFr
     away the pair's own edges, and conflicts() lists split pairs that other edges still connect.
     """
     keyed = materialise(with_hits(with_keys(records), hits), "records")
-    rows = materialise(prepared(keyed), "prepared")
+    rows = materialise(with_prefix(materialise(prepared(keyed), "names")), "prepared")
     split = None if decisions is None else decisions.where("lower(trim(decision)) = 'split'").select(F.least("a_key", "b_key").alias("_l"), F.greatest("a_key", "b_key").alias("_g")).distinct()
 
     def allowed(edges: DataFrame) -> DataFrame:
@@ -167,12 +275,20 @@ def resolve(records: DataFrame, hits: DataFrame | None = None, decisions: DataFr
     every = materialise(every, "edges")
     joined = materialise(components(every, small=FEW_LINKS), "components")
     review = []
-    for pairs, tier in ((addr_pairs(rows), "addr"), (geo_pairs(rows), "geo")):
-        left = materialise(apart(pairs.select(*PAIR), joined).select(*PAIR, "_ca", "_cb"), f"{tier}-pairs")
+    alone = None if split is None else split.select(F.col("_l").alias("key")).union(split.select("_g"))
+    stages = (
+        ("addr", at_address(rows), ["block"], addr_pairs, None, F.lit(ADDR_REASON), BY_SEQ),
+        ("geo", rows.where("lat IS NOT NULL AND lon IS NOT NULL"), ["lat", "lon"], geo_pairs, 0.0, _metres_apart(F.lit(0)), BY_KEY),
+    )
+    for tier, located, place, pairs_of, metres, reason, order in stages:
+        first, members = class_of(located, place, alone)
+        members = materialise(members, f"{tier}-classes")
+        pairs = pairs_of(materialise(first, f"{tier}-rows")).select(*PAIR).unionByName(stars(members, metres, reason))
+        left = materialise(apart(pairs, joined).select(*PAIR), f"{tier}-pairs")
         new = allowed(left.where("merges").select(F.col("a_key").alias("src"), F.col("b_key").alias("dst"))).withColumn("tier", F.lit(tier))
         every = materialise(every.unionByName(new), "edges")
         joined = materialise(components(every, small=FEW_LINKS), "components")
-        review.append(apart(left.where("NOT merges" if split is None else "true").select(*PAIR), joined).select(*PAIR))
+        review.append(dealt(apart(left.where("NOT merges" if split is None else "true").select(*PAIR), joined).select(*PAIR), members, order))
     review.append(apart(name_pairs(rows).select(*PAIR), joined).select(*PAIR))
     queue = review[0].unionByName(review[1]).unionByName(review[2])
     if split is not None:  # decided already

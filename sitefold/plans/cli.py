@@ -6,7 +6,7 @@ import argparse
 import importlib
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sitefold.operators import assemble, geocode, resolve
 from sitefold.plans import publish
@@ -30,37 +30,57 @@ def dedup(spark: SparkSession, records: DataFrame, cache: DataFrame | None = Non
     return keyed, assemble.assemble(keyed, tiers, queue), queue
 
 
-#: Eight invented rows: three of one plant by number, two by place, two namesakes to review, one alone.
-SELFTEST = [
-    ("us_fsis_mpi", "G77", "Prairie Larch Meats LLC", "USA", "G77", "US-FSIS", None, None, "910 Larch Avenue", "68847", 40.6993, -99.0817, True),
-    ("eu_traces_third_country", "US-G77", "PRAIRIE LARCH MEATS", "USA", "G77", "US-FSIS", None, None, "910 Larch Ave, Kearney NE", None, None, None, True),
-    ("cifer_china", "CNUS4410", "Prairie Larch Meats", "USA", "CNUS4410", "CN-CIFER", "G77", "US-FSIS", None, None, None, None, None),
-    ("us_fsis_mpi", "P208", "Copper Creek Turkey Co", "USA", "P208", "US-FSIS", None, None, "3 Dam Road", "56201", 45.1219, -95.0433, True),
-    ("osm_overpass", "way/5150", "Copper Creek Turkey", "USA", None, None, None, None, None, None, 45.1222, -95.0430, True),
-    ("eu_traces_third_country", "AR-31", "Estancia Los Sauces", "ARG", "31", "EU-THIRDCOUNTRY", None, None, None, None, None, None, True),
-    ("eu_traces_third_country", "AR-58", "Estancia Los Sauces", "ARG", "58", "EU-THIRDCOUNTRY", None, None, None, None, None, None, True),
-    ("eu_member_states", "PT-9.077", "Talhos do Mondego SA", "PRT", "9.077", "EU-APPROVAL", None, None, "Rua da Ponte 15", "3000", 40.2056, -8.4196, True),
-]
+#: Invented rows, one case of a rule in each group, as fields that are stated.
+SELFTEST = {
+    # One number, handed on over three schemes: four records, one facility.
+    "identifier": [
+        {"source_id": "ca_cfia", "source_row_id": "381", "name": "Lac Vert Abattoir Inc", "country_iso3": "CAN", "national_id": "381", "id_scheme": "CA-SFC"},
+        {"source_id": "eu_traces_third_country", "source_row_id": "q1", "name": "Lac Vert", "country_iso3": "CAN", "national_id": "7-12", "id_scheme": "EU-THIRDCOUNTRY", "foreign_id": "Est. 381", "foreign_id_scheme": "CA-SFC"},
+        {"source_id": "cifer_china", "source_row_id": "q2", "name": "Green Lake", "country_iso3": "CAN", "national_id": "C55", "id_scheme": "CN-CIFER", "foreign_id": "712", "foreign_id_scheme": "EU-THIRDCOUNTRY"},
+        {"source_id": "own_notes", "source_row_id": "a", "name": "?", "country_iso3": "CAN", "foreign_id": "c55", "foreign_id_scheme": "CN-CIFER"},
+    ],
+    # One postcode and number, alike names: merged. The next house is another facility.
+    "address": [
+        {"source_id": "own_notes", "source_row_id": "b1", "name": "Toma Duck Farm", "country_iso3": "HUN", "address": "Fő utca 41", "postcode": "5600", "slaughter": False},
+        {"source_id": "osm_overpass", "source_row_id": "b2", "name": "Toma Duck Farm Kft", "country_iso3": "HUN", "address": "41 Fo u.", "postcode": "5600"},
+        {"source_id": "own_notes", "source_row_id": "b3", "name": "Toma Duck Farm", "country_iso3": "HUN", "address": "Fő utca 43", "postcode": "5600"},
+    ],
+    # On one meridian: 240 m from the first, a merge; 260 m from it on the other side, a pair to review with either.
+    "distance": [
+        {"source_id": "own_notes", "source_row_id": "c1", "name": "Curtiembre Yi", "country_iso3": "URY", "src_lat": -33.40, "src_lon": -56.50, "slaughter": True},
+        {"source_id": "osm_overpass", "source_row_id": "c2", "name": "Curtiembre Yi SA", "country_iso3": "URY", "src_lat": -33.40 + 240 / 111195, "src_lon": -56.50},
+        {"source_id": "osm_overpass", "source_row_id": "c3", "name": "Curtiembre del Yi", "country_iso3": "URY", "src_lat": -33.40 - 260 / 111195, "src_lon": -56.50},
+    ],
+    # One number by mistake: held apart by the decision below.
+    "decision": [
+        {"source_id": "jp_list", "source_row_id": "d1", "name": "Kita Ham", "country_iso3": "JPN", "national_id": "9", "id_scheme": "JP"},
+        {"source_id": "jp_list", "source_row_id": "d2", "name": "Minami Egg", "country_iso3": "JPN", "national_id": "No. 9", "id_scheme": "JP"},
+    ],
+}
+SELFTEST_SPLIT = ("jp_list:d1", "jp_list:d2", "split")
+#: What must come of them, as row ids.
+SELFTEST_FACILITIES = ["381 a q1 q2", "b1 b2", "b3", "c1 c2", "c3", "d1", "d2"]
+SELFTEST_REVIEW = ["c1 c3", "c2 c3"]
 
 
 def selftest_records(spark: SparkSession) -> DataFrame:
-    names = ["source_id", "source_row_id", "name", "country_iso3", "national_id", "id_scheme", "foreign_id", "foreign_id_scheme", "address", "postcode", "src_lat", "src_lon", "slaughter"]
-    fields = [x.strip().split(" ")[0] for x in SOURCE_RECORD.split(", ")]
-    rows = []
-    for seq, values in enumerate(SELFTEST):
-        given = dict(zip(names, values))
-        given |= {"species": [], "activities": ["slaughter"] if given["slaughter"] else [], "source_snapshot": "selftest", "src_precision": "rooftop" if given["src_lat"] else None}
-        rows.append((*[given.get(f) for f in fields], seq))
-    return spark.createDataFrame(rows, SOURCE_RECORD + ", seq bigint")
+    rows = [row for case in SELFTEST.values() for row in case]
+    bare = spark.createDataFrame([(json.dumps({"source_snapshot": "selftest", "species": [], "activities": [], **row}), seq) for seq, row in enumerate(rows)], "line string, seq bigint")
+    return bare.select(F.inline(F.array(F.from_json("line", SOURCE_RECORD))), "seq")
+
+
+def selftest_decisions(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([SELFTEST_SPLIT], "a_key string, b_key string, decision string")
 
 
 def selftest(spark: SparkSession) -> DataFrame:
-    """Resolves eight invented rows, in memory; raises if the result isn't the known one."""
-    _, facilities, queue = dedup(spark, selftest_records(spark))
-    got = {r.uid: sorted(m["key"] for m in r.members) for r in facilities.collect()}
-    pairs = [(r.a_key, r.b_key) for r in queue.collect()]
-    assert sorted(map(len, got.values())) == [1, 1, 1, 2, 3], got
-    assert pairs == [("eu_traces_third_country:AR-31", "eu_traces_third_country:AR-58")], pairs
+    """Resolves the invented rows; raises if the result isn't the known one."""
+    _, facilities, queue = dedup(spark, selftest_records(spark), decisions=selftest_decisions(spark))
+    short = lambda keys: " ".join(sorted(k.partition(":")[2] for k in keys))
+    got = sorted(short(m["key"] for m in r.members) for r in facilities.collect())
+    pairs = sorted(short((r.a_key, r.b_key)) for r in queue.collect())
+    assert got == SELFTEST_FACILITIES, got
+    assert pairs == SELFTEST_REVIEW, pairs
     return facilities
 
 
