@@ -108,18 +108,19 @@ def _sides(rows: DataFrame, *more: str) -> tuple[DataFrame, DataFrame]:
     return tuple(rows.select(*on, *[F.col(c).alias(f"{s}_{c}") for c in some]) for s in "ab")
 
 
-#: Rows of one block and word from which they meet by their numbers of words as well.
-CROWD = 256
+#: Rows of one block and word from which they meet by their numbers of words as well, and such groups that are broadcast.
+CROWD, FEW_CROWDS = 256, 100_000
 
 
-def _by_size(rows: DataFrame) -> DataFrame:
+def _by_size(rows: DataFrame, crowds: DataFrame | None) -> DataFrame:
     """rows (country, block, token, at, words, ...) with own and other: 0, or in a crowd the own number of words and, once
     for each, a number of words that a partner can have.
 
     Sets of m and n words are alike only if they share at least LOOSE / (1 + LOOSE) * (m + n); so the first word that
     they share stands before the last ones that many less one, in either.
     """
-    crowds = rows.groupBy("country", "block", "token").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= CROWD)
+    if crowds is None:
+        return rows.withColumns({"own": F.lit(0), "other": F.lit(0)}).drop("at")
     m = F.size("words")
     shared = lambda n: F.ceil((m + n) * (LOOSE / (1 + LOOSE)) - 1e-9).cast("int")
     possible = F.sequence(F.ceil(m * LOOSE - 1e-9).cast("int"), F.floor(m / LOOSE + 1e-9).cast("int"))
@@ -128,10 +129,18 @@ def _by_size(rows: DataFrame) -> DataFrame:
     return rows.withColumn("other", F.explode(F.when(F.col("_n").isNull(), F.array(F.lit(0))).otherwise(partners))).drop("_n", "at")
 
 
-def _met(rows: DataFrame, order: str, *more: str) -> DataFrame:
-    """Pairs of rows (with prefix) of one country and block that share a word of their prefixes, at the first such word only."""
+def _met(rows: DataFrame, order: str, reach: DataFrame | None = None) -> DataFrame:
+    """Pairs of rows (with prefix) of one country and block that share a word of their prefixes, at the first such word only.
+
+    reach: (country, block, to) has the blocks of the one side for each block of the other, if not just its own.
+    """
     listed = rows.select("*", F.posexplode("prefix").alias("at", "token"))
-    a, b = _sides(_by_size(listed), "prefix", "own", "other", *more)
+    crowds = materialise(listed.groupBy("country", "block", "token").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= CROWD), "crowds")
+    n = crowds.count()
+    crowds = None if n == 0 else F.broadcast(crowds) if n <= FEW_CROWDS else crowds
+    far = listed if reach is None else listed.join(reach, ["country", "block"]).drop("block").withColumnRenamed("to", "block")
+    more = ("prefix", "own", "other")
+    a, b = _sides(_by_size(far, crowds), *more)[0], _sides(_by_size(listed, crowds), *more)[1]
     least = LOOSE * F.greatest(F.size("a_words"), F.size("b_words")) - 1e-9
     same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("country", "block", "token")] + [F.col("a_own") == F.col("b_other"), F.col("a_other") == F.col("b_own")]
     pairs = a.alias("a").join(b.alias("b"), same).where(order).select("a.*", *[c for c in b.columns if c.startswith("b_")])
@@ -161,30 +170,27 @@ def addr_pairs(rows: DataFrame) -> DataFrame:
     return _scored(_met(at_address(rows), BY_SEQ)).withColumns({"metres": F.lit(None).cast("double"), "reason": F.lit(ADDR_REASON)})
 
 
-def with_cells(rows: DataFrame) -> DataFrame:
-    """Rows with a position, once for each occupied cell around them, at most nine (block), with all of these (near).
-
-    The occupied cells around a cell are found once for each cell. A pair comes out of the smallest of those that
-    its ends share, so no pair is made twice and none has to be dealt out again.
-    """
+def with_cells(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows with a position in their cells (block), and reach (country, block, to): to each occupied cell all that lie
+    around one of the occupied cells around it, itself included. Both are found once for each cell."""
     cell = F.struct(F.round(F.col("lat") / GRID).cast("long").alias("y"), F.round(F.col("lon") / GRID).cast("long").alias("x"))
-    at = rows.where("lat IS NOT NULL AND lon IS NOT NULL").withColumn("cell", cell)
-    cells = at.select("country", "cell").distinct()
-    beside = F.array(*[F.struct((F.col("cell.y") + dy).alias("y"), (F.col("cell.x") + dx).alias("x")) for dy in (-1, 0, 1) for dx in (-1, 0, 1)])
-    around = cells.select("country", "cell", F.explode(beside).alias("block")).join(cells.withColumnRenamed("cell", "block"), ["country", "block"], "left_semi")
-    around = around.groupBy("country", "cell").agg(F.collect_list("block").alias("near"))
-    return at.join(around, ["country", "cell"]).withColumn("block", F.explode("near"))
+    at = rows.where("lat IS NOT NULL AND lon IS NOT NULL").withColumn("block", cell)
+    cells = materialise(at.select("country", "block").distinct(), "cells")
+    around = F.array(*[F.struct((F.col("block.y") + dy).alias("y"), (F.col("block.x") + dx).alias("x")) for dy in (-1, 0, 1) for dx in (-1, 0, 1)])
+    beside = materialise(cells.select("country", "block", F.explode(around).alias("to")).join(cells.withColumnRenamed("block", "to"), ["country", "to"], "left_semi"), "cells-beside")
+    reach = beside.withColumnRenamed("to", "_by").join(beside.toDF("country", "_by", "to"), ["country", "_by"]).select("country", "block", "to").distinct()
+    return at, reach
 
 
 def _near(pairs: DataFrame, reach: float) -> DataFrame:
-    pairs = pairs.where("block = array_min(array_intersect(a_near, b_near))").drop("a_near", "b_near")
     return pairs.withColumn("metres", haversine_m(F.col("a_lat"), F.col("a_lon"), F.col("b_lat"), F.col("b_lon"))).where(F.col("metres") <= reach)
 
 
-def grid_pairs(rows: DataFrame, reach: float = GEO_LOOSE_M) -> DataFrame:
+def grid_pairs(rows: DataFrame, metres: float = GEO_LOOSE_M) -> DataFrame:
     """All pairs that share the neighbourhood of an occupied cell, whatever their names, once each, a_key < b_key."""
-    a, b = _sides(with_cells(rows), "near")
-    return _near(a.join(b, ["country", "block"]).where(BY_KEY), reach)
+    at, reach = with_cells(rows)
+    far = at.join(reach, ["country", "block"]).drop("block").withColumnRenamed("to", "block")
+    return _near(_sides(far)[0].join(_sides(at)[1], ["country", "block"]).where(BY_KEY), metres)
 
 
 def _metres_apart(metres) -> Column:
@@ -194,25 +200,36 @@ def _metres_apart(metres) -> Column:
 def geo_pairs(rows: DataFrame) -> DataFrame:
     """Alike pairs of neighbouring cells within GEO_LOOSE_M; they merge within GEO_M."""
     rows = rows if "prefix" in rows.columns else with_prefix(rows)
-    pairs = _scored(_near(_met(with_cells(rows), BY_KEY, "near"), GEO_LOOSE_M))
+    at, reach = with_cells(rows)
+    pairs = _scored(_near(_met(at, BY_KEY, reach), GEO_LOOSE_M))
     pairs = pairs.withColumn("merges", F.col("merges") & (F.col("metres") <= GEO_M))
     return pairs.withColumn("reason", _metres_apart(F.col("metres")))
 
 
-def class_of(rows: DataFrame, place: list[str], alone: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-    """(the first row of each class, members (rep, key, seq) of classes of several rows).
+#: Equal rows of one place from which they are compared as one.
+MANY_EQUAL = 32
+
+
+def class_of(rows: DataFrame, place: list[str], alone: DataFrame | None) -> tuple[DataFrame, DataFrame | None]:
+    """(rows with each large class's first one only, its members (rep, key, seq); none without large classes).
 
     A class holds the rows of one country with equal place, name, words and need of an exact name: they merge with each
-    other, and each is to other rows what the first is. Rows whose key is in alone are classes of their own.
+    other, and each is to other rows what the first is. Rows whose key is in alone, and those of small classes, stay.
     """
     rows = rows.where(F.size("words") > 0)
-    rows = rows.withColumn("_own", F.lit(None).cast("string")) if alone is None else rows.join(alone.select("key", F.col("key").alias("_own")).distinct(), "key", "left")
-    same = F.struct("country", *place, F.array_sort("words").alias("_w"), "text", F.col("source_id").isin(*EXACT).alias("_e"), "_own")
-    rows = rows.withColumn("_class", F.unhex(F.sha2(F.to_json(same), 256)))
-    own = [c for c in rows.columns if c not in ("_class", "_own")]
-    first = rows.groupBy("_class").agg(F.min_by(F.struct(*own), F.struct("seq", "key")).alias("_r"), F.count(F.lit(1)).alias("_n"))
-    several = first.where("_n > 1").select("_class", F.col("_r.key").alias("rep"))
-    return first.select("_r.*"), rows.select("_class", "key", "seq").join(several, "_class").select("rep", "key", "seq")
+    same = [F.col("country"), *[F.col(c) for c in place], F.col("text"), F.array_sort("words"), F.col("source_id").isin(*EXACT)]
+    rows = rows.withColumn("_hash", F.xxhash64(*same))
+    large = materialise(rows.groupBy("_hash").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= MANY_EQUAL).select("_hash"), "large-classes")
+    if large.isEmpty():
+        return rows.drop("_hash"), None
+    several = rows.join(large, "_hash", "left_semi")
+    if alone is not None:
+        several = several.join(alone, "key", "left_anti")
+    # The hash brings equal rows together; the digest of what must be equal tells them apart.
+    several = several.select(F.unhex(F.sha2(F.to_json(F.struct(*[c.alias(f"c{k}") for k, c in enumerate(same)])), 256)).alias("_class"), "key", "seq")
+    first = several.groupBy("_class").agg(F.min_by("key", F.struct("seq", "key")).alias("rep"))
+    members = materialise(several.join(first, "_class").select("rep", "key", "seq"), "classes")
+    return rows.drop("_hash").join(members.where("key <> rep"), "key", "left_anti"), members
 
 
 def stars(members: DataFrame, metres: float | None, reason: Column) -> DataFrame:
@@ -222,8 +239,10 @@ def stars(members: DataFrame, metres: float | None, reason: Column) -> DataFrame
     return pairs.withColumns({"a_seq": none, "b_seq": none, "score": F.lit(1.0), "metres": F.lit(metres).cast("double"), "reason": reason, "merges": F.lit(True)})
 
 
-def dealt(pairs: DataFrame, members: DataFrame, order: str) -> DataFrame:
+def dealt(pairs: DataFrame, members: DataFrame | None, order: str) -> DataFrame:
     """Pairs of first rows, for all members of either class, each pair in the stage's order."""
+    if members is None:
+        return pairs
     for s in "ab":
         m = members.toDF(f"{s}_key", "_key", "_seq")
         pairs = pairs.join(m, f"{s}_key", "left").withColumns({f"{s}_key": F.coalesce("_key", f"{s}_key"), f"{s}_seq": F.coalesce("_seq", f"{s}_seq")}).drop("_key", "_seq")
@@ -275,15 +294,15 @@ def resolve(records: DataFrame, hits: DataFrame | None = None, decisions: DataFr
     every = materialise(every, "edges")
     joined = materialise(components(every, small=FEW_LINKS), "components")
     review = []
-    alone = None if split is None else split.select(F.col("_l").alias("key")).union(split.select("_g"))
+    alone = None if split is None else split.select(F.col("_l").alias("key")).union(split.select("_g")).distinct()
     stages = (
         ("addr", at_address(rows), ["block"], addr_pairs, None, F.lit(ADDR_REASON), BY_SEQ),
         ("geo", rows.where("lat IS NOT NULL AND lon IS NOT NULL"), ["lat", "lon"], geo_pairs, 0.0, _metres_apart(F.lit(0)), BY_KEY),
     )
     for tier, located, place, pairs_of, metres, reason, order in stages:
         first, members = class_of(located, place, alone)
-        members = materialise(members, f"{tier}-classes")
-        pairs = pairs_of(materialise(first, f"{tier}-rows")).select(*PAIR).unionByName(stars(members, metres, reason))
+        pairs = pairs_of(first).select(*PAIR)
+        pairs = pairs if members is None else pairs.unionByName(stars(members, metres, reason))
         left = materialise(apart(pairs, joined).select(*PAIR), f"{tier}-pairs")
         new = allowed(left.where("merges").select(F.col("a_key").alias("src"), F.col("b_key").alias("dst"))).withColumn("tier", F.lit(tier))
         every = materialise(every.unionByName(new), "edges")

@@ -111,6 +111,7 @@ def resolved(spark, rows, decisions=None):
 @pytest.mark.parametrize("seed", range(2))
 def test_stages_equal_all_pairs(spark, seed, monkeypatch):
     monkeypatch.setattr(resolve, "CROWD", (2, 256)[seed])
+    monkeypatch.setattr(resolve, "MANY_EQUAL", (2, 32)[seed])
     rng = random.Random(seed)
     some = ["alder", "birch", "cedar", "dogwood", "elder", "fir", "grove", "holly"]
     rows = [{"key": f"s:{k:03}", "name": " ".join(rng.sample(some, rng.randrange(1, 5))), "house": rng.randrange(1, 9), "lat": rng.choice([10.0, 10.001, 10.004, 10.3]) + rng.choice([0, 0, 0.0005])} for k in range(110)]
