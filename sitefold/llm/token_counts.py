@@ -8,10 +8,12 @@ encoding if and only if each neighbouring pair is one; so exactly one token can
 step is a function of the state. States are built when first reached and kept in a bounded table.
 
 White space after another character always starts a new pre-token, whatever stands to the left. A text
-longer than CHUNK is cut anywhere into chunks. A chunk's state map says what it makes of the pre-token that
-is open on entry, which is the transducer's only state between two chunks: the tokens emitted as a function
-of that fragment, and the fragment left open. Maps compose associatively; count() composes them by a
-parallel prefix scan, whose entries are the maps of all prefixes and whose last one is the whole text's.
+longer than CHUNK is cut anywhere into chunks. A chunk's state map says what it makes of the fragment that
+is open on entry: where it closes it, the tokens emitted behind it, and the fragment left open. Maps compose
+associatively, in a parallel prefix scan that sweeps up a binary tree and down again; the whole text's map is the
+tree's root, so count() needs the sweep up only. Fragments are ropes: composition ties two together and copies
+no text, and a closed one is read once, leaf by leaf. A pre-token that goes on over leaves, as in a text without white
+space, is passed from leaf to leaf as the transducer's state and count, so memory does not grow with it.
 
 Words between spaces are macro transitions: a space before another character that is not white space
 always starts a pre-token, so what stands between two such spaces leads from the start state to itself
@@ -159,14 +161,19 @@ class Transducer:
             first += 1
         return self._state(read[first:], (*last[first:], token), (*[r - delta for r in rel[first:]], 0)), delta
 
-    def count(self, word: str | bytes) -> int:
+    def run(self, state: State, n: int, word: str | bytes) -> tuple[State, int]:
+        """The state and count behind a part of a pre-token that is entered with the given ones."""
         if len(self.states) > MOST_STATES:
-            self.reset()
-        state, n = self.start, 0
+            self.reset()  # states in use stay as they are
         for byte in word if isinstance(word, bytes) else word.encode():
             state, delta = state[byte]
             n += delta
-        return n
+        return state, n
+
+    def count(self, word: str | bytes) -> int:
+        if len(self.states) > MOST_STATES:
+            self.reset()
+        return self.run(self.start, 0, word)[1]
 
 
 class State(dict):
@@ -201,9 +208,36 @@ class Words(dict):
         return n
 
 
+class Rope:
+    """Neighbouring strings tied together, with their first and last characters."""
+
+    __slots__ = ("first", "last", "parts")
+
+    def __init__(self, first: str, last: str, parts: tuple):
+        self.first, self.last, self.parts = first, last, parts
+
+    @classmethod
+    def of(cls, text: str) -> Rope:
+        return cls(text[:1], text[-1:], (text,))
+
+    def __add__(self, other: Rope) -> Rope:
+        if not self.first or not other.first:
+            return other if not self.first else self
+        return Rope(self.first, other.last, (self, other))
+
+    def leaves(self) -> Iterator[str]:
+        todo: list = [self]
+        while todo:
+            x = todo.pop()
+            if isinstance(x, str):
+                yield x
+            else:
+                todo += x.parts[::-1]
+
+
 #: A chunk's state map: the text that joins the fragment open on entry, the tokens after it, and the
 #: fragment left open; tail is None while nothing in the chunk closes the entry fragment.
-Map = tuple[str, int, str | None]
+Map = tuple[Rope, int, Rope | None]
 
 
 class Counter:
@@ -215,6 +249,8 @@ class Counter:
         self.spaced = Words(self._after_space)
         self.split = regex.compile(SPLIT).findall
         self.old_split = re.compile(_listed(SPLIT)).findall
+        #: What goes on in a pre-token of letters, of numbers, or of neither.
+        self.same = [regex.compile(x) for x in (r"\p{L}*", r"\p{N}*", r"[^\s\p{L}\p{N}]*")]
         self.beyond = re.compile(f"[^\0-{OLD}]").search
         self.special = regex.compile("|".join(map(regex.escape, self.machine.special)) or r"(?!)")
         self.cut = regex.compile(r"(?<=\S)(?=\s)")
@@ -253,42 +289,73 @@ class Counter:
         first, *rest = text.split(" ") if self.other_space(text) is None else self.space(text)
         return sum(map(self.words.__getitem__, self.pieces(first))) + sum(map(self.spaced.__getitem__, rest))
 
+    def fragment(self, rope: Rope) -> int:
+        """plain() of a rope. What no later leaf can change is counted; the last pre-token is kept for the next leaf, as
+        text while it is short, then as the transducer's state."""
+        n, kept, going = 0, "", None
+        for leaf in rope.leaves():
+            if going is not None:
+                state, tokens, same = going
+                plain = leaf if self.beyond(leaf) is None else "".join(map(self.newer, leaf))
+                end = same.match(plain).end()
+                state, tokens = self.machine.run(state, tokens, leaf[:end])
+                if end == len(leaf):
+                    going = state, tokens, same
+                    continue
+                n, going, leaf = n + tokens, None, leaf[end:]
+            *done, kept = self.pieces(kept + leaf)
+            if done and done[-1] == "'":  # may be a contraction's start
+                kept = done.pop() + kept
+            n += sum(map(self.words.__getitem__, done))
+            if len(kept) > LONGEST:
+                same = next((x for x in self.same if x.match(self.newer(kept[-1])).end()), None)
+                if same is not None:
+                    going, kept = (*self.machine.run(self.machine.start, 0, kept), same), ""
+        return n + (going[1] if going else 0) + (self.plain(kept) if kept else 0)
+
     def chunk_map(self, chunk: str) -> Map:
         first = self.cut.search(chunk)
         if first is None:
-            return chunk, 0, None
+            return Rope.of(chunk), 0, None
         last = self.last_cut.search(chunk).start()
-        return chunk[: first.start()], self.plain(chunk[first.start() : last]), chunk[last:]
+        return Rope.of(chunk[: first.start()]), self.plain(chunk[first.start() : last]), Rope.of(chunk[last:])
 
     def compose(self, a: Map, b: Map) -> Map:
         """What two neighbouring chunks do together. White space at the seam may close the fragment there."""
+        left = a[0] if a[2] is None else a[2]
+        opens = self.cut.match(left.last + b[0].first, 1) is not None
         if a[2] is None:
-            return (a[0] + b[0], b[1], b[2]) if self._open(a[0], b[0]) is None else self._recut(a, b)
-        seam = a[2] + b[0]
+            if not opens:
+                return a[0] + b[0], b[1], b[2]
+            return (a[0], 0, b[0]) if b[2] is None else (a[0], self.fragment(b[0]) + b[1], b[2])
         if b[2] is None:
-            at = self._open(a[2], b[0])
-            return (a[0], a[1], seam) if at is None else (a[0], a[1] + self.plain(seam[:at]), seam[at:])
-        return a[0], a[1] + self.plain(seam) + b[1], b[2]
-
-    def _open(self, left: str, right: str) -> int | None:
-        """Where the seam itself starts a pre-token, if it does."""
-        return len(left) if self.cut.match(left[-1:] + right[:1], 1) else None
-
-    def _recut(self, a: Map, b: Map) -> Map:
-        return (a[0], 0, b[0]) if b[2] is None else (a[0], self.plain(b[0]) + b[1], b[2])
+            return (a[0], a[1] + self.fragment(left), b[0]) if opens else (a[0], a[1], left + b[0])
+        seam = self.fragment(left) + self.fragment(b[0]) if opens else self.fragment(left + b[0])
+        return a[0], a[1] + seam + b[1], b[2]
+
+    def swept(self, maps: list[Map]) -> list[list[Map]]:
+        """The levels of the tree over maps, each of independent compositions of neighbours; the last one is the root."""
+        levels = [maps]
+        while len(maps) > 1:
+            maps = [self.compose(*maps[i : i + 2]) if i + 1 < len(maps) else maps[i] for i in range(0, len(maps), 2)]
+            levels.append(maps)
+        return levels
 
     def scan(self, maps: list[Map]) -> list[Map]:
-        """The maps of all prefixes, in log2(n) rounds, each of independent compositions."""
-        step = 1
-        while step < len(maps):
-            maps = [m if i < step else self.compose(maps[i - step], m) for i, m in enumerate(maps)]
-            step *= 2
-        return maps
+        """The maps of all prefixes: the tree's levels, then from the root down what stands before each node."""
+        levels = self.swept(maps)
+        before: list[Map | None] = [None]
+        for below in levels[-2::-1]:
+            before = [before[i // 2] if i % 2 == 0 else self._after(before[i // 2], below[i - 1]) for i in range(len(below))]
+        return [self._after(b, m) for b, m in zip(before, maps)]
+
+    def _after(self, before: Map | None, m: Map) -> Map:
+        return m if before is None else self.compose(before, m)
 
     def applied(self, m: Map) -> int:
         """The tokens of a map's text, entered with no fragment open and with the end of text behind it."""
         head, n, tail = m
-        return self.plain(head) + n + (self.plain(tail) if tail else 0)
+        return self.fragment(head) + n + (self.fragment(tail) if tail else 0)
 
     def count(self, text: str, chunk: int = CHUNK) -> int:
         n, at = 0, 0
@@ -297,7 +364,7 @@ class Counter:
             if len(part) <= chunk:
                 n += self.plain(part)
             else:
-                n += self.applied(self.scan([self.chunk_map(part[i : i + chunk]) for i in range(0, len(part), chunk)])[-1])
+                n += self.applied(self.swept([self.chunk_map(part[i : i + chunk]) for i in range(0, len(part), chunk)])[-1][0])
             if m:
                 n, at = n + 1, m.end()
         return n

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import public_tokenizers
 import pytest
@@ -62,6 +63,27 @@ def test_one_very_long_word(counter, library):
     assert counter.count(text) == library(text)
 
 
+def test_texts_without_white_space(counter, library):
+    r = random.Random(4)
+    for k in range(60):
+        text = "".join(r.choice(["a", "漢字", "é", "9", "!", "'", "'ll", "\u0378", "\U000e0fff"]) * r.choice([1, 1, 90]) for _ in range(20))
+        for size in (7, 64, 100):
+            assert counter.count(text, size) == library(text), (size, text)
+
+
+def test_long_texts_without_white_space_take_little_memory(counter, library):
+    r = random.Random(5)
+    signs = [chr(0x4E00 + r.randrange(3000)) for _ in range(2000)]
+    text = "".join(r.choices(signs, k=600_000)) + " end"
+    counter.count(text[:10_000])
+    tracemalloc.start()
+    counted = counter.count(text)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 150e6  # its states and fragments; the maps of all prefixes would hold 11 million characters
+    assert counted == library(text)
+
+
 def test_nulls_repeats_and_extra_columns(spark):
     df = spark.createDataFrame([(1, None, 5), (1, None, 5), (None, "", 6), (2, "a b", 7)], "doc_id long, text string, n_tokens int")
     got = sorted(map(tuple, token_counts(df, PATH).collect()), key=str)
