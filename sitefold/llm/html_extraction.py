@@ -7,11 +7,15 @@ place. Short blocks that no rule decides inherit, in the second pass, the label
 neighbour of the same container; ties and containers without one go to the prior.
 
 Containers give priors. Blocks of navigation, footers, asides and hidden parts are bad. So are those of
-forms and of containers whose class or id says advertising, notice, comments and the like, unless no
-prose is left then: the container that holds most prose of its own is then no boilerplate, nor are those
-around it (a page wrapped in one form, or in a box named legal-news). Where an article or main element
-stands, its blocks need less to be good and what stands outside is bad, unless the prose outside is more
-than OUTSIDE times as long as all that is inside, as beside a teaser; then all are judged alike.
+forms and of containers whose class or id says advertising, comments and the like, unless no prose is left
+then: the container that holds most prose of its own is then no boilerplate, nor are its siblings of equal
+attributes and those around it (a page wrapped in one form, or in boxes named ad-free-comments). Weaker words, as
+share, related, widget or legal, mark a container only if its name holds none but such words and neutral ones, and it
+is not mostly prose with few links. Paragraphs and headings are not marked by their class. Where an article or main
+element stands, its blocks need less to be good and what stands outside is bad (a headline before it as well), unless
+the prose outside is more than OUTSIDE times as long as all that is inside, as beside a teaser; then all are judged
+alike. A page without a good block gives its short text outside of boilerplate. Comments of readers in
+an article of their own, without a mark, cannot be told from a second article, and stay.
 
 Tags are read as browsers do: a quote opens a value only behind an equals sign and runs to its next
 occurrence; one that never closes is an ordinary character. A slash at a tag's end closes nothing outside
@@ -46,12 +50,20 @@ EMPTY = frozenset("area base br col embed hr img input link meta param source tr
 # Containers that hold no main text; words of class, id and role that say so, as a form does.
 BOILERPLATE = frozenset("nav footer header aside menu dialog".split())
 MARKED = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|sponsor(?:ed|s)?|promo(?:s|tion|tions)?|banners?|nav|navbar|navigation|menus?|breadcrumbs?|"
-    r"sidebars?|side-bar|footers?|site-header|page-header|masthead|cookies?|consent|gdpr|notices?|newsletter|subscribe|subscription|signup|login|"
-    r"comments?|comment-list|discussion|disqus|replies|reply|respond|reader-comments|share|sharing|social|related|recommended|recommendations|widgets?|popup|modal|"
-    r"overlay|pagination|pager|toolbar|search|form|copyright|legal|disclaimer|hidden)(?:$|[\s_-])",
+    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|sponsor(?:ed|s)?|nav|navbar|navigation|menus?|breadcrumbs?|sidebars?|side-bar|footers?|"
+    r"site-header|masthead|cookies?|consent|gdpr|newsletter|subscribe|subscription|signup|login|comments?|comment-list|discussion|disqus|replies|reply|"
+    r"respond|reader-comments|popup|modal|pagination|pager|toolbar)(?:$|[\s_-])",
     re.I,
 )
+#: Words that say it only if a name holds none but these and NEUTRAL ones: a share price or an elementor widget is neither.
+WEAK = frozenset(
+    "promo promos promotion promotions banner banners page-header notice notices share sharing social related recommended recommendations widget widgets "
+    "overlay search form copyright legal disclaimer hidden".split()
+)
+NEUTRAL = frozenset("box bar list links link button buttons icon icons container wrapper wrap block area section inner outer header top bottom left right site page item items group panel media input field".split())
+#: Elements whose class or id is looked at: those that hold others. A paragraph or a heading is text whatever its class.
+CONTAINERS = frozenset("div section ul ol dl table tbody td tr form fieldset details header figure iframe center dir span li a".split())
+UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
 # Function words of the languages of the pages.
 STOP_WORDS = frozenset(
@@ -63,7 +75,7 @@ STOP_WORDS = frozenset(
 
 TOKEN = re.compile(r"<!--|<!\[CDATA\[|<[!?]|<(/?)([a-zA-Z][^\s/>]*)|[^<]+|<")
 STOP = re.compile("[>\"']")
-ATTRIBUTE = re.compile(r"""(?:^|[\s/"'])(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
+ATTRIBUTE = re.compile(r"""(?:^|[\s/"'])(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
 #: Ends of sentences; those of scripts without spaces need none behind them.
 SENTENCE = re.compile(r"""[.!?…؟।][\s"'»”)\]]|[.!?…؟।]\Z|[。！？｡]""")
 
@@ -77,18 +89,27 @@ SENTENCE_CHARS = 300
 OUTSIDE = 2
 
 GOOD, BAD, SHORT_BLOCK = 1, -1, 0
-#: How a container is marked: by its class or id or as a form, or for certain.
-SOFT, HARD = 1, 2
+#: How a container is marked: by weak words, by its class or id or as a form, or for certain.
+SLIGHT, SOFT, HARD = 1, 2, 3
+
+
+def _weak(value: str) -> bool:
+    """Whether one of the names consists of weak and neutral words, with a weak one."""
+    for name in value.lower().split():
+        parts = [p for p in re.split(r"[_-]", name) if p and not p.isdigit()]
+        if (name in WEAK or any(p in WEAK for p in parts)) and (name in WEAK or all(p in WEAK or p in NEUTRAL for p in parts)):
+            return True
+    return False
 
 
-def _marked(attributes: str) -> int:
+def _marked(attributes: str, container: bool) -> int:
     mark = 0
     for name, *values in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), next((v for v in values if v), "")
-        if name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "role" and value.lower() in ROLES:
+        if name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "role" and value.lower() in ROLES or name == "style" and UNSEEN.search(value):
             return HARD
-        if name in ("class", "id") and MARKED.search(value):
-            mark = SOFT
+        if name in ("class", "id") and container:
+            mark = max(mark, SOFT if MARKED.search(value) else SLIGHT if _weak(value) else 0)
     return mark
 
 
@@ -102,6 +123,17 @@ class Block:
     #: Whether it stands in boilerplate, and the number of the innermost softly marked container, or 0.
     hard: bool
     soft: int
+    #: Whether it is an item of a list.
+    item: bool
+
+
+@dataclass(frozen=True, slots=True)
+class Box:
+    """A marked container: the number of the one around it, its mark, and its attributes."""
+
+    around: int
+    mark: int
+    attributes: str
 
 
 def _tags_end(page: str) -> Callable[[int], int]:
@@ -124,10 +156,10 @@ def _tags_end(page: str) -> Callable[[int], int]:
     return end
 
 
-def blocks(page: str) -> tuple[list[Block], list[int]]:
-    """All blocks with text, and for each softly marked container the one around it."""
+def blocks(page: str) -> tuple[list[Block], list[Box]]:
+    """All blocks with text, and the containers that are marked but not for certain; the first of them stands for none."""
     out: list[Block] = []
-    around = [0]
+    boxes = [Box(0, 0, "")]
     parts: list[str] = []
     linked = 0
     #: Open elements: name, whether its content is dropped, hard, soft, area; and how many of each name are open.
@@ -144,7 +176,7 @@ def blocks(page: str) -> tuple[list[Block], list[int]]:
             text = " ".join(entities.unescape("".join(parts)).split())
             if text:
                 _, _, hard, soft, area = stack[-1]
-                out.append(Block(text, linked, area, hard, soft))
+                out.append(Block(text, linked, area, hard, soft, count["li"] > 0))
             parts.clear()
         linked = 0
 
@@ -197,19 +229,19 @@ def blocks(page: str) -> tuple[list[Block], list[int]]:
             continue
         if attributes.endswith("/") and (name in ("svg", "math") or count["svg"] or count["math"]):
             continue
-        mark = _marked(attributes) if attributes and name not in ("body", "html", "article", "main") else 0
+        mark = _marked(attributes, name in CONTAINERS) if attributes and name not in ("body", "html", "article", "main") else 0
         if not mark and name not in BLOCKS and name not in DROPPED and name != "a":
             continue
         _, dropped, hard, soft, area = stack[-1]
         if name in BOILERPLATE and not (name == "header" and area) or name == "article" and area and count["article"]:
             mark = HARD
         elif name == "form":
-            mark = mark or SOFT
+            mark = max(mark, SOFT)
         if mark:
             close()
-        if mark == SOFT:
-            around.append(soft)
-            soft = len(around) - 1
+        if mark in (SLIGHT, SOFT):
+            boxes.append(Box(soft, mark, attributes.strip()))
+            soft = len(boxes) - 1
         if name in ("article", "main") and not area:
             articles += 1
             area = articles
@@ -226,7 +258,7 @@ def blocks(page: str) -> tuple[list[Block], list[int]]:
                 parts.append(page[at:end])
             at = end
     close()
-    return out, around
+    return out, boxes
 
 
 def _reads(text: str) -> bool:
@@ -236,16 +268,22 @@ def _reads(text: str) -> bool:
         return False
     letters = [c for c in text if c.isalpha()]
     other = sum(c > "\u024f" for c in letters)  # beyond the Latin letters
-    return 2 * other > len(letters) or len(text) >= LONG and ends > 1 and " " in text
+    return 2 * other > len(letters) or len(text.split()) >= FEW_WORDS
+
+
+#: Words of a sentence at least, in a language without stop words here.
+FEW_WORDS = 8
+#: A line on rights, not a text that mentions them.
+RIGHTS = re.compile(r"^\W*(?:©|\(c\)|copyright\b)|all rights reserved", re.I)
 
 
-def first_pass(text: str, linked: int, prior: int) -> int:
+def first_pass(text: str, linked: int, prior: int, item: bool = False) -> int:
     """GOOD, BAD or SHORT_BLOCK, from the block alone and its container's prior."""
     if prior == BAD:
         return BAD
     size = len(text)
     density = linked / size
-    if density > MOST_LINKS and (prior != GOOD or density > 0.8 and size > SHORT):
+    if density > MOST_LINKS and (prior != GOOD or density > 0.8 and item):
         return BAD
     if size <= SHORT:
         return SHORT_BLOCK
@@ -253,13 +291,13 @@ def first_pass(text: str, linked: int, prior: int) -> int:
     stops = sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in words) / len(words)
     if prior == GOOD:
         return GOOD if stops >= SOME_STOPS or size >= LONG or _reads(text) else SHORT_BLOCK
-    if "©" in text or "(c)" in text.lower():
+    if size <= LONG and RIGHTS.search(text):
         return BAD
     if stops >= MANY_STOPS:
         return GOOD
     if stops >= SOME_STOPS:
         return GOOD if size >= LONG else SHORT_BLOCK
-    return GOOD if _reads(text) else BAD
+    return GOOD if _reads(text) else SHORT_BLOCK if item else BAD
 
 
 def second_pass(labels: list[int], groups: list[int], priors: list[int]) -> list[bool]:
@@ -286,41 +324,59 @@ def second_pass(labels: list[int], groups: list[int], priors: list[int]) -> list
     return out
 
 
-def _lifted(found: list[Block], around: list[int]) -> set[int]:
-    """Softly marked containers that are no boilerplate: none if there is an article, prose or as much other text outside
-    of all of them; else the one with most prose of its own among the outermost that have any, and those around it."""
+def _no_boilerplate(found: list[Block], boxes: list[Box]) -> set[int]:
+    """Marked containers that are no boilerplate after all.
+
+    A slight mark counts only if the container holds no prose with few links. Of the others, none if there is an article,
+    prose or as much other text outside of all of them; else the one with most prose of its own among the outermost that
+    have any, its siblings with the same attributes, and those around it.
+    """
+    size, linked, prose_in = [0] * len(boxes), [0] * len(boxes), [0] * len(boxes)
     prose: Counter[int] = Counter()
-    other = 0
+    other, outside = 0, False
     for b in found:
-        if not b.hard:
-            if b.area and not b.soft:
-                return set()
-            label = first_pass(b.text, b.linked, 0)
-            if label == GOOD:
-                prose[b.soft] += len(b.text)
-            elif label != BAD and not b.soft:
-                other += len(b.text)
-    if not prose or 0 in prose:
-        return set()
-    depth = [0] * len(around)
-    for k in range(1, len(around)):
-        depth[k] = depth[around[k]] + 1
+        if b.hard:
+            continue
+        label = first_pass(b.text, b.linked, 0)
+        size[b.soft] += len(b.text)
+        linked[b.soft] += b.linked
+        prose_in[b.soft] += len(b.text) if label == GOOD else 0
+        outside |= bool(b.area and not b.soft)
+        if label == GOOD:
+            prose[b.soft] += len(b.text)
+        elif label != BAD and not b.soft:
+            other += len(b.text)
+    for k in range(len(boxes) - 1, 0, -1):  # inner ones come later
+        for sums in (size, linked, prose_in):
+            sums[boxes[k].around] += sums[k]
+    # As a share of its text, the prose of a form with labels and a notice is small, that of a section about related work is not.
+    out = {k for k in range(1, len(boxes)) if boxes[k].mark == SLIGHT and 2 * prose_in[k] > size[k] and linked[k] <= MOST_LINKS * size[k]}
+    for k in sorted(out & {*prose}, reverse=True):  # their prose is that of the container around
+        up = boxes[k].around
+        while up in out:
+            up = boxes[up].around
+        prose[up] += prose.pop(k)
+    if outside or not prose or 0 in prose:
+        return out
+    depth = [0] * len(boxes)
+    for k in range(1, len(boxes)):
+        depth[k] = depth[boxes[k].around] + 1
     k = min(prose, key=lambda x: (depth[x], -prose[x], x))
-    out = set()
     if OUTSIDE * other >= prose[k]:
         return out
+    out |= {x for x in range(1, len(boxes)) if boxes[x] == boxes[k]}
     while k:
         out.add(k)
-        k = around[k]
+        k = boxes[k].around
     return out
 
 
 def main_text(page: str | None) -> str:
-    found, around = blocks(page or "")
-    lifted = _lifted(found, around)
-    soft = [False] * len(around)
-    for k in range(1, len(around)):
-        soft[k] = soft[around[k]] or k not in lifted
+    found, boxes = blocks(page or "")
+    lifted = _no_boilerplate(found, boxes)
+    soft = [False] * len(boxes)
+    for k in range(1, len(boxes)):
+        soft[k] = soft[boxes[k].around] or k not in lifted
     bad = [b.hard or soft[b.soft] for b in found]
     inside = sum(len(b.text) for b, x in zip(found, bad) if b.area and not x)
     outside = sum(len(b.text) for b, x in zip(found, bad) if not b.area and not x and first_pass(b.text, b.linked, 0) == GOOD) if inside else 0
@@ -328,8 +384,10 @@ def main_text(page: str | None) -> str:
         priors = [GOOD if b.area and not x else BAD for b, x in zip(found, bad)]
     else:
         priors = [BAD if x else 0 for x in bad]
-    labels = [first_pass(b.text, b.linked, p) for b, p in zip(found, priors)]
+    labels = [first_pass(b.text, b.linked, p, b.item) for b, p in zip(found, priors)]
     keep = second_pass(labels, [b.area for b in found], priors)
+    if not any(keep):  # a page of short text only
+        keep = [p != BAD and b.linked <= MOST_LINKS * len(b.text) and not RIGHTS.search(b.text) for b, p in zip(found, priors)]
     return " ".join(b.text for b, good in zip(found, keep) if good)
 
 

@@ -1,6 +1,8 @@
 import html
 import re
 
+import pytest
+
 from sitefold.llm.html_extraction import extract, first_pass, main_text, second_pass
 
 PROSE = "The quick fox is in the house and it was on the way to the market for a while, with the others, but it has not been there since then."
@@ -119,3 +121,40 @@ def test_made_pages_give_their_main_texts():
     for seed in range(400):
         page, texts = random_page(random.Random(seed))
         assert main_text(page) == " ".join(texts), page
+
+
+A = "The river runs through the old town and the people of the valley have fished in it for a very long time."
+B = "In the evening the boats come home and the market opens with lamps on every stall along the water."
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        # Names that hold a marking word beside others, alone and in an article, siblings alike.
+        ("<article>" + "".join(f'<div class="elementor-widget"><p>{x}</p></div>' for x in (A, B, A, B)) + "</article>", f"{A} {B} {A} {B}"),
+        ("".join(f'<div class="elementor-widget"><p>{x}</p></div>' for x in (A, B, A, B)), f"{A} {B} {A} {B}"),
+        ("".join(f'<div class="widget"><p>{x}</p></div>' for x in (A, B)) + "<nav>Home</nav>", f"{A} {B}"),
+        ("".join(f'<div class="ad-free-comments"><p>{x}</p></div>' for x in (A, B)), f"{A} {B}"),
+        (f'<main><h1 class="page-header">Head line</h1><p>{A}</p></main>', f"Head line {A}"),
+        (f'<article><p>{A}</p><p class="share-price">{B}</p></article>', f"{A} {B}"),
+        (f'<article><p>{A}</p><section class="related work"><p>{B}</p></section></article>', f"{A} {B}"),
+        (f'<article><p>{A}</p><div class="related-links"><ul><li><a href=a>One more</a></li><li><a href=b>Another one</a></li></ul></div></article>', A),
+        # A paragraph that is a link is text, a list of links is none.
+        (f'<article><p>{A}</p><p><a href="x">{B}</a></p><ul><li><a href="y">{B}</a></li></ul></article>', f"{A} {B}"),
+        # Rights mentioned in a text, and a line on rights.
+        (f"<p>{A} As in (c) above.</p><p>{B}</p><p>© 2024 The people of the valley and all of their friends, all rights reserved here.</p>", f"{A} As in (c) above. {B}"),
+        # Lists without stop words between prose; pages of short text only; other languages in Latin script.
+        (f"<p>{A}</p><ul><li>Quartz, feldspar, mica, hornblende, augite, olivine, magnetite, ilmenite</li></ul><p>{B}</p>", f"{A} Quartz, feldspar, mica, hornblende, augite, olivine, magnetite, ilmenite {B}"),
+        ("<h1>Short page</h1><p>One sentence only.</p><nav>Home</nav>", "Short page One sentence only."),
+        ("<p>Rzeka płynie przez stare miasto, a ludzie z doliny łowili w niej od bardzo dawna ryby.</p>", "Rzeka płynie przez stare miasto, a ludzie z doliny łowili w niej od bardzo dawna ryby."),
+        # Hidden by style.
+        (f'<article><p>{A}</p><div style="color:red; display: none"><p>{B}</p></div></article>', A),
+    ],
+)
+def test_names_and_styles_beyond_the_usual(page, text):
+    assert main_text(f"<html><body>{page}</body></html>") == text
+
+
+def test_empty_table(spark):
+    pages = spark.createDataFrame([], "page_id bigint, url string, html string, text int")
+    assert extract(pages).columns == ["page_id", "url", "text", "n_chars"] and extract(pages).count() == 0
