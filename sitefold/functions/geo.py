@@ -1,11 +1,9 @@
-"""Distances, projections and polygons."""
+"""Distances and projections."""
 
 from __future__ import annotations
 
 import math
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, functions as F
 
 EARTH_M = 6371000
@@ -32,46 +30,3 @@ def fixed_point(c: Column, places: int = 5) -> Column:
     """Whole number of 10**-places; halves go to the even neighbour."""
     return F.bround(c * 10**places).cast("int")
 
-
-def country_at(outlines: list[tuple[str, list[list[list[float]]]]], near: float = 1.0):
-    """A function of (lat, lon) columns to the outline that holds the point, by the even-odd rule over all its rings,
-    else the first with a vertex within `near` degrees that is nearest; null if none.
-
-    outlines: (iso3, rings of (lon, lat)), a table of bounded size: one outline for each country.
-    """
-    shapes = [(iso, [np.asarray(r, float) for r in rings]) for iso, rings in outlines]
-
-    def inside(px: np.ndarray, py: np.ndarray, ring: np.ndarray) -> np.ndarray:
-        odd = np.zeros(len(px), bool)
-        x0, y0 = ring[-1]
-        for x1, y1 in ring:
-            if y0 != y1:
-                odd ^= ((y1 > py) != (y0 > py)) & (px < (x0 - x1) * (py - y1) / (y0 - y1) + x1)
-            x0, y0 = x1, y1
-        return odd
-
-    @F.pandas_udf("string")
-    def find(lat: pd.Series, lon: pd.Series) -> pd.Series:
-        out = np.full(len(lat), None, object)
-        known = (lat.notna() & lon.notna()).to_numpy()
-        y, x = lat.to_numpy(float), lon.to_numpy(float)
-        best = np.full(len(lat), near)
-        nearest = np.full(len(lat), None, object)
-        for iso, rings in shapes:
-            every = np.concatenate(rings)
-            (x0, y0), (x1, y1) = every.min(0), every.max(0)
-            todo = np.flatnonzero(known & (out == None))  # noqa: E711
-            todo = todo[(x[todo] >= x0 - near) & (x[todo] <= x1 + near) & (y[todo] >= y0 - near) & (y[todo] <= y1 + near)]
-            if not len(todo):
-                continue
-            odd = np.zeros(len(todo), bool)
-            for ring in rings:
-                odd ^= inside(x[todo], y[todo], ring)
-            out[todo[odd]] = iso
-            for k in todo[~odd]:
-                d = np.hypot(every[:, 0] - x[k], every[:, 1] - y[k]).min()
-                if d < best[k]:
-                    best[k], nearest[k] = d, iso
-        return pd.Series(np.where(out == None, nearest, out))  # noqa: E711
-
-    return find

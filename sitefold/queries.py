@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sitefold.functions import geo, text
-from sitefold.operators import assemble, geocode, resolve
+from sitefold.operators import assemble, geocode, outlines, resolve
 from sitefold.operators.components import components
 from sitefold.plans import publish
 from sitefold.plans.shared import materialise, new_dir
@@ -222,12 +222,25 @@ def j10_all(spark, d):
     return merged(side("P"), side("F"), ("o_orderkey", "o_custkey"))
 
 
-@query("j11_point_in_polygon", f"WITH {SITES} SELECT k, CASE WHEN lon > 0 AND lon < 60 AND lat > 0 AND lat < 40 AND NOT (lon > 20 AND lon < 30 AND lat > 10 AND lat < 20) THEN 'AAA' WHEN lon > -90 AND lon < -30 AND lat < -10 AND lat > -50 AND lat < lon * 2 / 3 + 10 THEN 'BBB' END AS iso FROM (SELECT k, lat + 0.31 lat, lon + 0.27 lon FROM sites)")
+# Two outlines: a box with a hole, and a triangle. The nearest corner counts up to a degree away.
+BOX = lambda x0, y0, x1, y1: [[x0, y0], [x1, y0], [x1, y1], [x0, y1]]
+OUTLINES = [("AAA", [BOX(0, 0, 60, 40), BOX(20, 10, 30, 20)]), ("BBB", [[[-90, -50], [-30, -50], [-30, -10]]])]
+HELD = "CASE WHEN {x} > 0 AND {x} < 60 AND {y} > 0 AND {y} < 40 AND NOT ({x} > 20 AND {x} < 30 AND {y} > 10 AND {y} < 20) THEN 'AAA' WHEN {x} > -90 AND {x} < -30 AND {y} < -10 AND {y} > -50 AND {y} < {x} * 2 / 3 + 10 THEN 'BBB' END"
+CORNERS = ", ".join(f"('{iso}', {rank}, {x}, {y})" for rank, (iso, rings) in enumerate(OUTLINES) for ring in rings for x, y in ring)
+
+
+@query("j11_country_at", f"WITH {SITES} SELECT k, {HELD.format(x='lon', y='lat')} AS iso FROM (SELECT k, lat + 0.31 lat, lon + 0.27 lon FROM sites)")
 def j11(spark, d):
-    box = lambda x0, y0, x1, y1: [[x0, y0], [x1, y0], [x1, y1], [x0, y1]]
-    outlines = [("AAA", [box(0, 0, 60, 40), box(20, 10, 30, 20)]), ("BBB", [[[-90, -50], [-30, -50], [-30, -10]]])]
-    find = geo.country_at(outlines, near=0.0)
-    return sites(spark, d).select("k", find(F.col("lat") + 0.31, F.col("lon") + 0.27).alias("iso"))
+    return outlines.with_country(sites(spark, d), OUTLINES, F.col("lat") + 0.31, F.col("lon") + 0.27, "iso", near=0.0).select("k", "iso")
+
+
+#: From p (k, x, y): k and iso.
+IN_OUTLINE = f"c(iso, rank, cx, cy) AS (VALUES {CORNERS}), n AS (SELECT k, first(iso ORDER BY pow(cx - x, 2) + pow(cy - y, 2), rank) iso FROM p JOIN c ON pow(cx - x, 2) + pow(cy - y, 2) < 1 GROUP BY k), found AS (SELECT p.k, coalesce({HELD.format(x='x', y='y')}, n.iso) AS iso FROM p LEFT JOIN n USING (k))"
+
+
+@query("j11_country_near", f"WITH {SITES}, p AS (SELECT k, lat + 0.31 y, lon + 0.27 x FROM sites), {IN_OUTLINE} SELECT k, iso FROM found")
+def j11_near(spark, d):
+    return outlines.with_country(sites(spark, d), OUTLINES, F.col("lat") + 0.31, F.col("lon") + 0.27, "iso").select("k", "iso")
 
 
 @query("j13_shaded", "WITH c AS (SELECT c_nationkey::VARCHAR country_iso3, count(*) n FROM customer WHERE c_custkey % 3 = 0 GROUP BY 1) SELECT country_iso3, n, round(0.12 + 0.5 * sqrt(n / max(n) OVER ()), 9) alpha FROM c")

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from sitefold.functions import address, countries, text
 from sitefold.plans import publish
 from sitefold.plans.shared import new_dir
-from sitefold.queries import query, table
+from sitefold.queries import IN_OUTLINE, OUTLINES, query, table
 from sitefold.sources import files, pastes, registers
 from sitefold.streaming import landing
 
@@ -161,6 +161,20 @@ def p4(spark, d):
     return joined(registers.eu_ied(spark, as_csv(rows, "eu-ied")), "src_lat", "src_lon")
 
 
+@query(
+    "p4_country_from_position",
+    f"WITH p AS (SELECT p_partkey k, (p_partkey % 131 - 70)::DOUBLE + 0.25 x, (p_partkey % 97 - 48)::DOUBLE + 0.75 y FROM part WHERE p_partkey % 4 <> 2), {IN_OUTLINE} SELECT 'I' || k national_id, CASE WHEN k % 5 = 0 THEN 'ITA' ELSE iso END country_iso3 FROM found",
+)
+def p4_position(spark, d):
+    """Only each fifth installation names its country."""
+    k = "p_partkey"
+    rows = cells(table(spark, d, "part"), {
+        "IEDAnnexIMainActivity": case(k, "6.4(a)", "6.6(b)", "9.9", "6.5"), "Latitude": f"CAST({k} % 97 - 48 + 0.75 AS STRING)", "Longitude": f"CAST({k} % 131 - 70 + 0.25 AS STRING)", "installationName": "p_name",
+        "InstallationInspireId": f"'I' || {k}", "CountryName": f"CASE WHEN {k} % 5 = 0 THEN 'Italy' ELSE '' END", "City_of_Facility": "'C'",
+    })
+    return registers.eu_ied(spark, as_csv(rows, "eu-ied-at"), outlines=OUTLINES).select("national_id", "country_iso3")
+
+
 def _cfia(spark, d) -> str:
     k = "p_partkey"
     return as_csv(cells(table(spark, d, "part"), {
@@ -308,6 +322,17 @@ def p10(spark, d):
     return out.select("source_id", "source_row_id", "name", "country_iso3", F.array_join("activities", ",").alias("activities"), "slaughter", "address", "src_lat", "src_lon")
 
 
+@query(
+    "p10_country_from_position",
+    f"WITH p AS (SELECT s_suppkey k, CAST(s_suppkey % 80 AS DOUBLE) - 39.5 y, CAST(s_suppkey % 170 AS DOUBLE) - 99.75 x FROM supplier), {IN_OUTLINE} SELECT 'node/' || k source_row_id, iso country_iso3 FROM found",
+)
+def p10_position(spark, d):
+    """No element names its country."""
+    k = "s_suppkey"
+    item = F.struct(F.lit("node").alias("type"), F.col(k).alias("id"), F.expr(f"CAST({k} % 80 AS DOUBLE) - 39.5").alias("lat"), F.expr(f"CAST({k} % 170 AS DOUBLE) - 99.75").alias("lon"), F.create_map(F.lit("name"), F.col("s_name")).alias("tags"))
+    return registers.osm(spark, as_documents(table(spark, d, "supplier"), "osm-at", k, item, "elements"), outlines=OUTLINES).select("source_row_id", "country_iso3")
+
+
 @query(
     "p11_c28_generic",
     select(

@@ -1,9 +1,11 @@
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from sitefold.functions import address, countries, geo, text
+from sitefold.operators import outlines
 
 
 def values(spark, **exprs):
@@ -82,6 +84,39 @@ def test_geometry(spark):
     x, y = geo.mercator(F.lit(0.0), F.lit(0.0))
     got = values(spark, m=geo.haversine_m(F.lit(34.2979), F.lit(-83.8241), F.lit(34.2981), F.lit(-83.8238)), x=x, y=y, low=geo.degrees(lit("91"), -90, 90), ok=geo.degrees(lit("0.0"), -90, 90), bad=geo.degrees(lit("x"), -90, 90), fixed=geo.fixed_point(F.lit(37.752805)))
     assert abs(got["m"] - 35.4) < 0.1 and (got["x"], got["y"]) == (0.5, 0.5) and (got["low"], got["ok"], got["bad"]) == (None, 0.0, None) and got["fixed"] in (3775280, 3775281)
-    find = geo.country_at([("AAA", [[[0, 0], [10, 0], [10, 10], [0, 10]]]), ("BBB", [[[20, 0], [30, 0], [30, 10], [20, 10]]])])
-    df = spark.createDataFrame([(1, 5.0, 5.0), (2, 10.5, 10.2), (3, 50.0, 50.0), (4, None, 1.0)], "k int, lat double, lon double")
-    assert {r.k: r.iso for r in df.select("k", find("lat", "lon").alias("iso")).collect()} == {1: "AAA", 2: "AAA", 3: None, 4: None}
+
+
+def plain_country(outlines, lat, lon, near):
+    """The rule for one position over all lines and corners."""
+    for iso, rings in outlines:
+        odd = False
+        for ring in rings:
+            for (x0, y0), (x1, y1) in zip([ring[-1], *ring], ring):
+                if (y1 > lat) != (y0 > lat) and lon < (x0 - x1) * (lat - y1) / (y0 - y1) + x1:
+                    odd = not odd
+        if odd:
+            return iso
+    best, out = near * near, None
+    for iso, rings in outlines:
+        for ring in rings:
+            for x, y in ring:
+                if (x - lon) ** 2 + (y - lat) ** 2 < best:
+                    best, out = (x - lon) ** 2 + (y - lat) ** 2, iso
+    return out
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_country_of_a_position_equals_the_plain_rule(spark, broadcast, monkeypatch):
+    r = random.Random(6)
+    ring = lambda x, y, n: [[x + (2 + 5 * r.random()) * math.cos(2 * math.pi * k / n), y + (2 + 5 * r.random()) * math.sin(2 * math.pi * k / n)] for k in range(n)]
+    shapes = [(f"C{k}", [ring(r.uniform(-30, 30), r.uniform(-20, 20), r.choice([3, 5, 9, 40])) for _ in range(r.randrange(1, 4))]) for k in range(8)]
+    shapes += [("BOX", [[[0, 0], [10, 0], [10, 10], [0, 10]], [[2, 2], [3, 2], [3, 3], [2, 3]]])]
+    points = [(r.uniform(-30, 30), r.uniform(-40, 40)) for _ in range(1500)] + [(float(a), float(b)) for a in range(-1, 12) for b in range(-1, 12)] + [(5.0, None), (None, None)]
+    df = spark.createDataFrame([(k, *p, "NAMED" if k % 50 == 0 else None) for k, p in enumerate(points)], "k int, lat double, lon double, iso string")
+    if not broadcast:
+        monkeypatch.setattr(outlines, "MOST_BROADCAST", 0)
+    for near in (1.0, 0.0, 0.4):
+        got = {r.k: r.iso for r in outlines.with_country(df, shapes, F.col("lat"), F.col("lon"), "iso", near).collect()}
+        assert len(got) == len(points)
+        for k, (lat, lon) in enumerate(points):
+            assert got[k] == ("NAMED" if k % 50 == 0 else None if lat is None or lon is None else plain_country(shapes, lat, lon, near)), (k, lat, lon, near)
