@@ -1,4 +1,4 @@
-"""Positions from addresses: a versioned cache, joins for what is known and what is outstanding, and a paced lookup."""
+"""Positions from addresses: a cache in versions, joins for what is known and what is outstanding, and paced lookups that are saved as they go."""
 
 from __future__ import annotations
 
@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from sitefold.functions.address import query_key
 from sitefold.functions.countries import with_iso2
+from sitefold.plans.shared import materialise
+from sitefold.plans.store import Table
 from sitefold.schema import GEO_CACHE
 from sitefold.vocabulary import MAPPABLE
 
@@ -92,7 +94,7 @@ def lookup(todo: DataFrame, provider: Callable[[dict], dict | None], lanes: int
     `seconds`, a lane leaves what is left after that time unasked, and gives no row for it."""
     columns = ["qkey", "lat", "lon", "precision", "provider", "error"]
 
-    def ask(parts: dict) -> list:
+    def answer(parts: dict) -> list:
         best, error = None, None
         for who in (provider, fallback):
             if who is None or best and best.get("precision") in MAPPABLE:
@@ -115,7 +117,7 @@ def lookup(todo: DataFrame, provider: Callable[[dict], dict | None], lanes: int
             for parts in b.to_dict("records"):
                 if ends is not None and time.monotonic() >= ends:
                     break
-                out.append(ask(parts))
+                out.append(answer(parts))
                 time.sleep(pause)
             yield pd.DataFrame(out, columns=columns)
 
@@ -134,15 +136,37 @@ def empty_cache(spark) -> DataFrame:
     return spark.createDataFrame([], GEO_CACHE)
 
 
-def save(cache: DataFrame, path: str) -> None:
-    """Replaces the cache at path. It is written beside it first and then renamed, so that a failure half way leaves
-    one whole cache, the old or the new one (at path with .old or .new behind it)."""
-    spark = cache.sparkSession
-    at = lambda suffix: spark._jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + suffix)
-    fs = at("").getFileSystem(spark._jsc.hadoopConfiguration())
-    cache.write.mode("overwrite").parquet(path.rstrip("/") + ".new")
-    fs.delete(at(".old"), True)
-    if fs.exists(at("")):
-        fs.rename(at(""), at(".old"))
-    fs.rename(at(".new"), at(""))
-    fs.delete(at(".old"), True)
+#: Answers that a lane may lose when it stops.
+EACH = 250
+
+
+def settle(table: Table) -> DataFrame:
+    """The cache, with what has been answered since its version in a version of its own."""
+    version, _ = table.manifest()
+    cache = table.read()
+    cache = empty_cache(table.spark) if cache is None else cache
+    answers = table.read_log(version)
+    if answers is None:
+        return cache
+    table.commit(table.write(updated(cache, answers)), version, others=False)  # the log belongs to the version before, so it counts once
+    return table.read()
+
+
+def ask(table: Table, index: DataFrame, provider: Callable[[dict], dict | None], lanes: int = 1, pause: float = 0.0, fallback: Callable[[dict], dict | None] | None = None, seconds: float | None = None, limit: int | None = None, each: int = EACH) -> DataFrame:
+    """Asks for what is outstanding and returns the new cache.
+
+    In rounds of `each` addresses a lane, whose answers are added to the log of the cache's version when a round ends; so
+    a lost task or a stopped run loses one round at most, and the next run starts from what the log has. `pause` is the
+    time between two requests of all lanes together.
+    """
+    ends = None if seconds is None else time.monotonic() + seconds
+    cache = settle(table)
+    log = table.log(table.manifest()[0])
+    todo = materialise(outstanding(index, cache, limit), "outstanding")
+    while True:
+        left = todo if (done := table.read_log(table.manifest()[0])) is None else todo.join(done.select("qkey").distinct(), "qkey", "left_anti")
+        part = materialise(left.orderBy("seq", "qkey").limit(each * lanes), "round")
+        if part.isEmpty() or ends is not None and time.monotonic() >= ends:
+            break
+        lookup(part, provider, lanes, pause * lanes, fallback, None if ends is None else ends - time.monotonic()).write.mode("append").parquet(log)
+    return settle(table)

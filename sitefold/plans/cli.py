@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sitefold.operators import assemble, geocode, resolve
 from sitefold.plans import publish
-from sitefold.plans.shared import materialise
+from sitefold.plans.shared import clean
+from sitefold.plans.store import Table
 from sitefold.schema import SOURCE_RECORD
 from sitefold.sources import registers
 from sitefold.sources.files import load_table
@@ -134,20 +135,18 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         print(publish.build(_need(spark, f"{o.work}/facilities"), o.out, keep_excluded=o.keep_excluded, inline=o.inline))
     elif o.verb == "geocode":
         index = geocode.query_index(resolve.with_keys(_need(spark, store)))
-        cache = load_table(spark, f"{o.work}/geocache")
-        cache = cache if cache is not None else geocode.empty_cache(spark)
-        todo = geocode.outstanding(index, cache, o.limit)
+        table = Table(spark, f"{o.work}/geocache")
         if o.provider:
             module, _, name = o.provider.partition(":")
-            answers = materialise(geocode.lookup(todo, getattr(importlib.import_module(module), name), o.lanes, o.pause, seconds=o.minutes and 60 * o.minutes), "answers")
-            geocode.save(geocode.updated(cache, answers), f"{o.work}/geocache")
-            geocode.breakdown(index, load_table(spark, f"{o.work}/geocache")).show(20, False)
+            cache = geocode.ask(table, index, getattr(importlib.import_module(module), name), o.lanes, o.pause, seconds=o.minutes and 60 * o.minutes, limit=o.limit)
+            geocode.breakdown(index, cache).show(20, False)
         else:
-            todo.show(20, False)
+            geocode.outstanding(index, geocode.settle(table), o.limit).show(20, False)
     elif o.verb == "status":
         print(status(spark, o.work))
     else:
         selftest(spark).show()
+    clean(spark)  # all results are in the stores
 
 
 if __name__ == "__main__":

@@ -14,6 +14,7 @@ from sitefold.operators import assemble, geocode, outlines, resolve
 from sitefold.operators.components import components
 from sitefold.plans import publish
 from sitefold.plans.shared import materialise, new_dir
+from sitefold.plans.store import Table
 from sitefold.schema import FIELDS, TYPES
 from sitefold.vocabulary import EXCLUDED_ACTIVITIES, LEGAL_SUFFIXES, STOPWORDS
 
@@ -559,15 +560,12 @@ def gazetteer(parts: dict) -> dict | None:
 new AS (SELECT qkey, CASE n % 4 WHEN 0 THEN n::DOUBLE WHEN 1 THEN n + 0.5 END lat, CASE n % 4 WHEN 0 THEN 'rooftop' WHEN 1 THEN 'locality' ELSE 'none' END AS precision, (coalesce(tries, 0) + 1)::INT tries FROM todo WHERE n % 4 < 3)
 SELECT * FROM old WHERE qkey NOT IN (SELECT qkey FROM new) UNION ALL SELECT * FROM new""")
 def e9(spark, d):
-    """What is outstanding is asked, from the whole address down; answers from another country are turned down, failures aren't kept; the cache is saved over the old one."""
+    """What is outstanding is asked, from the whole address down; answers from another country are turned down, failures aren't kept; answers are added to a log, which then becomes the cache's next version."""
     index, cache = _cache(spark, d)
     index = index.withColumns({"street": F.col("qkey"), "city": F.lit("C")})
-    path = new_dir(spark, "geocache")
-    geocode.save(cache, path)
-    cache = spark.read.parquet(path)
-    answers = materialise(geocode.lookup(geocode.outstanding(index, cache), gazetteer, lanes=2), "answers")
-    geocode.save(geocode.updated(cache, answers), path)
-    return spark.read.parquet(path).select("qkey", "lat", "precision", "tries")
+    store = Table(spark, new_dir(spark, "geocache"))
+    store.commit(store.write(cache), 0)
+    return geocode.ask(store, index, gazetteer, lanes=2).select("qkey", "lat", "precision", "tries")
 
 
 @query("e9_stale_and_misses", f"WITH {CACHE} SELECT DISTINCT qkey, tries FROM cache WHERE qkey LIKE '1%' AND lat IS NOT NULL")

@@ -527,7 +527,7 @@ def p14(spark, d):
     for source, path in (("s1", old), ("s2", old), ("s1", new)):
         done = registers.load_all(spark, {"generic": path, "nz_mpi": path + "-none"}, store, source_id=source, id_scheme="S", country="AUS")
         assert done == ["generic"]
-    return spark.read.parquet(store).groupBy("source_id", "name").agg(F.count(F.lit(1)).alias("n"))
+    return files.load_table(spark, store).groupBy("source_id", "name").agg(F.count(F.lit(1)).alias("n"))
 
 
 # Codes of ISO 3166 with a name that registers use, for the countries that a table of 25 nations can stand for.

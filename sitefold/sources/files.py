@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sitefold.functions.text import HeaderError
+from sitefold.plans.store import Table
 
 
 def read_csv(spark: SparkSession, path, sep: str = ",") -> DataFrame:
@@ -68,7 +69,10 @@ def file_stem(c="file"):
 
 
 def load_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """A store that may not have been written yet."""
+    """A store that may not have been written yet, in versions or as plain Parquet."""
+    store = Table(spark, path)
+    if store.versioned:
+        return store.read()
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return spark.read.parquet(path) if p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p) else None
 

@@ -12,7 +12,7 @@ from sitefold.functions.address import clean_region, group_for, recover_species
 from sitefold.functions.countries import with_iso3
 from sitefold.functions.geo import degrees
 from sitefold.functions.text import blank_to_null, bracket_split, contained, lookup, mapped, matches, resolve, resolve_exact, strip_accents, truthy
-from sitefold.plans.shared import materialise, release
+from sitefold.plans.store import Conflict, Table
 from sitefold.schema import FIELDS, TYPES
 from sitefold.sources.files import file_stem, read_csv, read_documents, read_features, read_json_document, read_json_lines, with_seq
 
@@ -360,18 +360,24 @@ TOGETHER = {"eu_traces_third_country": ["eu_traces_member_state"], "eu_traces_me
 
 
 def load(spark: SparkSession, source: str, path, store: str, **how) -> None:
-    """Parses a source and replaces its rows in the store, with those of the sources cleared with it.
+    """Parses a source and replaces its rows in the store, with those of the sources cleared with it, in one version.
 
-    The rows are written aside first, so an input that can't be parsed leaves the store as it was; sources that go
-    with it are cleared last, once the new rows are in place.
+    An input that can't be parsed leaves the store as it was. Versions of other sources that come in between are taken
+    along; one of the same sources raises Conflict.
     """
-    rows = materialise(PARSERS[source](spark, path, **how), "parsed")
-    held = {r.source_id for r in rows.select("source_id").distinct().collect()}
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source_id").parquet(store)
-    for other in {source, *TOGETHER.get(source, [])} - held:
-        p = spark._jvm.org.apache.hadoop.fs.Path(f"{store}/source_id={other}")
-        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-    release(rows)
+    table = Table(spark, store)
+    base, old = table.manifest()
+    parts = table.write(PARSERS[source](spark, path, **how), "source_id")
+    gone = {source, *TOGETHER.get(source, [])} - {*parts}
+    while True:
+        newest, now = table.manifest()
+        if any(now.get(k) != old.get(k) for k in {*parts, *gone}):
+            raise Conflict(f"{store}: {source} has been parsed by another writer since version {base}")
+        try:
+            table.commit(parts, newest, gone)
+            return
+        except Conflict:
+            continue  # look again at what has come in between
 
 
 def load_all(spark: SparkSession, inputs: dict[str, str], store: str, **how) -> list[str]:

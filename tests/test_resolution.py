@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from sitefold.operators import assemble, geocode, resolve
 from sitefold.plans import cli, publish
 from sitefold.sources import registers
+from sitefold.sources.files import load_table
 
 
 @pytest.fixture(scope="module")
@@ -209,7 +210,7 @@ def test_geocode_verb_saves_the_cache(spark, tmp_path, geocoder):
     cli.selftest_records(spark).write.partitionBy("source_id").parquet(f"{work}/records")
     for _ in range(2):
         cli.main(["--work", work, "geocode", "--provider", "own_geocoder:geocoder", "--pause", "0"], spark)
-    cache = spark.read.parquet(f"{work}/geocache")
+    cache = load_table(spark, f"{work}/geocache")
     assert cache.count() > 0 and cache.where("tries > 3").count() == 0 and cache.select("qkey").distinct().count() == cache.count()
     assert sorted(p.name for p in tmp_path.iterdir()) == ["geocache", "records"]
 
@@ -222,4 +223,4 @@ def test_a_failed_parse_leaves_the_store(spark, tmp_path):
     registers.load(spark, "generic", str(tmp_path / "a.csv"), store, **how)
     with pytest.raises(ValueError):
         registers.load(spark, "generic", str(tmp_path / "b.csv"), store, **how)
-    assert spark.read.parquet(store).count() == 1
+    assert load_table(spark, store).count() == 1

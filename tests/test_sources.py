@@ -6,6 +6,7 @@ import pytest
 from sitefold.functions.text import HeaderError
 from sitefold.plans import publish
 from sitefold.sources import pastes, registers
+from sitefold.sources.files import load_table
 from sitefold.streaming import landing
 
 
@@ -77,7 +78,7 @@ def test_store_replaces_a_source(spark, tmp_path):
     registers.load(spark, "generic", csv, store, source_id="s1", id_scheme="S", country="AUS")
     registers.load(spark, "generic", csv, store, source_id="s2", id_scheme="S", country="AUS")
     registers.load(spark, "generic", put(tmp_path / "b.csv", "number,name\n3,C\n"), store, source_id="s1", id_scheme="S", country="AUS")
-    assert sorted((r.source_id, r.name) for r in spark.read.parquet(store).collect()) == [("s1", "C"), ("s2", "A"), ("s2", "B")]
+    assert sorted((r.source_id, r.name) for r in load_table(spark, store).collect()) == [("s1", "C"), ("s2", "A"), ("s2", "B")]
 
 
 def test_pasted_listings(spark, tmp_path):
