@@ -1,3 +1,4 @@
+import random
 import re
 
 import corpus_pipeline
@@ -40,3 +41,40 @@ def test_stages_on_shipped_documents(spark):
     before, after = seen["source_mixing"]
     taken = {r.doc_id: r["count"] for r in after.groupBy("doc_id").count().collect()}
     assert max(taken.values()) <= 3 and set(taken) <= {r.doc_id for r in before.collect()}
+
+
+def made(spark, tmp_path):
+    """Nulls, empty texts, repeats, a null source, a very long text, and columns named like inner ones."""
+    r = random.Random(9)
+    prose = lambda n: " ".join(r.choice(["the", "of", "and", "is"]) if k % 3 else f"w{r.randrange(10**6)}" for k in range(n))
+    texts = [prose(80) for _ in range(12)] + [prose(200_000)]
+    rows = [(k, t, ("a", "b", None)[k % 3], 1, "k", "size", True) for k, t in enumerate(texts)]
+    rows += [rows[0], rows[0], (50, texts[1], "b", 1, "k", "size", True), (60, None, "a", 1, None, None, None), (61, "", None, 1, None, None, None), (None, texts[2] + " end", None, None, None, None, None), (62, "short", "a", 1, "k", "s", False)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, copy int, component string, _k string, kept boolean")
+    bench = spark.createDataFrame([(1, " ".join(texts[5].split()[10:40])), (2, None), (3, "")], "item_id bigint, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    bench.write.parquet(f"{tmp_path}/benchmark.parquet")
+    return docs
+
+
+def test_odd_rows_pass_through_all_stages(spark, tmp_path):
+    docs = made(spark, tmp_path)
+    kept = []
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = common.materialise(stage(spark, docs, str(tmp_path)), name)
+        assert after.dtypes == docs.dtypes
+        docs = after
+        kept.append(sorted((x.doc_id is None, x.doc_id) for x in after.select("doc_id").collect()))
+    ids = [[k for missing, k in x if not missing] for x in kept]
+    assert ids[0] == [0, 0, 0, *range(1, 13), 50] and (True, None) in kept[0]  # null, empty and short texts go
+    assert ids[2] == [*range(13)] and ids[3] == [k for k in range(13) if k != 5]  # one of each group stays, the leaked one goes
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert {r.doc_id for r in out} <= {*ids[3]} and out
+    assert sorted(map(str, out)) == sorted(map(str, corpus_pipeline.run(spark, str(tmp_path)).collect()))
+
+
+def test_empty_table_passes_through_all_stages(spark, tmp_path):
+    docs = made(spark, tmp_path / "made")
+    docs.limit(0).write.parquet(f"{tmp_path}/none/documents.parquet")
+    spark.read.parquet(f"{tmp_path}/made/benchmark.parquet").write.parquet(f"{tmp_path}/none/benchmark.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
