@@ -24,7 +24,7 @@ def clean_part(c: Column) -> Column:
     """Without ids, dates, e-mail addresses and contact details at the end."""
     v = F.regexp_replace(F.coalesce(c, F.lit("")), ID_DATE_TAIL, "")
     v = F.regexp_replace(F.regexp_replace(v, r"\S+@\S+", " "), CONTACT_TAIL, "")
-    return F.btrim(squeeze(v), F.lit(" ,;"))
+    return squeeze(F.btrim(F.regexp_replace(v, "\\s", " "), F.lit(" ,;-")))
 
 
 def first_admin(c: Column) -> Column:

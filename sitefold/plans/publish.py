@@ -41,7 +41,7 @@ def dot_key(species: Column) -> Column:
 
 def fate(activity: Column) -> Column:
     """Whether and where animals at a place of this activity are killed; null if the activity says nothing."""
-    return lookup(activity, {a: f for f, acts in ACTIVITY_FATES.items() for a in acts})
+    return lookup(activity, ACTIVITY_FATES)
 
 
 def activity_label(activity: Column) -> Column:

@@ -450,6 +450,26 @@ def canonical_sites(spark, d, customers: DataFrame | None = None) -> DataFrame:
     return s.select(*[given.get(f, F.lit(None)).cast(TYPES[f]).alias(f) for f in FIELDS], k.alias("seq"))
 
 
+@query("f3_hits_in_resolution", "SELECT 'x:' || k AS key, CASE WHEN g % 3 < 2 OR g % 6 = 2 THEN count(*) OVER (PARTITION BY g) ELSE 1 END AS members, CASE WHEN g % 6 = 2 THEN 'source' ELSE 'cache' END AS provider FROM (SELECT s_suppkey k, s_suppkey // 2 g FROM supplier)")
+def f3(spark, d):
+    """Two records of a plant are at one place by the address cache: they merge if its answer is a house or a street, not if
+    it is a town. A position of the source's own goes before the cache's."""
+    k = F.col("s_suppkey")
+    g = F.floor(k / 2)
+    own = g % 6 == 2
+    given = {
+        "source_id": F.lit("x"), "source_row_id": k.cast("string"), "name": F.concat(F.lit("Plant w"), g.cast("string")), "country_iso3": F.lit("N1"),
+        "src_lat": F.when(own, (g % 80).cast("double")), "src_lon": F.when(own, 1.0), "src_precision": F.when(own, "rooftop"),
+    }
+    s = table(spark, d, "supplier")
+    records = s.select(*[given.get(f, F.lit(None)).cast(TYPES[f]).alias(f) for f in FIELDS], k.alias("seq"))
+    where = F.when(g % 3 == 0, "rooftop").when(g % 3 == 1, "street").otherwise("locality")
+    hits = s.select(F.concat(F.lit("x:"), k.cast("string")).alias("key"), (g % 80 + 0.5).alias("lat"), F.lit(2.0).alias("lon"), where.alias("precision"), F.lit("cache").alias("provider"))
+    keyed, _, _ = resolve.resolve(records, hits)
+    sizes = keyed.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
+    return keyed.join(sizes, "component").select("key", "members", resolve.position()["provider"].alias("provider"))
+
+
 def decided(spark, d) -> DataFrame:
     k = table(spark, d, "customer").select(F.col("c_custkey").alias("k"))
     key = lambda c: F.concat(F.lit("x:"), c.cast("string"))
@@ -524,7 +544,7 @@ def t3(spark, d):
     return publish.unlocated(_resolved(spark, d)[1], 2)
 
 
-@query("f3_key_collisions", "SELECT CASE WHEN o_linenumber = 1 THEN 'o:' || l_orderkey ELSE 'o:' || l_orderkey || '#' || o_linenumber END AS key, seq FROM (SELECT l_orderkey, l_orderkey * 10 + l_linenumber seq, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) o_linenumber FROM lineitem)")
+@query("j1_key_collisions", "SELECT CASE WHEN o_linenumber = 1 THEN 'o:' || l_orderkey ELSE 'o:' || l_orderkey || '#' || o_linenumber END AS key, seq FROM (SELECT l_orderkey, l_orderkey * 10 + l_linenumber seq, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) o_linenumber FROM lineitem)")
 def f3(spark, d):
     """Rows that share a key are numbered from the second on; none is lost."""
     rows = table(spark, d, "lineitem").select(F.lit("o").alias("source_id"), F.col("l_orderkey").cast("string").alias("source_row_id"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("seq"), F.lit("n").alias("name"))

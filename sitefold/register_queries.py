@@ -405,7 +405,7 @@ def _pages(df: DataFrame, head: list[str], lines: list[str], k: str, country: st
 
 
 @query(
-    "s9_s10_s11_pasted_food",
+    "s9_s11_pasted_food",
     select(
         {
             "approval_number": "'X' || k", "name": "s_name", "address": "'Road ' || k", "city": "'Santiago'", "postcode": "'1234'", "country": "'Chile'", "grp": "'third-country'", "section": "'RM'", "activity": case("k", "SH", "CP"), "slaughter": case("k", "Y", "N"),
@@ -422,6 +422,22 @@ def s9(spark, d):
     return out.select("approval_number", "name", "address", "city", "postcode", "country", F.col("group").alias("grp"), "section", "activity", "slaughter", "species", "date_of_approval")
 
 
+@query(
+    "s10_f8_pasted_blocks",
+    select(
+        {"approval_number": "'P' || k", "name": "s_name", "address": "'Road ' || k", "city": "'Lima'", "country": "'Peru'", "section": "'PM'", "activity": case("k", "SH", ""), "slaughter": case("k", "Y", ""), "species": case("k", "poultry", "")},
+        "(SELECT *, s_suppkey k FROM supplier)",
+    ),
+)
+def s10(spark, d):
+    """Blocks of lines between blank ones; lines of the page's chrome in between are no part of them."""
+    k = "s_suppkey"
+    head = ["Legal Notice", "Country: Peru", "Food PM Meat from poultry", ""]
+    lines = [f"'P' || {k}", case(k, "Contact us", None, None), "s_name", f"'Road ' || {k}", "'Lima'", case(k, None, None, "Privacy Statement"), case(k, "SH - Slaughterhouse", None), case(k, "A Poultry", None), case(k, None, None, None, "Log in"), "''"]
+    out = pastes.food(spark, _pages(table(spark, d, "supplier"), head, lines, k, "peru"))
+    return out.select("approval_number", "name", "address", "city", "country", "section", "activity", "slaughter", "species")
+
+
 @query(
     "s12_pasted_health",
     select(
@@ -564,7 +580,7 @@ def c12_unresolved(spark, d):
 def c15(spark, d):
     k = F.col("s_suppkey")
     street = F.concat(F.lit("Mill Lane "), k.cast("string"))
-    dirty = F.concat(F.lit("  "), street, F.when(k % 4 == 0, "; 12/34 5.6-7").when(k % 4 == 1, " info@mill.example ,").when(k % 4 == 2, " Tel: 0123 456").otherwise(" ;, "))
+    dirty = F.concat(F.lit("  "), street, F.when(k % 4 == 0, "; 12/34 5.6-7").when(k % 4 == 1, " info@mill.example ,").when(k % 4 == 2, " Tel: 0123 456").otherwise(" ;, -"))
     return table(spark, d, "supplier").select(k.alias("k"), address.clean_part(dirty).alias("clean"), address.first_admin(F.concat(street, F.lit(", Shire; Land"))).alias("admin"))
 
 
@@ -639,20 +655,20 @@ def c24(spark, d):
     return table(spark, d, "supplier").select(k.alias("k"), F.array_join(address.bullets(cell), "|").alias("items"), letter.alias("letter"))
 
 
-@query("c27_headers", "SELECT 'Approval No.' AS exact, 'Town / City' AS part, true AS none, true AS raised")
+@query("c27_f10_headers", "SELECT c_custkey AS k, c_name AS name, c_mktsegment AS phone, CAST(NULL AS VARCHAR) AS fax, true AS raised FROM customer")
 def c27(spark, d):
-    """A header by its folded name, else by a part of it; a missing one is null or, if required, an error."""
-    headers = ["Name", "Approval No.", "Town / City"]
+    """A table's columns found by folded name, else by a part of it; a missing one is null or, if required, an error."""
+    t = table(spark, d, "customer").select("c_custkey", F.col("c_name").alias(" Plant  NAME "), F.col("c_mktsegment").alias("Phone No."))
+    name, phone, fax = (text.resolve(t.columns, *x) for x in (("name",), ("telephone", "phone_no"), ("fax",)))
     try:
-        text.resolve(headers, "postcode", required=True)
+        text.resolve(t.columns, "fax", required=True)
         raised = False
     except text.HeaderError:
         raised = True
-    found = [text.resolve(headers, "number", "approval_no"), text.resolve(headers, "city"), text.resolve(headers, "postcode") is None, raised]
-    return spark.range(1).select(*[F.lit(v).alias(n) for v, n in zip(found, ("exact", "part", "none", "raised"))])
+    return t.select(F.col("c_custkey").alias("k"), F.col(f"`{name}`").alias("name"), F.col(f"`{phone}`").alias("phone"), F.lit(fax).cast("string").alias("fax"), F.lit(raised).alias("raised"))
 
 
-@query("c10_f10_same_name", select({"k": "c_custkey", "same": "c_custkey % 3 = 0", "distinct_words": case("c_custkey", "b,a", "a", "c,b,a")}, "customer"))
+@query("c10_same_name", select({"k": "c_custkey", "same": "c_custkey % 3 = 0", "distinct_words": case("c_custkey", "b,a", "a", "c,b,a")}, "customer"))
 def c10(spark, d):
     """Folded names that aren't empty are the same name; lists keep the first of equals, in order."""
     k = F.col("c_custkey")

@@ -6,6 +6,8 @@ file's lines counts. One file is one window group; a pasted page is small, and f
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from sitefold import vocabulary as V
@@ -13,9 +15,11 @@ from sitefold.functions.address import ACTIVITY_LINE, DATE_LINE, ID_DATE_LINE, R
 from sitefold.functions.text import lookup, squeeze
 from sitefold.sources.files import file_stem, read_documents
 
+# The columns of the listings, and the line that starts a page.
 FOOD = "approval_number name address city postcode region country group section activity slaughter species remarks date_of_approval publication_date".split()
 HEALTH = "approval_number name address city postcode region country section section_label activity species last_update".split()
 MARK = "Skip to Main Content"
+NOISE = "|".join(re.escape(x) for x in V.NOISE_LINES)
 
 
 def lines(docs: DataFrame) -> DataFrame:
@@ -27,7 +31,7 @@ def lines(docs: DataFrame) -> DataFrame:
 
 def _noise(x: Column) -> Column:
     """Chrome is matched from the line's start, so that a place whose name contains such a word is kept."""
-    return x.rlike(f"^\\s*(?:{V.NOISE_LINES})\\b") & ~x.rlike("^Country:") | x.rlike("^\\s*ago\\.")
+    return x.rlike(f"^\\s*(?:{NOISE})\\b") & ~x.rlike("^Country:") | x.rlike("^\\s*ago\\.")
 
 
 def food(spark: SparkSession, path) -> DataFrame:
@@ -89,7 +93,7 @@ def health(spark: SparkSession, path) -> DataFrame:
     more = ~F.col("_start") & F.col("line").rlike("^[\t •]") & ~F.col("_value")
     at = at.where((F.col("rec") > 0) & (F.col("_start") | more))
     items = F.when(F.col("_start"), F.concat(bullets(F.get("cells", F.lit(5))), bullets(F.get("cells", F.lit(6))))).otherwise(bullets(F.col("line")))
-    at = at.withColumn("items", F.filter(items, lambda x: ~x.rlike(f"^(?:{V.NOISE_LINES})\\b")))
+    at = at.withColumn("items", F.filter(items, lambda x: ~x.rlike(f"^(?:{NOISE})\\b")))
     ordered = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("n", "items"))), lambda x: x["items"]))
     rows = at.groupBy("file", "doc", "rec").agg(F.min_by(F.struct("cells", "country", "section", "section_label", "last_update"), "n").alias("h"), ordered.alias("items"))
     cell = lambda k: squeeze(F.coalesce(F.get("h.cells", F.lit(k)), F.lit("")))

@@ -19,14 +19,27 @@ def normalised(lines: DataFrame, value: str = "value") -> DataFrame:
     return lines.select(*[alias_get(F.col(value), *names).alias(c) for c, names in ALIASES.items()], F.col(value).alias("_raw"))
 
 
-def stream(spark: SparkSession, folder: str, wait: str = "30 days") -> DataFrame:
-    """Rows as files arrive; a registration seen within `wait` of file time isn't taken again, which bounds the state."""
+def stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows as files arrive."""
     rows = spark.readStream.schema("value string").text(folder).where("trim(value) <> ''")
-    rows = normalised(rows.select("value")).withColumn("landed", F.current_timestamp())
-    return rows.withWatermark("landed", wait).dropDuplicatesWithinWatermark(["registerNo"])
+    return normalised(rows.select("value")).withColumn("landed", F.current_timestamp())
+
+
+def add_new(batch: DataFrame, number: int, table: str) -> None:
+    """Adds the batch's registrations that no other batch has landed, in a folder of its own: a batch that runs again
+    replaces what it wrote. Only the numbers of what is there are read. Rows without a number are all kept."""
+    spark = batch.sparkSession
+    p = spark._jvm.org.apache.hadoop.fs.Path(table)
+    named = batch.where("registerNo IS NOT NULL").dropDuplicates(["registerNo"])
+    if p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
+        there = spark.read.schema("registerNo string, batch bigint").parquet(table).where(F.col("batch") != number)
+        named = named.join(there.select("registerNo"), "registerNo", "left_anti")
+    new = named.unionByName(batch.where("registerNo IS NULL"))
+    new.withColumn("batch", F.lit(number).cast("bigint")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(table)
 
 
 def land(spark: SparkSession, folder: str, table: str, checkpoint: str) -> None:
-    """Takes all files that are there and ends; files done before are skipped by the checkpoint."""
-    q = stream(spark, folder).writeStream.format("parquet").option("checkpointLocation", checkpoint).option("path", table).trigger(availableNow=True).start()
+    """Takes all files that are there and ends; files done before are skipped by the checkpoint, registrations landed
+    before, however long ago, by the table."""
+    q = stream(spark, folder).writeStream.foreachBatch(lambda batch, number: add_new(batch, number, table)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()

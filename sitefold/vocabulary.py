@@ -3,39 +3,75 @@
 from __future__ import annotations
 
 # Corporate suffixes and words without discriminating power, compared after folding.
-LEGAL_SUFFIXES = (
-    "inc llc ltd limited corp corporation co company plc lp llp pty pte gmbh mbh ag kg ohg eg se sa sas sarl sprl nv bv cv vof spa srl snc "
-    "ab as asa oy oyj aps a/s sl slu sau scl coop sccl ltda eireli me epp ao ooo zao pao spzoo sro kft zrt bt kk yk"
-).split()
-STOPWORDS = (
-    "the and of de del la le les el los das dos da do der die und van von meat meats foods food packing packers abattoir slaughterhouse "
-    "slaughter processing processors plant matadero frigorifico schlachthof abattoirs macello"
-).split()
+LEGAL_SUFFIXES = [
+    "inc", "llc", "ltd", "limited", "corp", "corporation", "co", "company", "plc", "lp", "llp", "pty", "pte", "gmbh", "mbh", "ag", "kg", "ohg", "eg", "se",
+    "sa", "sas", "sarl", "sprl", "nv", "bv", "cv", "vof", "spa", "srl", "snc", "ab", "as", "asa", "oy", "oyj", "aps", "a/s", "sl", "slu", "sau", "scl",
+    "coop", "sccl", "ltda", "eireli", "me", "epp", "ao", "ooo", "zao", "pao", "spzoo", "sro", "kft", "zrt", "bt", "kk", "yk",
+]
+STOPWORDS = [
+    "the", "and", "of", "de", "del", "la", "le", "les", "el", "los", "das", "dos", "da", "do", "der", "die", "und", "van", "von", "meat", "meats", "foods",
+    "food", "packing", "packers", "abattoir", "slaughterhouse", "slaughter", "processing", "processors", "plant", "matadero", "frigorifico", "schlachthof",
+    "abattoirs", "macello",
+]
 
 # The species, in the order in which one stands for a mixed site, and the activities.
-SPECIES = "bovine porcine poultry ovine caprine equine cervid lagomorph fish crustacean camelid canine mustelid reptile insect farmed_game wild_game other".split()
-ACTIVITIES = (
-    "slaughter farm_meat farm_dairy farm_eggs farm_wool farm_skins farm_honey hatchery saleyard live_market holding_yard farm_poultry transporter "
-    "insect_rearing germinal_products quarantine experimentation zoo wildlife racing rodeo entertainment pet_breeder pet_shop agricultural_show "
-    "aquaculture cutting processing minced_meat meat_preparations game_handling cold_store rendering casings egg_products unknown"
-).split()
+SPECIES = [
+    "bovine", "porcine", "poultry", "ovine", "caprine", "equine", "cervid", "lagomorph", "fish", "crustacean", "camelid", "canine", "mustelid", "reptile",
+    "insect", "farmed_game", "wild_game", "other",
+]
+ACTIVITIES = [
+    "slaughter", "farm_meat", "farm_dairy", "farm_eggs", "farm_wool", "farm_skins", "farm_honey", "hatchery", "saleyard", "live_market", "holding_yard",
+    "farm_poultry", "transporter", "insect_rearing", "germinal_products", "quarantine", "experimentation", "zoo", "wildlife", "racing", "rodeo",
+    "entertainment", "pet_breeder", "pet_shop", "agricultural_show", "aquaculture", "cutting", "processing", "minced_meat", "meat_preparations",
+    "game_handling", "cold_store", "rendering", "casings", "egg_products", "unknown",
+]
 # Activities that alone do not put a site on the map, and species that tallies leave out.
-EXCLUDED_ACTIVITIES = (
-    "cutting processing minced_meat meat_preparations game_handling cold_store rendering casings egg_products experimentation zoo wildlife racing "
-    "rodeo entertainment pet_breeder pet_shop agricultural_show farm_honey farm_wool farm_skins insect_rearing aquaculture"
-).split()
+EXCLUDED_ACTIVITIES = [
+    "cutting", "processing", "minced_meat", "meat_preparations", "game_handling", "cold_store", "rendering", "casings", "egg_products", "experimentation",
+    "zoo", "wildlife", "racing", "rodeo", "entertainment", "pet_breeder", "pet_shop", "agricultural_show", "farm_honey", "farm_wool", "farm_skins",
+    "insect_rearing", "aquaculture",
+]
 EXCLUDED_SPECIES = ["fish", "crustacean"]
 
-# Precisions, best first, those that may be matched on and those that may be drawn.
 # What becomes of animals at places of each activity: killed here, elsewhere, in part, not, handled dead, or not kept there.
 ACTIVITY_FATES = {
-    "here": ["slaughter", "live_market"],
-    "elsewhere": ["farm_meat", "farm_dairy", "farm_eggs", "farm_wool", "farm_skins", "farm_poultry", "aquaculture", "quarantine", "saleyard", "holding_yard"],
-    "some": ["hatchery", "experimentation", "zoo", "wildlife", "racing", "rodeo", "entertainment", "pet_breeder", "pet_shop"],
-    "no": ["insect_rearing", "germinal_products", "farm_honey", "agricultural_show"],
-    "after": ["cutting", "processing", "minced_meat", "meat_preparations", "game_handling", "cold_store", "rendering", "casings", "egg_products"],
-    "transit": ["transporter"],
+    "slaughter": "here",
+    "farm_meat": "elsewhere",
+    "farm_dairy": "elsewhere",
+    "farm_eggs": "elsewhere",
+    "farm_wool": "elsewhere",
+    "farm_skins": "elsewhere",
+    "farm_honey": "no",
+    "hatchery": "some",
+    "saleyard": "elsewhere",
+    "live_market": "here",
+    "holding_yard": "elsewhere",
+    "farm_poultry": "elsewhere",
+    "transporter": "transit",
+    "insect_rearing": "no",
+    "germinal_products": "no",
+    "quarantine": "elsewhere",
+    "experimentation": "some",
+    "zoo": "some",
+    "wildlife": "some",
+    "racing": "some",
+    "rodeo": "some",
+    "entertainment": "some",
+    "pet_breeder": "some",
+    "pet_shop": "some",
+    "agricultural_show": "no",
+    "aquaculture": "elsewhere",
+    "cutting": "after",
+    "processing": "after",
+    "minced_meat": "after",
+    "meat_preparations": "after",
+    "game_handling": "after",
+    "cold_store": "after",
+    "rendering": "after",
+    "casings": "after",
+    "egg_products": "after",
 }
+# Precisions, best first, and those that may be matched on and drawn.
 PRECISION_RANK = {"rooftop": 0, "street": 1, "locality": 2}
 MAPPABLE = ["rooftop", "street"]
 
@@ -59,16 +95,17 @@ SPECIES_CODES = {
     "fG": "farmed_game", "wG": "wild_game", "wU": "wild_game", "lwG": "wild_game", "swG": "wild_game", "wbU": "wild_game", "Bbis": "bovine",
 }
 # The members of the EU and EFTA group.
-EU_EFTA = (
-    "austria;belgium;bulgaria;croatia;cyprus;czechia;denmark;estonia;finland;france;germany;greece;hungary;ireland;italy;latvia;lithuania;"
-    "luxembourg;malta;netherlands;poland;portugal;romania;slovakia;slovenia;spain;sweden;iceland;liechtenstein;norway;switzerland;"
-    "united kingdom (northern ireland)"
-).split(";")
+EU_EFTA = [
+    "austria", "belgium", "bulgaria", "croatia", "cyprus", "czechia", "denmark", "estonia", "finland", "france", "germany", "greece", "hungary", "ireland",
+    "italy", "latvia", "lithuania", "luxembourg", "malta", "netherlands", "poland", "portugal", "romania", "slovakia", "slovenia", "spain", "sweden",
+    "iceland", "liechtenstein", "norway", "switzerland", "united kingdom (northern ireland)",
+]
 # Lines of a pasted page that are not rows.
-NOISE_LINES = (
-    "Skip to Main Content|Documentation|European Commission|IMSOC|TRACES|Establishment list|Details|Last update|Establishments|Approval number|"
-    "Legal Notice|Terms of Use|Cookies|Privacy Statement|Accessibility|Credits|Contact|Top Page|processed by|Log in|English \\(English\\)|Section:"
-)
+NOISE_LINES = [
+    "Skip to Main Content", "Documentation", "European Commission", "IMSOC", "TRACES", "Establishment list", "Details", "Last update", "Establishments",
+    "Approval number", "Legal Notice", "Terms of Use", "Cookies", "Privacy Statement", "Accessibility", "Credits", "Contact", "Top Page", "processed by",
+    "Log in", "English (English)", "Section:",
+]
 
 # Animal-health sections and activity texts.
 HEALTH_SECTIONS = {
@@ -181,6 +218,12 @@ FOREIGN_SCHEMES = {"USA": "US-FSIS", "AUS": "AU-EXPORT", "NZL": "NZ-MPI", "BRA":
 CIFER_SPECIES = {"bovine": "beef|bovine|牛", "porcine": "pork|porcine|猪", "ovine": "mutton|sheep|羊", "poultry": "poultry|chicken|禽", "fish": "aquatic|fish|水产", "lagomorph": "rabbit|兔"}
 
 # What the geocoders call a building.
-ROOFTOP_CLASSES = "building amenity shop man_made office craft industrial".split()
-ROOFTOP_TYPES = "building house industrial commercial retail amenity shop office craft warehouse man_made farm farmyard".split()
-LOCALITY_TYPES = "city town village hamlet suburb municipality locality postcode quarter neighbourhood".split()
+ROOFTOP_CLASSES = [
+    "building", "amenity", "shop", "man_made", "office", "craft", "industrial",
+]
+ROOFTOP_TYPES = [
+    "building", "house", "industrial", "commercial", "retail", "amenity", "shop", "office", "craft", "warehouse", "man_made", "farm", "farmyard",
+]
+LOCALITY_TYPES = [
+    "city", "town", "village", "hamlet", "suburb", "municipality", "locality", "postcode", "quarter", "neighbourhood",
+]

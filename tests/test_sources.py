@@ -117,3 +117,9 @@ def test_overlay_and_landing(spark, tmp_path):
     for _ in range(2):
         landing.land(spark, str(inbox), str(tmp_path / "out"), str(tmp_path / "cp"))
     assert sorted(r.registerNo for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["R1", "R2"]
+    # Later files are held against all that has landed, however long ago, and a lost checkpoint lands nothing twice.
+    put(inbox / "2.jsonl", '{"regNo": "R2"}\n{"regNo": "R3"}\n{"enName": "without a number"}\n')
+    for checkpoint in ("cp", "cp", "new"):
+        landing.land(spark, str(inbox), str(tmp_path / "out"), str(tmp_path / checkpoint))
+    found = [r.registerNo for r in spark.read.parquet(str(tmp_path / "out")).collect()]
+    assert sorted(x for x in found if x) == ["R1", "R2", "R3"]
