@@ -5,6 +5,10 @@ each record, and an index row (file, offset, length, url, digest, type) for each
 written as a table before anything is read. Reading selects index rows, deals them out in ranges of
 (file, offset), sorts, and joins neighbours into byte-range reads of bounded size.
 
+A response's block is an HTTP response, its payload the html behind the HTTP head; a revisit's is the head alone, so
+readers of the standard take both. Ids are UUIDs: of page and payload for what revisits refer to (exact repeats of such
+a row share it), else drawn for each record; the page's own id is in X-Page-ID.
+
 Of records with equal payloads of at least LEAST bytes, the one with the largest page_id is the
 response and the others are revisits of it; smaller payloads and copies that share that largest id are
 all responses. A null page_id is never the largest, so it revisits where there is another. Null html
@@ -48,8 +52,8 @@ def opened(folder: str) -> tuple[pa.fs.FileSystem, str]:
     return pa.fs.FileSystem.from_uri(folder if sep or folder.startswith("file:") else f"file://{folder}")
 
 
-def record_uri(page_id: int | None) -> str:
-    return f"urn:page:{'' if page_id is None else page_id}"
+def record_uri(page_id: int | None, digest: str) -> str:
+    return f"urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}:{digest}')}"
 
 
 def record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, date: str) -> bytes:
@@ -58,16 +62,17 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str, re
     head = [
         "WARC/1.1",
         f"WARC-Type: {'revisit' if revisit else 'response'}",
-        f"WARC-Record-ID: <{record_uri(page_id)}>",
+        f"WARC-Record-ID: <{uuid.uuid4().urn if revisit or len(payload) < LEAST else record_uri(page_id, digest)}>",
+        f"X-Page-ID: {'' if page_id is None else page_id}",
         f"WARC-Date: {date}",
         "WARC-Target-URI: " + (url or "").replace("\r", "%0D").replace("\n", "%0A"),
         "WARC-Payload-Digest: sha1:" + base64.b32encode(bytes.fromhex(digest)).decode(),
         f"X-Payload-Length: {len(payload)}",
     ]
     if revisit:
-        head += [f"WARC-Refers-To: <{record_uri(refers_to)}>", f"WARC-Profile: {PROFILE}"]
-    body = b"" if revisit else payload
-    head += ["Content-Type: text/html; charset=utf-8", f"Content-Length: {len(body)}"]
+        head += [f"WARC-Refers-To: <{record_uri(refers_to, digest)}>", f"X-Refers-To-Page-ID: {refers_to}", f"WARC-Profile: {PROFILE}"]
+    body = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode() + (b"" if revisit else payload)
+    head += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(body)}"]
     squeeze = zlib.compressobj(3, zlib.DEFLATED, 31)
     return squeeze.compress("\r\n".join(head).encode() + b"\r\n\r\n" + body + b"\r\n\r\n") + squeeze.flush()
 
@@ -84,6 +89,14 @@ def parse(member: bytes) -> tuple[dict[str, str], bytes]:
     return fields, rest[:n]
 
 
+def http_payload(block: bytes) -> bytes:
+    """What stands behind the HTTP head. Raises ValueError if the block is no HTTP response."""
+    head, sep, payload = block.partition(b"\r\n\r\n")
+    if not head.startswith(b"HTTP/") or not sep:
+        raise ValueError("not an HTTP response")
+    return payload
+
+
 def plan(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", least: int = LEAST) -> DataFrame:
     """(page_id, url, html, payload_digest, refers_to): which record each page will have.
 
@@ -141,19 +154,17 @@ def read(index: DataFrame, folder: str, payloads: bool = True) -> DataFrame:
     names = [x.split()[0] for x in READ.split(", ")]
     types = [pa.int64() if x.endswith("bigint") else pa.binary() if x.endswith("binary") else pa.string() for x in READ.split(", ")]
 
-    def page(uri: str | None) -> int | None:
-        digits = (uri or "").strip("<>").removeprefix("urn:page:")
-        return int(digits) if digits else None
-
     def one(member: bytes) -> tuple:
-        fields, body = parse(member)
+        fields, block = parse(member)
+        body = http_payload(block)
         digest = base64.b32decode(fields["warc-payload-digest"].removeprefix("sha1:")).hex()
         refers, size = None, len(body)
         if fields["warc-type"] == "revisit":
-            refers, size, body = page(fields["warc-refers-to"]), int(fields["x-payload-length"]), None
+            refers, size, body = int(fields["x-refers-to-page-id"]), int(fields["x-payload-length"]), None
         elif hashlib.sha1(body).hexdigest() != digest:
             raise ValueError(f"payload of {fields['warc-record-id']} doesn't have its digest")
-        return page(fields["warc-record-id"]), fields["warc-target-uri"], body if payloads else None, size, digest, fields["warc-type"], refers
+        page = fields["x-page-id"]
+        return int(page) if page else None, fields["warc-target-uri"], body if payloads else None, size, digest, fields["warc-type"], refers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = opened(folder)
