@@ -5,6 +5,7 @@ from __future__ import annotations
 import gzip
 import html
 import json
+import uuid
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -12,7 +13,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sitefold.functions.geo import fixed_point, mercator
 from sitefold.functions.text import lookup
+from sitefold.operators.ranking import ranked
 from sitefold.plans.page import HEAD, SCRIPT, TAIL
+from sitefold.plans.shared import materialise, new_dir, release
 from sitefold.vocabulary import ACTIVITY_FATES, EXCLUDED_ACTIVITIES, EXCLUDED_SPECIES, SPECIES
 
 #: Facilities up to which build() writes one page; beyond it the coded tables are the payload.
@@ -96,11 +99,14 @@ def tallies(facilities: DataFrame, visible: Column) -> DataFrame:
     return facet_rows(facilities.where(visible)).where(~((F.col("facet") == "species") & F.col("value").isin(*EXCLUDED_SPECIES))).groupBy("facet", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def in_viewport(x0: float, y0: float, x1: float, y1: float) -> Column:
-    x, y = mercator(F.col("lat"), F.col("lon"))
+def inside(x: Column, y: Column, x0: float, y0: float, x1: float, y1: float) -> Column:
     return x.between(x0, x1) & y.between(y0, y1)
 
 
+def in_viewport(x0: float, y0: float, x1: float, y1: float) -> Column:
+    return inside(*mercator(F.col("lat"), F.col("lon")), x0, y0, x1, y1)
+
+
 def nearest(facilities: DataFrame, x: float, y: float, reach: float, n: int = 40) -> DataFrame:
     """The n facilities nearest to a point of the unit square, within reach."""
     px, py = mercator(F.col("lat"), F.col("lon"))
@@ -128,10 +134,14 @@ def top(df: DataFrame, column: str, n: int, order: str = "seq") -> DataFrame:
 
 
 def dictionary(df: DataFrame, value: Column | str, order: str) -> DataFrame:
-    """(value, id): ids from 0 in order of first appearance. The window runs over distinct values."""
+    """(value, id): ids from 0 in order of first appearance, numbered in ranges."""
     v = F.col(value) if isinstance(value, str) else value
     firsts = df.groupBy(v.alias("value")).agg(F.min(order).alias("_first"))
-    return firsts.select("value", (F.row_number().over(Window.orderBy("_first", "value")) - 1).alias("id"))
+    return ranked(firsts, "_first", "value").select("value", F.col("id").cast("int").alias("id"))
+
+
+#: Values of a dictionary up to which it is broadcast to the rows that it codes.
+FEW_VALUES = 100_000
 
 
 def encode(facilities: DataFrame) -> tuple[DataFrame, dict[str, DataFrame]]:
@@ -144,7 +154,8 @@ def encode(facilities: DataFrame) -> tuple[DataFrame, dict[str, DataFrame]]:
     rows = facilities.withColumns({f"_{k}": v for k, v in parts.items()})
     dims = {k: dictionary(rows, f"_{k}", "uid") for k in parts}
     for k, dim in dims.items():
-        rows = rows.join(dim.select(F.col("value").alias(f"_{k}"), F.col("id").alias(k + "_id")), f"_{k}")
+        ids = dim.select(F.col("value").alias(f"_{k}"), F.col("id").alias(k + "_id"))
+        rows = rows.join(F.broadcast(ids) if dim.count() <= FEW_VALUES else ids, f"_{k}")
     member = lambda m: F.concat_ws("|", F.coalesce(m["source"], F.lit("")), F.coalesce(m["id_scheme"], F.lit("")), F.coalesce(m["national_id"], F.lit("")))
     coded = rows.select(
         "uid", "name", fixed_point(F.col("lat")).alias("y"), fixed_point(F.col("lon")).alias("x"), slaughter_code(F.col("slaughter")).alias("slaughter"), "review", "geo_precision",
@@ -187,6 +198,57 @@ def write_json(facilities: DataFrame, path: str) -> None:
     facilities.write.mode("overwrite").option("compression", "gzip").json(path)
 
 
+def write_json_array(facilities: DataFrame, path: str) -> None:
+    """All facilities by uid as one JSON array in one gzip file.
+
+    Tasks write the array's pieces, each a gzip member whose lines carry their commas; members laid end to end are one
+    gzip file. They are joined by the file system where it can (concat), else their bytes are copied as they are: no row
+    is read or parsed outside the tasks. The file takes its name when it is whole.
+    """
+    spark = facilities.sparkSession
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    pieces = new_dir(spark, "array")
+    line = F.to_json(F.struct(*facilities.columns), {"ignoreNullFields": "false"})
+    rows = materialise(facilities.select("uid", line.alias("line")), "lines")
+    first = rows.agg(F.min("uid").alias("_first"))
+    lines = rows.join(F.broadcast(first)).orderBy("uid").select(F.when(F.col("uid") == F.col("_first"), F.col("line")).otherwise(F.concat(F.lit(","), "line")).alias("value"))
+    lines.write.option("compression", "gzip").text(pieces)
+    at = lambda name: jvm.org.apache.hadoop.fs.Path(name)
+    source, target = at(pieces).getFileSystem(conf), at(path).getFileSystem(conf)
+    members = sorted(s.getPath().toString() for s in source.listStatus(at(pieces)) if s.getPath().getName().startswith("part-"))
+    made = f"{path}.{uuid.uuid4().hex}"
+
+    def put(name: str, data: bytes) -> None:
+        out = target.create(at(name))
+        out.write(bytearray(data))
+        out.close()
+
+    put(made, gzip.compress(b"[\n"))
+    put(f"{made}.end", gzip.compress(b"]\n"))
+    members.append(f"{made}.end")
+    if target.hasPathCapability(at(made), "fs.capability.paths.concat") and source.getUri().equals(target.getUri()):
+        paths = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Path, len(members))
+        for k, m in enumerate(members):
+            paths[k] = at(m)
+        target.concat(at(made), paths)
+    else:
+        whole = f"{made}.whole"
+        out = target.create(at(whole))
+        for m in [made, *members]:
+            piece = at(m).getFileSystem(conf).open(at(m))
+            jvm.org.apache.hadoop.io.IOUtils.copyBytes(piece, out, 1 << 20, False)
+            piece.close()
+        out.close()
+        target.delete(at(made), False)
+        target.delete(at(f"{made}.end"), False)
+        made = whole
+    target.delete(at(path), False)
+    if not target.rename(at(made), at(path)):
+        raise OSError(f"{made} can't be named {path}")
+    release(rows)
+    source.delete(at(pieces), True)
+
+
 def write_review(queue: DataFrame, path: str) -> None:
     queue.write.mode("overwrite").option("header", True).csv(path)
 

@@ -56,13 +56,16 @@ class Table:
         folders = self.manifest(version)[1].values()
         return self.spark.read.parquet(*[f"{self.path}/{f}" for f in folders]) if folders else None
 
-    def write(self, rows: DataFrame, part: str | None = None) -> dict[str, str]:
-        """Writes rows to folders of their own, one for each value of the column part, and names them; no version has them yet."""
+    def write(self, rows: DataFrame, part: str | None = None, **options) -> dict[str, str]:
+        """Writes rows to folders of their own, one for each value of the column part, and names them; no version has them yet.
+
+        options: of the Parquet writer.
+        """
         folder = f"data/{uuid.uuid4().hex}"
         if part is None:
-            rows.write.parquet(f"{self.path}/{folder}")
+            rows.write.options(**options).parquet(f"{self.path}/{folder}")
             return {"": folder}
-        rows.withColumn("_part", F.col(part)).write.partitionBy("_part").parquet(f"{self.path}/{folder}")
+        rows.withColumn("_part", F.col(part)).write.options(**options).partitionBy("_part").parquet(f"{self.path}/{folder}")
         names = [s.getPath().getName() for s in self._fs.listStatus(self._at(folder))]
         unescaped = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
         return {unescaped(n.removeprefix("_part=")): f"{folder}/{n}" for n in names if n.startswith("_part=")}

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from sitefold.functions import geo, text
 from sitefold.operators import assemble, geocode, outlines, resolve
 from sitefold.operators.components import components
-from sitefold.plans import publish
+from sitefold.plans import publish, tiles
 from sitefold.plans.shared import materialise, new_dir
 from sitefold.plans.store import Table
 from sitefold.schema import FIELDS, TYPES
@@ -393,6 +393,21 @@ def f6(spark, d):
     return sites(spark, d).where(publish.in_viewport(0.25, 0.2, 0.6, 0.5)).select("k")
 
 
+@query("t2_nearest_in_layout", SQL["t2_radius_topk"])
+def t2_layout(spark, d):
+    """The same by a search over the tiles of a layout."""
+    path = new_dir(spark, "layout")
+    tiles.lay_out(sites(spark, d).withColumn("uid", F.col("k").cast("string")), path)
+    return tiles.Tiles(spark, path).nearest(0.5, 0.5, 0.2, 40).select("uid", F.round("d2", 12).alias("d2"))
+
+
+@query("f6_viewport_of_layout", SQL["f6_viewport"])
+def f6_layout(spark, d):
+    path = new_dir(spark, "layout")
+    tiles.lay_out(sites(spark, d), path)
+    return tiles.Tiles(spark, path).viewport(0.25, 0.2, 0.6, 0.5).select("k")
+
+
 @query("e1_dictionary", "SELECT value, (row_number() OVER (ORDER BY f, value) - 1)::INT AS id FROM (SELECT l_returnflag || ',' || l_linestatus AS value, min(l_orderkey * 10 + l_linenumber) f FROM lineitem GROUP BY 1)")
 def e1(spark, d):
     li = table(spark, d, "lineitem").withColumn("o", F.col("l_orderkey") * 10 + F.col("l_linenumber"))
@@ -532,6 +547,14 @@ def e5(spark, d):
     return spark.read.json(path).select("uid", "name", F.size("members").alias("members"))
 
 
+@query("e5_facility_array", SQL["e5_facility_file"])
+def e5_array(spark, d):
+    """One array in one file, read again."""
+    path = f"{new_dir(spark, 'facilities')}.json.gz"
+    publish.write_json_array(_resolved(spark, d)[1], path)
+    return spark.read.option("multiLine", True).json(path).select("uid", "name", F.size("members").alias("members"))
+
+
 @query("a10_a20_report", f"""WITH RECURSIVE {resolved_sql(NO_DECISIONS)} SELECT 'total' AS section, item, n FROM (SELECT 'rows' item, count(*) n FROM w UNION ALL SELECT 'facilities', count(*) FROM fac UNION ALL SELECT 'review pairs', count(*) FROM queue
 UNION ALL SELECT 'mappable', count(*) FROM fac WHERE lat IS NOT NULL UNION ALL SELECT 'unlocated', count(*) FROM fac WHERE lat IS NULL) UNION ALL SELECT 'source', 'x', count(*) FROM w UNION ALL SELECT 'tier', tier, count(*) FROM tiers GROUP BY tier UNION ALL SELECT 'size', members::VARCHAR, count(*) FROM fac GROUP BY members""")
 def a10(spark, d):
