@@ -65,8 +65,8 @@ def with_hits(records: DataFrame, hits: DataFrame | None) -> DataFrame:
     return records.join(hits.select("key", F.col("lat").alias("hit_lat"), F.col("lon").alias("hit_lon"), F.col("precision").alias("hit_precision"), F.col("provider").alias("hit_provider")), "key", "left")
 
 
-def prepared(keyed: DataFrame) -> DataFrame:
-    """The columns that the stages join on, each computed once for a record."""
+def prepared(keyed: DataFrame, *more: str) -> DataFrame:
+    """The columns that the stages join on, each computed once for a record, and more."""
     p = position()
     rows = keyed.withColumn("_name", strip_accents(F.col("name"))).withColumn("text", folded_text(F.col("_name"))).withColumn("nn", folded_name(F.col("text")))
     rows = rows.withColumn("p", p)
@@ -75,7 +75,7 @@ def prepared(keyed: DataFrame) -> DataFrame:
         "key", "seq", "source_id", F.coalesce(F.nullif("country_iso3", F.lit("")), F.lit("ZZZ")).alias("country"), "name", "address", "national_id", "text", "nn",
         folded_tokens(F.col("nn")).alias("words"), addr_key(F.col("address"), F.col("postcode")).alias("ak"),
         F.when(precise, F.col("p.lat")).alias("lat"), F.when(precise, F.col("p.lon")).alias("lon"),
-        F.array_compact(F.array(norm_id(F.col("id_scheme"), F.col("national_id")), norm_id(F.col("foreign_id_scheme"), F.col("foreign_id")))).alias("ids"),
+        F.array_compact(F.array(norm_id(F.col("id_scheme"), F.col("national_id")), norm_id(F.col("foreign_id_scheme"), F.col("foreign_id")))).alias("ids"), *more,
     )
 
 
@@ -170,14 +170,30 @@ def addr_pairs(rows: DataFrame) -> DataFrame:
     return _scored(_met(at_address(rows), BY_SEQ)).withColumns({"metres": F.lit(None).cast("double"), "reason": F.lit(ADDR_REASON)})
 
 
-def with_cells(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows with a position in their cells (block), and reach (country, block, to): to each occupied cell all that lie
-    around one of the occupied cells around it, itself included. Both are found once for each cell."""
+def in_cells(rows: DataFrame) -> DataFrame:
+    """Rows with a position, with their cell as block."""
     cell = F.struct(F.round(F.col("lat") / GRID).cast("long").alias("y"), F.round(F.col("lon") / GRID).cast("long").alias("x"))
-    at = rows.where("lat IS NOT NULL AND lon IS NOT NULL").withColumn("block", cell)
-    cells = materialise(at.select("country", "block").distinct(), "cells")
-    around = F.array(*[F.struct((F.col("block.y") + dy).alias("y"), (F.col("block.x") + dx).alias("x")) for dy in (-1, 0, 1) for dx in (-1, 0, 1)])
-    beside = materialise(cells.select("country", "block", F.explode(around).alias("to")).join(cells.withColumnRenamed("block", "to"), ["country", "to"], "left_semi"), "cells-beside")
+    return rows.where("lat IS NOT NULL AND lon IS NOT NULL").withColumn("block", cell)
+
+
+def around(block: Column, steps: int = 1) -> Column:
+    """A cell and those up to some steps from it, in an array."""
+    some = range(-steps, steps + 1)
+    return F.array(*[F.struct((block["y"] + dy).alias("y"), (block["x"] + dx).alias("x")) for dy in some for dx in some])
+
+
+def with_cells(rows: DataFrame, occupied: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Rows with a position in their cells (block), and reach (country, block, to): to each occupied cell all that lie
+    around one of the occupied cells around it, itself included. Both are found once for each cell.
+
+    occupied: (country, block), the cells that hold a record, if rows are not all of them.
+    """
+    at = in_cells(rows)
+    cells = at.select("country", "block").distinct()
+    if occupied is not None:
+        cells = cells.select("country", F.explode(around(F.col("block"), 2)).alias("block")).distinct().join(occupied, ["country", "block"], "left_semi")
+    cells = materialise(cells, "cells")
+    beside = materialise(cells.select("country", "block", F.explode(around(F.col("block"))).alias("to")).join(cells.withColumnRenamed("block", "to"), ["country", "to"], "left_semi"), "cells-beside")
     reach = beside.withColumnRenamed("to", "_by").join(beside.toDF("country", "_by", "to"), ["country", "_by"]).select("country", "block", "to").distinct()
     return at, reach
 
@@ -197,10 +213,10 @@ def _metres_apart(metres) -> Column:
     return F.concat(metres.cast("long").cast("string"), F.lit(" m apart"))
 
 
-def geo_pairs(rows: DataFrame) -> DataFrame:
-    """Alike pairs of neighbouring cells within GEO_LOOSE_M; they merge within GEO_M."""
+def geo_pairs(rows: DataFrame, occupied: DataFrame | None = None) -> DataFrame:
+    """Alike pairs of neighbouring cells within GEO_LOOSE_M; they merge within GEO_M. occupied: as in with_cells."""
     rows = rows if "prefix" in rows.columns else with_prefix(rows)
-    at, reach = with_cells(rows)
+    at, reach = with_cells(rows, occupied)
     pairs = _scored(_near(_met(at, BY_KEY, reach), GEO_LOOSE_M))
     pairs = pairs.withColumn("merges", F.col("merges") & (F.col("metres") <= GEO_M))
     return pairs.withColumn("reason", _metres_apart(F.col("metres")))
@@ -251,13 +267,21 @@ def dealt(pairs: DataFrame, members: DataFrame | None, order: str) -> DataFrame:
     return pairs.withColumns(other)
 
 
+NAME_REASON = "identical name, no usable location on either record"
+
+
+def unplaced(rows: DataFrame) -> DataFrame:
+    """Rows without postcode or precise position, with their name as block."""
+    return rows.where("nn <> '' AND ak = '' AND lat IS NULL").withColumn("block", F.col("nn"))
+
+
 def name_pairs(rows: DataFrame) -> DataFrame:
     """Pairs of equal names in groups of 2 to 12 without postcode or precise position."""
-    bare = rows.where("nn <> '' AND ak = '' AND lat IS NULL").withColumn("block", F.col("nn"))
+    bare = unplaced(rows)
     sizes = bare.groupBy("country", "block").agg(F.count(F.lit(1)).alias("n")).where(F.col("n").between(*NAME_GROUP)).drop("n")
     a, b = _sides(bare.join(sizes, ["country", "block"], "left_semi"))
     pairs = a.join(b, ["country", "block"]).where("(a_seq, a_key) < (b_seq, b_key)")
-    return pairs.withColumns({"score": F.lit(1.0), "metres": F.lit(None).cast("double"), "reason": F.lit("identical name, no usable location on either record"), "merges": F.lit(False)})
+    return pairs.withColumns({"score": F.lit(1.0), "metres": F.lit(None).cast("double"), "reason": F.lit(NAME_REASON), "merges": F.lit(False)})
 
 
 PAIR = ["a_key", "b_key", "a_seq", "b_seq", "score", "metres", "reason", "merges"]
@@ -271,22 +295,54 @@ def apart(pairs: DataFrame, joined: DataFrame) -> DataFrame:
     return out.where("_ca <> _cb")
 
 
+def _split_pairs(decisions: DataFrame | None) -> DataFrame | None:
+    return None if decisions is None else decisions.where("lower(trim(decision)) = 'split'").select(F.least("a_key", "b_key").alias("_l"), F.greatest("a_key", "b_key").alias("_g")).distinct()
+
+
+def merge_edges(decisions: DataFrame) -> DataFrame:
+    return decisions.where("lower(trim(decision)) = 'merge'").select(F.col("a_key").alias("src"), F.col("b_key").alias("dst"))
+
+
+def described(pairs: DataFrame, rows: DataFrame, decisions: DataFrame | None) -> DataFrame:
+    """Pairs that are not decided already, as the review queue shows them."""
+    split = _split_pairs(decisions)
+    if split is not None:
+        pairs = pairs.join(split, (F.least("a_key", "b_key") == F.col("_l")) & (F.greatest("a_key", "b_key") == F.col("_g")), "left_anti")
+    side = lambda s: rows.select(F.col("key").alias(f"{s}_key"), F.col("source_id").alias(f"{s}_source"), F.col("name").alias(f"{s}_name"), F.col("address").alias(f"{s}_address"), F.col("national_id").alias(f"{s}_id"))
+    pairs = pairs.join(side("a"), "a_key").join(side("b"), "b_key").join(rows.select(F.col("key").alias("a_key"), "country"), "a_key")
+    names = [f"{s}_{c}" for s in "ab" for c in ("key", "source", "name", "address", "id")]
+    return pairs.select(*names, "country", F.round("score", 3).alias("name_score"), F.col("metres").cast("int").alias("metres_apart"), "reason", F.lit("").alias("decision"))
+
+
 def resolve(records: DataFrame, hits: DataFrame | None = None, decisions: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(keyed records with component, tiers (component, tier), review pairs).
 
     decisions: (a_key, b_key, decision 'merge' or 'split'). A merge is an edge of tier 'review'; a split takes
     away the pair's own edges, and conflicts() lists split pairs that other edges still connect.
     """
-    keyed = materialise(with_hits(with_keys(records), hits), "records")
+    return resolve_keyed(materialise(with_hits(with_keys(records), hits), "records"), decisions)[:3]
+
+
+def resolve_keyed(keyed: DataFrame, decisions: DataFrame | None = None, occupied: DataFrame | None = None, mates: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """As resolve(), for records that have their keys and hits; also the edges (src, dst, tier) that tie components.
+
+    For records that are only some of all: occupied, the cells that hold any record (with_cells), and mates, others
+    (as from prepared) that share an identifier with them, so that stars have their centres as among all.
+    """
     rows = materialise(with_prefix(materialise(prepared(keyed), "names")), "prepared")
-    split = None if decisions is None else decisions.where("lower(trim(decision)) = 'split'").select(F.least("a_key", "b_key").alias("_l"), F.greatest("a_key", "b_key").alias("_g")).distinct()
+    split = _split_pairs(decisions)
 
     def allowed(edges: DataFrame) -> DataFrame:
         return edges if split is None else edges.join(split, (F.least("src", "dst") == F.col("_l")) & (F.greatest("src", "dst") == F.col("_g")), "left_anti")
 
-    edges = [(allowed(id_edges(rows)), "id")]
+    listed = ["key", "seq", "country", "ids"]
+    by_id = id_edges(rows if mates is None else rows.select(*listed).unionByName(mates.select(*listed)))
+    if mates is not None:
+        for end in ("src", "dst"):
+            by_id = by_id.join(rows.select(F.col("key").alias(end)), end, "left_semi")
+    edges = [(allowed(by_id), "id")]
     if decisions is not None:
-        edges.append((decisions.where("lower(trim(decision)) = 'merge'").select(F.col("a_key").alias("src"), F.col("b_key").alias("dst")), "review"))
+        edges.append((merge_edges(decisions), "review"))
     every = None
     for e, tier in edges:
         e = e.withColumn("tier", F.lit(tier))
@@ -297,7 +353,7 @@ def resolve(records: DataFrame, hits: DataFrame | None = None, decisions: DataFr
     alone = None if split is None else split.select(F.col("_l").alias("key")).union(split.select("_g")).distinct()
     stages = (
         ("addr", at_address(rows), ["block"], addr_pairs, None, F.lit(ADDR_REASON), BY_SEQ),
-        ("geo", rows.where("lat IS NOT NULL AND lon IS NOT NULL"), ["lat", "lon"], geo_pairs, 0.0, _metres_apart(F.lit(0)), BY_KEY),
+        ("geo", rows.where("lat IS NOT NULL AND lon IS NOT NULL"), ["lat", "lon"], lambda r: geo_pairs(r, occupied), 0.0, _metres_apart(F.lit(0)), BY_KEY),
     )
     for tier, located, place, pairs_of, metres, reason, order in stages:
         first, members = class_of(located, place, alone)
@@ -310,15 +366,9 @@ def resolve(records: DataFrame, hits: DataFrame | None = None, decisions: DataFr
         review.append(dealt(apart(left.where("NOT merges" if split is None else "true").select(*PAIR), joined).select(*PAIR), members, order))
     review.append(apart(name_pairs(rows).select(*PAIR), joined).select(*PAIR))
     queue = review[0].unionByName(review[1]).unionByName(review[2])
-    if split is not None:  # decided already
-        queue = queue.join(split, (F.least("a_key", "b_key") == F.col("_l")) & (F.greatest("a_key", "b_key") == F.col("_g")), "left_anti")
     tiers = every.join(joined, F.col("src") == F.col("node")).select("component", "tier").distinct()
     keyed = keyed.join(joined.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
-    side = lambda s: rows.select(F.col("key").alias(f"{s}_key"), F.col("source_id").alias(f"{s}_source"), F.col("name").alias(f"{s}_name"), F.col("address").alias(f"{s}_address"), F.col("national_id").alias(f"{s}_id"))
-    queue = queue.join(side("a"), "a_key").join(side("b"), "b_key").join(rows.select(F.col("key").alias("a_key"), "country"), "a_key")
-    names = [f"{s}_{c}" for s in "ab" for c in ("key", "source", "name", "address", "id")]
-    queue = queue.select(*names, "country", F.round("score", 3).alias("name_score"), F.col("metres").cast("int").alias("metres_apart"), "reason", F.lit("").alias("decision"))
-    return keyed, tiers, queue
+    return keyed, tiers, described(queue, rows, decisions), every
 
 
 def conflicts(keyed: DataFrame, decisions: DataFrame) -> DataFrame:
@@ -326,3 +376,32 @@ def conflicts(keyed: DataFrame, decisions: DataFrame) -> DataFrame:
     a = keyed.select(F.col("key").alias("a_key"), F.col("component").alias("_ca"))
     b = keyed.select(F.col("key").alias("b_key"), F.col("component").alias("_cb"))
     return decisions.where("lower(trim(decision)) = 'split'").join(a, "a_key").join(b, "b_key").where("_ca = _cb").select("a_key", "b_key")
+
+
+def chains(edges: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(a_key, b_key, step, src, dst, tier): why each of pairs (a_key, b_key) is in one component, as the shortest chain
+    of edges from a to b; of equal ones that whose nodes are smaller, seen from b. Pairs that nothing connects have no rows.
+
+    A breadth-first search over edges from all pairs at once, a round for each step; a round's nodes are a table, and
+    a pair that has met its end is not followed further. Each pair visits a node once at most.
+    """
+    both = edges.select("src", "dst", "tier").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "tier")).where("src <> dst")
+    both = materialise(both.groupBy("src", "dst").agg(F.min("tier").alias("tier")), "links")
+    none = [F.lit(None).cast("string").alias(c) for c in ("src", "tier")]
+    layers = [materialise(pairs.select("a_key", "b_key").distinct().where("a_key <> b_key").select("a_key", "b_key", F.col("a_key").alias("node"), *none), "layer")]
+    seen, open_ = layers[0], layers[0]
+    while not open_.isEmpty():
+        on = open_.select("a_key", "b_key", F.col("node").alias("src")).join(both, "src")
+        on = on.groupBy("a_key", "b_key", F.col("dst").alias("node")).agg(F.min(F.struct("src", "tier")).alias("by")).select("a_key", "b_key", "node", "by.src", "by.tier")
+        layers.append(materialise(on.join(seen, ["a_key", "b_key", "node"], "left_anti"), "layer"))
+        met = layers[-1].where("node = b_key").select("a_key", "b_key")
+        seen = seen.unionByName(layers[-1])
+        open_ = layers[-1].join(met, ["a_key", "b_key"], "left_anti")
+    at, out = None, None
+    for step in range(len(layers) - 1, 0, -1):  # from the ends back, a layer at a time
+        ends = layers[step].where("node = b_key").select("a_key", "b_key", "node")
+        at = ends if at is None else ends.unionByName(at)
+        found = materialise(at.join(layers[step], ["a_key", "b_key", "node"]).select("a_key", "b_key", F.lit(step).alias("step"), "src", F.col("node").alias("dst"), "tier"), "chain")
+        out = found if out is None else out.unionByName(found)
+        at = found.select("a_key", "b_key", F.col("src").alias("node"))
+    return out if out is not None else layers[0].select("a_key", "b_key", F.lit(0).alias("step"), "src", F.col("node").alias("dst"), "tier").where("false")

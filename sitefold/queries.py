@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sitefold.functions import geo, text
-from sitefold.operators import assemble, geocode, outlines, resolve
+from sitefold.operators import assemble, geocode, outlines, resolve, upkeep
 from sitefold.operators.components import components
 from sitefold.plans import publish, tiles
 from sitefold.plans.shared import materialise, new_dir
@@ -524,6 +524,34 @@ def resolve_conflicts(spark, d):
     return resolve.conflicts(_resolved(spark, d, True)[0], decided(spark, d))
 
 
+@query("resolve_conflict_chains", f"""WITH RECURSIVE {resolved_sql(DECISIONS)},
+ed AS (SELECT a, b FROM i UNION SELECT a, b FROM ma JOIN c1 x ON x.n = a JOIN c1 y ON y.n = b WHERE x.c <> y.c UNION SELECT a, b FROM mg JOIN c2 x ON x.n = a JOIN c2 y ON y.n = b WHERE x.c <> y.c),
+eb AS (SELECT a, b FROM ed UNION SELECT b, a FROM ed), far(s, e, n, d) AS (SELECT a, b, a, 0 FROM cut JOIN c3 x ON x.n = a JOIN c3 y ON y.n = b WHERE x.c = y.c UNION SELECT s, e, eb.b, d + 1 FROM far JOIN eb ON eb.a = n WHERE d < 12)
+SELECT 'x:' || s AS a_key, 'x:' || e AS b_key, min(d) AS steps FROM far WHERE n = e GROUP BY ALL""")
+def conflict_chains(spark, d):
+    """For each split pair that is in one component all the same, how many edges its shortest chain has; edges must follow on
+    each other from end to end."""
+    decisions = decided(spark, d)
+    keyed, _, _, edges = resolve.resolve_keyed(materialise(resolve.with_hits(resolve.with_keys(canonical_sites(spark, d)), None), "records"), decisions)
+    pairs = materialise(resolve.conflicts(keyed, decisions), "conflicts")
+    steps = resolve.chains(edges, pairs).groupBy("a_key", "b_key").agg(F.array_sort(F.collect_list(F.struct("step", "src", "dst"))).alias("c"))
+    whole = (F.col("c")[0]["src"] == F.col("a_key")) & (F.element_at("c", -1)["dst"] == F.col("b_key")) & (F.slice("c.src", F.lit(2), F.size("c")) == F.slice("c.dst", F.lit(1), F.size("c") - 1))
+    return steps.select("a_key", "b_key", F.when(whole, F.size("c")).cast("bigint").alias("steps"))
+
+
+@query("p14_source_parsed_again", f"WITH RECURSIVE {resolved_sql(NO_DECISIONS)} {FOUND}")
+def parsed_again(spark, d):
+    """The sites once more, from a resolution in which a register had other rows: each 20th site under another number and name, each
+    45th missing, and one too many. Only what that reaches is resolved again; the result is that of resolve_all_tiers."""
+    now = canonical_sites(spark, d)
+    k = F.col("seq")
+    then = now.where(k % 45 != 1).withColumns({"name": F.when(k % 20 == 3, F.lit("Old Mill")).otherwise(F.col("name")), "national_id": F.when(k % 20 == 3, F.lit("1")).otherwise(F.col("national_id")), "id_scheme": F.lit("S")})
+    extra = now.where(k % 200 == 7).withColumns({"source_row_id": F.concat(F.lit("y"), "source_row_id"), "seq": k + 10_000_000})
+    keyed, tiers, queue = (materialise(x, "was") for x in resolve.resolve(then.unionByName(extra)))
+    kept = upkeep.replace_source(keyed, tiers, queue, now, "x")
+    return _facilities_of(assemble.assemble(kept.keyed, kept.tiers, kept.queue))
+
+
 QUEUE = "SELECT 'x:' || a AS a_key, 'x:' || b AS b_key, country, round(score, 3) AS name_score, floor(m)::INT AS metres_apart, reason FROM queue"
 
 
