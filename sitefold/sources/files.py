@@ -2,16 +2,71 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from sitefold.functions.text import HeaderError
 from sitefold.plans.store import Table
 
 
 def read_csv(spark: SparkSession, path, sep: str = ",") -> DataFrame:
-    """Header, quoted line breaks, doubled quotes; a byte order mark is dropped. Adds file, the path of each row's file."""
-    options = {"header": True, "multiLine": True, "escape": '"', "sep": sep, "encoding": "UTF-8"}
-    return _placed(spark.read.options(**options).csv(path))
+    """Header, quoted line breaks, doubled quotes; a byte order mark is dropped. Adds file, the path of each row's file.
+
+    Files are split by bytes as text, so that many tasks read one file. Whether a line begins inside a quoted cell follows
+    from all lines before it; where no line leaves a cell open, each is a record by itself and nothing is shuffled.
+    """
+    columns = spark.read.options(header=True, multiLine=True, escape='"', sep=sep).csv(path).columns
+    lines = _placed(spark.read.option("lineSep", "\n").text(path))
+    head = (F.col(_BLOCK) == 0) & F.startswith("value", F.lit("\ufeff"))
+    lines = lines.withColumn("value", F.when(head, F.substring("value", 2, 1 << 30)).otherwise(F.col("value")))
+    if not lines.where(_left_open(F.col("value"), sep)).isEmpty():
+        lines = _whole_records(lines, sep)
+    lines = lines.withColumn("value", F.regexp_replace("value", r"\r$", "")).where("value <> ''")
+    first = lines.where(F.col(_BLOCK) == 0).groupBy("file").agg(F.min(_ROW).alias("_head"))
+    rows = lines.join(first, "file").where((F.col(_BLOCK) > 0) | (F.col(_ROW) > F.col("_head")))
+    names = [f"c{k}" for k in range(len(columns))]
+    parsed = rows.withColumn("_r", F.from_csv("value", ", ".join(f"{n} string" for n in names), {"sep": sep, "escape": '"'}))
+    return parsed.select(*[F.col("_r")[n].alias(c) for n, c in zip(names, columns)], "file", _BLOCK, _ROW)
+
+
+def _left_open(line: Column, sep: str) -> Column:
+    """Whether a line that begins outside a quoted cell ends inside one: whole cells, then one that opens and isn't closed."""
+    quoted, other = '"(?:[^"]++|"")*+', "\\x%02x" % ord(sep)
+    return line.rlike(f'(?s)^(?:(?:{quoted}"[^{other}]*+|[^"{other}][^{other}]*+|){other})*+{quoted}$')
+
+
+def _whole_records(lines: DataFrame, sep: str) -> DataFrame:
+    """Lines joined to records where a quoted cell holds line breaks; a record stands at the place of its first line.
+
+    A line takes 'inside a cell' or 'outside' to one of them: it sets either, keeps both or turns them. What a split does to
+    them follows from its last line that sets and the turns after it; splits are composed in order within a file, and
+    then each line's own state follows. Windows hold a split, or a row for each split of a file; only records of several lines are
+    brought together.
+    """
+    out, inside = _left_open(F.col("value"), sep), _left_open(F.concat(F.lit('"'), "value"), sep)
+    lines = lines.withColumns({"_sets": F.when(out == inside, out), "_turns": (out & ~inside).cast("int")})
+    split, so_far = Window.partitionBy("file", _BLOCK).orderBy(_ROW), (Window.unboundedPreceding, -1)
+    lines = lines.withColumns({"_all": F.coalesce(F.sum("_turns").over(split.rowsBetween(*so_far)), F.lit(0))})
+    # A line that sets: its value, corrected by the turns up to it, so that later ones can be added.
+    mark = F.when(F.col("_sets").isNotNull(), (F.col("_sets").cast("int") + F.col("_all")) % 2)
+    lines = lines.withColumn("_mark", mark).withColumn("_last", F.last("_mark", True).over(split.rowsBetween(*so_far)))
+    ends = lines.groupBy("file", _BLOCK).agg(F.max_by("_mark", F.when(F.col("_mark").isNotNull(), F.col(_ROW))).alias("_m"), F.sum("_turns").alias("_t"))
+    files, before = Window.partitionBy("file").orderBy(_BLOCK), (Window.unboundedPreceding, -1)
+    ends = ends.withColumn("_past", F.coalesce(F.sum("_t").over(files.rowsBetween(*before)), F.lit(0)))
+    ends = ends.withColumn("_set", F.when(F.col("_m").isNotNull(), (F.col("_m") + F.col("_past")) % 2))
+    ends = ends.select("file", _BLOCK, ((F.coalesce(F.last("_set", True).over(files.rowsBetween(*before)), F.lit(0)) + F.col("_past")) % 2).alias("_begin"))
+    lines = lines.join(ends, ["file", _BLOCK])
+    lines = lines.withColumn("_inside", (F.coalesce("_last", "_begin") + F.col("_all")) % 2 == 1)
+    place = F.struct(_BLOCK, _ROW)
+    starts = F.when(~F.col("_inside"), place)
+    held = F.last(starts, True).over(split)
+    lines = lines.withColumn("_at", held)
+    # Lines at a split's beginning that go on with the record of an earlier split.
+    tails = lines.groupBy("file", _BLOCK).agg(F.max(starts).alias("_s")).withColumn("_from", F.last("_s", True).over(files.rowsBetween(*before))).select("file", _BLOCK, "_from")
+    lines = lines.join(tails, ["file", _BLOCK]).withColumn("_at", F.coalesce("_at", "_from", place))
+    lines = lines.withColumn("_more", F.col("_inside") | F.coalesce(F.lead("_inside").over(split), F.lit(True)))
+    alone = lines.where("NOT _more").select("value", "file", _BLOCK, _ROW)
+    several = lines.where("_more").groupBy("file", "_at").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(_BLOCK, _ROW, "value"))), lambda x: x["value"]), "\n").alias("value"))
+    return alone.unionByName(several.select("value", "file", F.col(f"_at.{_BLOCK}").alias(_BLOCK), F.col(f"_at.{_ROW}").alias(_ROW)))
 
 
 #: The place of a row in its file, in columns that with_seq takes away again.
@@ -26,14 +81,17 @@ def _placed(df: DataFrame) -> DataFrame:
 
 def with_seq(df: DataFrame, *order: str) -> DataFrame:
     """Adds seq, the input ordinal by file and place in it, or by the order columns. Ordinals count up within a
-    file's group, so that no task holds all rows; they order rows as a whole and need not be dense."""
-    from pyspark.sql import Window
-
-    keys = [F.col(c) for c in order] or [F.col(_BLOCK), F.col(_ROW)]
-    place = F.row_number().over(Window.partitionBy("file").orderBy(*keys))
+    split of a file (a file, with order columns), so that no task holds all rows; they order rows as a whole and need not be dense."""
     files = df.select("file").distinct()
     files = files.withColumn("_f", F.row_number().over(Window.orderBy("file")))
-    return df.withColumn("_n", place).join(F.broadcast(files), "file").withColumn("seq", F.col("_f").cast("long") * F.lit(1 << 32) + F.col("_n")).drop("_f", "_n", _BLOCK, _ROW)
+    if order:
+        df = df.withColumns({"_n": F.row_number().over(Window.partitionBy("file").orderBy(*order)), "_past": F.lit(0)})
+    else:  # by splits, moved up by the rows of the splits before
+        sizes = df.groupBy("file", _BLOCK).agg(F.count(F.lit(1)).alias("_rows"))
+        past = F.coalesce(F.sum("_rows").over(Window.partitionBy("file").orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        df = df.withColumn("_n", F.row_number().over(Window.partitionBy("file", _BLOCK).orderBy(_ROW)))
+        df = df.join(sizes.select("file", _BLOCK, past.alias("_past")), ["file", _BLOCK])
+    return df.join(F.broadcast(files), "file").withColumn("seq", F.col("_f").cast("long") * F.lit(1 << 32) + F.col("_past") + F.col("_n")).drop("_f", "_n", "_past", _BLOCK, _ROW)
 
 
 def read_json_document(spark: SparkSession, path, schema: str | None = None) -> DataFrame:
