@@ -16,7 +16,7 @@ from sitefold.functions.text import lookup
 from sitefold.operators.ranking import ranked
 from sitefold.plans.page import HEAD, SCRIPT, TAIL
 from sitefold.plans.shared import materialise, new_dir, release
-from sitefold.vocabulary import ACTIVITY_FATES, EXCLUDED_ACTIVITIES, EXCLUDED_SPECIES, SPECIES
+from sitefold.vocabulary import ACTIVITY_FATES, ACTIVITY_LABELS, EXCLUDED_ACTIVITIES, EXCLUDED_SPECIES, OVERLAY_PRECISE, SPECIES
 
 #: Facilities up to which build() writes one page; beyond it the coded tables are the payload.
 MOST_IN_PAGE = 2_000_000
@@ -48,9 +48,10 @@ def fate(activity: Column) -> Column:
 
 
 def activity_label(activity: Column) -> Column:
-    """An activity in words."""
+    """An activity in words; a code without a name of its own is written out, an absent one is not stated."""
     words = F.regexp_replace(activity, "_", " ")
-    return F.when(F.coalesce(activity, F.lit("unknown")).isin("unknown", "_none"), "Activity not stated").otherwise(F.concat(F.upper(F.substring(words, 1, 1)), F.substring(words, 2, 100)))
+    written = F.concat(F.upper(F.substring(words, 1, 1)), F.substring(words, 2, 100))
+    return F.coalesce(lookup(activity, ACTIVITY_LABELS), written, F.lit(ACTIVITY_LABELS["unknown"]))
 
 
 def slaughter_code(c: Column) -> Column:
@@ -172,8 +173,17 @@ def latest_points(features: DataFrame) -> DataFrame:
     """
     rows = features.where((F.col("definition").isNull()) | (F.col("definition") == "confined-animal-facility")).where("lon IS NOT NULL AND lat IS NOT NULL")
     keys = [F.round("lon", 5).alias("_x"), F.round("lat", 5).alias("_y"), F.regexp_replace(F.coalesce("name", F.lit("")), "_[^_]*$", "").alias("stem")]
-    latest = rows.groupBy(*keys).agg(F.max_by(F.struct("*"), F.struct(F.coalesce("period", F.lit("")).alias("p"), (-F.col("seq")).alias("s"))).alias("r"))
-    return latest.select("stem", "r.*")
+    latest = rows.groupBy(*keys).agg(F.max_by(F.struct("*"), F.struct(F.coalesce("period", F.lit("")).alias("p"), (-F.col("seq")).alias("s"))).alias("r"), F.min("seq").alias("first_seq"))
+    return latest.select("stem", "r.*", "first_seq")
+
+
+def encode_overlay(points: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(coded points, kinds): points as from load_cafo with positions at four places and kind, the stem's id in order of
+    first appearance; kinds is (value, id)."""
+    kinds = dictionary(points, "stem", "first_seq")
+    ids = kinds.select(F.col("value").alias("stem"), F.col("id").alias("kind"))
+    coded = points.join(F.broadcast(ids) if kinds.count() <= FEW_VALUES else ids, "stem")
+    return coded.select(F.bround("lat", 4).alias("lat"), F.bround("lon", 4).alias("lon"), "kind", F.col("precise").cast("int").alias("precise"), "period"), kinds
 
 
 # The fields of the modelled-facility overlay's features.
@@ -185,7 +195,7 @@ def load_cafo(spark, path) -> DataFrame:
     lines = spark.read.option("mode", "DROPMALFORMED").schema(CAFO + f", features array<struct<{_nested(CAFO)}>>").json(path)
     one = lines.where("features IS NULL").select("geometry", "properties").unionByName(lines.where("features IS NOT NULL").select(F.explode("features").alias("f")).select("f.geometry", "f.properties"))
     one = one.where("geometry.type = 'Point'").withColumn("seq", F.monotonically_increasing_id())
-    flat = one.select(F.get("geometry.coordinates", F.lit(0)).alias("lon"), F.get("geometry.coordinates", F.lit(1)).alias("lat"), F.col("properties.name").alias("name"), F.col("properties.x_asset_definition").alias("definition"), F.col("properties.x_period").alias("period"), F.col("properties.x_capacity").alias("capacity"), F.col("properties.x_capacity_units").alias("units"), F.col("properties.x_owner").alias("owner"), "seq")
+    flat = one.select(F.get("geometry.coordinates", F.lit(0)).alias("lon"), F.get("geometry.coordinates", F.lit(1)).alias("lat"), F.col("properties.name").alias("name"), F.col("properties.x_asset_definition").alias("definition"), F.col("properties.x_period").alias("period"), F.col("properties.x_capacity").alias("capacity"), F.col("properties.x_capacity_units").alias("units"), F.col("properties.x_owner").alias("owner"), F.coalesce(F.lower("properties.x_precision").isin(OVERLAY_PRECISE), F.lit(False)).alias("precise"), "seq")
     return latest_points(flat)
 
 

@@ -473,13 +473,29 @@ def e8(spark, d):
 )
 def a14(spark, d):
     """Monthly snapshots in gzip feature lines, lines that aren't JSON among them, folded to a point's latest period."""
+    return _overlay(spark, d).select("stem", "lon", "lat", "capacity", F.lit(True).alias("any"))
+
+
+def _overlay(spark, d, aside: float = 0.0):
     o = table(spark, d, "orders")
     ck, ok = F.col("o_custkey"), F.col("o_orderkey")
-    props = F.struct(F.concat_ws("_", F.concat(F.lit("S"), ck.cast("string")), ok.cast("string")).alias("name"), F.lit("confined-animal-facility").alias("x_asset_definition"), F.lpad(ok.cast("string"), 12, "0").alias("x_period"), ok.cast("double").alias("x_capacity"))
-    feature = F.struct(F.lit("Feature").alias("type"), F.struct(F.lit("Point").alias("type"), F.array((ck % 100).cast("double"), (ck % 50).cast("double")).alias("coordinates")).alias("geometry"), props.alias("properties"))
+    precision = F.when(ck % 3 == 0, "Asset").when(ck % 3 == 1, "admin-centroid")
+    props = F.struct(F.concat_ws("_", F.concat(F.lit("S"), ck.cast("string")), ok.cast("string")).alias("name"), F.lit("confined-animal-facility").alias("x_asset_definition"), F.lpad(ok.cast("string"), 12, "0").alias("x_period"), ok.cast("double").alias("x_capacity"), precision.alias("x_precision"))
+    feature = F.struct(F.lit("Feature").alias("type"), F.struct(F.lit("Point").alias("type"), F.array((ck % 100).cast("double") + aside, (ck % 50).cast("double")).alias("coordinates")).alias("geometry"), props.alias("properties"))
     path = new_dir(spark, "overlay")
     o.select(F.to_json(feature).alias("v")).unionByName(spark.range(3).select(F.lit("not json").alias("v"))).write.option("compression", "gzip").text(path)
-    return publish.load_cafo(spark, path).select("stem", "lon", "lat", "capacity", F.lit(True).alias("any"))
+    return publish.load_cafo(spark, path)
+
+
+@query(
+    "e3_overlay_codes",
+    "SELECT 'S' || o_custkey AS kind, (o_custkey % 100 + 0.1234)::DOUBLE AS lon, CAST(o_custkey % 50 AS DOUBLE) AS lat, (o_custkey % 3 = 0)::INT AS precise, count(*) OVER ()::BIGINT AS ids FROM (SELECT DISTINCT o_custkey FROM orders)",
+)
+def e3(spark, d):
+    """The overlay's points in coded form, with their kinds looked up again, and the number of ids, which are 0, 1, ..."""
+    coded, kinds = publish.encode_overlay(_overlay(spark, d, 0.12344))
+    span = kinds.agg((F.max("id") - F.min("id") + 1).cast("bigint").alias("ids"))
+    return coded.join(kinds, coded["kind"] == kinds["id"]).join(F.broadcast(span)).select(F.col("value").alias("kind"), "lon", "lat", "precise", "ids")
 
 
 @query(
@@ -678,7 +694,7 @@ def c10(spark, d):
     return table(spark, d, "customer").select(k.alias("k"), text.same_name(a, b).alias("same"), F.array_join(text.ordered_distinct(words), ",").alias("distinct_words"))
 
 
-@query("c35_fates", "SELECT l_orderkey AS k, l_linenumber AS n, CASE l_shipmode_no WHEN 0 THEN 'here' WHEN 1 THEN 'elsewhere' WHEN 2 THEN 'after' WHEN 3 THEN 'some' WHEN 4 THEN 'transit' WHEN 5 THEN 'no' END AS fate, CASE l_shipmode_no WHEN 0 THEN 'Slaughter' WHEN 1 THEN 'Farm dairy' WHEN 2 THEN 'Cold store' WHEN 3 THEN 'Zoo' WHEN 4 THEN 'Transporter' WHEN 5 THEN 'Farm honey' ELSE 'Activity not stated' END AS label FROM (SELECT *, (l_orderkey + l_linenumber) % 7 l_shipmode_no FROM lineitem)")
+@query("c35_fates", "SELECT l_orderkey AS k, l_linenumber AS n, CASE l_shipmode_no WHEN 0 THEN 'here' WHEN 1 THEN 'elsewhere' WHEN 2 THEN 'after' WHEN 3 THEN 'some' WHEN 4 THEN 'transit' WHEN 5 THEN 'no' END AS fate, CASE l_shipmode_no WHEN 0 THEN 'Slaughterhouse' WHEN 1 THEN 'Dairy farm' WHEN 2 THEN 'Cold store' WHEN 3 THEN 'Zoo' WHEN 4 THEN 'Authorised transporter' WHEN 5 THEN 'Apiary' ELSE 'Activity not stated' END AS label FROM (SELECT *, (l_orderkey + l_linenumber) % 7 l_shipmode_no FROM lineitem)")
 def c35(spark, d):
     """What becomes of animals at a place of each activity, and the activity's label."""
     act = F.expr(case("(l_orderkey + l_linenumber)", "slaughter", "farm_dairy", "cold_store", "zoo", "transporter", "farm_honey", "unknown"))

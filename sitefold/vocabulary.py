@@ -33,6 +33,50 @@ EXCLUDED_ACTIVITIES = [
 ]
 EXCLUDED_SPECIES = ["fish", "crustacean"]
 
+# Names of activities for readers.
+ACTIVITY_LABELS = {
+    "slaughter": "Slaughterhouse",
+    "farm_meat": "Meat farm",
+    "farm_dairy": "Dairy farm",
+    "farm_eggs": "Egg farm",
+    "farm_wool": "Wool farm",
+    "farm_skins": "Skin and fur farm",
+    "farm_poultry": "Poultry establishment",
+    "transporter": "Authorised transporter",
+    "insect_rearing": "Isolated bee rearing",
+    "germinal_products": "Germinal products",
+    "quarantine": "Quarantine establishment",
+    "farm_honey": "Apiary",
+    "hatchery": "Hatchery",
+    "saleyard": "Saleyard",
+    "live_market": "Live animal market",
+    "holding_yard": "Holding yard",
+    "aquaculture": "Aquaculture",
+    "experimentation": "Laboratory",
+    "zoo": "Zoo",
+    "wildlife": "Wildlife facility",
+    "racing": "Racing",
+    "rodeo": "Rodeo",
+    "entertainment": "Entertainment",
+    "pet_breeder": "Pet breeder",
+    "pet_shop": "Pet shop",
+    "agricultural_show": "Agricultural show",
+    "cutting": "Cutting plant",
+    "processing": "Processing plant",
+    "minced_meat": "Minced meat plant",
+    "meat_preparations": "Meat preparations",
+    "game_handling": "Game handling",
+    "cold_store": "Cold store",
+    "rendering": "Rendering plant",
+    "casings": "Casings plant",
+    "egg_products": "Egg products plant",
+    "unknown": "Activity not stated",
+    "_none": "Activity not stated",
+}
+
+# Precisions of the modelled-facility overlay that name a facility's own place.
+OVERLAY_PRECISE = ["asset", "facility", "high", "exact", "point"]
+
 # What becomes of animals at places of each activity: killed here, elsewhere, in part, not, handled dead, or not kept there.
 ACTIVITY_FATES = {
     "slaughter": "here",
