@@ -232,7 +232,7 @@ CORNERS = ", ".join(f"('{iso}', {rank}, {x}, {y})" for rank, (iso, rings) in enu
 
 @query("j11_country_at", f"WITH {SITES} SELECT k, {HELD.format(x='lon', y='lat')} AS iso FROM (SELECT k, lat + 0.31 lat, lon + 0.27 lon FROM sites)")
 def j11(spark, d):
-    return outlines.with_country(sites(spark, d), OUTLINES, F.col("lat") + 0.31, F.col("lon") + 0.27, "iso", near=0.0).select("k", "iso")
+    return outlines.with_country(sites(spark, d), OUTLINES, F.col("lat") + 0.31, F.col("lon") + 0.27, "iso", near=0.0, open_rings=True).select("k", "iso")
 
 
 #: From p (k, x, y): k and iso.
@@ -241,7 +241,7 @@ IN_OUTLINE = f"c(iso, rank, cx, cy) AS (VALUES {CORNERS}), n AS (SELECT k, first
 
 @query("j11_country_near", f"WITH {SITES}, p AS (SELECT k, lat + 0.31 y, lon + 0.27 x FROM sites), {IN_OUTLINE} SELECT k, iso FROM found")
 def j11_near(spark, d):
-    return outlines.with_country(sites(spark, d), OUTLINES, F.col("lat") + 0.31, F.col("lon") + 0.27, "iso").select("k", "iso")
+    return outlines.with_country(sites(spark, d), OUTLINES, F.col("lat") + 0.31, F.col("lon") + 0.27, "iso", open_rings=True).select("k", "iso")
 
 
 @query("j13_shaded", "WITH c AS (SELECT c_nationkey::VARCHAR country_iso3, count(*) n FROM customer WHERE c_custkey % 3 = 0 GROUP BY 1) SELECT country_iso3, n, round(0.12 + 0.5 * sqrt(n / max(n) OVER ()), 9) alpha FROM c")

@@ -172,7 +172,7 @@ def p4_position(spark, d):
         "IEDAnnexIMainActivity": case(k, "6.4(a)", "6.6(b)", "9.9", "6.5"), "Latitude": f"CAST({k} % 97 - 48 + 0.75 AS STRING)", "Longitude": f"CAST({k} % 131 - 70 + 0.25 AS STRING)", "installationName": "p_name",
         "InstallationInspireId": f"'I' || {k}", "CountryName": f"CASE WHEN {k} % 5 = 0 THEN 'Italy' ELSE '' END", "City_of_Facility": "'C'",
     })
-    return registers.eu_ied(spark, as_csv(rows, "eu-ied-at"), outlines=OUTLINES).select("national_id", "country_iso3")
+    return registers.eu_ied(spark, as_csv(rows, "eu-ied-at"), outlines=OUTLINES, open_rings=True).select("national_id", "country_iso3")
 
 
 def _cfia(spark, d) -> str:
@@ -330,7 +330,7 @@ def p10_position(spark, d):
     """No element names its country."""
     k = "s_suppkey"
     item = F.struct(F.lit("node").alias("type"), F.col(k).alias("id"), F.expr(f"CAST({k} % 80 AS DOUBLE) - 39.5").alias("lat"), F.expr(f"CAST({k} % 170 AS DOUBLE) - 99.75").alias("lon"), F.create_map(F.lit("name"), F.col("s_name")).alias("tags"))
-    return registers.osm(spark, as_documents(table(spark, d, "supplier"), "osm-at", k, item, "elements"), outlines=OUTLINES).select("source_row_id", "country_iso3")
+    return registers.osm(spark, as_documents(table(spark, d, "supplier"), "osm-at", k, item, "elements"), outlines=OUTLINES, open_rings=True).select("source_row_id", "country_iso3")
 
 
 @query(

@@ -137,7 +137,7 @@ def eu_health(spark: SparkSession, path, snapshot: str = "") -> DataFrame:
     )
 
 
-def eu_ied(spark: SparkSession, path, snapshot: str = "", outlines=None) -> DataFrame:
+def eu_ied(spark: SparkSession, path, snapshot: str = "", outlines=None, open_rings: bool = False) -> DataFrame:
     """Installations of the listed activities; a country that has no name is found from the position, given outlines."""
     from sitefold.operators.outlines import with_country
 
@@ -148,7 +148,7 @@ def eu_ied(spark: SparkSession, path, snapshot: str = "", outlines=None) -> Data
     d = with_iso3(d.join(F.broadcast(rows), "_code").where("_name IS NOT NULL OR _id IS NOT NULL"), "_country", "_iso3")
     lat, lon = degrees(_cell(d, h("Latitude")), -90, 90), degrees(_cell(d, h("Longitude")), -180, 180)
     placed = lat.isNotNull() & lon.isNotNull()
-    d = with_country(d, outlines, lat, lon, "_iso3") if outlines else d
+    d = with_country(d, outlines, lat, lon, "_iso3", open_rings=open_rings) if outlines else d
     return canonical(
         d, source_id=F.lit("eu_ied"), source_snapshot=F.lit(snapshot), source_row_id=_row_id(F.col("_id")), name=F.col("_name"), country_iso3=F.col("_iso3"), national_id=F.col("_id"),
         id_scheme=F.lit("EU-INSPIRE"), locality=_cell(d, h("City_of_Facility", "city")), species=F.array_compact(F.array("_sp")), activities=F.array("_act"), slaughter=F.col("_kills"),
@@ -284,7 +284,7 @@ def cifer(spark: SparkSession, path, snapshot: str = "") -> DataFrame:
 OVERPASS = "elements array<struct<type:string,id:bigint,lat:double,lon:double,center:struct<lat:double,lon:double>,tags:map<string,string>>>"
 
 
-def osm(spark: SparkSession, path, snapshot: str = "", outlines=None) -> DataFrame:
+def osm(spark: SparkSession, path, snapshot: str = "", outlines=None, open_rings: bool = False) -> DataFrame:
     """P10: elements with a position, their own or their centre's."""
     from sitefold.operators.outlines import with_country
 
@@ -292,7 +292,7 @@ def osm(spark: SparkSession, path, snapshot: str = "", outlines=None) -> DataFra
     d = d.select("seq", "e.*").withColumns({"_lat": F.coalesce("lat", "center.lat"), "_lon": F.coalesce("lon", "center.lon")}).where("_lat IS NOT NULL AND _lon IS NOT NULL")
     tag = lambda k: blank_to_null(F.element_at("tags", k))
     d = with_iso3(d.withColumn("_country", tag("addr:country")), "_country", "_iso3")
-    d = with_country(d, outlines, F.col("_lat"), F.col("_lon"), "_iso3") if outlines else d
+    d = with_country(d, outlines, F.col("_lat"), F.col("_lon"), "_iso3", open_rings=open_rings) if outlines else d
     return canonical(
         d, source_id=F.lit("osm_overpass"), source_snapshot=F.lit(snapshot), source_row_id=F.concat_ws("/", "type", F.col("id").cast("string")), name=tag("name"), country_iso3=F.col("_iso3"),
         address=blank_to_null(F.concat_ws(" ", tag("addr:housenumber"), tag("addr:street"))), locality=tag("addr:city"), postcode=tag("addr:postcode"), operator=tag("operator"),

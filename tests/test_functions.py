@@ -120,3 +120,12 @@ def test_country_of_a_position_equals_the_plain_rule(spark, broadcast, monkeypat
         assert len(got) == len(points)
         for k, (lat, lon) in enumerate(points):
             assert got[k] == ("NAMED" if k % 50 == 0 else None if lat is None or lon is None else plain_country(shapes, lat, lon, near)), (k, lat, lon, near)
+
+
+def test_open_rings_leave_out_their_lines(spark):
+    """A position on a slanted, level or upright line, or a corner, is not in that ring; one on a hole's line is not in the hole."""
+    shapes = [("AAA", [[[0, 0], [60, 0], [60, 40], [0, 40]], [[20, 10], [30, 10], [30, 20], [20, 20]]]), ("BBB", [[[-90, -50], [-30, -50], [-30, -10]]])]
+    points = [(-60.75, -30.5), (-60.5, -30.5), (0, 5), (5, 0), (60, 5), (5, 40), (0, 0), (60, 40), (20, 15), (25, 10), (25, 20), (30, 20), (25, 15), (-90, -50), (-30, -20), (-40, -50), (5, 5)]
+    df = spark.createDataFrame([(k, float(x), float(y)) for k, (x, y) in enumerate(points)], "k int, x double, y double")
+    got = {r.k: r.iso for r in outlines.with_country(df, shapes, F.col("y"), F.col("x"), "iso", 0.0, open_rings=True).collect()}
+    assert [got[k] for k in range(len(points))] == [None, "BBB", *[None] * 6, *["AAA"] * 4, *[None] * 4, "AAA"]
