@@ -81,15 +81,28 @@ def c3(spark, d):
     return table(spark, d, "customer").select("c_custkey", text.norm_name(n).alias("norm"), F.array_join(F.array_sort(text.name_tokens(n)), " ").alias("tokens"))
 
 
+#: Parts of one word set that meet another block's in one row.
+PAIR_BLOCK = 2048
+
+
 @query("c5_jaccard_all_pairs", f"WITH t AS (SELECT p_partkey, p_brand, {TOKENS.format('p_name')} w FROM part) SELECT a.p_partkey a, b.p_partkey b, round({JACCARD.format('a.w', 'b.w')}, 6) score FROM t a JOIN t b ON a.p_brand = b.p_brand AND a.p_partkey < b.p_partkey WHERE {JACCARD.format('a.w', 'b.w')} >= 0.4")
 def c5_all(spark, d):
-    """All pairs of a brand: each two word sets that share a word are compared once, then dealt to their parts."""
-    t = table(spark, d, "part").select(F.col("p_partkey").alias("k"), F.col("p_brand").alias("brand"), F.array_sort(text.name_tokens(F.col("p_name"))).alias("w"))
-    sets = t.select("brand", "w").distinct().withColumn("token", F.explode("w"))
-    both = sets.toDF("brand", "aw", "token").join(sets.toDF("brand", "bw", "token"), ["brand", "token"]).where("aw <= bw").select("brand", "aw", "bw").distinct()
-    alike = both.withColumn("s", text.token_set_ratio(F.col("aw"), F.col("bw"))).where("s >= 0.4")
-    pairs = alike.join(t.toDF("x", "brand", "aw"), ["brand", "aw"]).join(t.toDF("y", "brand", "bw"), ["brand", "bw"]).where("x < y OR x > y AND aw <> bw")
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.round("s", 6).alias("score"))
+    """All pairs of a brand: each two word sets that share a word are compared once; the parts of each lie in blocks of about
+    PAIR_BLOCK, and each two blocks are a row of their own until their pairs are dealt out."""
+    named = table(spark, d, "part").select(F.col("p_partkey").alias("k"), F.col("p_brand").alias("brand"), F.array_sort(text.name_tokens(F.col("p_name"))).alias("w"))
+    t = materialise(named.where("brand IS NOT NULL AND size(w) > 0"), "jaccard-parts")
+    counted = t.groupBy("brand", "w").agg(F.count(F.lit(1)).alias("n"))
+    classes = materialise(counted.withColumn("c", F.monotonically_increasing_id()), "jaccard-classes")
+    sets = classes.select("brand", "c", "w", F.explode("w").alias("token"))
+    both = sets.toDF("brand", "ac", "aw", "token").join(sets.toDF("brand", "bc", "bw", "token"), ["brand", "token"]).where("ac <= bc AND token = array_intersect(aw, bw)[0]")
+    alike = both.withColumn("s", text.token_set_ratio(F.col("aw"), F.col("bw"))).where("s >= 0.4").select("ac", "bc", F.round("s", 6).alias("score"))
+    block = F.pmod(F.xxhash64("k"), F.ceil(F.col("n") / PAIR_BLOCK))
+    blocks = materialise(t.join(classes, ["brand", "w"]).groupBy("c", block.alias("block")).agg(F.array_sort(F.collect_list("k")).alias("ks")), "jaccard-blocks")
+    met = alike.join(blocks.toDF("ac", "ablock", "xs"), "ac").join(blocks.toDF("bc", "bblock", "ys"), "bc").where("ac < bc OR ablock <= bblock")
+    met = met.withColumn("twice", F.expr("ac = bc AND ablock = bblock")).select("ac", "ablock", "bc", "bblock", "twice", "score", "xs", "ys")
+    met = met.repartition(4 * spark.sparkContext.defaultParallelism, "ac", "ablock", "bc", "bblock").select("twice", "score", "ys", F.posexplode("xs").alias("at", "x"))
+    met = met.select("twice", "score", "x", F.explode(F.when(F.col("twice"), F.slice("ys", F.col("at") + 2, F.size("ys"))).otherwise(F.col("ys"))).alias("y"))
+    return met.where("x < y OR x > y AND NOT twice").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "score")
 
 
 @query("c6_norm_id", f"SELECT s_suppkey, 'X:' || {ID.format('v')} AS id FROM (SELECT s_suppkey, CASE s_suppkey % 4 WHEN 0 THEN 'Est. No ' || s_name WHEN 1 THEN s_suppkey::VARCHAR || ' / 31' WHEN 2 THEN 'M-' || s_suppkey::VARCHAR ELSE '#/ ' END v FROM supplier)")

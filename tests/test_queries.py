@@ -39,3 +39,14 @@ def test_every_customer_is_in_a_component_and_every_order_is_merged_once(spark):
     orders = spark.read.parquet(f"{d}/orders.parquet")
     assert sorted(map(tuple, QUERIES["j10_anti_merge_all"](spark, d).collect())) == sorted(map(tuple, orders.select("o_orderkey", "o_custkey").collect()))
     assert orders.where("o_orderstatus = 'O'").count() > 0
+
+
+def test_parts_of_one_word_set_meet_in_blocks(spark, tmp_path, monkeypatch):
+    """Many more copies of a name than a block holds, with equal ids and parts without a brand or a word among them."""
+    monkeypatch.setattr("sitefold.queries.PAIR_BLOCK", 3)
+    rows = [(k, "B", "red bolt") for k in range(40)] + [(k, "B", "red bolt ring") for k in range(38, 50)] + [(60, None, "red bolt"), (61, "B", ""), (62, "B", None), (63, "B", "gear")]
+    spark.createDataFrame(rows, "p_partkey long, p_brand string, p_name string").write.parquet(f"{tmp_path}/part.parquet")
+    words = lambda n: set((n or "").split())
+    score = lambda a, b: round(len(words(a) & words(b)) / max(1, len(words(a) | words(b))), 6)
+    want = sorted((a, b, score(n, m)) for a, x, n in rows for b, y, m in rows if a < b and x == y == "B" and score(n, m) >= 0.4)
+    assert sorted(map(tuple, QUERIES["c5_jaccard_all_pairs"](spark, str(tmp_path)).collect())) == want and len(want) > 1000
