@@ -159,8 +159,15 @@ def dig(doc, path: str):
     return F.get_json_object(doc, "$." + path)
 
 
-def alias_get(doc, *names: str):
-    """The first name with a value that isn't empty, exact names first, then in lower case."""
-    exact = [F.nullif(F.get_json_object(doc, f"$.{n}"), F.lit("")) for n in names]
-    folded = [F.nullif(F.get_json_object(F.lower(doc), f"$.{n.lower()}"), F.lit("")) for n in names]
-    return F.coalesce(*exact, *folded)
+def members(doc):
+    """The document's own names with their values as get_json_object writes them, '' as null; null if it is not an object."""
+    found = F.map_filter(F.from_json(doc, "map<string,string>", {"allowUnquotedControlChars": "true"}), lambda _, v: v.isNotNull())
+    written = lambda k, v: F.when(v.rlike("^(?:[\\[{]|-?[0-9]+[.eE])"), F.call_function("get_json_object", doc, F.concat(F.lit("$."), k))).otherwise(F.nullif(v, F.lit("")))
+    return F.transform_values(found, written)
+
+
+def alias_get(doc, *names: str, exact=None, folded=None):
+    """The first name with a value that isn't empty, exact names first, then in lower case. exact, folded: the members()
+    of the document and of it in lower case, for callers that ask for several values."""
+    exact, folded = members(doc) if exact is None else exact, members(F.lower(doc)) if folded is None else folded
+    return F.coalesce(*[exact[n] for n in names], *[folded[n.lower()] for n in names])

@@ -13,10 +13,12 @@ ALIASES = {
 
 
 def normalised(lines: DataFrame, value: str = "value") -> DataFrame:
-    """The nine fields of a response row, with the row itself as _raw."""
-    from sitefold.sources.files import alias_get
+    """The nine fields of a response row, with the row itself as _raw; a row is parsed twice, as it is and in lower case."""
+    from sitefold.sources.files import alias_get, members
 
-    return lines.select(*[alias_get(F.col(value), *names).alias(c) for c, names in ALIASES.items()], F.col(value).alias("_raw"))
+    parsed = lines.select(F.col(value).alias("_raw"), members(F.col(value)).alias("_exact"), members(F.lower(value)).alias("_folded"))
+    found = {c: alias_get(F.col("_raw"), *names, exact=F.col("_exact"), folded=F.col("_folded")) for c, names in ALIASES.items()}
+    return parsed.select(*[x.alias(c) for c, x in found.items()], "_raw")
 
 
 def stream(spark: SparkSession, folder: str) -> DataFrame:
@@ -30,11 +32,13 @@ def add_new(batch: DataFrame, number: int, table: str) -> None:
     replaces what it wrote. Only the numbers of what is there are read. Rows without a number are all kept."""
     spark = batch.sparkSession
     p = spark._jvm.org.apache.hadoop.fs.Path(table)
-    named = batch.where("registerNo IS NOT NULL").dropDuplicates(["registerNo"])
+    # One key for each registration, and for each row without a number, so that the rows are parsed and dealt out once.
+    one = lambda number: F.concat(F.lit("r"), number)
+    new = batch.withColumn("_one", F.coalesce(one(F.col("registerNo")), F.concat(F.lit("n"), F.monotonically_increasing_id().cast("string")))).dropDuplicates(["_one"])
     if p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
         there = spark.read.schema("registerNo string, batch bigint").parquet(table).where(F.col("batch") != number)
-        named = named.join(there.select("registerNo"), "registerNo", "left_anti")
-    new = named.unionByName(batch.where("registerNo IS NULL"))
+        new = new.join(there.select(one(F.col("registerNo")).alias("_one")), "_one", "left_anti")
+    new = new.drop("_one")
     new.withColumn("batch", F.lit(number).cast("bigint")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(table)
 
 

@@ -2,6 +2,7 @@ import gzip
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from sitefold.functions.text import HeaderError
 from sitefold.plans import publish
@@ -123,3 +124,18 @@ def test_overlay_and_landing(spark, tmp_path):
         landing.land(spark, str(inbox), str(tmp_path / "out"), str(tmp_path / checkpoint))
     found = [r.registerNo for r in spark.read.parquet(str(tmp_path / "out")).collect()]
     assert sorted(x for x in found if x) == ["R1", "R2", "R3"]
+
+
+def test_a_landed_row_is_parsed_twice_at_most(spark):
+    """Values are as get_json_object writes them, name by name, in odd documents as well."""
+    docs = [
+        '{"registerNo":"R1","nameEn":"A"}', '{"REGNO":"X","RegNo":"Y"}', '{"regNo":null,"regNo":"2"}', '{"registerNo":"","registerNumber":"N"}', '{"productCategory":[ "a", {"b": 1.50} ],"country":{ "x" : 2 }}',
+        '{"registerNo":12,"address":1.50,"addr":1E5,"validUntil":true}', "{'registerNo':'q'}", '{"registerNo":"a\\tb","address":"[x]","enName":"1.5 kg","name":"-2.x"}', '{"registerNo":"cut', '{"registerNo":"R"} more', "[1]", "7", "text", "{}", None,
+    ]
+    lines = spark.createDataFrame([(k, v) for k, v in enumerate(docs)], "k int, value string")
+    get = lambda doc, names: [F.nullif(F.get_json_object(doc, f"$.{n}"), F.lit("")) for n in names]
+    plain = lines.select(*[F.coalesce(*get(F.col("value"), names), *get(F.lower(F.col("value")), [n.lower() for n in names])).alias(c) for c, names in landing.ALIASES.items()], F.col("value").alias("_raw"))
+    got = landing.normalised(lines)
+    by_raw = lambda df: sorted(map(tuple, df.collect()), key=repr)
+    assert by_raw(got) == by_raw(plain)
+    assert got._jdf.queryExecution().executedPlan().toString().count("from_json(") == 2
