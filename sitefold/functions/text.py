@@ -11,15 +11,25 @@ from pyspark.sql.types import StringType
 from sitefold.vocabulary import LEGAL_SUFFIXES, STOPWORDS
 
 
+def _folded(c: str) -> str:
+    return "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x))
+
+
 @F.pandas_udf(StringType())
-def _fold(s: pd.Series) -> pd.Series:
-    decomposed = lambda x: "".join(c for c in unicodedata.normalize("NFKD", x) if not unicodedata.combining(c))
-    return s.map(lambda x: x if x is None or x.isascii() else decomposed(x), na_action="ignore")
+def _changes(s: pd.Series) -> pd.Series:
+    """Of different characters those that folding changes, each followed by what it becomes, NUL between them; null if none does."""
+    changed = lambda x: "\0".join(c + f for c in x for f in [_folded(c)] if f != c) or None
+    return s.map(changed, na_action="ignore")
 
 
 def strip_accents(c: Column) -> Column:
-    """Compatibility-decomposed without combining marks. The one Arrow UDF here: Spark has no such built-in."""
-    return F.coalesce(_fold(c), F.lit(""))
+    """Compatibility-decomposed without combining marks. The one Arrow UDF here: Spark has no such built-in. Folding goes
+    character by character, as only combining marks change places, so Python sees a text's different characters beyond
+    ASCII, not the text."""
+    beyond = F.array_join(F.array_distinct(F.split(F.regexp_replace(c, "[\\x00-\\x7F]+", ""), "")), "")
+    changes = F.split(_changes(F.nullif(beyond, F.lit(""))), "\u0000")
+    replaced = F.aggregate(changes, c.cast("string"), lambda text, x: F.replace(text, F.substring(x, 1, 1), F.substring(x, 2, 99)))
+    return F.coalesce(replaced, c, F.lit(""))
 
 
 def squeeze(c: Column) -> Column:

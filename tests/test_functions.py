@@ -1,5 +1,6 @@
 import math
 import random
+import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
@@ -129,3 +130,15 @@ def test_open_rings_leave_out_their_lines(spark):
     df = spark.createDataFrame([(k, float(x), float(y)) for k, (x, y) in enumerate(points)], "k int, x double, y double")
     got = {r.k: r.iso for r in outlines.with_country(df, shapes, F.col("y"), F.col("x"), "iso", 0.0, open_rings=True).collect()}
     assert [got[k] for k in range(len(points))] == [None, "BBB", *[None] * 6, *["AAA"] * 4, *[None] * 4, "AAA"]
+
+
+def test_folding_sends_characters_and_equals_whole_texts(spark):
+    """All characters, marks in any order, ligatures and wide texts; Python gets each text's different characters only."""
+    r = random.Random(9)
+    known = [chr(c) for c in range(1, 0x30000) if not 0xD800 <= c < 0xE000]
+    texts = ["".join(known[i : i + 4000]) for i in range(0, len(known), 4000)] + ["".join(r.choices(known[:0x3000], k=60)) + "ẹ́́ ﬃ ṩ 각" for _ in range(300)] + ["", "plain", None, "́", "é" * 50_000]
+    rows = spark.createDataFrame(list(enumerate(texts)), "k int, t string")
+    plain = lambda x: "".join(c for c in unicodedata.normalize("NFKD", x or "") if not unicodedata.combining(c))
+    got = {k: v for k, v in rows.select("k", text.strip_accents(F.col("t"))).collect()}
+    assert all(got[k] == plain(t) for k, t in enumerate(texts))
+    assert "array_distinct" in rows.select(text.strip_accents(F.col("t")))._jdf.queryExecution().optimizedPlan().toString()
