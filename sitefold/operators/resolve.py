@@ -14,11 +14,13 @@ a word: with a record's words in one order, the rarest first, two records can be
 words but the last ceil(LOOSE * n) - 1, share one (prefix filter); where many share a word, shorter prefixes by the sizes
 of both sets hold. So a crowded block makes few pairs of unlike names.
 Records of one block that nothing tells apart (class_of) are compared once, through the first of them; stars tie the
-others to it, and pairs for review are dealt to all of them at the end.
+others to it. Pairs for review are kept between first ones; only the queue that is asked for deals them to all.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sitefold.functions.geo import haversine_m
@@ -222,8 +224,9 @@ def geo_pairs(rows: DataFrame, occupied: DataFrame | None = None) -> DataFrame:
     return pairs.withColumn("reason", _metres_apart(F.col("metres")))
 
 
-#: Equal rows of one place from which they are compared as one.
-MANY_EQUAL = 32
+#: Equal rows of one place from which they are compared as one. A higher bound leaves places where classes stay below it,
+#: and pairs that grow with the square of the table.
+MANY_EQUAL = 2
 
 
 def class_of(rows: DataFrame, place: list[str], alone: DataFrame | None) -> tuple[DataFrame, DataFrame | None]:
@@ -255,14 +258,12 @@ def stars(members: DataFrame, metres: float | None, reason: Column) -> DataFrame
     return pairs.withColumns({"a_seq": none, "b_seq": none, "score": F.lit(1.0), "metres": F.lit(metres).cast("double"), "reason": reason, "merges": F.lit(True)})
 
 
-def dealt(pairs: DataFrame, members: DataFrame | None, order: str) -> DataFrame:
-    """Pairs of first rows, for all members of either class, each pair in the stage's order."""
-    if members is None:
-        return pairs
+def dealt(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs of first rows (tier, ...), for all members (tier, rep, key, seq) of either class, each pair in its stage's order."""
     for s in "ab":
-        m = members.toDF(f"{s}_key", "_key", "_seq")
-        pairs = pairs.join(m, f"{s}_key", "left").withColumns({f"{s}_key": F.coalesce("_key", f"{s}_key"), f"{s}_seq": F.coalesce("_seq", f"{s}_seq")}).drop("_key", "_seq")
-    turn = ~F.expr(order)
+        m = classes.select("tier", F.col("rep").alias(f"{s}_key"), F.col("key").alias("_key"), F.col("seq").alias("_seq"))
+        pairs = pairs.join(m, ["tier", f"{s}_key"], "left").withColumns({f"{s}_key": F.coalesce("_key", f"{s}_key"), f"{s}_seq": F.coalesce("_seq", f"{s}_seq")}).drop("_key", "_seq")
+    turn = ~F.when(F.col("tier") == "geo", F.expr(BY_KEY)).otherwise(F.expr(BY_SEQ))
     other = {f"{s}_{c}": F.when(turn, F.col(f"{t}_{c}")).otherwise(F.col(f"{s}_{c}")) for s, t in ("ab", "ba") for c in ("key", "seq")}
     return pairs.withColumns(other)
 
@@ -287,12 +288,23 @@ def name_pairs(rows: DataFrame) -> DataFrame:
 PAIR = ["a_key", "b_key", "a_seq", "b_seq", "score", "metres", "reason", "merges"]
 
 
-def apart(pairs: DataFrame, joined: DataFrame) -> DataFrame:
-    """The pairs whose ends are in different components of joined (node, component)."""
+def between(pairs: DataFrame, joined: DataFrame) -> DataFrame:
+    """Adds _ca and _cb, the ends' components in joined (node, component)."""
     a, b = joined.toDF("a_key", "_ca"), joined.toDF("b_key", "_cb")
     out = pairs.join(a, "a_key", "left").join(b, "b_key", "left")
-    out = out.withColumns({"_ca": F.coalesce("_ca", "a_key"), "_cb": F.coalesce("_cb", "b_key")})
-    return out.where("_ca <> _cb")
+    return out.withColumns({"_ca": F.coalesce("_ca", "a_key"), "_cb": F.coalesce("_cb", "b_key")})
+
+
+def apart(pairs: DataFrame, joined: DataFrame) -> DataFrame:
+    """The pairs whose ends are in different components of joined (node, component)."""
+    return between(pairs, joined).where("_ca <> _cb")
+
+
+def further(joined: DataFrame, new: DataFrame) -> DataFrame:
+    """joined (node, component) after edges new (_ca, _cb) between its components; records without an edge are their own."""
+    merged = materialise(components(new, "_ca", "_cb", small=FEW_LINKS), "merged")
+    moved = joined.join(merged.toDF("component", "_to"), "component", "left").select("node", F.coalesce("_to", "component").alias("component"))
+    return materialise(moved.unionByName(merged.join(joined.select("node"), "node", "left_anti")), "components")
 
 
 def _split_pairs(decisions: DataFrame | None) -> DataFrame | None:
@@ -303,28 +315,66 @@ def merge_edges(decisions: DataFrame) -> DataFrame:
     return decisions.where("lower(trim(decision)) = 'merge'").select(F.col("a_key").alias("src"), F.col("b_key").alias("dst"))
 
 
+def not_split(pairs: DataFrame, decisions: DataFrame | None) -> DataFrame:
+    split = _split_pairs(decisions)
+    return pairs if split is None else pairs.join(split, (F.least("a_key", "b_key") == F.col("_l")) & (F.greatest("a_key", "b_key") == F.col("_g")), "left_anti")
+
+
 def described(pairs: DataFrame, rows: DataFrame, decisions: DataFrame | None) -> DataFrame:
     """Pairs that are not decided already, as the review queue shows them."""
-    split = _split_pairs(decisions)
-    if split is not None:
-        pairs = pairs.join(split, (F.least("a_key", "b_key") == F.col("_l")) & (F.greatest("a_key", "b_key") == F.col("_g")), "left_anti")
+    pairs = not_split(pairs, decisions)
     side = lambda s: rows.select(F.col("key").alias(f"{s}_key"), F.col("source_id").alias(f"{s}_source"), F.col("name").alias(f"{s}_name"), F.col("address").alias(f"{s}_address"), F.col("national_id").alias(f"{s}_id"))
     pairs = pairs.join(side("a"), "a_key").join(side("b"), "b_key").join(rows.select(F.col("key").alias("a_key"), "country"), "a_key")
     names = [f"{s}_{c}" for s in "ab" for c in ("key", "source", "name", "address", "id")]
     return pairs.select(*names, "country", F.round("score", 3).alias("name_score"), F.col("metres").cast("int").alias("metres_apart"), "reason", F.lit("").alias("decision"))
 
 
-def resolve(records: DataFrame, hits: DataFrame | None = None, decisions: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(keyed records with component, tiers (component, tier), review pairs).
+def _groups(alike: DataFrame, members: DataFrame, joined: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(groups (tier, group, node, before), ties (tier, group, to)): the merging pairs of one stage, whole, in little space.
 
-    decisions: (a_key, b_key, decision 'merge' or 'split'). A merge is an edge of tier 'review'; a split takes
+    alike: pairs (src, dst, _ca, _cb, tier) of first rows, stars among them; members: (tier, rep, key, seq). A group is a class or
+    a single record, named by its first one; before is a node's component before the stage. Each node of a group is alike
+    to each of the groups that it is tied to, its own class among them, and has an edge to those of another before.
+    """
+    many = members.join(joined.withColumnRenamed("node", "key"), "key", "left").select("tier", F.col("rep").alias("group"), F.col("key").alias("node"), F.coalesce("component", "key").alias("before"))
+    pairs = alike.join(members.where("key <> rep").select(F.col("key").alias("dst"), F.col("rep").alias("src")), ["src", "dst"], "left_anti")
+    ends = pairs.select("tier", F.col("src").alias("group"), F.col("src").alias("node"), F.col("_ca").alias("before")).union(pairs.select("tier", "dst", "dst", "_cb")).distinct()
+    ones = ends.join(members.select(F.col("key").alias("node")), "node", "left_anti")
+    within = members.select("tier", F.col("rep").alias("group"), F.col("rep").alias("to")).distinct()
+    ties = pairs.select("tier", F.col("src").alias("group"), F.col("dst").alias("to")).union(pairs.select("tier", "dst", "src")).union(within).distinct()
+    return many.unionByName(ones), ties
+
+
+class Resolved(NamedTuple):
+    #: Records with component; (component, tier); all pairs to review; edges (src, dst, tier) that tie components.
+    keyed: DataFrame
+    tiers: DataFrame
+    queue: DataFrame
+    edges: DataFrame
+    #: The pairs to review between the first records of classes (tier, a_key, b_key, ...), from which dealt() makes those of
+    #: queue. Members of a class share a component, so these are enough to tell which facilities are to be reviewed.
+    pairs: DataFrame
+    #: Members of classes, the first one among them: (tier, rep, key, seq).
+    classes: DataFrame
+    #: For chains(): groups (tier, group, node, before) and ties (tier, group, to).
+    groups: DataFrame
+    ties: DataFrame
+
+
+def resolved(records: DataFrame, hits: DataFrame | None = None, decisions: DataFrame | None = None) -> Resolved:
+    """decisions: (a_key, b_key, decision 'merge' or 'split'). A merge is an edge of tier 'review'; a split takes
     away the pair's own edges, and conflicts() lists split pairs that other edges still connect.
     """
-    return resolve_keyed(materialise(with_hits(with_keys(records), hits), "records"), decisions)[:3]
+    return resolve_keyed(materialise(with_hits(with_keys(records), hits), "records"), decisions)
+
+
+def resolve(records: DataFrame, hits: DataFrame | None = None, decisions: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The first three of resolved(): (keyed records with component, tiers (component, tier), review pairs)."""
+    return resolved(records, hits, decisions)[:3]
 
 
-def resolve_keyed(keyed: DataFrame, decisions: DataFrame | None = None, occupied: DataFrame | None = None, mates: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """As resolve(), for records that have their keys and hits; also the edges (src, dst, tier) that tie components.
+def resolve_keyed(keyed: DataFrame, decisions: DataFrame | None = None, occupied: DataFrame | None = None, mates: DataFrame | None = None) -> Resolved:
+    """As resolved(), for records that have their keys and hits.
 
     For records that are only some of all: occupied, the cells that hold any record (with_cells), and mates, others
     (as from prepared) that share an identifier with them, so that stars have their centres as among all.
@@ -349,26 +399,34 @@ def resolve_keyed(keyed: DataFrame, decisions: DataFrame | None = None, occupied
         every = e if every is None else every.unionByName(e)
     every = materialise(every, "edges")
     joined = materialise(components(every, small=FEW_LINKS), "components")
-    review = []
     alone = None if split is None else split.select(F.col("_l").alias("key")).union(split.select("_g")).distinct()
     stages = (
-        ("addr", at_address(rows), ["block"], addr_pairs, None, F.lit(ADDR_REASON), BY_SEQ),
-        ("geo", rows.where("lat IS NOT NULL AND lon IS NOT NULL"), ["lat", "lon"], lambda r: geo_pairs(r, occupied), 0.0, _metres_apart(F.lit(0)), BY_KEY),
+        ("addr", at_address(rows), ["block"], addr_pairs, None, F.lit(ADDR_REASON)),
+        ("geo", rows.where("lat IS NOT NULL AND lon IS NOT NULL"), ["lat", "lon"], lambda r: geo_pairs(r, occupied), 0.0, _metres_apart(F.lit(0))),
     )
-    for tier, located, place, pairs_of, metres, reason, order in stages:
+    none = rows.select(F.lit("").alias("tier"), F.col("key").alias("rep"), "key", "seq").where("false")
+    classes, review, groups, ties = none, [], [], []
+    for tier, located, place, pairs_of, metres, reason in stages:
         first, members = class_of(located, place, alone)
         pairs = pairs_of(first).select(*PAIR)
         pairs = pairs if members is None else pairs.unionByName(stars(members, metres, reason))
-        left = materialise(apart(pairs, joined).select(*PAIR), f"{tier}-pairs")
-        new = allowed(left.where("merges").select(F.col("a_key").alias("src"), F.col("b_key").alias("dst"))).withColumn("tier", F.lit(tier))
-        every = materialise(every.unionByName(new), "edges")
-        joined = materialise(components(every, small=FEW_LINKS), "components")
-        review.append(dealt(apart(left.where("NOT merges" if split is None else "true").select(*PAIR), joined).select(*PAIR), members, order))
-    review.append(apart(name_pairs(rows).select(*PAIR), joined).select(*PAIR))
-    queue = review[0].unionByName(review[1]).unionByName(review[2])
+        met = materialise(between(pairs, joined).withColumn("tier", F.lit(tier)), f"{tier}-pairs")
+        left = met.where("_ca <> _cb")
+        new = materialise(allowed(left.where("merges").select(F.col("a_key").alias("src"), F.col("b_key").alias("dst"), "tier", "_ca", "_cb")), "edges")
+        every = every.unionByName(new.select("src", "dst", "tier"))
+        mine = none if members is None else members.select(F.lit(tier).alias("tier"), "rep", "key", "seq")
+        classes = classes.unionByName(mine)
+        stage_groups, stage_ties = _groups(allowed(met.where("merges").withColumnsRenamed({"a_key": "src", "b_key": "dst"})), mine, joined)
+        groups.append(stage_groups)
+        ties.append(stage_ties)
+        joined = further(joined, new)
+        review.append(apart(left.where("NOT merges" if split is None else "true").select("tier", *PAIR), joined).select("tier", *PAIR))
+    review.append(apart(name_pairs(rows).select(F.lit("name").alias("tier"), *PAIR), joined).select("tier", *PAIR))
+    pairs = not_split(review[0].unionByName(review[1]).unionByName(review[2]), decisions)
+    queue = described(dealt(pairs, classes), rows, decisions)
     tiers = every.join(joined, F.col("src") == F.col("node")).select("component", "tier").distinct()
     keyed = keyed.join(joined.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
-    return keyed, tiers, described(queue, rows, decisions), every
+    return Resolved(keyed, tiers, queue, every, pairs, classes, groups[0].unionByName(groups[1]), ties[0].unionByName(ties[1]))
 
 
 def conflicts(keyed: DataFrame, decisions: DataFrame) -> DataFrame:

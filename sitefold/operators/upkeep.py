@@ -29,6 +29,8 @@ class Kept(NamedTuple):
     queue: DataFrame
     #: (key, state): 'removed', 'added' or, in an opened component, 'opened'.
     touched: DataFrame
+    #: Members of classes, where the queue is one of first records.
+    classes: DataFrame | None = None
 
 
 def _digest(rows: DataFrame) -> DataFrame:
@@ -66,8 +68,9 @@ def _opened(kept: DataFrame, removed: DataFrame, added: DataFrame, decisions: Da
     return materialise(every.distinct(), "opened")
 
 
-def replace_source(keyed: DataFrame, tiers: DataFrame, queue: DataFrame, records: DataFrame, source: str, hits: DataFrame | None = None, decisions: DataFrame | None = None) -> Kept:
+def replace_source(keyed: DataFrame, tiers: DataFrame, queue: DataFrame, records: DataFrame, source: str, hits: DataFrame | None = None, decisions: DataFrame | None = None, classes: DataFrame | None = None) -> Kept:
     """keyed, tiers, queue: as resolve() gave them, in tables; records: the source's rows as they are now (none to take it away).
+    With classes, queue has pairs of first records, both as in resolve.Resolved (pairs, classes); the result's are of that form.
 
     hits are the new rows' own; those of other rows, and decisions, must be as before. A row whose seq alone has changed counts
     as changed, for order of appearance chooses names and addresses.
@@ -93,8 +96,9 @@ def replace_source(keyed: DataFrame, tiers: DataFrame, queue: DataFrame, records
         outside = rows_kept.join(opened, "component", "left_anti")
         near = outside.select("key", "country", F.explode("ids").alias("id")).join(ids, ["country", "id"], "left_semi").select("key").distinct()
         mates = outside.join(near, "key", "left_semi")
-    closed, closed_tiers, closed_queue, _ = r.resolve_keyed(some, decisions, occupied, mates)
-    closed = materialise(closed, "closed")
+    again_resolved = r.resolve_keyed(some, decisions, occupied, mates)
+    closed, closed_tiers = materialise(again_resolved.keyed, "closed"), again_resolved.tiers
+    closed_queue = again_resolved.queue if classes is None else again_resolved.pairs
 
     now = materialise(kept.join(opened, "component", "left_anti").unionByName(closed).select(*keyed.columns), "kept-up")
     now_tiers = tiers.join(opened, "component", "left_anti").unionByName(closed_tiers.join(closed.select("component").distinct(), "component", "left_semi")).distinct()
@@ -103,16 +107,23 @@ def replace_source(keyed: DataFrame, tiers: DataFrame, queue: DataFrame, records
     names = r.unplaced(rows_some).select("country", "block").unionByName(r.unplaced(rows_removed).select("country", "block")).distinct()
     unplaced = materialise(r.unplaced(rows_now).join(names, ["country", "block"], "left_semi"), "names")
     joined = now.join(unplaced.select("key"), "key", "left_semi").select(F.col("key").alias("node"), "component")
-    by_name = r.described(r.apart(r.name_pairs(unplaced.drop("block")).select(*r.PAIR), joined), unplaced, decisions)
+    by_name = r.apart(r.name_pairs(unplaced.drop("block")).select(F.lit("name").alias("tier"), *r.PAIR), joined).select("tier", *r.PAIR)
+    by_name = r.described(by_name, unplaced, decisions) if classes is None else r.not_split(by_name, decisions)
 
     touched = removed.select("key", F.lit("removed").alias("state")).unionByName(again.select("key", F.lit("opened").alias("state"))).unionByName(added.select("key", F.lit("added").alias("state")))
     touched = materialise(touched, "touched")
     before = touched.where("state <> 'added'")
-    old_queue = queue
+    old_queue, now_classes = queue, None
+    if classes is not None:  # where a class's first record is removed, the first of those left stands for them
+        left = classes.join(removed.select("key"), "key", "left_anti").groupBy("tier", "rep").agg(F.min(F.struct("seq", "key")).alias("_first"))
+        for s in "ab":
+            old_queue = old_queue.join(left.withColumnRenamed("rep", f"{s}_key"), ["tier", f"{s}_key"], "left")
+            old_queue = old_queue.withColumns({f"{s}_key": F.coalesce("_first.key", f"{s}_key"), f"{s}_seq": F.coalesce("_first.seq", f"{s}_seq")}).drop("_first")
+        now_classes = materialise(classes.join(before.select("key"), "key", "left_anti").unionByName(again_resolved.classes), "classes")
     for s in "ab":
         old_queue = old_queue.join(before.toDF(f"{s}_key", f"_{s}"), f"{s}_key", "left")
     is_name = F.col("reason") == r.NAME_REASON
     old_queue = old_queue.where("coalesce(_a, '') <> 'removed' AND coalesce(_b, '') <> 'removed' AND NOT (coalesce(_a, '') = 'opened' AND coalesce(_b, '') = 'opened')").select(*queue.columns)
     renamed = unplaced.select(F.col("key").alias("a_key"))
     old_queue = old_queue.where(~is_name).unionByName(old_queue.where(is_name).join(renamed, "a_key", "left_anti"))
-    return Kept(now, now_tiers, materialise(old_queue.unionByName(closed_queue.where(~is_name)).unionByName(by_name).select(*queue.columns), "queue"), touched)
+    return Kept(now, now_tiers, materialise(old_queue.unionByName(closed_queue.where(~is_name)).unionByName(by_name).select(*queue.columns), "queue"), touched, now_classes)

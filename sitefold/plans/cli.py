@@ -27,8 +27,8 @@ def _need(spark: SparkSession, path: str) -> DataFrame:
 def dedup(spark: SparkSession, records: DataFrame, cache: DataFrame | None = None, decisions: DataFrame | None = None):
     """(keyed, facilities, queue), positions from the cache included."""
     hits = geocode.hits(geocode.query_index(resolve.with_keys(records)), cache) if cache is not None else None
-    keyed, tiers, queue = resolve.resolve(records, hits, decisions)
-    return keyed, assemble.assemble(keyed, tiers, queue), queue
+    found = resolve.resolved(records, hits, decisions)
+    return found.keyed, assemble.assemble(found.keyed, found.tiers, found.pairs), found.queue
 
 
 #: Invented rows, one case of a rule in each group, as fields that are stated.

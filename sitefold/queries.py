@@ -509,8 +509,8 @@ def decided(spark, d) -> DataFrame:
 
 
 def _resolved(spark, d, decisions: bool = False):
-    keyed, tiers, queue = resolve.resolve(canonical_sites(spark, d), decisions=decided(spark, d) if decisions else None)
-    return keyed, assemble.assemble(keyed, tiers, queue), queue
+    found = resolve.resolved(canonical_sites(spark, d), decisions=decided(spark, d) if decisions else None)
+    return found.keyed, assemble.assemble(found.keyed, found.tiers, found.pairs), found.queue
 
 
 def _facilities_of(found: DataFrame) -> DataFrame:
@@ -545,9 +545,9 @@ def conflict_chains(spark, d):
     """For each split pair that is in one component all the same, how many edges its shortest chain has; edges must follow on
     each other from end to end."""
     decisions = decided(spark, d)
-    keyed, _, _, edges = resolve.resolve_keyed(materialise(resolve.with_hits(resolve.with_keys(canonical_sites(spark, d)), None), "records"), decisions)
-    pairs = materialise(resolve.conflicts(keyed, decisions), "conflicts")
-    steps = resolve.chains(edges, pairs).groupBy("a_key", "b_key").agg(F.array_sort(F.collect_list(F.struct("step", "src", "dst"))).alias("c"))
+    found = resolve.resolved(canonical_sites(spark, d), decisions=decisions)
+    pairs = materialise(resolve.conflicts(found.keyed, decisions), "conflicts")
+    steps = resolve.chains(found.edges, pairs).groupBy("a_key", "b_key").agg(F.array_sort(F.collect_list(F.struct("step", "src", "dst"))).alias("c"))
     whole = (F.col("c")[0]["src"] == F.col("a_key")) & (F.element_at("c", -1)["dst"] == F.col("b_key")) & (F.slice("c.src", F.lit(2), F.size("c")) == F.slice("c.dst", F.lit(1), F.size("c") - 1))
     return steps.select("a_key", "b_key", F.when(whole, F.size("c")).cast("bigint").alias("steps"))
 
@@ -560,8 +560,9 @@ def parsed_again(spark, d):
     k = F.col("seq")
     then = now.where(k % 45 != 1).withColumns({"name": F.when(k % 20 == 3, F.lit("Old Mill")).otherwise(F.col("name")), "national_id": F.when(k % 20 == 3, F.lit("1")).otherwise(F.col("national_id")), "id_scheme": F.lit("S")})
     extra = now.where(k % 200 == 7).withColumns({"source_row_id": F.concat(F.lit("y"), "source_row_id"), "seq": k + 10_000_000})
-    keyed, tiers, queue = (materialise(x, "was") for x in resolve.resolve(then.unionByName(extra)))
-    kept = upkeep.replace_source(keyed, tiers, queue, now, "x")
+    was = resolve.resolved(then.unionByName(extra))
+    keyed, tiers, pairs, classes = (materialise(x, "was") for x in (was.keyed, was.tiers, was.pairs, was.classes))
+    kept = upkeep.replace_source(keyed, tiers, pairs, now, "x", classes=classes)
     return _facilities_of(assemble.assemble(kept.keyed, kept.tiers, kept.queue))
 
 

@@ -91,3 +91,26 @@ def test_chains_are_the_shortest(spark):
     assert sorted(map(tuple, got.collect())) == sorted(want) and max(w[2] for w in want) > 3
     none = resolve.chains(spark.createDataFrame(edges, "src string, dst string, tier string"), spark.createDataFrame([], "a_key string, b_key string"))
     assert none.count() == 0 and none.columns == got.columns
+
+
+def alike_rows(source, n, start, place=0, step=0.004, numbered=12):
+    """Four names at two places of two countries each: most rows are like many others. Equal names merge at one place, and over
+    250 m apart they are reviewed, as unequal ones are."""
+    names = [f"mill river {x}" for x in ("building", "furniture", "household", "machinery")]
+    return [(source, f"r{k}", names[k % 4], "AB"[k // 8 % 2] * 3, str(k // 14) if k % 7 == 0 and k < numbered else None, "S", *((f"{k // 4 % 2} Lane", "P1") if k % 5 == 0 else (None, None)), 60 + (place + k // 4 % 2) * step, 5.0, start + k) for k in range(n)]
+
+
+def test_first_records_are_kept_up_as_all_pairs_are(spark):
+    """Pairs of first records only go in and out. In one country rows are removed only, some first ones among them, so that pairs
+    with one end outside of what is resolved again stay; in the other, classes gain rows."""
+    a, b = alike_rows("a", 48, 0), alike_rows("b", 64, 100, place=1)
+    after = [x for k, x in enumerate(b) if k >= 6 and k % 16 != 3] + [x for x in alike_rows("b", 80, 100, place=1)[64:] if x[3] == "BBB"]
+    was = resolve.resolved(frame(spark, a + b))
+    keyed, tiers, pairs, classes = (materialise(x, "was") for x in (was.keyed, was.tiers, was.pairs, was.classes))
+    got = upkeep.replace_source(keyed, tiers, pairs, frame(spark, after), "b", classes=classes)
+    want = resolve.resolve(frame(spark, a + after))
+    rows = resolve.prepared(got.keyed)
+    queue = materialise(resolve.described(resolve.dealt(got.queue, got.classes), rows, None), "queue")
+    for x, y in zip(facts(got.keyed, got.tiers, queue), facts(*want)):
+        assert x == y
+    assert 3 * got.queue.count() < queue.count()
