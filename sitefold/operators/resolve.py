@@ -436,21 +436,41 @@ def conflicts(keyed: DataFrame, decisions: DataFrame) -> DataFrame:
     return decisions.where("lower(trim(decision)) = 'split'").join(a, "a_key").join(b, "b_key").where("_ca = _cb").select("a_key", "b_key")
 
 
-def chains(edges: DataFrame, pairs: DataFrame) -> DataFrame:
+def _over_groups(open_: DataFrame, groups: DataFrame, ties: DataFrame) -> DataFrame:
+    """(a_key, b_key, node, src, tier): what the nodes of open_ are linked to through groups, from the smallest src.
+
+    Of a group's nodes that a pair has reached, the smallest counts, and for those that share its before the smallest of another.
+    """
+    at = ["a_key", "b_key", "tier", "group"]
+    reached = open_.select("a_key", "b_key", "node").join(groups, "node").groupBy(*at, "before").agg(F.min("node").alias("src"))
+    one = reached.groupBy(*at).agg(F.min(F.struct("src", "before")).alias("one"))
+    two = reached.join(one, at).where(F.col("before") != F.col("one.before")).groupBy(*at).agg(F.min("src").alias("two"))
+    on = one.join(two, at, "left").join(ties, ["tier", "group"]).drop("group").withColumnRenamed("to", "group").join(groups, ["tier", "group"])
+    src = F.when(F.col("before") != F.col("one.before"), F.col("one.src")).otherwise(F.col("two"))
+    return on.select("a_key", "b_key", "node", src.alias("src"), "tier").where("src IS NOT NULL AND src <> node")
+
+
+def chains(edges: DataFrame, pairs: DataFrame, groups: DataFrame | None = None, ties: DataFrame | None = None) -> DataFrame:
     """(a_key, b_key, step, src, dst, tier): why each of pairs (a_key, b_key) is in one component, as the shortest chain
     of edges from a to b; of equal ones that whose nodes are smaller, seen from b. Pairs that nothing connects have no rows.
 
     A breadth-first search over edges from all pairs at once, a round for each step; a round's nodes are a table, and
     a pair that has met its end is not followed further. Each pair visits a node once at most.
+
+    groups and ties, as in Resolved: edges besides, each node of a group to each of another before in those it is tied to;
+    they are not written out. Stars among edges only repeat them.
     """
     both = edges.select("src", "dst", "tier").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "tier")).where("src <> dst")
     both = materialise(both.groupBy("src", "dst").agg(F.min("tier").alias("tier")), "links")
+    if groups is not None:
+        groups, ties = materialise(groups, "groups"), materialise(ties, "ties")
     none = [F.lit(None).cast("string").alias(c) for c in ("src", "tier")]
     layers = [materialise(pairs.select("a_key", "b_key").distinct().where("a_key <> b_key").select("a_key", "b_key", F.col("a_key").alias("node"), *none), "layer")]
     seen, open_ = layers[0], layers[0]
     while not open_.isEmpty():
-        on = open_.select("a_key", "b_key", F.col("node").alias("src")).join(both, "src")
-        on = on.groupBy("a_key", "b_key", F.col("dst").alias("node")).agg(F.min(F.struct("src", "tier")).alias("by")).select("a_key", "b_key", "node", "by.src", "by.tier")
+        on = open_.select("a_key", "b_key", F.col("node").alias("src")).join(both, "src").select("a_key", "b_key", F.col("dst").alias("node"), "src", "tier")
+        on = on if groups is None else on.unionByName(_over_groups(open_, groups, ties))
+        on = on.groupBy("a_key", "b_key", "node").agg(F.min(F.struct("src", "tier")).alias("by")).select("a_key", "b_key", "node", "by.src", "by.tier")
         layers.append(materialise(on.join(seen, ["a_key", "b_key", "node"], "left_anti"), "layer"))
         met = layers[-1].where("node = b_key").select("a_key", "b_key")
         seen = seen.unionByName(layers[-1])

@@ -547,7 +547,7 @@ def conflict_chains(spark, d):
     decisions = decided(spark, d)
     found = resolve.resolved(canonical_sites(spark, d), decisions=decisions)
     pairs = materialise(resolve.conflicts(found.keyed, decisions), "conflicts")
-    steps = resolve.chains(found.edges, pairs).groupBy("a_key", "b_key").agg(F.array_sort(F.collect_list(F.struct("step", "src", "dst"))).alias("c"))
+    steps = resolve.chains(found.edges, pairs, found.groups, found.ties).groupBy("a_key", "b_key").agg(F.array_sort(F.collect_list(F.struct("step", "src", "dst"))).alias("c"))
     whole = (F.col("c")[0]["src"] == F.col("a_key")) & (F.element_at("c", -1)["dst"] == F.col("b_key")) & (F.slice("c.src", F.lit(2), F.size("c")) == F.slice("c.dst", F.lit(1), F.size("c") - 1))
     return steps.select("a_key", "b_key", F.when(whole, F.size("c")).cast("bigint").alias("steps"))
 

@@ -114,3 +114,17 @@ def test_first_records_are_kept_up_as_all_pairs_are(spark):
     for x, y in zip(facts(got.keyed, got.tiers, queue), facts(*want)):
         assert x == y
     assert 3 * got.queue.count() < queue.count()
+
+
+def test_chains_over_classes_are_those_over_all_pairs(spark, monkeypatch):
+    rows = alike_rows("a", 90, 0, step=0.0016, numbered=90)
+    keys = [f"a:r{k}" for k in range(90)]
+    rng = random.Random(7)
+    decisions = spark.createDataFrame([(*rng.sample(keys, 2), rng.choice(["split", "merge"])) for _ in range(16)], "a_key string, b_key string, decision string")
+    pairs = spark.createDataFrame([tuple(rng.sample(keys, 2)) for _ in range(60)], "a_key string, b_key string")
+    found = resolve.resolved(frame(spark, rows), decisions=decisions)
+    got = sorted(map(tuple, resolve.chains(found.edges, pairs, found.groups, found.ties).collect()))
+    monkeypatch.setattr(resolve, "MANY_EQUAL", 1 << 30)
+    plain = resolve.resolved(frame(spark, rows), decisions=decisions)
+    assert got == sorted(map(tuple, resolve.chains(plain.edges, pairs).collect())) and len({x[2] for x in got}) > 2
+    assert found.edges.count() < plain.edges.count()
