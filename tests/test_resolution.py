@@ -138,6 +138,18 @@ def test_a_crowded_block_makes_few_pairs(spark):
     assert resolve.geo_pairs(first).count() == n // 4
 
 
+def test_pairs_of_a_place_do_not_grow_with_the_square_of_its_copies(spark):
+    """20 copies each of five names at one place, two of whose three words they share: 4,950 pairs if each copy meets each."""
+    names = [f"mill {x} 103" for x in ("building", "furniture", "household", "machinery", "automobile")]
+    rows = [("s", str(k), names[k % 5], "USA", 10.0, 5.0, k) for k in range(100)]
+    full = spark.createDataFrame(rows, "source_id string, source_row_id string, name string, country_iso3 string, src_lat double, src_lon double, seq long")
+    found = resolve.resolved(cli.selftest_records(spark).limit(0).unionByName(full, allowMissingColumns=True))
+    assert (found.pairs.count(), found.classes.count(), found.edges.count()) == (10, 100, 95)
+    assert found.queue.count() == 10 * 20 * 20
+    facilities = assemble.assemble(found.keyed, found.tiers, found.pairs).collect()
+    assert [(len(r.members), r.review, r.match_tiers) for r in facilities] == [(20, True, ["geo"])] * 5
+
+
 def test_address_tier_reviews_and_merges(spark):
     rows = [("s", str(k), n, "USA", a, p, k) for k, (n, a, p) in enumerate([("Green Valley Farms", "12 Main", "A-1"), ("Green Valley Farms Ltd", "12 Main St", "a1"), ("Green Hill Farms", "12 Main", "A1"), ("Other", "12 Main", "A1"), ("Green Valley Farms", None, "A1")])]
     full = spark.createDataFrame(rows, "source_id string, source_row_id string, name string, country_iso3 string, address string, postcode string, seq long")
