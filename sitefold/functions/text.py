@@ -26,8 +26,8 @@ def strip_accents(c: Column) -> Column:
     """Compatibility-decomposed without combining marks. The one Arrow UDF here: Spark has no such built-in. Folding goes
     character by character, as only combining marks change places, so Python sees a text's different characters beyond
     ASCII, not the text."""
-    beyond = F.array_join(F.array_distinct(F.split(F.regexp_replace(c, "[\\x00-\\x7F]+", ""), "")), "")
-    changes = F.split(_changes(F.nullif(beyond, F.lit(""))), "\u0000")
+    beyond = F.when(c.rlike("[^\\x00-\\x7F]"), F.array_join(F.array_distinct(F.split(F.regexp_replace(c, "[\\x00-\\x7F]+", ""), "")), ""))
+    changes = F.split(_changes(beyond), "\u0000")
     replaced = F.aggregate(changes, c.cast("string"), lambda text, x: F.replace(text, F.substring(x, 1, 1), F.substring(x, 2, 99)))
     return F.coalesce(replaced, c, F.lit(""))
 

@@ -24,7 +24,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sitefold.functions.geo import haversine_m
-from sitefold.functions.text import addr_key, folded_name, folded_text, folded_tokens, norm_id, same_name, strip_accents, token_set_ratio
+from sitefold.functions.text import addr_key, folded_name, folded_text, folded_tokens, norm_id, same_name, strip_accents
 from sitefold.operators.components import components
 from sitefold.plans.shared import materialise
 from sitefold.vocabulary import MAPPABLE
@@ -94,19 +94,21 @@ COMMON = 1 << 16
 
 def with_prefix(rows: DataFrame) -> DataFrame:
     """Adds prefix: the words, rarest first, of which alike records (LOOSE or more) share at least one. Words that are
-    not common come first, by themselves, then the common ones by their number."""
-    words = rows.select("key", F.explode("words").alias("w"))
-    n = words.count()
-    common = words.groupBy("w").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") * COMMON > n)
-    ordered = words.join(F.broadcast(common), "w", "left").groupBy("key").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "w"))).alias("_o"))
+    not common come first, by themselves, then the common ones by their number. Each different set of words is ordered once."""
+    sets = materialise(rows.groupBy("words").agg(F.count(F.lit(1)).alias("_n")), "word-sets")
+    words = sets.select("words", "_n", F.explode("words").alias("w"))
+    n = words.agg(F.sum("_n")).first()[0] or 0
+    common = words.groupBy("w").agg(F.sum("_n").alias("n")).where(F.col("n") * COMMON > n)
+    ordered = words.join(F.broadcast(common), "w", "left").groupBy("words").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "w"))).alias("_o"))
     size = F.size("_o")
     some = F.slice("_o", F.lit(1), size - F.ceil(size * LOOSE - 1e-9).cast("int") + 1)
-    return rows.join(ordered.select("key", F.transform(some, lambda x: x["w"]).alias("prefix")), "key", "left")
+    prefixes = materialise(ordered.select("words", F.transform(some, lambda x: x["w"]).alias("prefix")), "prefixes")
+    return rows.join(prefixes, "words", "left")
 
 
 def _sides(rows: DataFrame, *more: str) -> tuple[DataFrame, DataFrame]:
     some = ["key", "seq", "source_id", "text", "words", "lat", "lon", *more]
-    on = [c for c in ("country", "block", "token") if c in rows.columns]
+    on = [c for c in ("place", "country", "block", "token") if c in rows.columns]
     return tuple(rows.select(*on, *[F.col(c).alias(f"{s}_{c}") for c in some]) for s in "ab")
 
 
@@ -136,24 +138,27 @@ def _met(rows: DataFrame, order: str, reach: DataFrame | None = None) -> DataFra
 
     reach: (country, block, to) has the blocks of the one side for each block of the other, if not just its own.
     """
-    listed = rows.select("*", F.posexplode("prefix").alias("at", "token"))
+    by_word = lambda r: r.select("*", F.posexplode("prefix").alias("at", "token"))
+    listed = by_word(rows)
     crowds = materialise(listed.groupBy("country", "block", "token").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= CROWD), "crowds")
     n = crowds.count()
     crowds = None if n == 0 else F.broadcast(crowds) if n <= FEW_CROWDS else crowds
-    far = listed if reach is None else listed.join(reach, ["country", "block"]).drop("block").withColumnRenamed("to", "block")
+    far = listed if reach is None else by_word(rows.join(reach, ["country", "block"]).drop("block").withColumnRenamed("to", "block"))
     more = ("prefix", "own", "other")
-    a, b = _sides(_by_size(far, crowds), *more)[0], _sides(_by_size(listed, crowds), *more)[1]
+    placed = lambda r: _by_size(r, crowds).withColumn("place", F.xxhash64("country", "block", "token"))
+    a, b = _sides(placed(far), *more)[0], _sides(placed(listed), *more)[1]
     least = LOOSE * F.greatest(F.size("a_words"), F.size("b_words")) - 1e-9
-    same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("country", "block", "token")] + [F.col("a_own") == F.col("b_other"), F.col("a_other") == F.col("b_own")]
+    same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("place", "country", "block", "token")] + [F.col("a_own") == F.col("b_other"), F.col("a_other") == F.col("b_own")]
     pairs = a.alias("a").join(b.alias("b"), same).where(order).select("a.*", *[c for c in b.columns if c.startswith("b_")])
     pairs = pairs.where(F.least(F.size("a_words"), F.size("b_words")) >= least).where("token = array_intersect(a_prefix, b_prefix)[0]")
-    return pairs.drop("a_prefix", "b_prefix", "a_own", "b_own", "a_other", "b_other", "token")
+    return pairs.drop("a_prefix", "b_prefix", "a_own", "b_own", "a_other", "b_other", "token", "place")
 
 
 def _scored(pairs: DataFrame) -> DataFrame:
     """Adds score and merges: alike by words, and by the whole name where a register asks for it."""
     exact = F.col("a_source_id").isin(*EXACT) | F.col("b_source_id").isin(*EXACT)
-    pairs = pairs.withColumn("score", token_set_ratio(F.col("a_words"), F.col("b_words")))
+    shared = F.size(F.array_intersect("a_words", "b_words"))  # words are distinct, so the union need not be made
+    pairs = pairs.withColumn("score", shared / (F.size("a_words") + F.size("b_words") - shared))
     return pairs.where(F.col("score") >= LOOSE).withColumn("merges", (F.col("score") >= STRICT) & (~exact | same_name(F.col("a_text"), F.col("b_text"))))
 
 
@@ -227,6 +232,8 @@ def geo_pairs(rows: DataFrame, occupied: DataFrame | None = None) -> DataFrame:
 #: Equal rows of one place from which they are compared as one. A higher bound leaves places where classes stay below it,
 #: and pairs that grow with the square of the table.
 MANY_EQUAL = 2
+#: Columns that the stages of pairs need.
+STAGE = ["key", "seq", "source_id", "country", "text", "words", "ak", "lat", "lon", "prefix", "block"]
 
 
 def class_of(rows: DataFrame, place: list[str], alone: DataFrame | None) -> tuple[DataFrame, DataFrame | None]:
@@ -235,20 +242,20 @@ def class_of(rows: DataFrame, place: list[str], alone: DataFrame | None) -> tupl
     A class holds the rows of one country with equal place, name, words and need of an exact name: they merge with each
     other, and each is to other rows what the first is. Rows whose key is in alone, and those of small classes, stay.
     """
-    rows = rows.where(F.size("words") > 0)
-    same = [F.col("country"), *[F.col(c) for c in place], F.col("text"), F.array_sort("words"), F.col("source_id").isin(*EXACT)]
-    rows = rows.withColumn("_hash", F.xxhash64(*same))
-    large = materialise(rows.groupBy("_hash").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= MANY_EQUAL).select("_hash"), "large-classes")
-    if large.isEmpty():
-        return rows.drop("_hash"), None
-    several = rows.join(large, "_hash", "left_semi")
-    if alone is not None:
-        several = several.join(alone, "key", "left_anti")
-    # The hash brings equal rows together; the digest of what must be equal tells them apart.
-    several = several.select(F.unhex(F.sha2(F.to_json(F.struct(*[c.alias(f"c{k}") for k, c in enumerate(same)])), 256)).alias("_class"), "key", "seq")
-    first = several.groupBy("_class").agg(F.min_by("key", F.struct("seq", "key")).alias("rep"))
-    members = materialise(several.join(first, "_class").select("rep", "key", "seq"), "classes")
-    return rows.drop("_hash").join(members.where("key <> rep"), "key", "left_anti"), members
+    rows = rows.where(F.size("words") > 0).select(*[c for c in rows.columns if c in STAGE])
+    rows = rows.withColumn("_exact", F.col("source_id").isin(*EXACT))
+    rows = rows.withColumn("_hash", F.xxhash64("country", *place, "text", "words", "_exact"))
+    # The hash comes first, as sorting by it is quick; the columns after it tell unequal rows apart.
+    same = ["_hash", "country", *place, "text", "words", "_exact"]
+    rows = rows if alone is None else rows.join(alone.withColumn("_alone", F.lit(True)), "key", "left")
+    free = F.lit(True) if alone is None else F.col("_alone").isNull()
+    first = rows.where(free).groupBy(*same).agg(F.min(F.struct("seq", "key")).alias("_first"), F.count(F.lit(1)).alias("_n"))
+    first = materialise(first.where(F.col("_n") >= MANY_EQUAL).select(*same, F.col("_first.key").alias("rep")), "first-of-classes")
+    if first.isEmpty():
+        return rows.drop("_hash", "_exact", "_alone"), None
+    # One table for both: a stage reads its rows several times.
+    told = materialise(rows.join(first, same, "left").withColumn("rep", F.when(free, F.col("rep"))).drop("_hash", "_exact", "_alone"), "classed")
+    return told.where("rep IS NULL OR rep = key").drop("rep"), told.where("rep IS NOT NULL").select("rep", "key", "seq")
 
 
 def stars(members: DataFrame, metres: float | None, reason: Column) -> DataFrame:
